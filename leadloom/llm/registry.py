@@ -2,7 +2,15 @@
 
 from __future__ import annotations
 
-from . import decontaminate
+from . import decontaminate, line_rules, mixing
 
-QUERIES = {"op10_decontaminate": decontaminate.op10_decontaminate}
-SQL = {"op10_decontaminate": decontaminate.OP10_SQL}
+QUERIES = {
+    "op8_line_rules": line_rules.op8_line_rules,
+    "op9_pareto_mix": mixing.op9_pareto_mix,
+    "op10_decontaminate": decontaminate.op10_decontaminate,
+}
+SQL = {
+    "op8_line_rules": line_rules.OP8_SQL,
+    "op9_pareto_mix": mixing.OP9_SQL,
+    "op10_decontaminate": decontaminate.OP10_SQL,
+}
