@@ -30,7 +30,8 @@ WIDTH = 13
 #: Largest benchmark, in characters, whose windows are broadcast.
 BROADCAST_CHARS = 32_000_000
 
-_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+#: A word in a text whose A-Z are not lower-cased yet.
+_WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 SCAN = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start:int,end:int>>"
 
 
