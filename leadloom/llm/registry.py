@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, line_rules, mixing, quality_fm
+from . import decontaminate, license_scan, line_rules, minhash_join, mixing, quality_fm
 
 QUERIES = {
     "op4_quality_fm": quality_fm.op4_quality_fm,
     "op6_license_scan": license_scan.op6_license_scan,
+    "op7_minhash_join": minhash_join.op7_minhash_join,
     "op8_line_rules": line_rules.op8_line_rules,
     "op9_pareto_mix": mixing.op9_pareto_mix,
     "op10_decontaminate": decontaminate.op10_decontaminate,
