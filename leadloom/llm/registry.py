@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from . import decontaminate, license_scan, line_rules, minhash_join, mixing, quality_fm
+from . import decontaminate, html_extract, license_scan, line_rules, minhash_join, mixing, quality_fm
 
 QUERIES = {
+    "op2_html_extract": html_extract.op2_html_extract,
     "op4_quality_fm": quality_fm.op4_quality_fm,
     "op6_license_scan": license_scan.op6_license_scan,
     "op7_minhash_join": minhash_join.op7_minhash_join,
