@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, license_scan, line_rules, minhash_join, mixing, quality_fm
+from . import decontaminate, html_extract, license_scan, line_rules, minhash_join, mixing, quality_fm, warc
 
 QUERIES = {
     "op2_html_extract": html_extract.op2_html_extract,
     "op4_quality_fm": quality_fm.op4_quality_fm,
+    "op5_warc_normalise": warc.op5_warc_normalise,
     "op6_license_scan": license_scan.op6_license_scan,
     "op7_minhash_join": minhash_join.op7_minhash_join,
     "op8_line_rules": line_rules.op8_line_rules,
@@ -14,6 +15,7 @@ QUERIES = {
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 SQL = {
+    "op5_warc_normalise": warc.OP5_SQL,
     "op8_line_rules": line_rules.OP8_SQL,
     "op9_pareto_mix": mixing.OP9_SQL,
     "op10_decontaminate": decontaminate.OP10_SQL,
