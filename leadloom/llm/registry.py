@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontaminate, html_extract, license_scan, line_rules, minhash_join, mixing, quality_fm, warc
+from . import chat_format, decontaminate, html_extract, license_scan, line_rules, minhash_join, mixing, quality_fm, token_counts, warc
 
 QUERIES = {
+    "op1_chat_rotation": chat_format.op1_chat_rotation,
     "op2_html_extract": html_extract.op2_html_extract,
+    "op3_edit_counts": token_counts.op3_edit_counts,
     "op4_quality_fm": quality_fm.op4_quality_fm,
     "op5_warc_normalise": warc.op5_warc_normalise,
     "op6_license_scan": license_scan.op6_license_scan,
@@ -15,6 +17,7 @@ QUERIES = {
     "op10_decontaminate": decontaminate.op10_decontaminate,
 }
 SQL = {
+    "op1_chat_rotation": chat_format.OP1_SQL,
     "op5_warc_normalise": warc.OP5_SQL,
     "op8_line_rules": line_rules.OP8_SQL,
     "op9_pareto_mix": mixing.OP9_SQL,
