@@ -138,42 +138,46 @@ def load_index(benchmark: DataFrame, item_col: str, text_col: str, width: int, b
     return WindowIndex(((r.i, r.t) for r in items.distinct().toLocalIterator()), width)
 
 
-def scan_documents(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
-    """Per document: n_words, n_hit, n_items, items_sha256, contaminated and the character spans hit.
+FIELDS = pa.schema([("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
 
-    contaminated: n_hit > 0 and at least a twentieth of the words are hit.
-    items_sha256 is of the empty string when no item is found.
+
+def _locator(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, width: int, broadcast_chars: int):
+    """(docs, find): find(row batch) yields (text, words, stretches, item names) of each row.
+
+    Below the bound the broadcast index finds them; above it the documents come
+    with two more columns, _places and _items, from a join on window digests.
     """
-    index = load_index(benchmark, item_col, item_text_col, width, broadcast_chars)
-    docs = docs.select(F.col(id_col), F.col(text_col))
-    if index is None:
-        return _scan_by_join(docs, id_col, text_col, benchmark.select(F.col(item_col), F.col(item_text_col)), width)
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-    schema = pa.schema([("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
+    at, index = docs.columns.index(text_col), load_index(benchmark, item_col, item_text_col, width, broadcast_chars)
+    if index is not None:
+        shared = docs.sparkSession.sparkContext.broadcast(index)
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = shared.value
-        for b in batches:
-            out = []
-            for text in b.column(1):
+        def scan(b: pa.RecordBatch):
+            found = shared.value
+            for text in b.column(at):
                 ws = words(text.cast(pa.binary()).as_py()) if text.is_valid else []
-                stretches, names = found.scan(ws)
-                spans = char_spans(text.as_py(), stretches) if len(stretches) else []
-                out.append((*verdict(len(ws), stretches, names), [{"start": x, "end": y} for x, y in spans]))
-            cols = list(zip(*out, strict=True)) or [[]] * len(schema)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, f.type) for c, f in zip(cols, schema, strict=True))], names=[id_col, *schema.names])
+                yield text.as_py(), ws, *found.scan(ws)
+
+        return docs, scan
+
+    def gather(b: pa.RecordBatch):
+        for text, places, names in zip(b.column(at).to_pylist(), b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
+            merged: list[list[int]] = []
+            for p in places or []:
+                if merged and p["at"] <= merged[-1][1]:
+                    merged[-1][1] = max(merged[-1][1], p["to"])
+                else:
+                    merged.append([p["at"], p["to"]])
+            yield text, words((text or "").encode()), np.array(merged, np.int64).reshape(-1, 2), names or []
 
-    return docs.mapInArrow(scan, f"`{id_col}` {docs.schema[0].dataType.simpleString()}, {SCAN}")
+    return _hits_by_join(docs, text_col, benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("t")), width), gather
 
 
-def _scan_by_join(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFrame, width: int) -> DataFrame:
-    """The same result for a benchmark of any size: windows of both sides meet by digest in a shuffle.
+def _hits_by_join(docs: DataFrame, text_col: str, benchmark: DataFrame, width: int) -> DataFrame:
+    """The documents with _places (word positions) and _items of the windows that they share with a benchmark of any size.
 
-    Only documents' windows that meet a benchmark window come back to their
-    document, as stretches with item ids; repeated windows of a benchmark are
-    reduced to one row per (window, item) before the join.
+    Windows of both sides meet by a 128-bit digest of their words. Equal texts
+    are looked up once, windows of the benchmark are one row per window and item.
     """
-    item, item_text = benchmark.columns
 
     def windows_of(batches):
         for b in batches:
@@ -185,7 +189,7 @@ def _scan_by_join(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFr
                     digest.append(hashlib.blake2b(b" ".join(w), digest_size=16).digest())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(size, pa.int32()), pa.array(digest, pa.binary())], names=["item", "size", "digest"])
 
-    targets = cut(benchmark.select(F.col(item).cast("string").alias("item"), F.col(item_text)).mapInArrow(windows_of, "item string, size int, digest binary").distinct())
+    targets = cut(benchmark.mapInArrow(windows_of, "item string, size int, digest binary").distinct())
     sizes = sorted(r[0] for r in targets.select("size").distinct().collect())  # at most `width` values
 
     def windows_in(batches):
@@ -197,28 +201,31 @@ def _scan_by_join(docs: DataFrame, id_col: str, text_col: str, benchmark: DataFr
                     digests = [hashlib.blake2b(b" ".join(ws[i : i + n]), digest_size=16).digest() for i in at]
                     yield pa.RecordBatch.from_arrays([pa.array([k] * len(digests), pa.binary()), pa.array(list(at), pa.int32()), pa.array(digests, pa.binary())], names=["doc", "at", "digest"])
 
-    keyed = docs.withColumn("_key", F.unhex(F.md5(F.concat_ws("\x00", F.coalesce(F.col(id_col).cast("string"), F.lit("\x01")), F.coalesce(F.col(text_col), F.lit("\x01"))))))
-    hits = keyed.select("_key", text_col).dropDuplicates(["_key"]).mapInArrow(windows_in, "doc binary, at int, digest binary").join(targets, "digest")
-    per_doc = hits.groupBy("doc").agg(F.array_sort(F.collect_set(F.struct("at", (F.col("at") + F.col("size")).alias("to")))).alias("places"), F.array_sort(F.collect_set("item")).alias("items"))
-    out = pa.schema([("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
+    key = F.unhex(F.md5(F.col(text_col)))
+    texts = docs.select(key.alias("_key"), F.col(text_col)).where("_key is not null").dropDuplicates(["_key"])
+    hits = texts.mapInArrow(windows_in, "doc binary, at int, digest binary").join(targets, "digest")
+    per_text = hits.groupBy(F.col("doc").alias("_doc")).agg(F.array_sort(F.collect_set(F.struct("at", (F.col("at") + F.col("size")).alias("to")))).alias("_places"), F.array_sort(F.collect_set("item")).alias("_items"))
+    return docs.join(per_text, key == F.col("_doc"), "left").drop("_doc")
 
-    def judge(batches):
+
+def scan_documents(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
+    """Per document: n_words, n_hit, n_items, items_sha256, contaminated and the character spans hit.
+
+    contaminated: n_hit > 0 and at least a twentieth of the words are hit.
+    items_sha256 is of the empty string when no item is found.
+    """
+    src, find = _locator(docs.select(F.col(id_col), F.col(text_col)), benchmark, text_col, item_col, item_text_col, width, broadcast_chars)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            rows = []
-            for text, places, items in zip(*(b.column(i).to_pylist() for i in (1, 2, 3)), strict=True):
-                n, stretches = len(words((text or "").encode())), []
-                for p in places or []:
-                    if stretches and p["at"] <= stretches[-1][1]:
-                        stretches[-1][1] = max(stretches[-1][1], p["to"])
-                    else:
-                        stretches.append([p["at"], p["to"]])
-                found = np.array(stretches, np.int64).reshape(-1, 2)
-                rows.append((*verdict(n, found, items or []), [{"start": x, "end": y} for x, y in char_spans(text or "", found)]))
-            cols = list(zip(*rows, strict=True)) or [[]] * len(out)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, f.type) for c, f in zip(cols, out, strict=True))], names=[id_col, *out.names])
-
-    joined = keyed.join(per_doc, keyed["_key"] == per_doc["doc"], "left").select(id_col, text_col, "places", "items")
-    return joined.mapInArrow(judge, f"`{id_col}` {docs.schema[0].dataType.simpleString()}, {SCAN}")
+            out = []
+            for text, ws, stretches, names in find(b):
+                spans = char_spans(text, stretches) if len(stretches) else []
+                out.append((*verdict(len(ws), stretches, names), [{"start": x, "end": y} for x, y in spans]))
+            cols = list(zip(*out, strict=True)) or [[]] * len(FIELDS)
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, f.type) for c, f in zip(cols, FIELDS, strict=True))], names=[id_col, *FIELDS.names])
+
+    return src.mapInArrow(scan, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, {SCAN}")
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", length_col: str | None = "n_chars", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
@@ -226,34 +233,27 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
 
     ``length_col``, if the documents have it, becomes the new text's length where spans went.
     """
-    index = load_index(benchmark, item_col, item_text_col, width, broadcast_chars)
-    if index is None:
-        raise ValueError("benchmark above broadcast_chars: use scan_documents and join its verdicts by id")
-    shared = docs.sparkSession.sparkContext.broadcast(index)
-    at, length_at = docs.columns.index(text_col), docs.columns.index(length_col) if length_col in docs.columns else None
+    src, find = _locator(docs, benchmark, text_col, item_col, item_text_col, width, broadcast_chars)
+    n, at, length_at = len(docs.columns), docs.columns.index(text_col), docs.columns.index(length_col) if length_col in docs.columns else None
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = shared.value
         for b in batches:
             keep, texts, lengths = [], [], b.column(length_at).to_pylist() if length_at is not None else None
-            for i, text in enumerate(b.column(at)):
-                raw = text.as_py()
-                ws = words(raw.encode()) if raw else []
-                stretches, names = found.scan(ws)
+            for i, (text, ws, stretches, names) in enumerate(find(b)):
                 bad = verdict(len(ws), stretches, names)[4]
                 keep.append(not bad)
                 if len(stretches) and not bad:
-                    raw = cut_spans(raw, char_spans(raw, stretches))
+                    text = cut_spans(text, char_spans(text, stretches))
                     if lengths is not None:
-                        lengths[i] = len(raw)
-                texts.append(raw)
-            cols = list(b.columns)
+                        lengths[i] = len(text)
+                texts.append(text)
+            cols = list(b.columns[:n])
             cols[at] = pa.array(texts, b.schema.field(at).type)
             if lengths is not None:
                 cols[length_at] = pa.array(lengths, b.schema.field(length_at).type)
-            yield pa.RecordBatch.from_arrays(cols, schema=b.schema).filter(pa.array(keep, pa.bool_()))
+            yield pa.RecordBatch.from_arrays(cols, names=b.schema.names[:n]).filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(clean, docs.schema)
+    return src.mapInArrow(clean, docs.schema)
 
 
 def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
