@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import fields, gates
+from . import fields, gates, joins
 from .common import Registry
 
 REGISTRY = Registry()
-for _module in (fields, gates):
+for _module in (fields, gates, joins):
     _module.register(REGISTRY)
