@@ -18,36 +18,31 @@ def email_local(d: Spark, x: str) -> str:
 def registered_domain(d: Spark, h: str) -> str:
     """The last two labels of a host, or three behind a common two-part suffix."""
     clean = d.sub(d.sub(f"lower({h})", r"^www\."), r"[^a-z0-9.\-]")
-    two, three = d.extract(clean, r"([^.]+\.[^.]+)\z"), d.extract(clean, r"([^.]+\.[^.]+\.[^.]+)\z")
-    return f"case when {three} = '' then {clean} when {in_list(two, rules.SECOND_LEVEL_SUFFIXES)} then {three} else {two} end"
-
-
-def placeholder_email(d: Spark, x: str) -> str:
-    e = f"lower(trim({x}))"
-    return any_of([in_list(e, rules.PLACEHOLDER_EMAILS), in_list(email_local(d, x), rules.PLACEHOLDER_LOCALS), d.rx(e, rules.PLACEHOLDER_PATTERN)])
+    two, three = d.extract("cl", r"([^.]+\.[^.]+)\z"), d.extract("cl", r"([^.]+\.[^.]+\.[^.]+)\z")
+    return d.let(clean, "cl", f"case when {three} = '' then cl when {in_list(two, rules.SECOND_LEVEL_SUFFIXES)} then {three} else {two} end")
 
 
 def email_reason(d: Spark, email: str, domain: str) -> str:
     """why an address is taken or not; accepted are ok, pr_or_investor_only and free_email_no_verify."""
-    h = email_host(d, email)
-    reg = registered_domain(d, h)
     site = d.sub(d.sub(f"lower(coalesce({domain}, ''))", r"^https?://"), r"/.*\z")
-    expected = f"coalesce({registered_domain(d, site)}, '')"
-    local = email_local(d, email)
-    pr = any_of([in_list(local, rules.PR_PREFIXES), in_list(d.extract(local, r"^([^.\-_]*)"), rules.PR_PREFIXES)])
-    free = any_of([in_list(h, rules.FREE_EMAIL_HOSTS), in_list(reg, rules.FREE_EMAIL_HOSTS)])
-    non_buyer = any_of([in_list(h, rules.NON_BUYER_EMAIL_HOSTS), in_list(reg, rules.NON_BUYER_EMAIL_HOSTS)])
-    return cascade(
+    pr = any_of([in_list("loc", rules.PR_PREFIXES), in_list(d.extract("loc", r"^([^.\-_]*)"), rules.PR_PREFIXES)])
+    free = any_of([in_list("h", rules.FREE_EMAIL_HOSTS), in_list("reg", rules.FREE_EMAIL_HOSTS)])
+    non_buyer = any_of([in_list("h", rules.NON_BUYER_EMAIL_HOSTS), in_list("reg", rules.NON_BUYER_EMAIL_HOSTS)])
+    reason = cascade(
         [
-            (f"coalesce({email}, '') = '' or not contains({h}, '.')", lit("invalid_format")),
-            (placeholder_email(d, email), lit("placeholder_email")),
+            ("addr = '' or not contains(h, '.')", lit("invalid_format")),
+            (any_of([in_list("addr", rules.PLACEHOLDER_EMAILS), in_list("loc", rules.PLACEHOLDER_LOCALS), d.rx("addr", rules.PLACEHOLDER_PATTERN)]), lit("placeholder_email")),
             (non_buyer, lit("aggregator_email")),
-            (f"{expected} <> '' and {expected} <> {reg}", f"case when {free} then 'free_email_no_verify' else 'brand_mismatch' end"),
+            ("want <> '' and want <> reg", f"case when {free} then 'free_email_no_verify' else 'brand_mismatch' end"),
             (pr, lit("pr_or_investor_only")),
-            (f"{expected} = '' and {free}", lit("free_email_no_verify")),
+            (f"want = '' and {free}", lit("free_email_no_verify")),
         ],
         lit("ok"),
     )
+    # each part is worked out once, under a name
+    for name, text in (("want", d.let(site, "st", f"coalesce({registered_domain(d, 'st')}, '')")), ("loc", email_local(d, "addr")), ("reg", registered_domain(d, "h")), ("h", email_host(d, "addr")), ("addr", f"lower(trim(coalesce({email}, '')))")):
+        reason = d.let(text, name, reason)
+    return reason
 
 
 def accepted(reason: str) -> str:

@@ -12,14 +12,13 @@ def junk_domain(d: Spark, x: str) -> str:
     """F01."""
     h = d.sub(d.sub(d.sub(f"lower(trim({x}))", r"^https?://"), r"/.*\z"), r":\d+\z")
     hosts = [*rules.JUNK_HOSTS_WITH_WWW, *("www." + h for h in rules.JUNK_HOSTS_WITH_WWW), *rules.JUNK_HOSTS_PLAIN]
-    hit = any_of([d.rx(x, "[一-鿿぀-ゟ゠-ヿ가-힯]"), in_list(h, hosts), d.rx(h, rules.JUNK_HOST_PATTERN), d.rx(h, r"(^|\.)xn--[^.]{27,}"), f"not contains({h}, '.')"])
-    return f"(not {blank(x)} and {hit})"
+    by_host = any_of([in_list("jh", hosts), d.rx("jh", rules.JUNK_HOST_PATTERN), d.rx("jh", r"(^|\.)xn--[^.]{27,}"), "not contains(jh, '.')"])
+    return f"(not {blank(x)} and ({d.rx(x, '[一-鿿぀-ゟ゠-ヿ가-힯]')} or coalesce({d.let(h, 'jh', by_host)}, false)))"
 
 
 def aggregator_domain(d: Spark, x: str) -> str:
     """a directory's host or one below it."""
-    h = host(d, x)
-    return any_of([in_list(h, rules.AGGREGATOR_HOSTS), *(f"{h} like {lit('%.' + a)}" for a in rules.AGGREGATOR_HOSTS)])
+    return d.let(host(d, x), "ah", any_of([in_list("ah", rules.AGGREGATOR_HOSTS), *(f"ah like {lit('%.' + a)}" for a in rules.AGGREGATOR_HOSTS)]))
 
 
 def junk_name(d: Spark, x: str) -> str:
@@ -38,9 +37,9 @@ def category_words(d: Spark, x: str) -> str:
 
 def seller_of_category(d: Spark, name: str, category: str) -> str:
     """the name has a maker's word and at least two (or all) of the category's words."""
-    words = category_words(d, category)
-    hits = d.size(d.keep(words, "w", f"contains({low(name)}, w)"))
-    return f"({d.rx(low(name), rules.SELLER_NAME_PATTERN)} and {d.size(words)} > 0 and {hits} >= least(2, {d.size(words)}))"
+    hits = d.size(d.keep("ws", "w", f"contains({low(name)}, w)"))
+    enough = d.let(category_words(d, category), "ws", f"{d.size('ws')} > 0 and {hits} >= least(2, {d.size('ws')})")
+    return f"({d.rx(low(name), rules.SELLER_NAME_PATTERN)} and {enough})"
 
 
 def entity_type(d: Spark, supplier: bool = False, snippet: str = "snippet_text") -> str:
@@ -52,7 +51,7 @@ def entity_type(d: Spark, supplier: bool = False, snippet: str = "snippet_text")
     either = lambda p: any_of([d.rx(name, p), d.rx(snip, p)])
     return cascade(
         [
-            (any_of([in_list(h, rules.SOCIAL_HOSTS), d.rx(text, rules.SOCIAL_TEXT_PATTERN)]), lit("social")),
+            (any_of([f"{h} in ({', '.join(lit(v) for v in rules.SOCIAL_HOSTS)})", d.rx(text, rules.SOCIAL_TEXT_PATTERN)]), lit("social")),
             (aggregator_domain(d, "domain"), lit("aggregator")),
             (d.rx(name, rules.ASSOCIATION_NAME_PATTERN), lit("aggregator")),
             (d.rx(snip, rules.ASSOCIATION_TEXT_PATTERN), lit("aggregator")),

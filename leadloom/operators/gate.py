@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from ..functions import emails, predicates, scores, texts
 from ..functions.dialect import Spark, any_of, cascade, in_list, lit
 
@@ -63,11 +65,18 @@ def grade() -> str:
 
 
 def evaluate(df, d: Spark, supplier: bool = False):
-    """Adds the facts, reason and grade to leads."""
-    for name, text in facts(d, supplier).items():
-        df = df.selectExpr("*", f"{text} as {name}")
-    df = df.selectExpr("*", f"{gate_reason()} as reason")
-    return df.selectExpr("*", f"case when reason is null then {grade()} else 'unqualified' end as grade")
+    """Adds the facts, reason and grade to leads.
+
+    All of it is one struct-valued expression in which every fact has a name, so
+    a filter on the verdict that the optimizer pushes down copies it once and
+    doesn't multiply it by its uses.
+    """
+    all_facts = facts(d, supplier)
+    named = lambda text: re.sub(r"\b(" + "|".join(all_facts) + r")\b(?!')", r"f.\1", text)
+    fields = ", ".join(f"'{n}', f.{n}" for n in all_facts)
+    graded = f"named_struct({fields}, 'reason', r, 'grade', case when r is null then {named(grade())} else 'unqualified' end)"
+    verdict = d.let(f"named_struct({', '.join(f'{lit(n)}, {x}' for n, x in all_facts.items())})", "f", d.let(named(gate_reason()), "r", graded))
+    return df.selectExpr("*", f"{verdict} as _verdict").selectExpr("* except (_verdict)", "_verdict.*")
 
 
 def evaluate_sql(source: str, d: Spark, supplier: bool = False) -> str:

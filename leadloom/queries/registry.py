@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import fields, gates, joins
+from . import contacts, fields, gates, joins, reports
 from .common import Registry
 
 REGISTRY = Registry()
-for _module in (fields, gates, joins):
+for _module in (fields, gates, joins, reports, contacts):
     _module.register(REGISTRY)
