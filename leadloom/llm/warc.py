@@ -4,7 +4,9 @@ A crawler that gzips a whole WARC file as one stream makes its records
 unreachable without inflating all before them. ``normalise`` inflates such a
 file once, as a stream, rewrites every record as a gzip member of its own and
 writes a sidecar index (a line per record: offset, length, type, record id,
-digest, URI). Records are then read by offset and length alone.
+digest, URI). Records are then read by offset and length alone. On the way,
+records whose payload another one holds become revisit records; which they are
+is found on digests alone, so no payload is shuffled.
 
 Archives go below a folder that all executors share. A task writes under a name
 of its own attempt and its files count only once Spark has committed the rows
@@ -57,20 +59,29 @@ def record_id(page_id: str | None) -> str:
     return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{page_id}')}>"
 
 
-def make_record(page_id: str | None, url: str | None, payload: bytes, refers_to: str | None = None) -> bytes:
-    """One WARC record, uncompressed; with refers_to, a revisit record without the payload."""
+def make_record(page_id: str | None, url: str | None, payload: bytes) -> bytes:
+    """One WARC response record, uncompressed."""
     uri = re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url or "")
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
-    block = http if refers_to is not None else http + payload
     lines = [
-        "WARC/1.1", f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {record_id(page_id)}", "WARC-Date: 1970-01-01T00:00:00Z",
-        f"WARC-Target-URI: {uri}", f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}",
+        "WARC/1.1", "WARC-Type: response", f"WARC-Record-ID: {record_id(page_id)}", "WARC-Date: 1970-01-01T00:00:00Z", f"WARC-Target-URI: {uri}",
+        f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(http) + len(payload)}",
     ]
     if page_id is not None:
         lines.append(f"X-Page-ID: {page_id}")
-    if refers_to is not None:
-        lines += [f"WARC-Refers-To: {record_id(refers_to)}", f"X-Refers-To-Page-ID: {refers_to}", f"WARC-Profile: {PROFILE}"]
-    return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+    return "\r\n".join(lines).encode() + b"\r\n\r\n" + http + payload + b"\r\n\r\n"
+
+
+def as_revisit(record: bytes, refers_to: str) -> bytes:
+    """A response record as a revisit record: its HTTP headers without the payload, and the id of the record that holds it."""
+    head, _, block = record.partition(b"\r\n\r\n")
+    http = block[: block.index(b"\r\n\r\n") + 4]
+    out = []
+    for line in head.decode().split("\r\n"):
+        name = line.partition(":")[0].lower()
+        out.append("WARC-Type: revisit" if name == "warc-type" else f"Content-Length: {len(http)}" if name == "content-length" else line)
+    out += [f"WARC-Refers-To: {record_id(refers_to)}", f"X-Refers-To-Page-ID: {refers_to}", f"WARC-Profile: {PROFILE}"]
+    return "\r\n".join(out).encode() + b"\r\n\r\n" + http + b"\r\n\r\n"
 
 
 def headers_of(head: bytes) -> dict[str, str]:
@@ -117,47 +128,45 @@ def split_records(parts: Iterator[bytes]) -> Iterator[tuple[dict[str, str], byte
         raise ValueError("the archive ends inside a record")
 
 
-def first_pages(pages: DataFrame, id_col: str, html_col: str) -> DataFrame:
-    """(sha1, first_id) of payloads that several rows share."""
-    digests = pages.select(F.col(id_col), F.sha1(F.coalesce(F.col(html_col), F.lit("")).cast("binary")).alias("sha1"))
-    return digests.groupBy("sha1").agg(F.min(id_col).alias("first_id"), F.count("*").alias("n")).where("n > 1").drop("n")
-
-
 def write_monolithic(pages: DataFrame, out_dir: str, *, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", file_bytes: int = FILE_BYTES) -> DataFrame:
-    """Writes archives that are one gzip stream each; returns (path, n_records) of the files."""
-    src = pages.select(F.col(id_col), F.col(url_col), F.col(html_col)).withColumn("_sha1", F.sha1(F.coalesce(F.col(html_col), F.lit("")).cast("binary")))
-    joined = src.join(first_pages(pages, id_col, html_col), src["_sha1"] == F.col("sha1"), "left")
-    refers = F.when(F.col("first_id").isNotNull() & ~F.col(id_col).eqNullSafe(F.col("first_id")), F.col("first_id"))
-    rows = joined.select(F.col(id_col).cast("string"), F.col(url_col).cast("string"), F.col(html_col), refers.cast("string").alias("refers_to"))
+    """Writes archives that are one gzip stream each; returns (path, page_id, sha1) of the records in them."""
+    rows = pages.select(F.col(id_col).cast("string"), F.col(url_col).cast("string"), F.col(html_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out, done = None, []
+        out, path = None, ""
         for b in batches:
-            for page, url, raw, refers_to in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), b.column(3).to_pylist(), strict=True):
+            done = []
+            for page, url, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), strict=True):
                 if out is None:
                     path = f"{out_dir}/{uuid.uuid4().hex}.warc.gz"
                     system, inner = open_fs(path)
                     system.create_dir(inner.rpartition("/")[0], recursive=True)
-                    out, z, size, n = system.open_output_stream(inner, compression=None), zlib.compressobj(LEVEL, zlib.DEFLATED, 31), 0, 0
-                record = make_record(page, url, raw or b"", refers_to)
+                    out, z, size = system.open_output_stream(inner, compression=None), zlib.compressobj(LEVEL, zlib.DEFLATED, 31), 0
+                record = make_record(page, url, raw or b"")
                 out.write(z.compress(record))
-                size, n = size + len(record), n + 1
+                size += len(record)
+                done.append((path, page, hashlib.sha1(raw or b"").digest()))
                 if size >= file_bytes:
                     out.write(z.flush())
                     out.close()
-                    done.append((path, n))
                     out = None
+            cols = list(zip(*done, strict=True)) or [[]] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.string(), pa.binary()), strict=True)], names=["path", "page_id", "sha1"])
         if out is not None:
             out.write(z.flush())
             out.close()
-            done.append((path, n))
-        yield pa.RecordBatch.from_arrays([pa.array([p for p, _ in done], pa.string()), pa.array([n for _, n in done], pa.int64())], names=["path", "n_records"])
 
-    return cut(rows.mapInArrow(run, "path string, n_records long"))
+    return cut(rows.mapInArrow(run, "path string, page_id string, sha1 binary").withColumn("page_id", F.col("page_id").cast(pages.schema[id_col].dataType)))
 
 
-def normalise_file(path: str, out_dir: str) -> Iterator[tuple]:
-    """Rewrites one archive as a member per record beside a sidecar index; yields the index rows."""
+def find_revisits(written: DataFrame) -> DataFrame:
+    """(path, page_id, refers_to) of the records whose payload a record with a smaller id holds."""
+    first = written.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null").drop("n")
+    return written.join(first, "sha1").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("path", "page_id", "refers_to")
+
+
+def normalise_file(path: str, out_dir: str, revisits: dict[str | None, str]) -> Iterator[tuple]:
+    """Rewrites one archive as a member per record beside a sidecar index; yields the index rows. revisits: page id to the id it refers to."""
     system, inner = open_fs(path)
     target = f"{out_dir}/{uuid.uuid4().hex}.warc.gz"
     to, to_inner = open_fs(target)
@@ -165,24 +174,31 @@ def normalise_file(path: str, out_dir: str) -> Iterator[tuple]:
     with system.open_input_stream(inner, compression=None) as src, to.open_output_stream(to_inner, compression=None) as out, to.open_output_stream(to_inner + ".idx", compression=None) as index:
         at = 0
         for head, record in split_records(inflate(iter(lambda: src.read(1 << 20), b""))):
+            refers_to = revisits.get(head.get("x-page-id"))
+            kind = "revisit" if refers_to is not None else head.get("warc-type")
+            record = record if refers_to is None else as_revisit(record, refers_to)
             z = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
             member = z.compress(record) + z.flush()
             out.write(member)
-            row = (target, at, len(member), head.get("warc-type"), head.get("warc-record-id"), head.get("warc-payload-digest", "").removeprefix("sha1:"), head.get("warc-target-uri"))
+            row = (target, at, len(member), kind, head.get("warc-record-id"), head.get("warc-payload-digest", "").removeprefix("sha1:"), head.get("warc-target-uri"))
             index.write(("\t".join(map(str, row[1:])) + "\n").encode())
             at += len(member)
             yield row
 
 
-def normalise(archives: DataFrame, out_dir: str) -> DataFrame:
-    """Normalises the archives named in the column path; returns the index rows of all sidecars."""
-    files = archives.select("path")
-    many = files.count()
+def normalise(written: DataFrame, out_dir: str) -> DataFrame:
+    """Normalises the archives that hold the written records; returns the index rows of all sidecars.
+
+    A file's revisits come along as a list; it is as long as the file has records at most.
+    """
+    own = find_revisits(written).groupBy("path").agg(F.collect_list(F.struct(F.col("page_id").cast("string"), F.col("refers_to").cast("string"))).alias("revisits"))
+    files = written.select("path").distinct().join(own, "path", "left")
+    many = written.select("path").distinct().count()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for path in b.column(0).to_pylist():
-                rows = list(zip(*normalise_file(path, out_dir), strict=True))
+            for path, revisits in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                rows = list(zip(*normalise_file(path, out_dir, {x["page_id"]: x["refers_to"] for x in revisits or []}), strict=True))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 4], strict=True)], names=["path", "offset", "length", "record_type", "record_id", "payload_digest", "target_uri"])
 
@@ -228,8 +244,7 @@ def read_archives(index: DataFrame) -> DataFrame:
 def op5_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to whole-file archives, normalised, and read back record by record."""
     pages, out = table(spark, sf_dir, "pages"), fresh_path(spark, "warc")
-    archives = write_monolithic(pages, f"{out}/whole")
-    records = read_archives(normalise(archives, f"{out}/members"))
+    records = read_archives(normalise(write_monolithic(pages, f"{out}/whole"), f"{out}/members"))
     kind = pages.schema["page_id"].dataType
     return records.withColumn("page_id", F.col("page_id").cast(kind)).withColumn("refers_to", F.col("refers_to").cast(kind))
 
