@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import contacts, fields, gates, joins, reports
+from . import contacts, fields, gates, joins, reports, streams
 from .common import Registry
 
 REGISTRY = Registry()
-for _module in (fields, gates, joins, reports, contacts):
+for _module in (fields, gates, joins, reports, contacts, streams):
     _module.register(REGISTRY)
