@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: Maps UTF-8 bytes so that split() yields the words [0-9a-z and all of non-ASCII], A-Z in lower case.
 WORD_BYTES = bytes(c if c >= 0x80 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -44,3 +45,42 @@ def cut(df: DataFrame) -> DataFrame:
     if not df.sparkSession.sparkContext.getCheckpointDir():
         df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
     return df.checkpoint()
+
+
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """The names, with underscores in front until no column of df is called so."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
+#: A key counts as hot when it has more than one in this many of all rows, so there are fewer hot keys than this.
+HOT_SHARE = 1000
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
+    """left joined with right, which has one row per key and, in ``weight``, how many of left's ``total`` rows have it.
+
+    Rows of hot keys are joined where they are, by broadcasting the hot keys, of
+    which there are fewer than HOT_SHARE whatever the input; all others meet in a
+    shuffle in which no key has more than one in HOT_SHARE rows. Null keys match
+    each other. how: inner or left; left's columns come first, then right's others.
+    """
+    names = free_names(left, *(f"_k{i}" for i in range(len(key))))
+    right = right.select(*(F.col(k).alias(n) for k, n in zip(key, names, strict=True)), *(c for c in right.columns if c not in key))
+    hot, cold = right.where(F.col(weight) * HOT_SHARE > total), right.where(F.col(weight) * HOT_SHARE <= total)
+
+    def same(a: DataFrame, b: DataFrame):
+        out = F.lit(True)
+        for k, n in zip(key, names, strict=True):
+            out = out & a[k].eqNullSafe(b[n])
+        return out
+
+    there = left.join(F.broadcast(hot), same(left, hot)).drop(*names)
+    keys = hot.select(*names)
+    rest = left.join(F.broadcast(keys), same(left, keys), "left_anti")
+    return there.unionByName(rest.join(cold, same(rest, cold), how).drop(*names))

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table
+from .common import cut, free_names, hot_join, table
 
 MIN_DOCS = 20
 PER_SHARE = 20
@@ -99,28 +99,27 @@ def measure_documents(docs: DataFrame, id_col: str = "doc_id", host_col: str = "
 
 
 def frequent_lines(measured: DataFrame, min_docs: int = MIN_DOCS, per_share: int = PER_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(texts, frequent): the distinct (host, text_key) with their lines, and the (host, line) above the limits."""
-    texts = measured.select("host", "text_key", "lines").dropDuplicates(["host", "text_key"])
+    """(texts, frequent): the distinct (host, text_key) with their lines and copies, and the (host, line, n) above the limits."""
+    texts = cut(measured.groupBy("host", "text_key").agg(F.first("lines").alias("lines"), F.count("*").alias("copies")))
     sizes = texts.groupBy(F.col("host").alias("_host")).agg(F.count("*").alias("n_docs"))
     held = texts.select("host", F.explode("lines").alias("l")).groupBy("host", F.col("l.line").alias("line")).agg(F.count("*").alias("n")).where(F.col("n") > min_docs)
     above = held.join(sizes, held["host"].eqNullSafe(sizes["_host"])).where(F.col("n") * per_share > F.col("n_docs"))
-    return texts, above.select("host", "line")
+    return texts, above.select("host", "line", "n")
 
 
 def line_verdicts(measured: DataFrame, min_docs: int = MIN_DOCS, per_share: int = PER_SHARE) -> DataFrame:
-    """Per (host, text_key) that loses a line: removed_chars and the hashes of the lines to remove."""
+    """Per (host, text_key) that loses a line: its copies, removed_chars and the hashes of the lines to remove."""
     texts, frequent = frequent_lines(measured, min_docs, per_share)
-    lines = texts.select("host", "text_key", F.explode("lines").alias("l")).select("host", "text_key", "l.line", "l.chars")
-    f = frequent.select(F.col("host").alias("_host"), F.col("line").alias("_line"))
-    hit = lines.join(f, lines["host"].eqNullSafe(f["_host"]) & (lines["line"] == f["_line"]))
-    return hit.groupBy("host", "text_key").agg(F.sum("chars").alias("removed_chars"), F.collect_set("line").alias("removed"))
+    total = texts.agg(F.sum(F.size("lines"))).first()[0] or 0
+    lines = texts.select("host", "text_key", "copies", F.explode("lines").alias("l")).select("host", "text_key", "copies", "l.line", "l.chars")
+    hit = hot_join(lines, frequent, ["host", "line"], "n", total)
+    return hit.groupBy("host", "text_key").agg(F.first("copies").alias("copies"), F.sum("chars").alias("removed_chars"), F.collect_set("line").alias("removed"))
 
 
 def judge(docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", min_docs: int = MIN_DOCS, per_share: int = PER_SHARE) -> DataFrame:
     """Per row: the base figures, base_failed, removed_chars, depleted and kept, with host, text_key and the removed lines' hashes."""
     measured = cut(measure_documents(docs, id_col, host_col, text_col))
-    v = line_verdicts(measured, min_docs, per_share).withColumnsRenamed({"host": "_host", "text_key": "_key"})
-    out = measured.drop("lines").join(v, measured["host"].eqNullSafe(v["_host"]) & (measured["text_key"] == v["_key"]), "left").drop("_host", "_key")
+    out = hot_join(measured.drop("lines"), cut(line_verdicts(measured, min_docs, per_share)), ["host", "text_key"], "copies", measured.count(), "left").drop("copies")
     removed = F.coalesce("removed_chars", F.lit(0))
     depleted = 2 * removed > F.col("word_chars")
     return out.withColumn("removed_chars", removed).withColumn("depleted", depleted).withColumn("kept", ~F.col("base_failed") & ~depleted)
@@ -129,9 +128,10 @@ def judge(docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source",
 def clean(docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", length_col: str | None = "n_chars", min_docs: int = MIN_DOCS, per_share: int = PER_SHARE) -> DataFrame:
     """The kept documents with all their columns, their text without the frequent lines."""
     verdicts = judge(docs, id_col=id_col, host_col=host_col, text_col=text_col, min_docs=min_docs, per_share=per_share)
-    v = verdicts.groupBy(F.col("host").alias("_host"), F.col("text_key").alias("_key")).agg(F.first("kept").alias("_kept"), F.first("removed").alias("_removed"))
-    key = F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit(""))))
-    kept = docs.join(v, F.col(host_col).cast("string").eqNullSafe(v["_host"]) & (key == v["_key"])).where("_kept").drop("_host", "_key", "_kept")
+    host, key, copies, kept_, removed = free_names(docs, "_host", "_key", "_copies", "_kept", "_removed")
+    v = cut(verdicts.groupBy(F.col("host").alias(host), F.col("text_key").alias(key)).agg(F.count("*").alias(copies), F.first("kept").alias(kept_), F.first("removed").alias(removed)).where(kept_))
+    keyed = docs.withColumn(host, F.col(host_col).cast("string")).withColumn(key, F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))))
+    kept = hot_join(keyed, v, [host, key], copies, docs.count()).drop(host, key, copies, kept_)
     at, length_at = docs.columns.index(text_col), docs.columns.index(length_col) if length_col in docs.columns else None
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
