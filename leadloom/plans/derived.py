@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.stages import stage
+
 _K = "cast(k as string)"
 
 
@@ -100,11 +102,26 @@ from {events}
 TABLES = {"leads": LEADS, "signals": SIGNALS, "contact_pages": CONTACT_PAGES, "attempts": ATTEMPTS, "queue": QUEUE}
 
 
+#: Derived tables that this driver has written: (application, folder, name) -> staged frame.
+_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A derived table over the Parquet tables in sf_dir."""
+    """A derived table over the Parquet tables in sf_dir.
+
+    Leads are the table that most steps start from; they are written once as a
+    stage, so that the steps' expressions read columns and not the rules that
+    made them.
+    """
     text = TABLES[name]
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key in _STAGED:
+        return _STAGED[key]
     used = set(re.findall(r"\{(\w+)\}", text))
-    return spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    df = spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
+    if name == "leads":
+        df = _STAGED[key] = stage(df, name)
+    return df
 
 
 def sql(name: str) -> str:

@@ -133,10 +133,10 @@ K06 = f"select job_id, company, grade from (select *, row_number() over (partiti
 def k07_persons(spark, d):
     """Person rows: those with a mail, phone or profile; confidence from points, the tier by the profile."""
     rows = leads(spark, d).where(f"{texts.filled('primary_email')} or {texts.filled('primary_phone')} or {texts.filled('social_url')}")
-    return rows.selectExpr("lead_id", "primary_email", "round(least(1.0, greatest(0.0, coalesce(confidence_score, 0) / 100.0)), 4) as confidence", f"case when {texts.filled('social_url')} then 'primary_api' else 'fallback_search' end as tier")
+    return rows.selectExpr("lead_id", "primary_email", "round(least(1, greatest(0, cast(coalesce(confidence_score, 0) as double) / 100)), 4) as confidence", f"case when {texts.filled('social_url')} then 'primary_api' else 'fallback_search' end as tier")
 
 
-K07 = f"select lead_id, primary_email, round(least(1.0, greatest(0.0, coalesce(confidence_score, 0) / 100.0)), 4) as confidence, case when coalesce(social_url, '') <> '' then 'primary_api' else 'fallback_search' end as tier from {L} where coalesce(primary_email, '') <> '' or coalesce(primary_phone, '') <> '' or coalesce(social_url, '') <> ''"
+K07 = f"select lead_id, primary_email, round(least(1, greatest(0, cast(coalesce(confidence_score, 0) as double) / 100)), 4) as confidence, case when coalesce(social_url, '') <> '' then 'primary_api' else 'fallback_search' end as tier from {L} where coalesce(primary_email, '') <> '' or coalesce(primary_phone, '') <> '' or coalesce(social_url, '') <> ''"
 
 
 def k09_dead_letters(spark, d):
