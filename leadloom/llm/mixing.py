@@ -16,8 +16,8 @@ The prefix sums are distributed: q / (1 + q) is dealt into bins, the bins' sums
 are added up per source, and documents are only ordered inside their bin, so a
 source with a third of all rows spreads over as many groups as there are bins.
 
-Defined cases: a null text has no words; such documents are never taken. A null
-source is a source of its own, the last. Every row is a document of its own,
+Defined cases: a null text has no words; such documents are never taken, and a
+source without words has the target 0. A null source is a source of its own, the last. Every row is a document of its own,
 repeated rows included. U is a digest of the id and ``seed``: reruns agree, and
 ties are ordered by id and size. An empty table gives an empty result.
 """
@@ -31,6 +31,8 @@ from .common import cut, table
 
 #: Bins of the ranking per source.
 BINS = 4096
+#: Up to so many sources their plan is broadcast; more of them meet their documents in a shuffle.
+BROADCAST_SOURCES = 100_000
 
 
 def word_count(text: Column) -> Column:
@@ -79,7 +81,9 @@ def pareto_mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "so
     sources = cut(water_fill(weights(sized.groupBy("source").agg(F.sum("size").alias("source_size"))), cap))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).cast("long")
     rest = F.col("target") - F.col("whole") * F.col("source_size")
-    plan = sources.withColumn("whole", whole).withColumn("gap", F.greatest(rest, F.lit(0.0))).withColumn("odds", F.col("gap") / (F.col("source_size") - F.col("gap")))
+    few = sources.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    plan = sources.withColumn("whole", whole).withColumn("gap", F.greatest(rest, F.lit(0.0))).withColumn("odds", F.coalesce(F.try_divide(F.col("gap"), F.col("source_size") - F.col("gap")), F.lit(0.0)))
+    plan = F.broadcast(plan) if few else plan
     u = uniform(F.col("id"), seed)
     odds = F.col("odds") * F.col("prefer")
     # q / (1 + q) = U / (U + odds * (1 - U)) keeps the order of q and lies in (0, 1)
