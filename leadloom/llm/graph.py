@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, hot_join
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(edges: DataFrame, n: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"))
-    return both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+    least = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"), F.count("*").alias("degree"))
+    return hot_join(both, least, ["u"], "degree", 2 * n).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+def _small_star(edges: DataFrame, n: int) -> DataFrame:
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("degree"))
+    moved = hot_join(edges, least, ["u"], "degree", n).where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
@@ -33,5 +33,5 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if mark == before or not mark[0]:
             break
-        before, now = mark, cut(_small_star(_large_star(now)))
+        before, now = mark, cut(_small_star(cut(_large_star(now, mark[0])), mark[0]))
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table, words
+from .common import cut, hot_join, table, words
 from .graph import components
 
 WIDTH = 5
@@ -115,9 +115,10 @@ def sign(docs: DataFrame, id_col: str, text_col: str, width: int, bands: int, ro
 
 def candidate_edges(texts: DataFrame) -> DataFrame:
     """(u, v): each text and the smallest of every bucket that it shares with another."""
+    total = texts.agg(F.sum(F.size("bands"))).first()[0] or 0
     buckets = texts.select(F.explode("bands").alias("bucket"), "key")
-    least = buckets.groupBy("bucket").agg(F.min("key").alias("v"), F.count("*").alias("n")).where("n > 1").drop("n")
-    return buckets.join(least, "bucket").where("key != v").select(F.col("key").alias("u"), "v").distinct()
+    least = buckets.groupBy("bucket").agg(F.min("key").alias("v"), F.count("*").alias("n")).where("n > 1")
+    return hot_join(buckets, least, ["bucket"], "n", total).where("key != v").select(F.col("key").alias("u"), "v").distinct()
 
 
 def linked(sets: list[np.ndarray], similarity: float, chunk: int = 4096) -> np.ndarray:
@@ -177,8 +178,9 @@ def verified_links(docs: DataFrame, texts: DataFrame, members: DataFrame, id_col
     links inside the block pair, root is the smallest text reached there.
     """
     named = members.join(texts.select("key", "bytes", "first_id"), members["node"] == texts["key"]).select("key", F.col("root").alias("part"), "bytes", "first_id")
-    sizes = named.groupBy(F.col("part").alias("_part")).agg(F.greatest(F.ceil(F.count("*") / BLOCK_TEXTS), F.ceil(F.sum("bytes") / BLOCK_BYTES), F.lit(1)).cast("int").alias("blocks"))
-    placed = named.join(sizes, named["part"] == sizes["_part"]).select("key", "part", "first_id", "blocks", F.expr("cast(pmod(xxhash64(key), blocks) as int)").alias("block"))
+    n = F.count("*")
+    sizes = named.groupBy("part").agg(n.alias("n"), F.greatest(F.ceil(n / BLOCK_TEXTS), F.ceil(F.sum("bytes") / BLOCK_BYTES), F.lit(1)).cast("int").alias("blocks"))
+    placed = hot_join(named, sizes, ["part"], "n", members.count()).select("key", "part", "first_id", "blocks", F.expr("cast(pmod(xxhash64(key), blocks) as int)").alias("block"))
     source = docs.select(F.col(id_col).alias("_id"), text_key(text_col).alias("_key"), F.col(text_col).alias("text"))
     # one row of each text: by id and text, so that many copies of a text don't meet in one task
     found = placed.join(source, (placed["key"] == source["_key"]) & placed["first_id"].eqNullSafe(source["_id"]))
@@ -216,19 +218,20 @@ def similarity_classes(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     """
     bands, rows = bands_for(similarity, recall)
     signed = cut(sign(docs, id_col, text_col, width, bands, rows))
-    texts = cut(signed.where("key is not null").groupBy("key").agg(F.min("id").alias("first_id"), F.first("bytes").alias("bytes"), F.first("bands").alias("bands")))
+    texts = cut(signed.where("key is not null").groupBy("key").agg(F.count("*").alias("copies"), F.min("id").alias("first_id"), F.first("bytes").alias("bytes"), F.first("bands").alias("bands")))
     members = cut(components(candidate_edges(texts)))
     checked = cut(verified_links(docs, texts, members, id_col, text_col, width, similarity))
     whole = checked.where("blocks = 1").select("key", "root")
     split = components(checked.where("blocks > 1").select(F.col("key").alias("u"), F.col("root").alias("v"))).select(F.col("node").alias("key"), "root")
     links = checked.groupBy("key").agg(F.sum("links").alias("n_links"))
     rooted = links.join(whole.unionByName(split), "key", "left").select("key", "n_links", F.coalesce("root", "key").alias("root"))
-    known = rooted.join(texts.select("key", "first_id"), "key")
-    classes = known.groupBy("root").agg(F.min("first_id").alias("class_id"))
-    linked_ = known.join(classes, "root").select("key", "n_links", "class_id")
-    per_text = texts.select("key", "first_id").join(linked_, "key", "left").select(F.col("key").alias("_key"), F.col("first_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.coalesce("class_id", "first_id").alias("class_id"))
-    out = signed.select("id", "key").join(per_text, F.col("key") == F.col("_key"), "left")
-    return out.select(F.col("id").alias(id_col), "key", F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("copy_id")).alias("copy_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.when(F.col("key").isNull(), F.col("id")).otherwise(F.col("class_id")).alias("class_id"))
+    known = cut(rooted.join(texts.select("key", "first_id"), "key"))
+    classes = known.groupBy("root").agg(F.min("first_id").alias("class_id"), F.count("*").alias("n"))
+    linked_ = hot_join(known, classes, ["root"], "n", members.count()).select("key", "n_links", "class_id")
+    per_text = texts.select("key", "first_id", "copies").join(linked_, "key", "left").select("key", "copies", F.col("first_id").alias("copy_id"), F.coalesce("n_links", F.lit(0)).alias("links"), F.coalesce("class_id", "first_id").alias("class"))
+    out = hot_join(signed.select("id", "key"), per_text, ["key"], "copies", signed.count(), "left")
+    alone = F.col("key").isNull()
+    return out.select(F.col("id").alias(id_col), "key", F.when(alone, F.col("id")).otherwise(F.col("copy_id")).alias("copy_id"), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.when(alone, F.col("id")).otherwise(F.col("class")).alias("class_id"))
 
 
 def keep_one(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, similarity: float = SIMILARITY, recall: float = RECALL) -> DataFrame:
