@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, table, words
+from .common import cut, free_names, table, words
 
 WIDTH = 13
 #: Largest benchmark, in characters, whose windows are broadcast.
@@ -145,7 +145,7 @@ def _locator(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str
     """(docs, find): find(row batch) yields (text, words, stretches, item names) of each row.
 
     Below the bound the broadcast index finds them; above it the documents come
-    with two more columns, _places and _items, from a join on window digests.
+    with two more columns at the end, the places and the items, from a join on window digests.
     """
     at, index = docs.columns.index(text_col), load_index(benchmark, item_col, item_text_col, width, broadcast_chars)
     if index is not None:
@@ -173,7 +173,7 @@ def _locator(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str
 
 
 def _hits_by_join(docs: DataFrame, text_col: str, benchmark: DataFrame, width: int) -> DataFrame:
-    """The documents with _places (word positions) and _items of the windows that they share with a benchmark of any size.
+    """The documents with the places (word positions) and the items of the windows that they share with a benchmark of any size.
 
     Windows of both sides meet by a 128-bit digest of their words. Equal texts
     are looked up once, windows of the benchmark are one row per window and item.
@@ -201,11 +201,12 @@ def _hits_by_join(docs: DataFrame, text_col: str, benchmark: DataFrame, width: i
                     digests = [hashlib.blake2b(b" ".join(ws[i : i + n]), digest_size=16).digest() for i in at]
                     yield pa.RecordBatch.from_arrays([pa.array([k] * len(digests), pa.binary()), pa.array(list(at), pa.int32()), pa.array(digests, pa.binary())], names=["doc", "at", "digest"])
 
+    doc, places, items = free_names(docs, "_doc", "_places", "_items")
     key = F.unhex(F.md5(F.col(text_col)))
     texts = docs.select(key.alias("_key"), F.col(text_col)).where("_key is not null").dropDuplicates(["_key"])
     hits = texts.mapInArrow(windows_in, "doc binary, at int, digest binary").join(targets, "digest")
-    per_text = hits.groupBy(F.col("doc").alias("_doc")).agg(F.array_sort(F.collect_set(F.struct("at", (F.col("at") + F.col("size")).alias("to")))).alias("_places"), F.array_sort(F.collect_set("item")).alias("_items"))
-    return docs.join(per_text, key == F.col("_doc"), "left").drop("_doc")
+    per_text = hits.groupBy(F.col("doc").alias(doc)).agg(F.array_sort(F.collect_set(F.struct("at", (F.col("at") + F.col("size")).alias("to")))).alias(places), F.array_sort(F.collect_set("item")).alias(items))
+    return docs.join(per_text, key == F.col(doc), "left").drop(doc)
 
 
 def scan_documents(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:

@@ -166,7 +166,7 @@ def count_edited(text: str | None, edits: list[dict] | None, tokens: Counter) ->
 def with_edits(docs: DataFrame, edits: DataFrame, *, id_col: str = "doc_id", seq_col: str = "seq") -> DataFrame:
     """The documents with the column edits, gathered in order of seq from a table (id, seq, at, remove, insert)."""
     own = edits.groupBy(F.col(id_col).alias("_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct(F.col(seq_col).alias("seq"), "at", "remove", "insert"))), lambda e: F.struct(e["at"].cast("int").alias("at"), e["remove"].cast("int").alias("remove"), e["insert"].alias("insert"))).alias("edits"))
-    return docs.join(own, docs[id_col] == own["_id"], "left").drop("_id")
+    return docs.join(own, docs[id_col] == own["_id"], "left").drop(own["_id"])
 
 
 def edited_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits", vocabulary: str = VOCABULARY) -> DataFrame:
