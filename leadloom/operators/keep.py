@@ -15,7 +15,7 @@ def keep_first(df: DataFrame, key: Sequence[str | Column], order: Sequence[Colum
 
 def keep_top(df: DataFrame, key: Sequence[str | Column], order: Sequence[Column], n: int, rank: str = "rank") -> DataFrame:
     """The first n rows of each key, with their rank."""
-    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where(F.col(rank) <= n)
+    return df.withColumn(rank, F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where(F.col(rank) <= n).withColumn(rank, F.col(rank).cast("long"))
 
 
 def merge_first_wins(target: DataFrame, new: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:

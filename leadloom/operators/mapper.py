@@ -6,7 +6,6 @@ from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
 
 
 def map_rows(df: DataFrame, fn: Callable[[pd.Series], object], column: str, kind: str = "string") -> DataFrame:
@@ -24,4 +23,5 @@ def map_rows(df: DataFrame, fn: Callable[[pd.Series], object], column: str, kind
                     errors.append(f"{type(e).__name__}: {e}")
             yield f.assign(**{column: values, "error": errors})
 
-    return df.mapInPandas(run, StructType(df.schema.fields).add(column, kind).add("error", "string"))
+    own = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+    return df.mapInPandas(run, f"{own}, `{column}` {kind}, error string")

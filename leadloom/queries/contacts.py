@@ -80,12 +80,12 @@ def _x21_sql() -> str:
 
 def register(r: Registry) -> None:
     r.projection("x14_x15_text_contacts", "contact_pages", ["page_id"], lambda d: {"emails": d.join(contacts.emails_plain(d, "html"), ","), "hidden": d.join(contacts.emails_plain(d, contacts.deobfuscate(d, "html")), ","), "phones": d.join(contacts.phones_plain(d, contacts.visible_text(d, "html")), ",")})
-    r.projection("p42_visible_text", "contact_pages", ["page_id"], lambda d: {"n": f"length({contacts.visible_text(d, 'html')})", "digest": f"md5({contacts.visible_text(d, 'html')})"})
+    r.projection("p42_visible_text", "contact_pages", ["page_id"], lambda d: {"n": f"cast(length({contacts.visible_text(d, 'html')}) as bigint)", "digest": f"md5({contacts.visible_text(d, 'html')})"})
     r.projection("x18_p30_x22_links", "leads", ["lead_id"], lambda d: {"by_social": contacts.classify_link(d, "coalesce(social_url, '')"), "by_link": contacts.classify_link(d, "coalesce(link, '')"), "profile": contacts.profile_url(d, "coalesce(social_url, '')")})
     r.add("x16_x17_page_contacts", lambda s, d: contacts.page_contacts(pages(s, d), SPARK).select("page_id", "type", "value", "source"), f"select page_id, type, value, source from ({_CONTACTS})")
-    r.add("w08_ranked_contacts", lambda s, d: contacts.ranked_contacts(contacts.page_contacts(pages(s, d), SPARK)).select("page_id", "type", "value", "rank"), f"select page_id, type, value, rank from (select *, row_number() over (partition by page_id, type order by {_FREE}, priority desc, value) as rank from ({_CONTACTS})) where rank <= 8")
-    r.add("x20_x19_w04_page_channels", lambda s, d: contacts.page_channels(pages(s, d), SPARK).select("page_id", "type", "value", "source", "confidence", "rank"), _channels_sql())
-    r.add("j17_u05_contact_links", lambda s, d: contacts.contact_links(pages(s, d), SPARK), _links_sql())
+    r.add("w08_ranked_contacts", lambda s, d: contacts.ranked_contacts(contacts.page_contacts(pages(s, d), SPARK)).selectExpr("page_id", "type", "value", "cast(rank as bigint) as rank"), f"select page_id, type, value, rank from (select *, row_number() over (partition by page_id, type order by {_FREE}, priority desc, value) as rank from ({_CONTACTS})) where rank <= 8")
+    r.add("x20_x19_w04_page_channels", lambda s, d: contacts.page_channels(pages(s, d), SPARK).selectExpr("page_id", "type", "value", "source", "confidence", "cast(rank as bigint) as rank"), _channels_sql())
+    r.add("j17_u05_contact_links", lambda s, d: contacts.contact_links(pages(s, d), SPARK).selectExpr("page_id", "cast(pos as bigint) as pos", "link"), _links_sql())
     r.add("f24_email_lists", f24_lists, F24)
     r.add("x21_channels", x21_channels, _x21_sql())
     from ..functions.emails import accepted, email_reason

@@ -74,7 +74,7 @@ def register(r: Registry) -> None:
     r.projection("p16_p17_search_category", "contact_pages", ["page_id"], _search)
     r.projection("p27_f12_f13_f15_f16_f17_f25_signals", "signals", ["signal_id"], _signal)
     r.projection("f01_f02_f03_junk", "leads", key, lambda d: {"junk_domain": predicates.junk_domain(d, "domain"), "aggregator": predicates.aggregator_domain(d, "domain"), "junk_name": predicates.junk_name(d, "company_name")})
-    r.projection("f04_f06_entity_type", "leads", key, lambda d: {"buyer_mode": predicates.entity_type(d, False, "coalesce(snippet, '')"), "supplier_mode": predicates.entity_type(d, True, "coalesce(snippet, '')"), "seller": predicates.seller_of_category(d, "company_name", "category"), "n_words": d.size(predicates.category_words(d, "category"))})
+    r.projection("f04_f06_entity_type", "leads", key, lambda d: {"buyer_mode": predicates.entity_type(d, False, "coalesce(snippet, '')"), "supplier_mode": predicates.entity_type(d, True, "coalesce(snippet, '')"), "seller": predicates.seller_of_category(d, "company_name", "category"), "n_words": f"cast({d.size(predicates.category_words(d, 'category'))} as bigint)"})
     r.projection("f07_country_match", "leads", key, lambda d: {"level": predicates.country_match(d, "coalesce(snippet, '')")})
     r.projection("f08_business_blacklist", "leads", key, lambda d: {"by_category": predicates.business_blacklisted(d, "company_name", "category"), "always": predicates.business_blacklisted(d, "company_name", "''")})
     r.projection("f09_f10_closed_negative", "leads", key, lambda d: {"closed": predicates.closed_business(d, "snippet"), "negative": predicates.negative_hit(d, NEGATIVES)})

@@ -137,7 +137,7 @@ def j10_a09_policies(spark, d):
     return by_kind.select("country", "category", "kind", "samples", F.round(joins.channel_weight(F.col("delta"), F.col("kind") == "organic"), 6).alias("weight"))
 
 
-J10 = f"select country, category, kind, sum(samples) as samples, round(case when kind = 'organic' then 0.0 else least(2.0, greatest(0.0, 1 + 3 * sum(cast(delta as double)))) end, 6) as weight from (select distinct country, category from {L}) j join (values {POLICIES}) p(p_country, p_category, kind, delta, samples) on (p_country is null or p_country = country) and (p_category is null or p_category = category) group by country, category, kind"
+J10 = f"select country, category, kind, cast(sum(samples) as bigint) as samples, round(case when kind = 'organic' then 0.0 else least(2.0, greatest(0.0, 1 + 3 * sum(cast(delta as double)))) end, 6) as weight from (select distinct country, category from {L}) j join (values {POLICIES}) p(p_country, p_category, kind, delta, samples) on (p_country is null or p_country = country) and (p_category is null or p_category = category) group by country, category, kind"
 
 
 def j11_s04_seeds(spark, d):
@@ -209,7 +209,7 @@ def j05_y04_incremental(spark, d):
     return fresh.agg(F.count("*").alias("written"), F.sum("company_id").alias("checksum")).crossJoin(skipped)
 
 
-J05 = "with n as (select distinct l_partkey as c from lineitem where l_orderkey % 2 = 1 and l_quantity > 45), o as (select distinct l_partkey as c from lineitem where l_orderkey % 2 = 0 and l_quantity > 45) select count(*) filter (where o.c is null) as written, sum(n.c) filter (where o.c is null) as checksum, count(o.c) as incremental_skipped from n left join o on n.c = o.c"
+J05 = "with n as (select distinct l_partkey as c from lineitem where l_orderkey % 2 = 1 and l_quantity > 45), o as (select distinct l_partkey as c from lineitem where l_orderkey % 2 = 0 and l_quantity > 45) select count(*) filter (where o.c is null) as written, cast(sum(n.c) filter (where o.c is null) as bigint) as checksum, count(o.c) as incremental_skipped from n left join o on n.c = o.c"
 
 NOW = "timestamp_ntz '2024-02-05 00:00:00'"
 
@@ -284,7 +284,7 @@ def t09_tiers(spark, d):
     return joins.tier_stop(counts, "job_id", "tier", "n", 150)
 
 
-T09 = f"select *, rows_before < 150 as runs from (select job_id, tier, n, coalesce(sum(n) over (partition by job_id order by tier rows between unbounded preceding and 1 preceding), 0) as rows_before from (select job_id, page as tier, count(*) as n from {S} group by job_id, page))"
+T09 = f"select *, rows_before < 150 as runs from (select job_id, tier, n, cast(coalesce(sum(n) over (partition by job_id order by tier rows between unbounded preceding and 1 preceding), 0) as bigint) as rows_before from (select job_id, page as tier, count(*) as n from {S} group by job_id, page))"
 
 
 def t11_waterfall(spark, d):
@@ -294,7 +294,7 @@ def t11_waterfall(spark, d):
 T11 = f"""
 with s as (select *, coalesce(sum(cost) over w, 0) as spent, coalesce(bool_or(contacts > 0) over w, false) as hb from {view('attempts')} where available
            window w as (partition by key order by ts, attempt_id rows between unbounded preceding and 1 preceding))
-select key, bool_or(contacts > 0) as hit, max(case when contacts > 0 then layer end) as via, sum(cost) as cost, count(*) as tried from s where not hb and spent + cost <= 12 group by key
+select key, bool_or(contacts > 0) as hit, max(case when contacts > 0 then layer end) as via, cast(sum(cost) as bigint) as cost, count(*) as tried from s where not hb and spent + cost <= 12 group by key
 """
 LAYERS = ["home", "bfs", "llm", "vision", "serper"]
 
@@ -336,7 +336,7 @@ def u04_u07_a12_sets(spark, d):
     part = table(spark, d, "part")
     own = part.groupBy("p_type").agg(F.array_sort(F.collect_set(F.when(F.col("p_size") < 25, F.lower("p_brand")))).alias("old"), F.array_sort(F.collect_set(F.when(F.col("p_size") >= 20, F.upper("p_brand")))).alias("new"))
     merged = F.concat("old", F.filter("new", lambda x: ~F.array_contains("old", F.lower(x))))
-    return own.select("p_type", F.size("old").alias("n_old"), F.array_join(merged, ",").alias("merged"))
+    return own.select("p_type", F.size("old").cast("long").alias("n_old"), F.array_join(merged, ",").alias("merged"))
 
 
 U04 = "with o as (select p_type, list_sort(list_distinct(list(lower(p_brand)) filter (where p_size < 25))) as old, list_sort(list_distinct(list(upper(p_brand)) filter (where p_size >= 20))) as new from part group by p_type) select p_type, len(old) as n_old, array_to_string(list_concat(old, list_filter(new, lambda x: not list_contains(old, lower(x)))), ',') as merged from o"

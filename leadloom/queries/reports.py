@@ -47,7 +47,7 @@ def a07_a11_totals(spark, d):
 A07 = """
 with s as (select *, coalesce(sum(cost) over w, 0) as spent, coalesce(bool_or(contacts > 0) over w, false) as hb from {A} where available window w as (partition by key order by ts, attempt_id rows between unbounded preceding and 1 preceding)),
 k as (select key, bool_or(contacts > 0) as hit, sum(cost) as cost from s where not hb and spent + cost <= 12 group by key)
-select cast(key % 5 as int) as job_id, count(*) as n, count(*) filter (where hit) as filled, round(count(*) filter (where hit) / count(*), 3) as rate, cast(round(100 * count(*) filter (where hit) / count(*), 0) as int) as percent, sum(cost) as cost, round(sum(cost) / count(*), 2) as mean_cost from k group by all
+select cast(key % 5 as int) as job_id, count(*) as n, count(*) filter (where hit) as filled, round(count(*) filter (where hit) / count(*), 3) as rate, cast(round(100 * count(*) filter (where hit) / count(*), 0) as int) as percent, cast(sum(cost) as bigint) as cost, round(sum(cost) / count(*), 2) as mean_cost from k group by all
 """.replace("{A}", A)
 
 
@@ -55,7 +55,7 @@ def a08_t07_adapters(spark, d):
     """Adapters in order of their expected cost of a hit: cost over the hit rate, which counts as 0.05 at least."""
     stat = attempts(spark, d).groupBy("layer").agg(F.count("*").alias("attempts"), F.count_if(F.col("contacts") > 0).alias("hits"), F.max("cost").alias("cost"))
     rated = stat.withColumn("rate", F.round(F.col("hits") / F.col("attempts"), 4)).withColumn("expected", F.round(F.col("cost") / F.greatest(F.col("hits") / F.col("attempts"), F.lit(0.05)), 4))
-    return rated.withColumn("rank", F.expr("row_number() over (order by expected, layer)"))
+    return rated.withColumn("rank", F.expr("cast(row_number() over (order by expected, layer) as bigint)"))
 
 
 A08 = f"select *, row_number() over (order by expected, layer) as rank from (select layer, attempts, hits, cost, round(hits / attempts, 4) as rate, round(cost / greatest(hits / attempts, 0.05), 4) as expected from (select layer, count(*) as attempts, count(*) filter (where contacts > 0) as hits, max(cost) as cost from {A} group by layer))"
@@ -88,7 +88,7 @@ A15 = f"with b as (select key, layer || '@' || cast(attempt_id % 3 as string) as
 
 def a17_a18_taxonomy(spark, d):
     """Per kind the number of brands, and whether it is sparse (fewer than five below the size)."""
-    return table(spark, d, "part").groupBy("p_type").agg(F.countDistinct("p_brand").alias("brands"), F.size(F.collect_set(F.when(F.col("p_size") == 50, F.col("p_brand")))).alias("large")).withColumn("sparse", F.col("large") < 5)
+    return table(spark, d, "part").groupBy("p_type").agg(F.countDistinct("p_brand").alias("brands"), F.size(F.collect_set(F.when(F.col("p_size") == 50, F.col("p_brand")))).cast("long").alias("large")).withColumn("sparse", F.col("large") < 5)
 
 
 A17 = "select p_type, count(distinct p_brand) as brands, count(distinct p_brand) filter (where p_size = 50) as large, count(distinct p_brand) filter (where p_size = 50) < 5 as sparse from part group by p_type"
