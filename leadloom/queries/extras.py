@@ -100,7 +100,7 @@ X25 = f"select lead_id, coalesce(nullif(trim(entity_role), ''), 'Service') as en
 
 def g02_mapper(spark, d):
     """A row function that fails on some rows: the rows stay, with the error."""
-    return map_rows(table(spark, d, "part").select("p_partkey", "p_size"), lambda r: 100 // (r["p_size"] % 10), "value", "long").selectExpr("p_partkey", "value", "error is not null as failed")
+    return map_rows(table(spark, d, "part").select("p_partkey", "p_size"), lambda r: 100 // int(r["p_size"] % 10), "value", "long").selectExpr("p_partkey", "value", "error is not null as failed")
 
 
 G02 = "select p_partkey, case when p_size % 10 <> 0 then cast(100 // (p_size % 10) as bigint) end as value, p_size % 10 = 0 as failed from part"
