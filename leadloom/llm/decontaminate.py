@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, free_names, table, words
+from .common import cut, free_names, pieces_of, table, words
 
 WIDTH = 13
 #: Largest benchmark, in characters, whose windows are broadcast.
@@ -180,7 +180,7 @@ def _hits_by_join(docs: DataFrame, text_col: str, benchmark: DataFrame, width: i
     """
 
     def windows_of(batches):
-        for b in batches:
+        for b in pieces_of(batches):
             ids, size, digest = [], [], []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 for w in item_windows(words((t or "").encode()), width):
@@ -193,7 +193,7 @@ def _hits_by_join(docs: DataFrame, text_col: str, benchmark: DataFrame, width: i
     sizes = sorted(r[0] for r in targets.select("size").distinct().collect())  # at most `width` values
 
     def windows_in(batches):
-        for b in batches:
+        for b in pieces_of(batches):
             for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
                 ws = words((t or "").encode())
                 for n in sizes:
@@ -218,7 +218,7 @@ def scan_documents(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_
     src, find = _locator(docs.select(F.col(id_col), F.col(text_col)), benchmark, text_col, item_col, item_text_col, width, broadcast_chars)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces_of(batches):
             out = []
             for text, ws, stretches, names in find(b):
                 spans = char_spans(text, stretches) if len(stretches) else []
@@ -238,7 +238,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "tex
     n, at, length_at = len(docs.columns), docs.columns.index(text_col), docs.columns.index(length_col) if length_col in docs.columns else None
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces_of(batches):
             keep, texts, lengths = [], [], b.column(length_at).to_pylist() if length_at is not None else None
             for i, (text, ws, stretches, names) in enumerate(find(b)):
                 bad = verdict(len(ws), stretches, names)[4]

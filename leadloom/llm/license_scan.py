@@ -27,7 +27,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table, words
+from .common import pieces_of, table, words
 
 #: Phrases that are counted exactly, and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
@@ -152,7 +152,7 @@ def scan_licenses(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         search = finder(notices, chars_per_error)
-        for b in batches:
+        for b in pieces_of(batches):
             rows = [scan_text(raw, search, phrases) for raw in b.column(1).cast(pa.binary()).to_pylist()]
             cols = list(zip(*rows, strict=True)) or [[]] * len(FIELDS)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, (_, t) in zip(cols, FIELDS, strict=True))], names=[id_col, *(n for n, _ in FIELDS)])

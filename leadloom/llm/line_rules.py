@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, free_names, hot_join, table
+from .common import cut, free_names, hot_join, pieces_of, table
 
 MIN_DOCS = 20
 PER_SHARE = 20
@@ -90,7 +90,7 @@ def measure_documents(docs: DataFrame, id_col: str = "doc_id", host_col: str = "
     src = docs.select(F.col(id_col), F.col(host_col).cast("string").alias("host"), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))).alias("text_key"), F.col(text_col))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces_of(batches):
             rows = [measure(raw) for raw in b.column(3).cast(pa.binary()).to_pylist()]
             cols = list(zip(*rows, strict=True)) or [[]] * len(_FIELDS)
             yield pa.RecordBatch.from_arrays([*b.columns[:3], *(pa.array(c, t) for c, (_, t) in zip(cols, _FIELDS, strict=True))], names=[id_col, "host", "text_key", *(n for n, _ in _FIELDS)])
@@ -135,7 +135,7 @@ def clean(docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source",
     at, length_at = docs.columns.index(text_col), docs.columns.index(length_col) if length_col in docs.columns else None
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces_of(batches):
             texts, lengths = b.column(at).to_pylist(), b.column(length_at).to_pylist() if length_at is not None else None
             for i, gone in enumerate(b.column(b.num_columns - 1).to_pylist()):
                 if gone:

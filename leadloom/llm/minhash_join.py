@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, hot_join, table, words
+from .common import cut, hot_join, pieces_of, table, words
 from .graph import components
 
 WIDTH = 5
@@ -106,7 +106,7 @@ def sign(docs: DataFrame, id_col: str, text_col: str, width: int, bands: int, ro
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, signer = WordHashes(), Signer(bands, rows)
-        for b in batches:
+        for b in pieces_of(batches):
             keys = [signer.keys(shingles(raw or b"", hashes, width)) for raw in b.column(3).cast(pa.binary()).to_pylist()]
             yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(keys, pa.list_(pa.int64()))], names=["id", "key", "bytes", "bands"])
 
@@ -195,7 +195,7 @@ def verified_links(docs: DataFrame, texts: DataFrame, members: DataFrame, id_col
             keys, links, root = _verify_group(rows, at[1] == at[2], width, similarity, hashes)
             return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(links, pa.int64()), pa.array(root, pa.binary()), pa.array([at[3]] * len(keys), pa.int32())], names=["key", "links", "root", "blocks"])
 
-        for b in batches:
+        for b in pieces_of(batches):
             cols = [b.column(k).to_pylist() for k in range(6)]
             for part, i, j, block, blocks, key, raw in zip(*cols, b.column(6).cast(pa.binary()).to_pylist(), strict=True):
                 if (part, i, j, blocks) != at:

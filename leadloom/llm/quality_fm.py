@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import pieces_of, table
 from .line_rules import repeat_words
 
 #: Bound on the labelled rows that a model is fitted on.
@@ -131,7 +131,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in pieces_of(batches):
         rows = [features(t, n) for t, n in zip(b.column(1).cast(pa.binary()).to_pylist(), b.column(2).to_pylist(), strict=True)]
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), pa.array([i for i, _ in rows], pa.list_(pa.int32())), pa.array([v for _, v in rows], pa.list_(pa.float32()))], names=["key", "label", "idx", "val"])
 
@@ -162,7 +162,7 @@ def score(docs: DataFrame, model: FactorisationMachine, *, id_col: str = "doc_id
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces_of(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(_probability(shared.value, b.column(1), b.column(2)))], names=[id_col, "score"])
 
     out = src.mapInArrow(run, f"`{id_col}` {src.schema[0].dataType.simpleString()}, score double")
@@ -175,7 +175,7 @@ def keep_good(docs: DataFrame, model: FactorisationMachine, *, text_col: str = "
     at, length_at = docs.columns.index(text_col), docs.columns.index(length_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in pieces_of(batches):
             yield b.filter(pa.array(_probability(shared.value, b.column(at), b.column(length_at).cast(pa.int64())) >= cut))
 
     return docs.mapInArrow(run, docs.schema)

@@ -30,7 +30,7 @@ import tiktoken
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import pieces_of, table
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The pre-token pattern that belongs to the vocabulary.
@@ -175,7 +175,7 @@ def edited_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = counter(vocabulary)
-        for b in batches:
+        for b in pieces_of(batches):
             rows = [count_edited(t, e, tokens) for t, e in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
             cols = list(zip(*rows, strict=True)) or [[]] * len(FIELDS)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, (_, t) in zip(cols, FIELDS, strict=True))], names=[id_col, *(n for n, _ in FIELDS)])
