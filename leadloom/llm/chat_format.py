@@ -5,14 +5,17 @@ speaker as assistant and all others as users named by their role; the system
 turns stay system. A mask says which characters are to be learned: the
 assistant's contents with the end mark.
 
-A conversation is rendered in segments of ``segment_turns`` turn numbers, so no
-task holds more than a segment at once, however long a conversation is; the usual
-conversation is one segment. A participant gets a sample of each segment in
-which it speaks.
+A conversation of up to ``segment_turns`` turns is one sample per participant. A
+longer one comes in segments of that many turns, counted by their place in the
+dialogue, so no task holds more than a segment at once, whatever the turn numbers
+are. Every participant of the conversation gets a sample of every segment, also of
+those in which it is silent, so that its segments together are the whole dialogue.
+A segment starts with the system texts of the segments before, each once, in the
+order of their first turn; they are in the text but not in n_turns.
 
 Defined cases: a null text is an empty turn, a null role speaks as ``unknown``.
-Turns are ordered by number, ties by role and text; a null number comes first, in
-the first segment; repeated rows are turns of their own. A conversation of
+Turns are ordered by number, ties by role and text; a null number comes first;
+repeated rows are turns of their own. A conversation of
 system turns alone has no participant and no sample. Null conv_ids are one
 conversation. Marks that occur in a text are broken up with a zero-width space, so
 a text can't forge a turn. Other columns play no part.
@@ -20,10 +23,10 @@ a text can't forge a turn. Other columns play no part.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import cut, hot_join, table
 
 START, END = "<|start|>", "<|end|>"
 SEGMENT_TURNS = 256
@@ -38,23 +41,61 @@ def name_of(role: Column) -> Column:
     return F.coalesce(F.regexp_replace(role, "[^A-Za-z0-9_-]+", "_"), F.lit("unknown"))
 
 
+def place(rows: DataFrame) -> DataFrame:
+    """The rows with ``at``, their place in the conversation from 0, without bringing a conversation into one task.
+
+    Rows are dealt by range of their whole order; a row's place is that among the
+    conversation's rows of its range, plus their number in the ranges before. Only
+    the first conversation of a range has rows in ranges before.
+    """
+    order = ["conv_id", "turn", "name", "body", "tie"]
+    ranged = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(*order)
+    ranged = cut(ranged.withColumn("range", F.spark_partition_id()))
+    sizes = ranged.groupBy("conv_id", "range").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(F.col("conv_id").alias("_conv"), F.col("range").alias("_range"), F.sum("n").over(earlier).alias("before")).where("before is not null")
+    inside = ranged.withColumn("at", F.row_number().over(Window.partitionBy("conv_id", "range").orderBy("turn", "name", "body", "tie")) - 1)
+    out = inside.join(F.broadcast(before), inside["conv_id"].eqNullSafe(before["_conv"]) & (inside["range"] == before["_range"]), "left")
+    return out.select(*rows.columns, (F.col("at") + F.coalesce("before", F.lit(0))).alias("at"))
+
+
+def segments(rows: DataFrame, conversations: DataFrame, system: str, segment_turns: int) -> DataFrame:
+    """Per conversation and segment of long conversations: its turns, the system turns before it and all participants."""
+    turn = F.struct("turn", "name", "body")
+    placed = cut(place(rows).withColumn("segment", F.floor(F.col("at") / segment_turns).cast("long")))
+    whole = placed.groupBy("conv_id", "segment").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    first = placed.where(F.col("name") == system).groupBy("conv_id", "body").agg(F.min("at").alias("at"), F.min_by(turn, "at").alias("t"))
+    held = first.groupBy(F.col("conv_id").alias("_conv")).agg(F.sort_array(F.collect_list(F.struct("at", "t"))).alias("system"))
+    known = conversations.join(held, conversations["conv_id"].eqNullSafe(held["_conv"]), "left").select("conv_id", "speakers", "system", F.ceil(F.col("n") / segment_turns).alias("n_segments"))
+    known = cut(known)
+    total = known.agg(F.sum("n_segments")).first()[0] or 0
+    out = hot_join(whole, known, ["conv_id"], "n_segments", total)
+    carried = F.filter(F.col("system"), lambda s: s["at"] < F.col("segment") * segment_turns)
+    return out.select("conv_id", "segment", "turns", F.coalesce(F.transform(carried, lambda s: s["t"]), F.slice("turns", 1, 0)).alias("carried"), "speakers")
+
+
 def rotate(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", system: str = "system", segment_turns: int = SEGMENT_TURNS) -> DataFrame:
     """Per conversation, segment and participant: text, n_turns, n_masked and mask (start and end of learned characters)."""
-    rows = turns.select(
-        F.col(conv_col).alias("conv_id"),
-        F.coalesce(F.floor(F.col(turn_col) / segment_turns), F.lit(0)).cast("long").alias("segment"),
-        F.struct(F.col(turn_col).alias("turn"), name_of(F.col(role_col)).alias("name"), safe(F.col(text_col)).alias("body")).alias("t"),
-    )
-    whole = rows.groupBy("conv_id", "segment").agg(F.sort_array(F.collect_list("t")).alias("turns"))
+    rows = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), name_of(F.col(role_col)).alias("name"), safe(F.col(text_col)).alias("body"))
+    named = F.array_sort(F.collect_set(F.when(F.col("name") != system, F.col("name"))))
+    long = cut(rows.groupBy("conv_id").agg(F.count("*").alias("n"), named.alias("speakers")).where(F.col("n") > segment_turns))
+    short = rows
+    if not long.isEmpty():
+        sorted_out = hot_join(rows, long.select("conv_id", "n"), ["conv_id"], "n", rows.count(), "left")
+        short = sorted_out.where("n is null").drop("n")
+    whole = short.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "name", "body"))).alias("turns"))
     speakers = F.array_sort(F.array_distinct(F.filter(F.transform("turns", lambda t: t["name"]), lambda n: n != system)))
-    each = whole.select("conv_id", "segment", "turns", F.explode(speakers).alias("participant"))
+    whole = whole.select("conv_id", F.lit(0).cast("long").alias("segment"), "turns", F.slice("turns", 1, 0).alias("carried"), speakers.alias("speakers"))
+    if short is not rows:
+        whole = whole.unionByName(segments(sorted_out.where("n is not null").drop("n"), long, system, segment_turns))
+    each = whole.select("conv_id", "segment", F.concat("carried", "turns").alias("turns"), F.size("turns").cast("long").alias("n_turns"), F.explode("speakers").alias("participant"))
 
     def head(t: Column) -> Column:
         who = F.when(t["name"] == F.col("participant"), F.lit("assistant")).when(t["name"] == system, F.lit("system")).otherwise(F.concat(F.lit("user name="), t["name"]))
         return F.concat(F.lit(START), who, F.lit("\n"))
 
     parts = F.transform("turns", lambda t: F.struct(head(t).alias("head"), F.concat(t["body"], F.lit(END)).alias("body"), (t["name"] == F.col("participant")).alias("own")))
-    laid = each.select("conv_id", "segment", "participant", parts.alias("parts"))
+    laid = each.select("conv_id", "segment", "participant", "n_turns", parts.alias("parts"))
     # offsets are running sums of the lengths of what stands before
     start = F.struct(F.lit(0).cast("int").alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("mask"))
 
@@ -65,7 +106,7 @@ def rotate(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn
         return F.struct((b + 1).cast("int").alias("at"), F.when(p["own"], F.concat(acc["mask"], own)).otherwise(acc["mask"]).alias("mask"))
 
     out = laid.select(
-        "conv_id", "segment", "participant", F.size("parts").cast("long").alias("n_turns"),
+        "conv_id", "segment", "participant", "n_turns",
         F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"])), "\n").alias("text"),
         F.aggregate("parts", start, step)["mask"].alias("mask"),
     )

@@ -31,3 +31,26 @@ def test_long_conversations_come_in_segments(spark):
     got = rendered(spark, rows, segment_turns=100)
     assert len(got) == 20
     assert sum(r.n_turns for k, r in got.items() if k[2] == "a") == 1000
+
+
+def test_long_conversations_stay_whole(spark):
+    rows = [(1, 0, "system", "be kind")] + [(1, 1, "ab"[i % 2], f"{i:04}") for i in range(60)] + [(1, None, "c", "first"), (1, 900, "system", "be brief"), (1, 901, "a", "end"), (2, 700, "x", "alone")]
+    got = rendered(spark, rows, segment_turns=10)
+    assert set(got) == {(1, s, p) for s in range(7) for p in "abc"} | {(2, 0, "x")}
+    spoken = [(None, "c", "first"), (0, "system", "be kind"), *sorted((1, "ab"[i % 2], f"{i:04}") for i in range(60)), (900, "system", "be brief"), (901, "a", "end")]
+    for who in "abc":
+        for s in range(7):
+            part = spoken[10 * s : 10 * s + 10]
+            turns = [("system", "be kind")] * (s > 0) + [(n, b) for _, n, b in part]
+            heads = ["assistant" if n == who else "system" if n == "system" else f"user name={n}" for n, _ in turns]
+            r = got[1, s, who]
+            assert r.text == "\n".join(f"<|start|>{h}\n{b}<|end|>" for h, (_, b) in zip(heads, turns, strict=True))
+            assert r.n_turns == len(part)
+            assert [r.text[m.start : m.end] for m in r.mask] == [f"{b}<|end|>" for n, b in turns if n == who]
+
+
+def test_equal_and_unnumbered_turns_are_bounded(spark):
+    rows = [(None, None, "ab"[i % 2], "same") for i in range(700)]
+    got = rendered(spark, rows)
+    assert set(got) == {(None, s, p) for s in range(3) for p in "ab"}
+    assert [got[None, s, "b"].n_turns for s in range(3)] == [256, 256, 188]
