@@ -13,9 +13,12 @@ gives its subtree of the largest sum, and the text of these subtrees is the
 result (Sun, Song and Liao, 2011).
 
 Before that, parts that are no article by their meaning are taken off the tree:
-scripts, styles, forms, navigation, page headers and footers, asides, and
-elements whose class, id or role names a menu, sidebar, notice, advert or
-comments. If what is selected lies in an ``article`` or ``main``, the whole of
+scripts, styles, forms, navigation, page headers and footers, asides, hidden
+elements, and elements with a whole class, id or role that names a menu, sidebar,
+notice, advert or comments ("has-sidebar" names none). An element named so, a
+hidden one or a form stays if it holds an ``article``, a ``main`` or most of the
+page's text; navigation, header, footer and aside stay if there is no other
+``article`` or ``main``. If what is selected lies in an ``article`` or ``main``, the whole of
 that element counts, so that headings and short blocks of an article stay.
 
 Tags need not be balanced: a paragraph, list item or table cell ends where the
@@ -53,19 +56,19 @@ CLOSES = {
     "option": ({"option"}, {"select"}), "thead": ({"tr", "td", "th", "thead", "tbody"}, {"table"}), "tbody": ({"tr", "td", "th", "thead", "tbody"}, {"table"}), "tfoot": ({"tr", "td", "th", "thead", "tbody"}, {"table"}),
 }
 _LEAST_BASE = 2.0
-#: Words in class, id or role that name a part outside the article.
-_NAMED = re.compile(
-    r"(?:^|[\s_-])(?:ads?|advert\w*|adsense|sponsor\w*|promo\w*|cookies?|consent|gdpr|notices?|notifications?|alerts?|disclaimer|privacy|popup|modal|overlay|newsletter|subscri\w*|signup|sidebar|aside|menu\w*|nav\w*|breadcrumbs?|toolbar|footer|foot|comments?|commentlist|disqus|replies|reply|respond|related|recommend\w*|share|sharing|social|widget|pagination|pager|skip|login|search|complementary|contentinfo|navigation)(?:$|[\s_-])",
-    re.I,
-)
+#: Classes, ids and roles, whole, that name a part outside the article: one listed word or several.
+_WORDS = r"(?:ads?|advert[a-z]*|adsense|sponsor[a-z]*|promo[a-z]*|cookies?|consent|gdpr|notices?|notifications?|alerts?|disclaimer|privacy|popup|modal|overlay|newsletter|subscri[a-z]*|signup|sidebar|aside|menu[a-z]*|nav[a-z]*|breadcrumbs?|toolbar|footer|foot|comments?|commentlist|disqus|replies|reply|respond|related|recommend[a-z]*|share|sharing|social|widget|pagination|pager|skip|login|search|complementary|contentinfo|navigation)"
+_NAMED = re.compile(rf"(?:^|\s){_WORDS}(?:[_-]+{_WORDS})*(?=\s|$)", re.I)
 #: The same, but only outside ``article`` and ``main``: inside, they hold the article's heading.
-_HEADING = re.compile(r"(?:^|[\s_-])(?:header|masthead|topbar|banner)(?:$|[\s_-])", re.I)
+_HEADING = re.compile(r"(?:^|\s)(?:header|masthead|topbar|banner)(?=\s|$)", re.I)
+#: Why an element is skipped: its element name, or a name, ``hidden`` or being a form, which can wrap a whole page.
+_BY_ELEMENT, _BY_NAME = 1, 2
 
 
 class Node:
     __slots__ = ("children", "chars", "density", "links", "link_tags", "name", "parent", "parts", "skip", "tags", "total")
 
-    def __init__(self, name: str, parent: Node | None, skip: bool = False):
+    def __init__(self, name: str, parent: Node | None, skip: int = 0):
         self.name, self.parent, self.skip = name, parent, skip
         self.children: list[Node] = []
         self.parts: list = []  # texts and child nodes, in page order
@@ -73,16 +76,36 @@ class Node:
         self.density = self.total = 0.0
 
 
-def _skipped(name: str, attrs: str, inside_article: bool) -> bool:
+def _skipped(name: str, attrs: str, inside_article: bool) -> int:
     if name in SKIP or name == "header" and not inside_article:
-        return True
+        return _BY_NAME if name == "form" else _BY_ELEMENT
     if not attrs or name in ("body", "html", "main", "article"):
-        return False
+        return 0
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if key in ("class", "id", "role") and (_NAMED.search(value) or not inside_article and _HEADING.search(value)) or key == "aria-hidden" and value.lower() == "true":
-            return True
-    return bool(re.search(r"(?:^|\s)hidden(?:\s|=|$)", attrs))
+        if key in ("class", "id", "role") and (_NAMED.search(value) or not inside_article and _HEADING.search(value)) or key == "hidden" and value.lower() != "until-found" or key == "aria-hidden" and value.lower() == "true":
+            return _BY_NAME
+    return _BY_NAME if "hidden" in attrs.lower() and "hidden" in _ATTR.sub(" ", attrs).lower().strip("/").split() else 0
+
+
+def _keep_wrappers(root: Node) -> None:
+    """Takes the mark off skipped elements that hold an article or main, or most of the page's text."""
+    nodes = [root]
+    for x in nodes:
+        nodes.extend(x.children)
+    if not any(x.skip and x.parts for x in nodes):
+        return
+    held: dict[int, tuple[int, int]] = {}  # characters and articles below, without those of parts skipped by element
+    for x in reversed(nodes):
+        kids = [held[id(c)] for c in x.children]
+        own = 0 if x.skip == _BY_ELEMENT else sum(len("".join(html.unescape(p).split())) for p in x.parts if isinstance(p, str))
+        below = sum(n for c, (n, _) in zip(x.children, kids, strict=True) if c.skip != _BY_ELEMENT)
+        held[id(x)] = own + below, sum(k for _, k in kids) + (x.name in ("article", "main"))
+    chars, articles = held[id(root)]
+    for x in nodes:
+        n, k = held[id(x)]
+        if x.skip == _BY_NAME and (k or 2 * n > chars) or x.skip == _BY_ELEMENT and k and k == articles:
+            x.skip = 0
 
 
 def parse(page: str) -> Node:
@@ -136,6 +159,7 @@ def parse(page: str) -> Node:
             continue
         at = node
     at.parts.append(page[pos:])
+    _keep_wrappers(root)
     return root
 
 

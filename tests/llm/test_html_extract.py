@@ -38,3 +38,25 @@ def test_rows(spark):
     got = sorted(((r.page_id or 0, r.text, r.n_chars) for r in extract(df).collect()), key=str)
     assert got == sorted([(1, LOREM, len(LOREM)), (1, "", 0), (0, "", 0), (3, "\n".join([LOREM] * 20_000), 20_000 * len(LOREM) + 19_999)], key=str)
     assert extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "around",
+    ["<div class='layout has-sidebar'>%s</div>", "<div class=no-comments>%s</div>", "<div class=right-sidebar>%s</div>", "<div class='page widget'>%s</div>", "<div id=menu>%s</div>", "<form id=f><div hidden>%s</div></form>", "<header>%s</header>", "<div title='a hidden part'>%s</div>"],
+)
+@pytest.mark.parametrize("article", [f"<article><p>{LOREM}</p><p>{LOREM}</p></article>", f"<div><p>{LOREM}</p><p>{LOREM}</p></div>"])
+def test_wrappers_of_the_article_stay(around, article):
+    if around.startswith("<header") and not article.startswith("<article"):
+        pytest.skip("a page header without an article is none")
+    assert main_text(page("<nav><a href=x>Menu</a></nav>" + around % article)) == f"{LOREM}\n{LOREM}"
+
+
+def test_hidden_is_an_attribute_name():
+    kept = f'<p title="The hidden cost">{LOREM}</p><p data-x="a" class="not-hidden" data-hidden=1>{LOREM}</p>'
+    gone = "<p hidden>one</p><p class=x HIDDEN>two</p><p hidden=''>three</p><p hidden/>four</p><p hidden=hidden>five</p><p aria-hidden=true>six</p>"
+    assert main_text(page(f"<article>{kept}{gone}</article>")) == f"{LOREM}\n{LOREM}"
+
+
+def test_named_parts_beside_the_article_go():
+    around = "<div class='nav-menu'>a b</div><div class='x share_social'>c d</div><div id=sidebar><p>Side text</p></div>"
+    assert main_text(page(f"{around}<article><p>{LOREM}</p></article>{around}")) == LOREM
