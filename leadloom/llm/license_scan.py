@@ -6,7 +6,8 @@ changed characters). Cut into k + 1 pieces, a notice that occurs with at most k
 edits holds one of its pieces unchanged (pigeonhole principle), so an
 Aho-Corasick automaton over all pieces finds every candidate in one pass over the
 text. Around candidates only, the regex library's bounded-error matching
-verifies the edits and gives the span.
+verifies the edits and gives the span: the best match of a stretch first, then
+those of what stands before and behind it.
 
 Besides, plain phrases are counted exactly, word by word (``PHRASES``).
 
@@ -98,10 +99,13 @@ class Finder:
         """(label, notice, start, end, edits) of verified matches."""
         out = []
         for at, stretches in self.candidates(text).items():
-            notice, label, _, pattern = self.notices[at]
-            for a, b in stretches:
-                for m in pattern.finditer(text, a, min(b, len(text))):
+            notice, label, errors, pattern = self.notices[at]
+            todo = [(a, min(b, len(text))) for a, b in stretches]
+            while todo:
+                a, b = todo.pop()
+                if b - a >= len(notice) - errors and (m := pattern.search(text, a, b)):
                     out.append((label, notice, m.start(), m.end(), sum(m.fuzzy_counts)))
+                    todo += [(a, m.start()), (m.end(), b)]
         return sorted(best_of(out), key=lambda x: (x[2], x[3], x[0], x[1]))
 
 

@@ -63,3 +63,36 @@ def test_awkward_rows(spark):
     got = {(r.doc_id, r.n_words, r.labels, r.score) for r in S.scan_licenses(frames.awkward(spark)).collect()}
     assert (1, 0, "", 0.0) in got and (2, 0, "", 0.0) in got and (3, 60_000, "", 0.0) in got
     assert S.scan_licenses(frames.empty(spark)).count() == 0
+
+
+def spans_without_seeds(text, notice):
+    """Best match of the whole text, then the same before and behind it."""
+    pattern = regex.compile(f"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={len(notice) // S.CHARS_PER_ERROR}}}")
+
+    def look(a, b):
+        m = pattern.search(text, a, b)
+        return [*look(a, m.start()), (m.start(), m.end(), sum(m.fuzzy_counts)), *look(m.end(), b)] if m else []
+
+    return look(0, len(text))
+
+
+def test_a_worse_match_before_the_best_stays():
+    text = "relesed under the mit license a released under the mit license"
+    *_, hits = S.scan_text(text.encode(), S.finder(S.NOTICES, S.CHARS_PER_ERROR))
+    assert [(text[h["start"] : h["end"]], h["edits"]) for h in hits] == [("relesed under the mit license", 1), ("released under the mit license", 0)]
+
+
+def test_spans_of_near_by_notices():
+    draw = random.Random(5)
+    for _ in range(15):
+        notice, label = draw.choice(S.NOTICES)
+        find, words = S.finder(((notice, label),), S.CHARS_PER_ERROR), []
+        for _ in range(draw.randint(2, 5)):
+            chars = list(notice)
+            for _ in range(draw.randint(0, len(notice) // S.CHARS_PER_ERROR)):
+                i = draw.randrange(len(chars))
+                chars[i : i + 1] = draw.choice([[], ["q"], [chars[i], "z"]])
+            words += ["".join(chars), draw.choice(["foo", "and more of this", "a"])]
+        text = " ".join(" ".join(words).split())
+        got = [(a, b, e) for _, _, a, b, e in find.find(text)]
+        assert got == spans_without_seeds(text, notice)
