@@ -9,15 +9,13 @@ the trigger is an interval.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..operators.keep import keep_first
-from ..sources.stages import shared_dir
+from ..operators.keep import keep_first, keep_top
+from ..sources.stages import shared_dir, stage
 
 
 def source(spark: SparkSession, path: str) -> DataFrame:
@@ -70,57 +68,89 @@ def sweep(stream: DataFrame, key: list[str], order: Callable[[], list]) -> DataF
     return run(stream, "append", merge_new(key, order))
 
 
+def run_keyed(stream: DataFrame, out_schema: str, state_schema: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """Runs the stream with a state table of one row per ``key`` and returns the table of all batches' rows.
+
+    step takes a batch and its keys' last states and gives the batch's rows and the
+    states that it changes. Both are written by batch id, so a batch that is
+    repeated after a failure replaces itself.
+    """
+    spark = stream.sparkSession
+    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        own = batch.sparkSession
+        past = own.createDataFrame([], f"{state_schema}, batch long")
+        if batch_id > 0:
+            past = own.read.schema(f"{state_schema}, batch long").parquet(f"{base}/keyed").where(F.col("batch") < batch_id)
+        rows = batch.select("key").distinct().withColumnRenamed("key", "_key")
+        known = keep_first(past.join(rows, past["key"].eqNullSafe(rows["_key"]), "left_semi"), ["key"], [F.col("batch").desc()]).drop("batch")
+        out, changed = step(batch, known)
+        changed.write.mode("overwrite").parquet(f"{base}/keyed/batch={batch_id}")
+        out.write.mode("overwrite").parquet(f"{base}/table/batch={batch_id}")
+
+    query = stream.writeStream.option("checkpointLocation", f"{base}/state").foreachBatch(put).trigger(availableNow=True).start()
+    query.awaitTermination()
+    columns = spark.createDataFrame([], out_schema).columns
+    return spark.read.schema(out_schema).parquet(f"{base}/table").select(*columns)
+
+
 RETRY_OUT = "key bigint, status string, retries int, attempts int"
 
 
-def retry_step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """Y02 for one key: attempts in order change its status until it is promoted or dropped."""
-    status, retries, attempts = state.get if state.exists else ("pending", 0, 0)
-    rows = pd.concat(frames).sort_values(["ts", "attempt"])
-    for ok in rows["ok"]:
-        if status == "pending":
-            attempts += 1
-            if ok:
-                status = "promoted"
-            else:
-                retries += 1
-                status = "dropped" if retries >= 3 else "pending"
-    state.update((status, retries, attempts))
-    yield pd.DataFrame({"key": [key[0]], "status": [status], "retries": [retries], "attempts": [attempts]})
+def retry_step(batch: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Attempts in order change a key's status until it is promoted or dropped; three at most count, and only they are grouped."""
+    first = keep_top(batch, ["key"], [F.col("ts").asc_nulls_last(), F.col("attempt").asc_nulls_last()], 3)
+    oks = first.groupBy("key").agg(F.transform(F.sort_array(F.collect_list(F.struct("rank", F.coalesce("ok", F.lit(False)).alias("ok")))), lambda x: x["ok"]).alias("oks"))
+    before = known.select(F.col("key").alias("_key"), "status", "retries", "attempts")
+    new = F.struct(F.lit("pending").alias("status"), F.lit(0).alias("retries"), F.lit(0).alias("attempts"))
+    state = F.when(F.col("status").isNull(), new).otherwise(F.struct("status", "retries", "attempts"))
+
+    def step(acc, ok):
+        retries = acc["retries"] + (~ok).cast("int")
+        status = F.when(ok, F.lit("promoted")).when(retries >= 3, F.lit("dropped")).otherwise(F.lit("pending"))
+        return F.when(acc["status"] != "pending", acc).otherwise(F.struct(status.alias("status"), retries.alias("retries"), (acc["attempts"] + 1).alias("attempts")))
+
+    out = oks.join(before, oks["key"].eqNullSafe(before["_key"]), "left").select("key", F.aggregate("oks", state, step).alias("s")).select("key", "s.status", "s.retries", "s.attempts")
+    return out, out
 
 
 def retries(stream: DataFrame) -> DataFrame:
     """Status per key after all attempts; stream: key, ts, attempt, ok."""
-    changes = stream.groupBy("key").applyInPandasWithState(retry_step, RETRY_OUT, "status string, retries int, attempts int", "append", GroupStateTimeout.NoTimeout)
-    return run(changes, "append")
+    return run_keyed(stream, RETRY_OUT, RETRY_OUT, retry_step)
 
 
 CACHE_OUT = "attempt bigint, hit boolean"
 
 
-def cache_step(ttl: pd.Timedelta):
-    def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        """Y03 for one key: a fill is kept for the TTL, other events are hits as long as it lasts."""
-        last = pd.Timestamp(state.get[0], unit="us") if state.exists else None
-        rows = pd.concat(frames).sort_values(["ts", "attempt"])
-        ids, hits = [], []
-        for ts, attempt, fill in zip(rows["ts"], rows["attempt"], rows["fill"], strict=True):
-            if fill:
-                last = ts
-            else:
-                ids.append(attempt)
-                hits.append(last is not None and ts - last <= ttl)
-        if last is not None:
-            state.update((int(pd.Timestamp(last).value // 1000),))
-        yield pd.DataFrame({"attempt": ids, "hit": hits})
+def cache_step(days: int) -> Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    def step(batch: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """A fill is kept for the TTL, other events are hits as long as it lasts.
+
+        Events are dealt by range of key and order, the known fill first, so a key
+        may spread over many ranges; a range's look-ups before its first fill get
+        the last fill of the ranges before.
+        """
+        order = ["old", "ts", "attempt"]
+        events = batch.select("key", F.lit(1).alias("old"), "ts", "attempt", F.when(F.col("fill"), F.col("ts")).alias("filled"), (~F.coalesce("fill", F.lit(False))).alias("asked"))
+        first = known.select("key", F.lit(0).alias("old"), F.col("last").alias("ts"), F.lit(None).cast(batch.schema["attempt"].dataType).alias("attempt"), F.col("last").alias("filled"), F.lit(False).alias("asked"))
+        rows = stage(events.unionByName(first).repartitionByRange("key", *order).withColumn("range", F.spark_partition_id()), "cache")
+        fills = rows.groupBy("key", "range").agg(F.max_by("filled", F.when(F.col("filled").isNotNull(), F.struct(*order))).alias("filled"))
+        earlier = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+        carry = fills.select(F.col("key").alias("_key"), F.col("range").alias("_range"), F.last("filled", ignorenulls=True).over(earlier("key").orderBy("range")).alias("carried")).where("carried is not null")
+        inside = rows.withColumn("last", F.last("filled", ignorenulls=True).over(earlier("key", "range").orderBy(*order)))
+        placed = inside.join(F.broadcast(carry), inside["key"].eqNullSafe(carry["_key"]) & (inside["range"] == carry["_range"]), "left").where("asked")
+        hit = F.col("ts") - F.coalesce("last", "carried") <= F.expr(f"interval {days} days")
+        changed = fills.where("filled is not null").groupBy("key").agg(F.max_by("filled", "range").alias("last"))
+        return placed.select("attempt", F.coalesce(hit, F.lit(False)).alias("hit")), changed
 
     return step
 
 
 def ttl_cache(stream: DataFrame, days: int) -> DataFrame:
     """For each look-up whether the key's last fill was at most so many days old; stream: key, ts, attempt, fill."""
-    out = stream.groupBy("key").applyInPandasWithState(cache_step(pd.Timedelta(days=days)), CACHE_OUT, "last bigint", "append", GroupStateTimeout.NoTimeout)
-    return run(out, "append")
+    kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
+    return run_keyed(stream, CACHE_OUT, f"key {kinds['key']}, last {kinds['ts']}", cache_step(days))
 
 
 def without_negatives(stream: DataFrame, words: Callable[[SparkSession], DataFrame]) -> DataFrame:
