@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -39,9 +40,11 @@ def pieces_of(batches: Iterator[pa.RecordBatch], rows: int = PIECE_ROWS) -> Iter
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir, or in local tests one of our own."""
+    """The folder that all executors share: spark.checkpoint.dir; where it is unset, in local mode only, a folder of our own."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
@@ -52,12 +55,45 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+class _Live(threading.local):
+    def __init__(self):
+        self.paths: list[str] = []
+
+
+#: The folders that cut() has written in this thread and nobody has removed, in order.
+_LIVE = _Live()
+
+
 def cut(df: DataFrame) -> DataFrame:
-    """Write the rows to the shared folder now, so that later steps reread them and don't compute them again."""
-    shared_dir(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint()
+    """Write the rows to the shared folder now, as Parquet, so that later steps reread them and don't compute them again."""
+    spark = df.sparkSession
+    path = fresh_path(spark, "cut")
+    df.write.parquet(path)
+    _LIVE.paths.append(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.cut_path = path
+    return out
+
+
+def live_cuts() -> list[str]:
+    """The folders that cut() has written in this thread and that are still there."""
+    return list(_LIVE.paths)
+
+
+def remove(spark: SparkSession, paths: Iterable[str]) -> None:
+    """Deletes folders, by the file systems that Spark itself uses."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in list(paths):
+        folder = jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(conf).delete(folder, True)
+        if path in _LIVE.paths:
+            _LIVE.paths.remove(path)
+
+
+def tidy(spark: SparkSession, since: Iterable[str], *kept: DataFrame) -> None:
+    """Deletes what cut() has written since then (a former live_cuts()), but for the tables that the kept frames read."""
+    stay = {*since, *(df.cut_path for df in kept)}
+    remove(spark, [x for x in live_cuts() if x not in stay])
 
 
 def free_names(df: DataFrame, *names: str) -> list[str]:
@@ -78,13 +114,15 @@ HOT_SHARE = 1000
 def hot_join(left: DataFrame, right: DataFrame, key: list[str], weight: str, total: int, how: str = "inner") -> DataFrame:
     """left joined with right, which has one row per key and, in ``weight``, how many of left's ``total`` rows have it.
 
-    Rows of hot keys are joined where they are, by broadcasting the hot keys, of
-    which there are fewer than HOT_SHARE whatever the input; all others meet in a
-    shuffle in which no key has more than one in HOT_SHARE rows. Null keys match
-    each other. how: inner or left; left's columns come first, then right's others.
+    right is written first. If no key is hot, this is a plain join, in which Spark
+    broadcasts right if its files are small. Else rows of hot keys are joined where
+    they are, by broadcasting the hot keys, of which there are fewer than HOT_SHARE
+    whatever the input; all others meet in a join in which no key has more than one
+    in HOT_SHARE rows. Null keys match each other. how: inner or left; left's
+    columns come first, then right's others. The result reads what was written of right (cut_path).
     """
     names = free_names(left, *(f"_k{i}" for i in range(len(key))))
-    right = right.select(*(F.col(k).alias(n) for k, n in zip(key, names, strict=True)), *(c for c in right.columns if c not in key))
+    right = cut(right.select(*(F.col(k).alias(n) for k, n in zip(key, names, strict=True)), *(c for c in right.columns if c not in key)))
     hot, cold = right.where(F.col(weight) * HOT_SHARE > total), right.where(F.col(weight) * HOT_SHARE <= total)
 
     def same(a: DataFrame, b: DataFrame):
@@ -93,7 +131,12 @@ def hot_join(left: DataFrame, right: DataFrame, key: list[str], weight: str, tot
             out = out & a[k].eqNullSafe(b[n])
         return out
 
-    there = left.join(F.broadcast(hot), same(left, hot)).drop(*names)
-    keys = hot.select(*names)
-    rest = left.join(F.broadcast(keys), same(left, keys), "left_anti")
-    return there.unionByName(rest.join(cold, same(rest, cold), how).drop(*names))
+    if hot.isEmpty():
+        out = left.join(right, same(left, right), how).drop(*names)
+    else:
+        there = left.join(F.broadcast(hot), same(left, hot)).drop(*names)
+        keys = hot.select(*names)
+        rest = left.join(F.broadcast(keys), same(left, keys), "left_anti")
+        out = there.unionByName(rest.join(cold, same(rest, cold), how).drop(*names))
+    out.cut_path = right.cut_path
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, hot_join
+from .common import cut, hot_join, live_cuts, remove, tidy
 
 
 def _large_star(edges: DataFrame, n: int) -> DataFrame:
@@ -24,8 +24,9 @@ def components(edges: DataFrame) -> DataFrame:
     """(node, root) of every node in edges (u, v) of any orderable type; root: the component's smallest node.
 
     Edges that join a node to itself are ignored. Each round writes its edges to
-    the shared folder; rounds end when the edges no longer change. The number of
-    rounds grows with the logarithm of a component's size, not with its width.
+    the shared folder and deletes those of the round before; rounds end when the
+    edges no longer change. The number of rounds grows with the logarithm of a
+    component's size, not with its width.
     """
     now = cut(edges.where("u != v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct())
     before = None
@@ -33,5 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
         mark = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()
         if mark == before or not mark[0]:
             break
-        before, now = mark, cut(_small_star(cut(_large_star(now, mark[0])), mark[0]))
+        since = live_cuts()
+        after = cut(_small_star(cut(_large_star(now, mark[0])), mark[0]))
+        tidy(now.sparkSession, since, after)
+        remove(now.sparkSession, [now.cut_path])
+        before, now = mark, after
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
