@@ -14,8 +14,9 @@ that name them, so lost executors and repeated attempts leave no half files in
 the result. A task holds one record at a time.
 
 Defined cases: a null page is an empty payload; equal payloads, empty ones too,
-are stored once, with the smallest id, and others are revisit records. Rows
-repeated with the smallest id are all responses. A null id is a revisit unless
+are stored once, with the smallest id, and others are revisit records; how many
+records share a payload doesn't matter, only digests meet. Rows repeated with the
+smallest id are all responses; one id may have several payloads. A null id is a revisit unless
 its payload has no other id. Control characters in a URL are percent-encoded. An
 empty table writes no file. A file that ends inside a record is an error.
 """
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, fresh_path, table
+from .common import cut, fresh_path, hot_join, table
 
 #: Bytes before compression after which a task starts another file.
 FILE_BYTES = 256_000_000
@@ -160,13 +161,16 @@ def write_monolithic(pages: DataFrame, out_dir: str, *, id_col: str = "page_id",
 
 
 def find_revisits(written: DataFrame) -> DataFrame:
-    """(path, page_id, refers_to) of the records whose payload a record with a smaller id holds."""
-    first = written.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null").drop("n")
-    return written.join(first, "sha1").where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("path", "page_id", "refers_to")
+    """(path, page_id, sha1, refers_to) of the records whose payload a record with a smaller id holds."""
+    first = written.groupBy("sha1").agg(F.min("page_id").alias("refers_to"), F.count("*").alias("n")).where("n > 1 and refers_to is not null")
+    return hot_join(written, first, ["sha1"], "n", written.count()).where(~F.col("page_id").eqNullSafe(F.col("refers_to"))).select("path", "page_id", "sha1", "refers_to")
 
 
-def normalise_file(path: str, out_dir: str, revisits: dict[str | None, str]) -> Iterator[tuple]:
-    """Rewrites one archive as a member per record beside a sidecar index; yields the index rows. revisits: page id to the id it refers to."""
+def normalise_file(path: str, out_dir: str, revisits: dict[tuple[str | None, str], str]) -> Iterator[tuple]:
+    """Rewrites one archive as a member per record beside a sidecar index; yields the index rows.
+
+    revisits: page id and payload digest (base 32) to the id that the record refers to.
+    """
     system, inner = open_fs(path)
     target = f"{out_dir}/{uuid.uuid4().hex}.warc.gz"
     to, to_inner = open_fs(target)
@@ -174,13 +178,14 @@ def normalise_file(path: str, out_dir: str, revisits: dict[str | None, str]) ->
     with system.open_input_stream(inner, compression=None) as src, to.open_output_stream(to_inner, compression=None) as out, to.open_output_stream(to_inner + ".idx", compression=None) as index:
         at = 0
         for head, record in split_records(inflate(iter(lambda: src.read(1 << 20), b""))):
-            refers_to = revisits.get(head.get("x-page-id"))
+            digest = head.get("warc-payload-digest", "").removeprefix("sha1:")
+            refers_to = revisits.get((head.get("x-page-id"), digest))
             kind = "revisit" if refers_to is not None else head.get("warc-type")
             record = record if refers_to is None else as_revisit(record, refers_to)
             z = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
             member = z.compress(record) + z.flush()
             out.write(member)
-            row = (target, at, len(member), kind, head.get("warc-record-id"), head.get("warc-payload-digest", "").removeprefix("sha1:"), head.get("warc-target-uri"))
+            row = (target, at, len(member), kind, head.get("warc-record-id"), digest, head.get("warc-target-uri"))
             index.write(("\t".join(map(str, row[1:])) + "\n").encode())
             at += len(member)
             yield row
@@ -191,14 +196,15 @@ def normalise(written: DataFrame, out_dir: str) -> DataFrame:
 
     A file's revisits come along as a list; it is as long as the file has records at most.
     """
-    own = find_revisits(written).groupBy("path").agg(F.collect_list(F.struct(F.col("page_id").cast("string"), F.col("refers_to").cast("string"))).alias("revisits"))
+    revisit = F.struct(F.col("page_id").cast("string").alias("page_id"), "sha1", F.col("refers_to").cast("string").alias("refers_to"))
+    own = find_revisits(written).groupBy("path").agg(F.collect_list(revisit).alias("revisits"))
     files = written.select("path").distinct().join(own, "path", "left")
     many = written.select("path").distinct().count()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, revisits in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rows = list(zip(*normalise_file(path, out_dir, {x["page_id"]: x["refers_to"] for x in revisits or []}), strict=True))
+                rows = list(zip(*normalise_file(path, out_dir, {(x["page_id"], base64.b32encode(x["sha1"]).decode()): x["refers_to"] for x in revisits or []}), strict=True))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 4], strict=True)], names=["path", "offset", "length", "record_type", "record_id", "payload_digest", "target_uri"])
 
