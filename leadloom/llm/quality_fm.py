@@ -8,8 +8,9 @@ structure statistics of the text in bins (share of symbols, capitals, digits,
 repeated lines and word triples, word and line lengths ...) and the length given
 as metadata. The label, language, source and id are never inputs.
 
-The model is fitted on at most ``sample_rows`` labelled rows, those with the
-smallest hash of their id; it has a fixed size and is broadcast. Scoring runs
+The model is fitted on at most ``sample_rows`` labelled rows with at most
+``sample_features`` features, those with the smallest hash of their id; it has a
+fixed size and is broadcast. Scoring runs
 over every whole text.
 
 Defined cases: a null text counts as an empty one and gets a score like any
@@ -28,11 +29,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import pieces_of, table
+from .common import cut, free_names, live_cuts, pieces_of, table, tidy
 from .line_rules import repeat_words
 
 #: Bound on the labelled rows that a model is fitted on.
 SAMPLE_ROWS = 8000
+#: Bound on their features together: 8 bytes each on the driver.
+SAMPLE_FEATURES = 16_000_000
 HASH_BITS = 15
 FACTORS = 8
 CUT = 0.7
@@ -136,19 +139,32 @@ def _featurise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b.column(0), b.column(3), pa.array([i for i, _ in rows], pa.list_(pa.int32())), pa.array([v for _, v in rows], pa.list_(pa.float32()))], names=["key", "label", "idx", "val"])
 
 
-def train(docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS) -> FactorisationMachine:
-    """A model fitted on at most sample_rows labelled rows that are not held out.
+def train(
+    docs: DataFrame, labels: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", label_col: str = "quality", sample_rows: int = SAMPLE_ROWS, sample_features: int = SAMPLE_FEATURES
+) -> FactorisationMachine:
+    """A model fitted on a bounded sample of the labelled rows that are not held out.
 
-    The sample is bounded, so it is broadcast to find its texts; texts of one id
-    that occurs in several rows all count, each as a row.
+    The sample is that of the ids with the smallest hashes: at most sample_rows of
+    them, and in that order no more than have sample_features features together, so
+    that it fits the driver whatever the texts' lengths. Of several rows with one id
+    the one whose text has the smallest digest counts.
     """
+    since = live_cuts()
+    key, label = free_names(docs, "_key", "_label")
     usable = labels.where(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(F.col(id_col)))
-    sample = usable.groupBy(F.col(id_col).alias("_id")).agg(F.min(label_col).cast("int").alias("_label")).orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
-    texts = docs.join(F.broadcast(sample), docs[id_col] == sample["_id"]).select(F.xxhash64("_id").alias("key"), docs[text_col], docs[length_col].cast("long"), "_label")
-    table_ = texts.mapInArrow(_featurise, "key long, label int, idx array<int>, val array<float>").limit(2 * sample_rows).toArrow()
-    got = sorted(zip(table_["key"].to_pylist(), table_["label"].to_pylist(), table_["idx"], table_["val"], strict=True), key=lambda x: (x[0], len(x[2])))
-    rows = [(i.values.to_numpy(), v.values.to_numpy()) for _, _, i, v in got]
-    return FactorisationMachine().fit(rows, np.array([y for _, y, _, _ in got], np.float32))
+    sample = usable.groupBy(F.col(id_col).alias(key)).agg(F.min(label_col).cast("int").alias(label)).orderBy(F.xxhash64(key), key).limit(sample_rows)
+    found = docs.join(F.broadcast(sample), docs[id_col] == sample[key]).select(F.col(key).alias("id"), F.col(text_col).alias("text"), F.col(length_col).cast("long").alias("n_chars"), F.col(label).alias("label"))
+    one = found.groupBy("id", "label").agg(F.min_by(F.struct("text", "n_chars"), F.struct(F.md5("text"), "n_chars")).alias("t"))
+    rows = cut(one.select(F.xxhash64("id").alias("key"), F.col("t.text").alias("text"), F.col("t.n_chars").alias("n_chars"), "label").mapInArrow(_featurise, "key long, label int, idx array<int>, val array<float>"))
+    room, last = sample_features, None
+    for r in rows.select("key", F.size("idx").alias("n")).orderBy("key").collect():  # sample_rows at most
+        room -= r["n"]
+        if room < 0:
+            break
+        last = r["key"]
+    got = rows.where(F.col("key") <= F.lit(last).cast("long")).orderBy("key").toArrow()
+    tidy(docs.sparkSession, since)
+    return FactorisationMachine().fit([(i.values.to_numpy(), v.values.to_numpy()) for i, v in zip(got["idx"], got["val"], strict=True)], np.array(got["label"].to_pylist(), np.float32))
 
 
 def _probability(model: FactorisationMachine, texts: pa.Array, lengths: pa.Array) -> np.ndarray:
