@@ -2,19 +2,23 @@
 
 Every \\n-split line with a word is normalised (A-Z lower-cased, white space runs
 to one space, trimmed) and hashed. Per host, the number of distinct documents
-that hold a line is counted; a line in more than ``min_docs`` documents and more
-than one in ``per_share`` of the host's documents is removed. A document that
-loses more than half of its word characters is depleted and rejected.
+(ids) that hold a line is counted; a line in more than ``min_docs`` of them is
+removed. A document that loses more than half of its word characters is depleted
+and rejected.
 
-Exact copies of a text within a host count as one document, so a page copied a
-thousand times doesn't make its own lines frequent; copies are left to
-near-duplicate removal. Only a hash of each distinct line travels, the counts are
-added up before the shuffle, and the verdict is keyed by (host, text), so groups
-of copies are judged once.
+With ``copies_once`` exact copies of a text within a host count as one document,
+so a page copied a thousand times doesn't make its own lines frequent and go as a
+whole; that is for pipelines in which a later stage keeps one of the copies.
+
+Only a hash of each distinct line travels, the counts are added up before the
+shuffle, and the verdict is keyed by (host, text), so groups of copies are judged
+once.
 
 Defined cases: a null or wordless text has no words and fails the base rules. A
-null host is a host of its own. Every row gives one row, repeated rows included.
-Other columns of the documents play no part.
+null host is a host of its own. Every row gives one row, repeated rows included;
+rows with one id are one document, each row without an id is one. White space is
+ASCII's alone, so a line of U+00A0 has a word. Other columns of the documents play
+no part.
 """
 
 from __future__ import annotations
@@ -27,10 +31,10 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, free_names, hot_join, pieces_of, table
+from .common import cut, free_names, hot_join, live_cuts, pieces_of, table, tidy
 
+#: A line may stand in so many documents of a host.
 MIN_DOCS = 20
-PER_SHARE = 20
 SYMBOLS = b"#*$%&|<>"
 
 LINES = pa.list_(pa.struct([("line", pa.binary()), ("chars", pa.int64())]))
@@ -98,40 +102,49 @@ def measure_documents(docs: DataFrame, id_col: str = "doc_id", host_col: str = "
     return src.mapInArrow(run, f"`{id_col}` {src.schema[0].dataType.simpleString()}, host string, text_key binary, {STATS}")
 
 
-def frequent_lines(measured: DataFrame, min_docs: int = MIN_DOCS, per_share: int = PER_SHARE) -> tuple[DataFrame, DataFrame]:
-    """(texts, frequent): the distinct (host, text_key) with their lines and copies, and the (host, line, n) above the limits."""
-    texts = cut(measured.groupBy("host", "text_key").agg(F.first("lines").alias("lines"), F.count("*").alias("copies")))
-    sizes = texts.groupBy(F.col("host").alias("_host")).agg(F.count("*").alias("n_docs"))
-    held = texts.select("host", F.explode("lines").alias("l")).groupBy("host", F.col("l.line").alias("line")).agg(F.count("*").alias("n")).where(F.col("n") > min_docs)
-    above = held.join(sizes, held["host"].eqNullSafe(sizes["_host"])).where(F.col("n") * per_share > F.col("n_docs"))
-    return texts, above.select("host", "line", "n")
+def counted_twice(measured: DataFrame, id_col: str) -> DataFrame:
+    """(host, line, n_docs, n_texts): what must be added to counts of rows where several rows of one id hold a line."""
+    known = measured.where(F.col(id_col).isNotNull())
+    repeated = known.groupBy("host", id_col).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
+    held = hot_join(known, repeated, ["host", id_col], "n_rows", known.count()).select("host", id_col, F.explode("lines.line").alias("line"))
+    return held.groupBy("host", id_col, "line").agg((1 - F.count("*")).alias("n_docs")).select("host", "line", "n_docs", F.lit(0).cast("long").alias("n_texts"))
 
 
-def line_verdicts(measured: DataFrame, min_docs: int = MIN_DOCS, per_share: int = PER_SHARE) -> DataFrame:
+def line_verdicts(measured: DataFrame, id_col: str, min_docs: int = MIN_DOCS, copies_once: bool = False) -> DataFrame:
     """Per (host, text_key) that loses a line: its copies, removed_chars and the hashes of the lines to remove."""
-    texts, frequent = frequent_lines(measured, min_docs, per_share)
-    total = texts.agg(F.sum(F.size("lines"))).first()[0] or 0
+    texts = cut(measured.groupBy("host", "text_key").agg(F.first("lines").alias("lines"), F.count("*").alias("copies")))
     lines = texts.select("host", "text_key", "copies", F.explode("lines").alias("l")).select("host", "text_key", "copies", "l.line", "l.chars")
-    hit = hot_join(lines, frequent, ["host", "line"], "n", total)
+    one = F.lit(1).cast("long")
+    held = lines.select("host", "line", (one if copies_once else F.col("copies")).alias("n_docs"), one.alias("n_texts"))
+    if not copies_once:
+        held = held.unionByName(counted_twice(measured, id_col))
+    frequent = held.groupBy("host", "line").agg(F.sum("n_docs").alias("n_docs"), F.sum("n_texts").alias("n_texts")).where(F.col("n_docs") > min_docs).drop("n_docs")
+    total = texts.agg(F.sum(F.size("lines"))).first()[0] or 0
+    hit = hot_join(lines, frequent, ["host", "line"], "n_texts", total)
     return hit.groupBy("host", "text_key").agg(F.first("copies").alias("copies"), F.sum("chars").alias("removed_chars"), F.collect_set("line").alias("removed"))
 
 
-def judge(docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", min_docs: int = MIN_DOCS, per_share: int = PER_SHARE) -> DataFrame:
+def judge(docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", min_docs: int = MIN_DOCS, copies_once: bool = False) -> DataFrame:
     """Per row: the base figures, base_failed, removed_chars, depleted and kept, with host, text_key and the removed lines' hashes."""
+    since = live_cuts()
     measured = cut(measure_documents(docs, id_col, host_col, text_col))
-    out = hot_join(measured.drop("lines"), cut(line_verdicts(measured, min_docs, per_share)), ["host", "text_key"], "copies", measured.count(), "left").drop("copies")
+    out = hot_join(measured.drop("lines"), line_verdicts(measured, id_col, min_docs, copies_once), ["host", "text_key"], "copies", measured.count(), "left")
+    tidy(docs.sparkSession, since, measured, out)
     removed = F.coalesce("removed_chars", F.lit(0))
     depleted = 2 * removed > F.col("word_chars")
-    return out.withColumn("removed_chars", removed).withColumn("depleted", depleted).withColumn("kept", ~F.col("base_failed") & ~depleted)
+    return out.drop("copies").withColumn("removed_chars", removed).withColumn("depleted", depleted).withColumn("kept", ~F.col("base_failed") & ~depleted)
 
 
-def clean(docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", length_col: str | None = "n_chars", min_docs: int = MIN_DOCS, per_share: int = PER_SHARE) -> DataFrame:
+def clean(docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", length_col: str | None = "n_chars", min_docs: int = MIN_DOCS, copies_once: bool = False) -> DataFrame:
     """The kept documents with all their columns, their text without the frequent lines."""
-    verdicts = judge(docs, id_col=id_col, host_col=host_col, text_col=text_col, min_docs=min_docs, per_share=per_share)
+    since = live_cuts()
+    verdicts = judge(docs, id_col=id_col, host_col=host_col, text_col=text_col, min_docs=min_docs, copies_once=copies_once)
     host, key, copies, kept_, removed = free_names(docs, "_host", "_key", "_copies", "_kept", "_removed")
-    v = cut(verdicts.groupBy(F.col("host").alias(host), F.col("text_key").alias(key)).agg(F.count("*").alias(copies), F.first("kept").alias(kept_), F.first("removed").alias(removed)).where(kept_))
+    v = verdicts.groupBy(F.col("host").alias(host), F.col("text_key").alias(key)).agg(F.count("*").alias(copies), F.first("kept").alias(kept_), F.first("removed").alias(removed)).where(kept_)
     keyed = docs.withColumn(host, F.col(host_col).cast("string")).withColumn(key, F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")))))
-    kept = hot_join(keyed, v, [host, key], copies, docs.count()).drop(host, key, copies, kept_)
+    joined = hot_join(keyed, v, [host, key], copies, docs.count())
+    tidy(docs.sparkSession, since, joined)
+    kept = joined.drop(host, key, copies, kept_)
     at, length_at = docs.columns.index(text_col), docs.columns.index(length_col) if length_col in docs.columns else None
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,7 +153,7 @@ def clean(docs: DataFrame, *, id_col: str = "doc_id", host_col: str = "source",
             for i, gone in enumerate(b.column(b.num_columns - 1).to_pylist()):
                 if gone:
                     gone = set(gone)
-                    texts[i] = "\n".join(x for x in texts[i].split("\n") if not x.strip() or line_key(x.encode()) not in gone)
+                    texts[i] = "\n".join(x for x in texts[i].split("\n") if not x.encode().split() or line_key(x.encode()) not in gone)
                     if lengths is not None:
                         lengths[i] = len(texts[i])
             cols = list(b.columns[:-1])
@@ -166,15 +179,12 @@ tri as (
 rep as (
   select r, count(distinct p) as n from (select tri.r, unnest([i, i + 1, i + 2]) as p from tri join (select r, t from tri group by r, t having count(*) > 1) x on tri.r = x.r and tri.t = x.t) group by r),
 lines as (
-  select r, host, text, k, line, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm,
+  select r, doc_id, host, text, k, line, trim(regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') as norm,
          length(regexp_replace(line, '[\x20\x09-\x0D]+', '', 'g')) as chars
-  from (select r, host, text, unnest(range(1, len(l) + 1)) as k, unnest(l) as line from (select r, host, text, string_split(text, chr(10)) as l from d))),
+  from (select r, doc_id, host, text, unnest(range(1, len(l) + 1)) as k, unnest(l) as line from (select r, doc_id, host, text, string_split(text, chr(10)) as l from d))),
 worded as (select * from lines where chars > 0),
 dup as (select r, sum(n - 1) as n from (select r, line, count(*) as n from worded group by r, line) group by r),
-host_docs as (select host, count(distinct text) as n from d group by host),
-freq as (
-  select f.host, f.norm from (select host, norm, count(distinct text) as n from worded group by host, norm) f
-  join host_docs h on f.host is not distinct from h.host where f.n > 20 and f.n * 20 > h.n),
+freq as (select host, norm from worded group by host, norm having count(distinct doc_id) + count(distinct case when doc_id is null then r end) > 20),
 gone as (select r, sum(chars) as n from worded join freq on worded.norm = freq.norm and worded.host is not distinct from freq.host group by r),
 base as (
   select w.r, w.doc_id, len(w.w) as n_words, length(regexp_replace(w.text, '[\x20\x09-\x0D]+', '', 'g')) as word_chars,
