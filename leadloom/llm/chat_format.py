@@ -1,24 +1,27 @@
 """Chat formatting by multi-party perspective rotation.
 
-For every participant of a conversation the dialogue is rendered with that
-speaker as assistant and all others as users named by their role; the system
-turns stay system. A mask says which characters are to be learned: the
-assistant's contents with the end mark.
-
-A conversation of up to ``segment_turns`` turns is one sample per participant. A
-longer one comes in segments of that many turns, counted by their place in the
-dialogue, so no task holds more than a segment at once, whatever the turn numbers
-are. Every participant of the conversation gets a sample of every segment, also of
-those in which it is silent, so that its segments together are the whole dialogue.
-A segment starts with the system texts of the segments before, each once, in the
-order of their first turn; they are in the text but not in n_turns.
+For every participant of a conversation the whole dialogue is rendered with that
+speaker as assistant and all others as named users; the system turns stay system.
+A mask says which characters are to be learned: the assistant's contents with the
+end mark.
+
+A participant is a role as it stands in the table. Its name in a header is the role
+with other characters than letters, digits, _ and - as _; if several roles of a
+conversation give one name, the unchanged one keeps it and the others get .2, .3 ...
+
+One row holds one participant's rendering. Only where a conversation has more than
+``part_turns`` turns, which no dialogue has, its rendering is laid over several
+rows, so that no task holds a conversation whatever its size: the rows' texts,
+joined by a newline in the order of ``part``, are the rendering. ``start`` is a
+row's place in it, and masks count from the rendering's first character. Places are
+found by ranges of the rows' order, not by turn numbers.
 
 Defined cases: a null text is an empty turn, a null role speaks as ``unknown``.
 Turns are ordered by number, ties by role and text; a null number comes first;
-repeated rows are turns of their own. A conversation of
-system turns alone has no participant and no sample. Null conv_ids are one
-conversation. Marks that occur in a text are broken up with a zero-width space, so
-a text can't forge a turn. Other columns play no part.
+repeated rows are turns of their own. A conversation of system turns alone has no
+participant and no sample. Null conv_ids are one conversation. Marks that occur in a
+text are broken up with a zero-width space, so a text can't forge a turn. Other
+columns play no part.
 """
 
 from __future__ import annotations
@@ -26,10 +29,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import cut, hot_join, table
+from .common import cut, hot_join, live_cuts, table, tidy
 
 START, END = "<|start|>", "<|end|>"
-SEGMENT_TURNS = 256
+#: Turns of a conversation in one row.
+PART_TURNS = 65_536
+TURN = ["turn", "role", "body"]
 
 
 def safe(text: Column) -> Column:
@@ -41,6 +46,24 @@ def name_of(role: Column) -> Column:
     return F.coalesce(F.regexp_replace(role, "[^A-Za-z0-9_-]+", "_"), F.lit("unknown"))
 
 
+def candidate(role: Column) -> Column:
+    """A role with its name; sorted, the role that is its own name comes first of those with one name."""
+    name = name_of(role)
+    return F.struct(name.alias("name"), (~name.eqNullSafe(role)).alias("changed"), role.alias("role"))
+
+
+def named(candidates: Column) -> Column:
+    """An array of distinct candidates with unique names, in the order of the names."""
+    roles = F.sort_array(candidates)
+    first = lambda c: F.array_position(F.transform(roles, lambda x: x["name"]), c["name"])
+
+    def one(c: Column, i: Column) -> Column:
+        k = i.cast("long") + 2 - first(c)
+        return F.named_struct(F.lit("role"), c["role"], F.lit("name"), F.when(k > 1, F.concat(c["name"], F.lit("."), k.cast("string"))).otherwise(c["name"]))
+
+    return F.transform(roles, one)
+
+
 def place(rows: DataFrame) -> DataFrame:
     """The rows with ``at``, their place in the conversation from 0, without bringing a conversation into one task.
 
@@ -48,70 +71,70 @@ def place(rows: DataFrame) -> DataFrame:
     conversation's rows of its range, plus their number in the ranges before. Only
     the first conversation of a range has rows in ranges before.
     """
-    order = ["conv_id", "turn", "name", "body", "tie"]
-    ranged = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange(*order)
+    ranged = rows.withColumn("tie", F.monotonically_increasing_id()).repartitionByRange("conv_id", *TURN, "tie")
     ranged = cut(ranged.withColumn("range", F.spark_partition_id()))
     sizes = ranged.groupBy("conv_id", "range").agg(F.count("*").alias("n"))
     earlier = Window.partitionBy("conv_id").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     before = sizes.select(F.col("conv_id").alias("_conv"), F.col("range").alias("_range"), F.sum("n").over(earlier).alias("before")).where("before is not null")
-    inside = ranged.withColumn("at", F.row_number().over(Window.partitionBy("conv_id", "range").orderBy("turn", "name", "body", "tie")) - 1)
+    inside = ranged.withColumn("at", F.row_number().over(Window.partitionBy("conv_id", "range").orderBy(*TURN, "tie")) - 1)
     out = inside.join(F.broadcast(before), inside["conv_id"].eqNullSafe(before["_conv"]) & (inside["range"] == before["_range"]), "left")
     return out.select(*rows.columns, (F.col("at") + F.coalesce("before", F.lit(0))).alias("at"))
 
 
-def segments(rows: DataFrame, conversations: DataFrame, system: str, segment_turns: int) -> DataFrame:
-    """Per conversation and segment of long conversations: its turns, the system turns before it and all participants."""
-    turn = F.struct("turn", "name", "body")
-    placed = cut(place(rows).withColumn("segment", F.floor(F.col("at") / segment_turns).cast("long")))
-    whole = placed.groupBy("conv_id", "segment").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    first = placed.where(F.col("name") == system).groupBy("conv_id", "body").agg(F.min("at").alias("at"), F.min_by(turn, "at").alias("t"))
-    held = first.groupBy(F.col("conv_id").alias("_conv")).agg(F.sort_array(F.collect_list(F.struct("at", "t"))).alias("system"))
-    known = conversations.join(held, conversations["conv_id"].eqNullSafe(held["_conv"]), "left").select("conv_id", "speakers", "system", F.ceil(F.col("n") / segment_turns).alias("n_segments"))
-    known = cut(known)
-    total = known.agg(F.sum("n_segments")).first()[0] or 0
-    out = hot_join(whole, known, ["conv_id"], "n_segments", total)
-    carried = F.filter(F.col("system"), lambda s: s["at"] < F.col("segment") * segment_turns)
-    return out.select("conv_id", "segment", "turns", F.coalesce(F.transform(carried, lambda s: s["t"]), F.slice("turns", 1, 0)).alias("carried"), "speakers")
-
-
-def rotate(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", system: str = "system", segment_turns: int = SEGMENT_TURNS) -> DataFrame:
-    """Per conversation, segment and participant: text, n_turns, n_masked and mask (start and end of learned characters)."""
-    rows = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), name_of(F.col(role_col)).alias("name"), safe(F.col(text_col)).alias("body"))
-    named = F.array_sort(F.collect_set(F.when(F.col("name") != system, F.col("name"))))
-    long = cut(rows.groupBy("conv_id").agg(F.count("*").alias("n"), named.alias("speakers")).where(F.col("n") > segment_turns))
-    short = rows
-    if not long.isEmpty():
-        sorted_out = hot_join(rows, long.select("conv_id", "n"), ["conv_id"], "n", rows.count(), "left")
-        short = sorted_out.where("n is null").drop("n")
-    whole = short.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "name", "body"))).alias("turns"))
-    speakers = F.array_sort(F.array_distinct(F.filter(F.transform("turns", lambda t: t["name"]), lambda n: n != system)))
-    whole = whole.select("conv_id", F.lit(0).cast("long").alias("segment"), "turns", F.slice("turns", 1, 0).alias("carried"), speakers.alias("speakers"))
-    if short is not rows:
-        whole = whole.unionByName(segments(sorted_out.where("n is not null").drop("n"), long, system, segment_turns))
-    each = whole.select("conv_id", "segment", F.concat("carried", "turns").alias("turns"), F.size("turns").cast("long").alias("n_turns"), F.explode("speakers").alias("participant"))
+def rotate(turns: DataFrame, *, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text", system: str = "system", part_turns: int = PART_TURNS) -> DataFrame:
+    """Per conversation, part and participant: participant (its name), role, n_turns, n_masked, start, text and mask (start and end of learned characters)."""
+    since = live_cuts()
+    rows = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).alias("turn"), F.col(role_col).cast("string").alias("role"), safe(F.col(text_col)).alias("body"))
+    speaks = ~F.col("role").eqNullSafe(system)
+    long = cut(rows.groupBy("conv_id").agg(F.count("*").alias("n"), F.collect_set(F.when(speaks, candidate(F.col("role")))).alias("roles")).where(F.col("n") > part_turns))
+    split = not long.isEmpty()
+    total = rows.count() if split else 0
+    marked = hot_join(rows, long.select("conv_id", "n"), ["conv_id"], "n", total, "left") if split else rows
+    short = marked.where("n is null").drop("n") if split else rows
+    turn = F.struct(*TURN)
+    whole = short.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+    own = F.filter("turns", lambda t: ~t["role"].eqNullSafe(system))
+    whole = whole.select("conv_id", F.lit(0).cast("long").alias("part"), "turns", named(F.array_distinct(F.transform(own, lambda t: candidate(t["role"])))).alias("speakers"))
+    if split:
+        placed = cut(place(marked.where("n is not null").drop("n")).withColumn("part", F.floor(F.col("at") / part_turns).cast("long")))
+        parts = placed.groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
+        sized = long.select("conv_id", F.ceil(F.col("n") / part_turns).alias("n_parts"), named(F.col("roles")).alias("speakers"))
+        parts = hot_join(parts, sized, ["conv_id"], "n_parts", total // part_turns + 1)
+        tidy(turns.sparkSession, [*since, marked.cut_path], placed, parts)
+        whole = whole.unionByName(parts.select("conv_id", "part", "turns", "speakers"))
+    else:
+        tidy(turns.sparkSession, since)
+
+    def spoken(t: Column) -> Column:
+        name = F.element_at(F.filter("speakers", lambda s: s["role"].eqNullSafe(t["role"])), 1)["name"]
+        return F.named_struct(F.lit("name"), F.when(t["role"].eqNullSafe(system), F.lit(None)).otherwise(name), F.lit("body"), F.concat(t["body"], F.lit(END)))
+
+    each = whole.select("conv_id", "part", F.transform("turns", spoken).alias("turns"), F.explode("speakers").alias("speaker"))
 
     def head(t: Column) -> Column:
-        who = F.when(t["name"] == F.col("participant"), F.lit("assistant")).when(t["name"] == system, F.lit("system")).otherwise(F.concat(F.lit("user name="), t["name"]))
+        who = F.when(t["name"].isNull(), F.lit("system")).when(t["name"] == F.col("speaker.name"), F.lit("assistant")).otherwise(F.concat(F.lit("user name="), t["name"]))
         return F.concat(F.lit(START), who, F.lit("\n"))
 
-    parts = F.transform("turns", lambda t: F.struct(head(t).alias("head"), F.concat(t["body"], F.lit(END)).alias("body"), (t["name"] == F.col("participant")).alias("own")))
-    laid = each.select("conv_id", "segment", "participant", "n_turns", parts.alias("parts"))
+    laid = each.select("conv_id", "part", "speaker", F.transform("turns", lambda t: F.struct(head(t).alias("head"), t["body"].alias("body"), t["name"].eqNullSafe(F.col("speaker.name")).alias("own"))).alias("parts"))
     # offsets are running sums of the lengths of what stands before
-    start = F.struct(F.lit(0).cast("int").alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("mask"))
+    start = F.struct(F.lit(0).cast("long").alias("at"), F.array().cast("array<struct<start:bigint,end:bigint>>").alias("mask"))
 
     def step(acc: Column, p: Column) -> Column:
         a = acc["at"] + F.length(p["head"])
         b = a + F.length(p["body"])
-        own = F.array(F.struct(a.cast("int").alias("start"), b.cast("int").alias("end")))
-        return F.struct((b + 1).cast("int").alias("at"), F.when(p["own"], F.concat(acc["mask"], own)).otherwise(acc["mask"]).alias("mask"))
+        own = F.array(F.struct(a.alias("start"), b.alias("end")))
+        return F.struct((b + 1).alias("at"), F.when(p["own"], F.concat(acc["mask"], own)).otherwise(acc["mask"]).alias("mask"))
 
-    out = laid.select(
-        "conv_id", "segment", "participant", "n_turns",
-        F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"])), "\n").alias("text"),
-        F.aggregate("parts", start, step)["mask"].alias("mask"),
-    )
-    masked = F.aggregate("mask", F.lit(0).cast("long"), lambda n, m: n + m["end"] - m["start"])
-    return out.select(F.col("conv_id").alias(conv_col), "segment", "participant", "n_turns", masked.alias("n_masked"), "text", "mask")
+    text = F.array_join(F.transform("parts", lambda p: F.concat(p["head"], p["body"])), "\n")
+    out = laid.select("conv_id", "part", "speaker", F.size("parts").cast("long").alias("n_turns"), text.alias("text"), F.aggregate("parts", start, step).alias("s"))
+    begin = F.lit(0).cast("long")
+    if split:  # a row's start is the length of the parts before, with their newlines
+        before = Window.partitionBy("conv_id", "speaker").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn("begin", F.coalesce(F.sum("s.at").over(before), F.lit(0)))
+        begin = F.col("begin")
+    mask = F.transform("s.mask", lambda m: F.struct((m["start"] + begin).alias("start"), (m["end"] + begin).alias("end")))
+    masked = F.aggregate("s.mask", F.lit(0).cast("long"), lambda n, m: n + m["end"] - m["start"])
+    return out.select(F.col("conv_id").alias(conv_col), "part", F.col("speaker.name").alias("participant"), F.col("speaker.role").alias("role"), "n_turns", masked.alias("n_masked"), begin.alias("start"), "text", mask.alias("mask"))
 
 
 def op1_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -122,19 +145,20 @@ def op1_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP1_SQL = """
 with t as (
-  select conv_id, coalesce(cast(floor(turn / 256) as bigint), 0) as segment, turn,
-         coalesce(regexp_replace(role, '[^A-Za-z0-9_-]+', '_', 'g'), 'unknown') as name, replace(coalesce(text, ''), '<|', '<' || chr(8203) || '|') as body
+  select conv_id, turn, role, coalesce(regexp_replace(role, '[^A-Za-z0-9_-]+', '_', 'g'), 'unknown') as clean, replace(coalesce(text, ''), '<|', '<' || chr(8203) || '|') as body
   from conversations),
-p as (select distinct conv_id, segment, name as participant from t where name <> 'system'),
+n as (
+  select conv_id, role, clean || case when k > 1 then '.' || k else '' end as name
+  from (select conv_id, role, clean, row_number() over (partition by conv_id, clean order by clean is distinct from role, role nulls first) as k from (select distinct conv_id, role, clean from t where role is distinct from 'system'))),
 r as (
-  select p.conv_id, p.segment, p.participant, t.turn, t.name, t.body, t.name = p.participant as own,
-         '<|start|>' || case when t.name = p.participant then 'assistant' when t.name = 'system' then 'system' else 'user name=' || t.name end || chr(10) as head
-  from p join t on p.conv_id is not distinct from t.conv_id and p.segment = t.segment),
+  select p.conv_id, p.name as participant, p.role as own_role, t.turn, t.role, t.body, t.role is not distinct from p.role as own,
+         row_number() over (partition by p.conv_id, p.name order by t.turn nulls first, t.role nulls first, t.body) as k,
+         '<|start|>' || case when t.role is not distinct from p.role then 'assistant' when t.role = 'system' then 'system' else 'user name=' || n.name end || chr(10) as head
+  from n p join t on p.conv_id is not distinct from t.conv_id left join n on t.conv_id is not distinct from n.conv_id and t.role is not distinct from n.role),
 o as (
-  select *, coalesce(sum(length(head) + length(body) + 8) over (partition by conv_id, segment, participant order by turn nulls first, name, body rows between unbounded preceding and 1 preceding), 0) + length(head) as a,
-         row_number() over (partition by conv_id, segment, participant order by turn nulls first, name, body) as k from r)
-select conv_id, segment, participant, count(*) as n_turns, cast(sum(case when own then length(body) + 7 else 0 end) as bigint) as n_masked,
+  select *, (k - 1) // 65536 as part, coalesce(sum(length(head) + length(body) + 8) over (partition by conv_id, participant order by k rows between unbounded preceding and 1 preceding), 0) as z from r)
+select conv_id, part, participant, own_role as role, count(*) as n_turns, cast(sum(case when own then length(body) + 7 else 0 end) as bigint) as n_masked, cast(min(z) as bigint) as start,
        string_agg(head || body || '<|end|>', chr(10) order by k) as text,
-       string_agg(case when own then cast(a as bigint) || '-' || cast(a + length(body) + 7 as bigint) end, ',' order by k) as mask
-from o group by conv_id, segment, participant
+       coalesce(string_agg(case when own then cast(z + length(head) as bigint) || '-' || cast(z + length(head) + length(body) + 7 as bigint) end, ',' order by k), '') as mask
+from o group by conv_id, part, participant, own_role
 """

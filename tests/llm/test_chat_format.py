@@ -1,11 +1,24 @@
 from leadloom.llm import chat_format as C
 
+from .. import oracle
+
 TURNS = "conv_id long, turn long, role string, text string, mask string"
 
 
 def rendered(spark, rows, **own):
     df = spark.createDataFrame([(*r, "clash") for r in rows], TURNS)
-    return {(r.conv_id, r.segment, r.participant): r for r in C.rotate(df, **own).collect()}
+    return {(r.conv_id, r.part, r.participant): r for r in C.rotate(df, **own).collect()}
+
+
+def by_hand(rows, who, names):
+    """The rendering for a role, and its masked stretches; names: role to name."""
+    text, learned = [], []
+    for _, role, body in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "", r[2])):
+        head = "assistant" if role == who and role != "system" else "system" if role == "system" else f"user name={names[role]}"
+        text.append(f"<|start|>{head}\n{body}<|end|>")
+        if head == "assistant":
+            learned.append(f"{body}<|end|>")
+    return "\n".join(text), learned
 
 
 def test_each_speaker_in_turn(spark):
@@ -26,31 +39,45 @@ def test_awkward_turns(spark):
     assert rendered(spark, []) == {}
 
 
-def test_long_conversations_come_in_segments(spark):
-    rows = [(1, i, "ab"[i % 2], str(i)) for i in range(1000)]
-    got = rendered(spark, rows, segment_turns=100)
-    assert len(got) == 20
-    assert sum(r.n_turns for k, r in got.items() if k[2] == "a") == 1000
+def test_roles_that_give_one_name_stay_apart(spark):
+    rows = [(1, 0, "ann b", "one"), (1, 1, "ann_b", "two"), (1, 2, "ann  b", "three"), (1, 3, None, "four"), (1, 4, "unknown", "five"), (1, 5, " system", "six")]
+    got = {r.role: r for r in rendered(spark, rows).values()}
+    names = {r.role: r.participant for r in got.values()}
+    assert names == {"ann_b": "ann_b", "ann  b": "ann_b.2", "ann b": "ann_b.3", "unknown": "unknown", None: "unknown.2", " system": "_system"}
+    for role, r in got.items():
+        text, learned = by_hand([x[1:] for x in rows], role, names)
+        assert r.text == text and [r.text[m.start : m.end] for m in r.mask] == learned and len(learned) == 1
 
 
-def test_long_conversations_stay_whole(spark):
-    rows = [(1, 0, "system", "be kind")] + [(1, 1, "ab"[i % 2], f"{i:04}") for i in range(60)] + [(1, None, "c", "first"), (1, 900, "system", "be brief"), (1, 901, "a", "end"), (2, 700, "x", "alone")]
-    got = rendered(spark, rows, segment_turns=10)
-    assert set(got) == {(1, s, p) for s in range(7) for p in "abc"} | {(2, 0, "x")}
-    spoken = [(None, "c", "first"), (0, "system", "be kind"), *sorted((1, "ab"[i % 2], f"{i:04}") for i in range(60)), (900, "system", "be brief"), (901, "a", "end")]
-    for who in "abc":
-        for s in range(7):
-            part = spoken[10 * s : 10 * s + 10]
-            turns = [("system", "be kind")] * (s > 0) + [(n, b) for _, n, b in part]
-            heads = ["assistant" if n == who else "system" if n == "system" else f"user name={n}" for n, _ in turns]
-            r = got[1, s, who]
-            assert r.text == "\n".join(f"<|start|>{h}\n{b}<|end|>" for h, (_, b) in zip(heads, turns, strict=True))
-            assert r.n_turns == len(part)
-            assert [r.text[m.start : m.end] for m in r.mask] == [f"{b}<|end|>" for n, b in turns if n == who]
-
-
-def test_equal_and_unnumbered_turns_are_bounded(spark):
-    rows = [(None, None, "ab"[i % 2], "same") for i in range(700)]
+def test_long_conversations_are_whole(spark):
+    rows = [(1, 0, "system", "be kind")] + [(1, i, "ab"[i % 2], f"{i:04}") for i in range(1, 1001)]
     got = rendered(spark, rows)
-    assert set(got) == {(None, s, p) for s in range(3) for p in "ab"}
-    assert [got[None, s, "b"].n_turns for s in range(3)] == [256, 256, 188]
+    assert set(got) == {(1, 0, "a"), (1, 0, "b")}
+    for who in "ab":
+        r = got[1, 0, who]
+        text, learned = by_hand([x[1:] for x in rows], who, {"a": "a", "b": "b"})
+        assert (r.text, r.n_turns, r.start) == (text, 1001, 0) and [r.text[m.start : m.end] for m in r.mask] == learned
+
+
+def test_parts_make_up_the_whole(spark):
+    rows = [(1, 0, "system", "be kind")] + [(1, 1, "ab"[i % 2], f"{i:04}") for i in range(60)] + [(1, None, "c", "first"), (1, 900, "system", "be brief"), (1, 901, "a", "end"), (2, 700, "x", "alone")]
+    rows += [(None, None, "ab"[i % 2], "same") for i in range(35)]
+    want, got = rendered(spark, rows), rendered(spark, rows, part_turns=10)
+    assert {k for k in got if k[0] == 1} == {(1, s, p) for s in range(7) for p in "abc"}
+    assert all(r.n_turns <= 10 for r in got.values())
+    for (conv, _, who), r in want.items():
+        parts = [got[k] for k in sorted((k for k in got if (k[0], k[2]) == (conv, who)), key=lambda k: k[1])]
+        assert "\n".join(p.text for p in parts) == r.text
+        assert [tuple(m) for p in parts for m in p.mask] == [tuple(m) for m in r.mask]
+        assert all(r.text[p.start : p.start + len(p.text)] == p.text for p in parts)
+
+
+def test_awkward_rows_against_sql(spark, tmp_path):
+    rows = [(1, i, r, t) for i, (r, t) in enumerate([("a b", "x"), ("a_b", "<|y"), (None, None), ("system", "s"), ("unknown", "z")])] + [(None, None, "u", "n"), (None, None, "u", "n"), (3, 1, "system", "only"), (4, None, "ü", "漢字")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], TURNS)
+    df.coalesce(1).write.parquet(f"{tmp_path}/conversations.parquet")
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql(f"create view conversations as select * from '{tmp_path}/conversations.parquet/*.parquet'")
+    oracle.assert_same(C.op1_chat_rotation(spark, str(tmp_path)), con, C.OP1_SQL)
