@@ -6,18 +6,22 @@ changed characters). Cut into k + 1 pieces, a notice that occurs with at most k
 edits holds one of its pieces unchanged (pigeonhole principle), so an
 Aho-Corasick automaton over all pieces finds every candidate in one pass over the
 text. Around candidates only, the regex library's bounded-error matching
-verifies the edits and gives the span: the best match of a stretch first, then
-those of what stands before and behind it.
+verifies the edits and gives the span. Each candidate is searched in a window of
+its own, no longer than the notice and a few times k, so the time is linear in the
+text whatever repeats in it. Of one notice's matches that overlap the best stays,
+the first of equal ones; what is left of a window beside better matches is searched
+again.
 
 Besides, plain phrases are counted exactly, word by word (``PHRASES``).
 
 Defined cases: a null text is an empty one; texts without hits have empty labels
-and score 0. Every row gives one row. Overlapping candidates of one notice are
-verified together, and matches of one notice don't overlap.
+and score 0. Every row gives one row. Matches of one notice don't overlap.
 """
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import re
 from collections.abc import Iterator
 from functools import lru_cache
@@ -53,6 +57,7 @@ NOTICES = (
     ("free and unencumbered software released into the public domain", "unlicense"),
 )
 CHARS_PER_ERROR = 12
+CELL = 128
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 HITS = pa.list_(pa.struct([("label", pa.string()), ("notice", pa.string()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())]))
@@ -70,7 +75,7 @@ class Finder:
     """The automaton over all pieces, and the bounded-error pattern of each notice."""
 
     def __init__(self, notices: tuple[tuple[str, str], ...], chars_per_error: int):
-        self.notices, seeds = [], {}
+        self.notices, self.known, seeds = [], {}, {}
         for at, (notice, label) in enumerate(notices):
             errors = len(notice) // chars_per_error
             self.notices.append((notice, label, errors, regex.compile(f"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={errors}}}")))
@@ -81,41 +86,73 @@ class Finder:
             self.automaton.add_word(piece, (len(piece), owners))
         self.automaton.make_automaton()
 
-    def candidates(self, text: str) -> dict[int, list[list[int]]]:
-        """Per notice, the merged stretches of text in which it may lie."""
-        out: dict[int, list[list[int]]] = {}
+    def candidates(self, text: str) -> dict[int, list[tuple[int, int]]]:
+        """Per notice, the windows of text in which it may lie, each for seeds whose places agree up to the errors."""
+        starts: dict[int, set[int]] = {}
         for end, (size, owners) in self.automaton.iter(text):
             for at, offset in owners:
-                notice, _, errors, _ = self.notices[at]
-                a, b = max(0, end + 1 - size - offset - errors), end + 1 - size - offset + len(notice) + errors
-                found = out.setdefault(at, [])
-                if found and a <= found[-1][1]:
-                    found[-1] = [min(a, found[-1][0]), max(b, found[-1][1])]
+                starts.setdefault(at, set()).add(end + 1 - size - offset)
+        out = {}
+        for at, found in starts.items():
+            notice, _, errors, _ = self.notices[at]
+            windows, first = [], None
+            for p in sorted(found):
+                if first is None or p > first + errors:
+                    first = p
+                    windows.append((p, p))
                 else:
-                    found.append([a, b])
+                    windows[-1] = (first, p)
+            out[at] = [(max(0, a - errors), min(len(text), b + len(notice) + errors)) for a, b in windows]
         return out
 
+    def best_in(self, at: int, part: str) -> tuple[int, int, int] | None:
+        """(start, end, edits) of a notice's best match in a short text; remembered, because windows repeat."""
+        if (at, part) in self.known:
+            return self.known[at, part]
+        m = self.notices[at][3].search(part)
+        if len(self.known) > 20_000:
+            self.known.clear()
+        self.known[at, part] = found = (m.start(), m.end(), sum(m.fuzzy_counts)) if m else None
+        return found
+
     def find(self, text: str) -> list[tuple[str, str, int, int, int]]:
         """(label, notice, start, end, edits) of verified matches."""
         out = []
-        for at, stretches in self.candidates(text).items():
-            notice, label, errors, pattern = self.notices[at]
-            todo = [(a, min(b, len(text))) for a, b in stretches]
-            while todo:
-                a, b = todo.pop()
-                if b - a >= len(notice) - errors and (m := pattern.search(text, a, b)):
-                    out.append((label, notice, m.start(), m.end(), sum(m.fuzzy_counts)))
-                    todo += [(a, m.start()), (m.end(), b)]
+        for at, windows in self.candidates(text).items():
+            notice, label, errors, _ = self.notices[at]
+            heap: list[tuple[int, int, int, int, int]] = []
+
+            def look(a: int, b: int, at=at, least=len(notice) - errors, heap=heap):
+                if b - a >= least and (m := self.best_in(at, text[a:b])):
+                    heapq.heappush(heap, (m[2], a + m[0], a + m[1], a, b))
+
+            for a, b in windows:
+                look(a, b)
+            taken: list[tuple[int, int]] = []  # in order, not overlapping
+            while heap:
+                edits, first, last, a, b = heapq.heappop(heap)
+                near = bisect.bisect_left(taken, (first, first))
+                before, behind = taken[near - 1] if near else None, taken[near] if near < len(taken) else None
+                over = before if before and before[1] > first else behind if behind and behind[0] < last else None
+                if over is None:
+                    taken.insert(near, (first, last))
+                    out.append((label, notice, first, last, edits))
+                    over = first, last
+                look(a, min(b, over[0]))
+                look(max(a, over[1]), b)
         return sorted(best_of(out), key=lambda x: (x[2], x[3], x[0], x[1]))
 
 
 def best_of(found: list[tuple[str, str, int, int, int]]) -> list[tuple[str, str, int, int, int]]:
     """Where matches of different labels overlap, those with the fewest edits a character; ties all stay."""
     kept: list[tuple[str, str, int, int, int]] = []
+    cells: dict[int, list] = {}  # kept matches by the stretches of CELL characters that they touch
     for x in sorted(found, key=lambda x: (x[4] / len(x[1]), -len(x[1]), x[2], x[1])):
-        rate = x[4] / len(x[1])
-        if all(y[0] == x[0] or y[3] <= x[2] or x[3] <= y[2] or y[4] / len(y[1]) == rate for y in kept):
+        rate, own = x[4] / len(x[1]), range(x[2] // CELL, x[3] // CELL + 1)
+        if all(y[0] == x[0] or y[3] <= x[2] or x[3] <= y[2] or y[4] / len(y[1]) == rate for c in own for y in cells.get(c, ())):
             kept.append(x)
+            for c in own:
+                cells.setdefault(c, []).append(x)
     return kept
 
 
@@ -126,9 +163,11 @@ def finder(notices: tuple[tuple[str, str], ...], chars_per_error: int) -> Finder
 
 def phrase_places(joined: bytes, phrase: str) -> list[int]:
     """Word positions at which the phrase's words stand; joined: the words between single spaces, one at either end too."""
-    key, out, at = b" " + phrase.encode() + b" ", [], -1
+    key, out, at, last, n = b" " + phrase.encode() + b" ", [], -1, 0, 0
     while (at := joined.find(key, at + 1)) >= 0:
-        out.append(joined.count(b" ", 0, at))
+        n += joined.count(b" ", last, at)
+        last = at
+        out.append(n)
     return out
 
 
@@ -141,8 +180,9 @@ def scan_text(raw: bytes | None, search: Finder, phrases=PHRASES) -> tuple:
     found = search.find(text)
     if found:
         at = [m.span() for m in _WORD.finditer(raw.decode())]
+        spaces = [m.start() for m in re.finditer(" ", text)]
         for label, notice, a, b, edits in found:
-            first, last = text.count(" ", 0, a), text.count(" ", 0, max(a, b - 1))
+            first, last = bisect.bisect_left(spaces, a), bisect.bisect_left(spaces, max(a, b - 1))
             hits.append({"label": label, "notice": notice, "start_word": first, "end_word": last + 1, "start": at[first][0], "end": at[last][1], "edits": edits})
     base = {label for _, label in places}
     score = 1.0 if places else max((1 - h["edits"] / len(h["notice"]) for h in hits), default=0.0)
