@@ -3,9 +3,14 @@
 Every benchmark item gives its windows of ``width`` words (an item of fewer
 words, but not none, is one window). The windows go to the executors as one
 compact index; each document is scanned once, candidate windows are found by a
-rolling hash and verified word by word. The index is broadcast only while the
-benchmark's text is below ``broadcast_chars``; a larger benchmark is joined on
-window digests instead.
+rolling hash and verified word by word.
+
+The index takes about a hundred bytes a benchmark word, on the driver and in every
+Python worker, so it is broadcast only for a benchmark of up to ``index_words``
+words. A larger one stays a table: a bit filter of its window hashes, of fixed size,
+is broadcast instead, and only the windows of documents that pass it are joined
+with the benchmark's by digest. Items are named once per set of items and
+combination of sets, not per hit. Both ways give the same rows.
 
 Defined cases: a null or wordless text has no words and no hits. Benchmark rows
 with a null item_id still mark words as hit but are no item. A repeated item_id
@@ -21,51 +26,55 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, free_names, pieces_of, table, words
+from .common import cut, free_names, hot_join, live_cuts, pieces_of, table, tidy, words
 
 WIDTH = 13
-#: Largest benchmark, in characters, whose windows are broadcast.
-BROADCAST_CHARS = 32_000_000
+#: Largest benchmark, in words, whose windows are broadcast: an index of 50 MB.
+INDEX_WORDS = 500_000
+BYTES_PER_WORD = 100
+#: Bits of the filter for larger ones: 16 MB.
+FILTER_BITS = 1 << 27
 
 #: A word in a text whose A-Z are not lower-cased yet.
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 SCAN = "n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, spans array<struct<start:int,end:int>>"
 
 
-def item_windows(ws: list[bytes], width: int) -> set[tuple[bytes, ...]]:
-    return {tuple(ws[i : i + width]) for i in range(max(1, len(ws) - width + 1))} if ws else set()
-
-
 class WindowIndex:
     """All windows of a benchmark as arrays: per length, sorted hashes with the words and the items of each."""
 
     def __init__(self, items: Iterable[tuple[object, str | None]], width: int = WIDTH):
-        owners: dict[tuple[bytes, ...], set[str]] = {}
-        for item_id, text in items:
-            for w in item_windows(words((text or "").encode()), width):
-                ids = owners.setdefault(w, set())
-                if item_id is not None:
-                    ids.add(str(item_id))
         self.vocab: dict[bytes, int] = {}
-        groups: dict[frozenset, int] = {}
-        by_len: dict[int, list[tuple[list[int], int]]] = {}
-        for w, ids in owners.items():
-            row = [self.vocab.setdefault(x, len(self.vocab)) for x in w]
-            by_len.setdefault(len(w), []).append((row, groups.setdefault(frozenset(ids), len(groups))))
-        self.groups = [sorted(g) for g in groups]
-        self.tables = [self._table(n, rows) for n, rows in sorted(by_len.items())]
+        names: dict[str | None, int] = {}
+        by_len: dict[int, list[tuple[np.ndarray, int]]] = {}
+        for item_id, text in items:
+            ws = words((text or "").encode())
+            if ws:
+                ids = np.fromiter((self.vocab.setdefault(x, len(self.vocab)) for x in ws), np.int32, len(ws))
+                n = min(width, len(ws))
+                by_len.setdefault(n, []).append((np.lib.stride_tricks.sliding_window_view(ids, n), names.setdefault(None if item_id is None else str(item_id), len(names))))
+        self.names, sets = list(names), {}
+        self.tables = [self._table(n, rows, sets) for n, rows in sorted(by_len.items())]
+        self.groups = [sorted(x for i in g if (x := self.names[i]) is not None) for g in sets]
 
     @staticmethod
-    def _table(n: int, rows: list[tuple[list[int], int]]):
-        matrix, owner = np.array([r for r, _ in rows], dtype=np.int64), np.array([g for _, g in rows], dtype=np.int64)
+    def _table(n: int, rows: list[tuple[np.ndarray, int]], sets: dict[tuple, int]):
+        owners = np.repeat(np.array([i for _, i in rows], np.int32), [len(w) for w, _ in rows])
+        matrix, back = np.unique(np.concatenate([w for w, _ in rows]), axis=0, return_inverse=True)
+        pairs = np.unique(np.stack((back.reshape(-1).astype(np.int32), owners), axis=1), axis=0)
+        of = np.split(pairs[:, 1], np.flatnonzero(np.diff(pairs[:, 0])) + 1)
+        owner = np.fromiter((sets.setdefault(tuple(x.tolist()), len(sets)) for x in of), np.int32, len(matrix))
         for seed in range(100):
             mult = np.random.default_rng(seed).integers(1, 2**63, n, dtype=np.uint64) | np.uint64(1)
-            hashes = ((matrix.astype(np.uint64) + np.uint64(1)) * mult).sum(axis=1, dtype=np.uint64)
+            hashes = np.zeros(len(matrix), np.uint64)
+            for k in range(n):
+                hashes += (matrix[:, k].astype(np.uint64) + np.uint64(1)) * mult[k]
             order = np.argsort(hashes)
-            if len(rows) < 2 or (np.diff(hashes[order]) != 0).all():
+            if len(matrix) < 2 or (np.diff(hashes[order]) != 0).all():
                 break
         else:
             raise ValueError("window hashes collide under every seed")
@@ -107,10 +116,14 @@ class WindowIndex:
         return turn, sorted(names)
 
 
-def verdict(n_words: int, stretches: np.ndarray, names: list[str]) -> tuple:
+def digest_of(names: list[str]) -> tuple[int, str]:
+    """How many items there are, and the digest of their sorted names."""
+    return len(names), hashlib.sha256(",".join(names).encode()).hexdigest()
+
+
+def verdict(n_words: int, stretches: np.ndarray, items: tuple[int, str]) -> tuple:
     n_hit = int((stretches[:, 1] - stretches[:, 0]).sum())
-    sha = hashlib.sha256(",".join(names).encode()).hexdigest()
-    return n_words, n_hit, len(names), sha, n_hit > 0 and 20 * n_hit >= n_words
+    return n_words, n_hit, *items, n_hit > 0 and 20 * n_hit >= n_words
 
 
 def char_spans(text: str, stretches: np.ndarray) -> list[tuple[int, int]]:
@@ -130,10 +143,11 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join([*keep, text[last:]])
 
 
-def load_index(benchmark: DataFrame, item_col: str, text_col: str, width: int, broadcast_chars: int) -> WindowIndex | None:
-    """The index, or None when the benchmark's text is above the bound."""
+def load_index(benchmark: DataFrame, item_col: str, text_col: str, width: int, index_words: int) -> WindowIndex | None:
+    """The index, or None when the benchmark is above the bound."""
     items = benchmark.select(F.col(item_col).cast("string").alias("i"), F.col(text_col).alias("t")).where("t is not null")
-    if (items.agg(F.sum(F.length("t") + 16)).first()[0] or 0) > broadcast_chars:
+    n_words, size = items.agg(F.sum(F.regexp_count("t", F.lit(_WORD.pattern))), F.sum(F.octet_length("t") + 16)).first()
+    if (n_words or 0) > index_words or (size or 0) > BYTES_PER_WORD * index_words:
         return None
     return WindowIndex(((r.i, r.t) for r in items.distinct().toLocalIterator()), width)
 
@@ -141,13 +155,14 @@ def load_index(benchmark: DataFrame, item_col: str, text_col: str, width: int, b
 FIELDS = pa.schema([("n_words", pa.int64()), ("n_hit", pa.int64()), ("n_items", pa.int64()), ("items_sha256", pa.string()), ("contaminated", pa.bool_()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))])
 
 
-def _locator(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, width: int, broadcast_chars: int):
-    """(docs, find): find(row batch) yields (text, words, stretches, item names) of each row.
+def _locator(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str, item_text_col: str, width: int, index_words: int):
+    """(docs, find): find(row batch) yields (text, words, stretches, number and digest of items) of each row.
 
     Below the bound the broadcast index finds them; above it the documents come
-    with two more columns at the end, the places and the items, from a join on window digests.
+    with three more columns at the end, the places, the items' number and their
+    digest, from a join on window digests.
     """
-    at, index = docs.columns.index(text_col), load_index(benchmark, item_col, item_text_col, width, broadcast_chars)
+    at, index = docs.columns.index(text_col), load_index(benchmark, item_col, item_text_col, width, index_words)
     if index is not None:
         shared = docs.sparkSession.sparkContext.broadcast(index)
 
@@ -155,93 +170,144 @@ def _locator(docs: DataFrame, benchmark: DataFrame, text_col: str, item_col: str
             found = shared.value
             for text in b.column(at):
                 ws = words(text.cast(pa.binary()).as_py()) if text.is_valid else []
-                yield text.as_py(), ws, *found.scan(ws)
+                stretches, names = found.scan(ws)
+                yield text.as_py(), ws, stretches, digest_of(names)
 
         return docs, scan
 
     def gather(b: pa.RecordBatch):
-        for text, places, names in zip(b.column(at).to_pylist(), b.column(b.num_columns - 2).to_pylist(), b.column(b.num_columns - 1).to_pylist(), strict=True):
+        for text, places, n, sha in zip(b.column(at).to_pylist(), *(b.column(b.num_columns - k).to_pylist() for k in (3, 2, 1)), strict=True):
             merged: list[list[int]] = []
             for p in places or []:
                 if merged and p["at"] <= merged[-1][1]:
                     merged[-1][1] = max(merged[-1][1], p["to"])
                 else:
                     merged.append([p["at"], p["to"]])
-            yield text, words((text or "").encode()), np.array(merged, np.int64).reshape(-1, 2), names or []
+            yield text, words((text or "").encode()), np.array(merged, np.int64).reshape(-1, 2), digest_of([]) if n is None else (n, sha)
 
     return _hits_by_join(docs, text_col, benchmark.select(F.col(item_col).cast("string").alias("item"), F.col(item_text_col).alias("t")), width), gather
 
 
-def _hits_by_join(docs: DataFrame, text_col: str, benchmark: DataFrame, width: int) -> DataFrame:
-    """The documents with the places (word positions) and the items of the windows that they share with a benchmark of any size.
+def window_hashes(ws: list[bytes], n: int) -> np.ndarray:
+    """A 64-bit hash of each window of n words."""
+    h = np.fromiter(map(xxhash.xxh3_64_intdigest, ws), np.uint64, len(ws))
+    m = max(0, len(ws) - n + 1)
+    out = np.full(m, n, np.uint64)
+    for k in range(n):
+        out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + h[k : k + m]
+    return out ^ (out >> np.uint64(32))
 
-    Windows of both sides meet by a 128-bit digest of their words. Equal texts
-    are looked up once, windows of the benchmark are one row per window and item.
-    """
+
+def window_digest(ws: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(ws), digest_size=16).digest()
+
+
+def bit_filter(targets: DataFrame) -> np.ndarray:
+    """FILTER_BITS bits, those set at which a target's hash lies: a fixed size, added up by the executors."""
+    place = F.expr(f"(hash & {FILTER_BITS - 1}) + 1")
+    parts = targets.select(F.bitmap_bucket_number(place).alias("bucket"), F.bitmap_bit_position(place).alias("bit")).groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits"))
+    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    for r in parts.collect():
+        out[(r["bucket"] - 1) * 4096 : r["bucket"] * 4096] = np.frombuffer(r["bits"], np.uint8)
+    return out
+
+
+def _hits_by_join(docs: DataFrame, text_col: str, benchmark: DataFrame, width: int) -> DataFrame:
+    """The documents with the places (word positions) of the windows that they share with a benchmark of any size, and their items' number and digest."""
+    spark, since = docs.sparkSession, live_cuts()
 
     def windows_of(batches):
         for b in pieces_of(batches):
-            ids, size, digest = [], [], []
+            ids, sizes, keys, digests = [], [], [], []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                for w in item_windows(words((t or "").encode()), width):
-                    ids.append(i)
-                    size.append(len(w))
-                    digest.append(hashlib.blake2b(b" ".join(w), digest_size=16).digest())
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(size, pa.int32()), pa.array(digest, pa.binary())], names=["item", "size", "digest"])
-
-    targets = cut(benchmark.mapInArrow(windows_of, "item string, size int, digest binary").distinct())
+                ws = words((t or "").encode())
+                n = min(width, len(ws))
+                if n:
+                    own = window_hashes(ws, n)
+                    ids += [i] * len(own)
+                    sizes += [n] * len(own)
+                    keys.append(own)
+                    digests += [window_digest(ws[k : k + n]) for k in range(len(own))]
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.string()), pa.array(sizes, pa.int32()), pa.array(np.concatenate([*keys, np.zeros(0, np.uint64)]).view(np.int64)), pa.array(digests, pa.binary())], names=["item", "size", "hash", "digest"])
+
+    targets = cut(benchmark.mapInArrow(windows_of, "item string, size int, hash long, digest binary").distinct())
     sizes = sorted(r[0] for r in targets.select("size").distinct().collect())  # at most `width` values
+    shared = spark.sparkContext.broadcast(bit_filter(targets.select("hash").distinct()))
 
     def windows_in(batches):
+        bits = shared.value
         for b in pieces_of(batches):
-            for k, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                ws = words((t or "").encode())
+            docs_, ats, digests = [], [], []
+            for k, t in zip(b.column(0).to_pylist(), b.column(1).cast(pa.binary()).to_pylist(), strict=True):
+                ws = words(t or b"")
                 for n in sizes:
-                    at = range(len(ws) - n + 1)
-                    digests = [hashlib.blake2b(b" ".join(ws[i : i + n]), digest_size=16).digest() for i in at]
-                    yield pa.RecordBatch.from_arrays([pa.array([k] * len(digests), pa.binary()), pa.array(list(at), pa.int32()), pa.array(digests, pa.binary())], names=["doc", "at", "digest"])
+                    place = (window_hashes(ws, n) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
+                    at = np.flatnonzero(bits[place >> 3] >> (place & 7).astype(np.uint8) & 1).tolist()
+                    docs_ += [k] * len(at)
+                    ats += at
+                    digests += [window_digest(ws[i : i + n]) for i in at]
+            yield pa.RecordBatch.from_arrays([pa.array(docs_, pa.binary()), pa.array(ats, pa.int32()), pa.array(digests, pa.binary())], names=["doc", "at", "digest"])
 
-    doc, places, items = free_names(docs, "_doc", "_places", "_items")
     key = F.unhex(F.md5(F.col(text_col)))
-    texts = docs.select(key.alias("_key"), F.col(text_col)).where("_key is not null").dropDuplicates(["_key"])
-    hits = texts.mapInArrow(windows_in, "doc binary, at int, digest binary").join(targets, "digest")
-    per_text = hits.groupBy(F.col("doc").alias(doc)).agg(F.array_sort(F.collect_set(F.struct("at", (F.col("at") + F.col("size")).alias("to")))).alias(places), F.array_sort(F.collect_set("item")).alias(items))
-    return docs.join(per_text, key == F.col(doc), "left").drop(doc)
-
-
-def scan_documents(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
+    keyed = docs.select(key.alias("doc"), F.col(text_col).alias("text")).where("doc is not null")
+    passed = cut(keyed.mapInArrow(windows_in, "doc binary, at int, digest binary").distinct())  # texts don't travel, equal ones give their windows once
+    # windows of the same items share one set of items
+    owned = targets.groupBy("digest").agg(F.first("size").alias("size"), F.sort_array(F.collect_set("item")).alias("items")).withColumn("set", F.md5(F.concat_ws(",", "items")))
+    owned = cut(owned)
+    wanted = passed.groupBy(F.col("digest").alias("_digest")).agg(F.count("*").alias("n")).join(owned.select("digest", "size", "set"), F.col("digest") == F.col("_digest")).select("digest", "size", "set", "n")
+    hits = cut(hot_join(passed, wanted, ["digest"], "n", passed.count()))
+    places = F.array_sort(F.collect_set(F.struct("at", (F.col("at") + F.col("size")).alias("to"))))
+    per_text = cut(hits.groupBy("doc").agg(places.alias("places"), F.sort_array(F.collect_set("set")).alias("sets")))
+    # combinations of sets are resolved once, whatever number of texts has them
+    combos = per_text.select("sets").distinct()
+    sets = owned.groupBy("set").agg(F.first("items").alias("items"))
+    named = combos.select("sets", F.explode("sets").alias("_set")).join(sets, F.col("set") == F.col("_set")).select("sets", F.explode_outer("items").alias("item"))
+    named = named.groupBy("sets").agg(F.sort_array(F.collect_set("item")).alias("items")).select("sets", F.size("items").cast("long").alias("n_items"), F.sha2(F.concat_ws(",", "items"), 256).alias("sha"))
+    weight = per_text.groupBy("sets").agg(F.count("*").alias("n_texts")).withColumnRenamed("sets", "_sets")
+    named = named.join(weight, F.col("sets") == F.col("_sets")).drop("_sets")
+    copies = keyed.groupBy(F.col("doc").alias("_doc")).agg(F.count("*").alias("copies"))
+    resolved = hot_join(per_text, named, ["sets"], "n_texts", per_text.count()).join(copies, F.col("doc") == F.col("_doc"))
+
+    doc, n_copies, places_, n_items, sha = free_names(docs, "_doc", "_copies", "_places", "_items", "_sha")
+    right = resolved.select(F.col("doc").alias(doc), F.col("copies").alias(n_copies), F.col("places").alias(places_), F.col("n_items").alias(n_items), F.col("sha").alias(sha))
+    out = hot_join(docs.withColumn(doc, key), right, [doc], n_copies, docs.count(), "left")
+    tidy(spark, since, out)
+    return out.drop(doc, n_copies)
+
+
+def scan_documents(docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, index_words: int = INDEX_WORDS) -> DataFrame:
     """Per document: n_words, n_hit, n_items, items_sha256, contaminated and the character spans hit.
 
     contaminated: n_hit > 0 and at least a twentieth of the words are hit.
     items_sha256 is of the empty string when no item is found.
     """
-    src, find = _locator(docs.select(F.col(id_col), F.col(text_col)), benchmark, text_col, item_col, item_text_col, width, broadcast_chars)
+    src, find = _locator(docs.select(F.col(id_col), F.col(text_col)), benchmark, text_col, item_col, item_text_col, width, index_words)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches):
             out = []
-            for text, ws, stretches, names in find(b):
+            for text, ws, stretches, items in find(b):
                 spans = char_spans(text, stretches) if len(stretches) else []
-                out.append((*verdict(len(ws), stretches, names), [{"start": x, "end": y} for x, y in spans]))
+                out.append((*verdict(len(ws), stretches, items), [{"start": x, "end": y} for x, y in spans]))
             cols = list(zip(*out, strict=True)) or [[]] * len(FIELDS)
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, f.type) for c, f in zip(cols, FIELDS, strict=True))], names=[id_col, *FIELDS.names])
 
     return src.mapInArrow(scan, f"`{id_col}` {docs.schema[id_col].dataType.simpleString()}, {SCAN}")
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", length_col: str | None = "n_chars", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, broadcast_chars: int = BROADCAST_CHARS) -> DataFrame:
+def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text_col: str = "text", length_col: str | None = "n_chars", item_col: str = "item_id", item_text_col: str = "text", width: int = WIDTH, index_words: int = INDEX_WORDS) -> DataFrame:
     """The documents without contaminated ones, and without the hit spans in the others; all columns stay.
 
     ``length_col``, if the documents have it, becomes the new text's length where spans went.
     """
-    src, find = _locator(docs, benchmark, text_col, item_col, item_text_col, width, broadcast_chars)
+    src, find = _locator(docs, benchmark, text_col, item_col, item_text_col, width, index_words)
     n, at, length_at = len(docs.columns), docs.columns.index(text_col), docs.columns.index(length_col) if length_col in docs.columns else None
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches):
             keep, texts, lengths = [], [], b.column(length_at).to_pylist() if length_at is not None else None
-            for i, (text, ws, stretches, names) in enumerate(find(b)):
-                bad = verdict(len(ws), stretches, names)[4]
+            for i, (text, ws, stretches, items) in enumerate(find(b)):
+                bad = verdict(len(ws), stretches, items)[4]
                 keep.append(not bad)
                 if len(stretches) and not bad:
                     text = cut_spans(text, char_spans(text, stretches))
