@@ -12,14 +12,17 @@ the body to the core is the threshold. Every element at or above the threshold
 gives its subtree of the largest sum, and the text of these subtrees is the
 result (Sun, Song and Liao, 2011).
 
-Before that, parts that are no article by their meaning are taken off the tree:
-scripts, styles, forms, navigation, page headers and footers, asides, hidden
-elements, and elements with a whole class, id or role that names a menu, sidebar,
-notice, advert or comments ("has-sidebar" names none). An element named so, a
-hidden one or a form stays if it holds an ``article``, a ``main`` or most of the
-page's text; navigation, header, footer and aside stay if there is no other
-``article`` or ``main``. If what is selected lies in an ``article`` or ``main``, the whole of
-that element counts, so that headings and short blocks of an article stay.
+Scripts, styles, navigation, page headers and footers and asides aren't part of the
+tree, unless they hold the page's only ``article`` or ``main``. A class, id or role
+that names a menu, sidebar, notice, advert or comments as a whole ("has-sidebar"
+names none), ``hidden`` and being a form are evidence, not a verdict: they lower an
+element's sums and those below it to a fifth. What the core lies in is the article,
+whatever its name; the other named parts are then left out, of the densities too. A
+paragraph or heading is named only if all of its class is ("social history" isn't).
+
+An element below the body most of whose text is selected (four fifths; half of an
+``article`` or ``main``), the rest not being mostly links, counts as a whole, so that
+headings and short blocks of an article stay.
 
 Tags need not be balanced: a paragraph, list item or table cell ends where the
 next one starts, an end tag closes what is open inside, stray end tags are
@@ -46,7 +49,7 @@ _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""",
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements whose content is no markup; it is skipped.
-RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg math".split())
+RAW = frozenset("script style textarea title noscript iframe noembed noframes xmp template svg".split())
 #: Elements that are never part of an article.
 SKIP = RAW | frozenset("head nav footer aside form button select option dialog menu canvas object applet video audio fieldset label input".split())
 BLOCK = frozenset("address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html li main nav ol p pre section summary table tbody td tfoot th thead tr ul caption".split())
@@ -59,19 +62,26 @@ _LEAST_BASE = 2.0
 #: Classes, ids and roles, whole, that name a part outside the article: one listed word or several.
 _WORDS = r"(?:ads?|advert[a-z]*|adsense|sponsor[a-z]*|promo[a-z]*|cookies?|consent|gdpr|notices?|notifications?|alerts?|disclaimer|privacy|popup|modal|overlay|newsletter|subscri[a-z]*|signup|sidebar|aside|menu[a-z]*|nav[a-z]*|breadcrumbs?|toolbar|footer|foot|comments?|commentlist|disqus|replies|reply|respond|related|recommend[a-z]*|share|sharing|social|widget|pagination|pager|skip|login|search|complementary|contentinfo|navigation)"
 _NAMED = re.compile(rf"(?:^|\s){_WORDS}(?:[_-]+{_WORDS})*(?=\s|$)", re.I)
+#: Elements of running text: named only if all their tokens are.
+RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre code q cite em strong b i u sub sup mark dfn abbr span".split())
 #: The same, but only outside ``article`` and ``main``: inside, they hold the article's heading.
 _HEADING = re.compile(r"(?:^|\s)(?:header|masthead|topbar|banner)(?=\s|$)", re.I)
 #: Why an element is skipped: its element name, or a name, ``hidden`` or being a form, which can wrap a whole page.
 _BY_ELEMENT, _BY_NAME = 1, 2
+#: What evidence of a name leaves of an element's sum.
+NAMED = 0.2
+#: Shares of an element's text that must be selected for it to count as a whole.
+WHOLE, WHOLE_ARTICLE = 0.8, 0.5
 
 
 class Node:
-    __slots__ = ("children", "chars", "density", "links", "link_tags", "name", "parent", "parts", "skip", "tags", "total")
+    __slots__ = ("children", "chars", "density", "links", "link_tags", "name", "own", "parent", "parts", "skip", "tags", "total")
 
     def __init__(self, name: str, parent: Node | None, skip: int = 0):
         self.name, self.parent, self.skip = name, parent, skip
         self.children: list[Node] = []
         self.parts: list = []  # texts and child nodes, in page order
+        self.own: int | None = None
         self.chars = self.tags = self.links = self.link_tags = 0
         self.density = self.total = 0.0
 
@@ -83,28 +93,27 @@ def _skipped(name: str, attrs: str, inside_article: bool) -> int:
         return 0
     for m in _ATTR.finditer(attrs):
         key, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if key in ("class", "id", "role") and (_NAMED.search(value) or not inside_article and _HEADING.search(value)) or key == "hidden" and value.lower() != "until-found" or key == "aria-hidden" and value.lower() == "true":
+        if key in ("class", "id", "role") and (_named(value, name in RUNNING) or not inside_article and _HEADING.search(value)) or key == "hidden" and value.lower() != "until-found" or key == "aria-hidden" and value.lower() == "true":
             return _BY_NAME
     return _BY_NAME if "hidden" in attrs.lower() and "hidden" in _ATTR.sub(" ", attrs).lower().strip("/").split() else 0
 
 
+def _named(value: str, whole: bool) -> bool:
+    return bool(_NAMED.search(value)) and (not whole or all(map(_NAMED.fullmatch, value.split())))
+
+
 def _keep_wrappers(root: Node) -> None:
-    """Takes the mark off skipped elements that hold an article or main, or most of the page's text."""
+    """Takes the mark off navigation, header, footer and aside that hold all of the page's articles."""
     nodes = [root]
     for x in nodes:
         nodes.extend(x.children)
-    if not any(x.skip and x.parts for x in nodes):
+    if not any(x.skip == _BY_ELEMENT and x.children for x in nodes):
         return
-    held: dict[int, tuple[int, int]] = {}  # characters and articles below, without those of parts skipped by element
+    held: dict[int, int] = {}  # articles below
     for x in reversed(nodes):
-        kids = [held[id(c)] for c in x.children]
-        own = 0 if x.skip == _BY_ELEMENT else sum(len("".join(html.unescape(p).split())) for p in x.parts if isinstance(p, str))
-        below = sum(n for c, (n, _) in zip(x.children, kids, strict=True) if c.skip != _BY_ELEMENT)
-        held[id(x)] = own + below, sum(k for _, k in kids) + (x.name in ("article", "main"))
-    chars, articles = held[id(root)]
+        held[id(x)] = sum(held[id(c)] for c in x.children) + (x.name in ("article", "main"))
     for x in nodes:
-        n, k = held[id(x)]
-        if x.skip == _BY_NAME and (k or 2 * n > chars) or x.skip == _BY_ELEMENT and k and k == articles:
+        if x.skip == _BY_ELEMENT and held[id(x)] and held[id(x)] == held[id(root)]:
             x.skip = 0
 
 
@@ -163,38 +172,66 @@ def parse(page: str) -> Node:
     return root
 
 
-def _below(node: Node) -> list[Node]:
-    """The node and all that aren't skipped below it, parents first."""
+def _below(node: Node, least_skip: int) -> list[Node]:
+    """The node and all below it, parents first, without what is skipped for a reason of least_skip or more."""
     out = [node]
     for x in out:
-        out.extend(c for c in x.children if not c.skip)
+        out.extend(c for c in x.children if not c.skip or c.skip > least_skip)
     return out
 
 
-def weigh(root: Node) -> list[Node]:
+def weigh(root: Node, least_skip: int) -> list[Node]:
     """Sets characters, tags, densities and sums; returns the nodes, parents first."""
-    nodes = _below(root)
+    nodes = _below(root, least_skip)
     for x in reversed(nodes):
-        own = sum(len("".join(html.unescape(p).split())) for p in x.parts if isinstance(p, str))
-        kids = [c for c in x.children if not c.skip]
-        x.chars = own + sum(c.chars for c in kids)
+        if x.own is None:
+            x.own = sum(len("".join(html.unescape(p).split())) for p in x.parts if isinstance(p, str))
+        kids = [c for c in x.children if not c.skip or c.skip > least_skip]
+        x.chars = x.own + sum(c.chars for c in kids)
         x.tags = len(kids) + sum(c.tags for c in kids)
         x.links, x.link_tags = (x.chars, x.tags + 1) if x.name == "a" else (sum(c.links for c in kids), sum(c.link_tags for c in kids))
     ratio = root.links / max(1, root.chars)
     for x in reversed(nodes):
         tags, links, link_tags = max(1, x.tags), max(1, x.links), max(1, x.link_tags)
+        x.density = 0.0
         if x.chars:
             base = max(_LEAST_BASE, math.log(x.chars * x.links / max(1, x.chars - x.links) + ratio * x.chars + math.e))
             x.density = x.chars / tags * max(0.0, math.log(x.chars / links * tags / link_tags, base))
-        x.total = sum(c.density for c in x.children if not c.skip) or x.density
+        x.total = sum(c.density for c in x.children if not c.skip or c.skip > least_skip) or x.density
     return nodes
 
 
+def _accept_core(root: Node) -> None:
+    """Takes the name off what the core lies in, after names have lowered the sums."""
+    nodes = weigh(root, _BY_ELEMENT)
+    if not any(x.skip for x in nodes):
+        return
+    body = next((x for x in nodes if x.name == "body"), root)
+    named: set[int] = set()
+    core, best = body, -1.0
+    for x in _below(body, _BY_ELEMENT):  # parents first
+        if x.skip or x.parent is not None and id(x.parent) in named:
+            named.add(id(x))
+        if id(x) in named:
+            score = x.total * NAMED
+        else:
+            score = sum(c.density * (NAMED if c.skip else 1.0) for c in x.children if c.skip != _BY_ELEMENT) or x.density
+        if score > best:
+            core, best = x, score
+    hit: Node | None = core
+    while hit is not None:
+        hit.skip, hit = 0, hit.parent
+
+
+_ALL = 9
+
+
 def select(root: Node) -> list[Node]:
     """The selected subtrees in page order, none inside another."""
-    nodes = weigh(root)
+    _accept_core(root)
+    nodes = weigh(root, _ALL)
     body = next((x for x in nodes if x.name == "body"), root)
-    pool = _below(body)
+    pool = _below(body, _ALL)
     if not body.chars:
         return []
     core = max(pool, key=lambda x: x.total)  # the first of equal ones
@@ -205,33 +242,24 @@ def select(root: Node) -> list[Node]:
     for x in reversed(pool):
         best[id(x)] = max([x, *(best[id(c)] for c in x.children if not c.skip)], key=lambda y: y.total)
     chosen = {id(core)} | {id(best[id(x)]) for x in pool if x.density >= threshold > 0 and x is not body}
-    lifted = set()
-    for x in pool:
-        if id(x) in chosen:
-            hit, top = x, x
-            while hit is not None and hit is not body:
-                if hit.name in ("article", "main"):
-                    top = hit
-                    break
-                hit = hit.parent
-            lifted.add(id(top))
-    out, done = [], set()
-    for x in pool:
-        if x.parent is not None and id(x.parent) in done:
-            done.add(id(x))
-        elif id(x) in lifted:
-            out.append(x)
-            done.add(id(x))
-    order = {id(x): i for i, x in enumerate(_page_order(body))}
-    return sorted(out, key=lambda x: order[id(x)])
-
-
-def _page_order(node: Node) -> list[Node]:
-    out, todo = [], [node]
+    # characters and link characters of the selected parts, upwards
+    got: dict[int, tuple[int, int]] = {}
+    for x in reversed(pool):
+        below = [got[id(c)] for c in x.children if not c.skip]
+        got[id(x)] = (x.chars, x.links) if id(x) in chosen else (sum(c for c, _ in below), sum(n for _, n in below))
+    out, todo = [], [body]
     while todo:
         x = todo.pop()
-        out.append(x)
-        todo.extend(c for c in reversed(x.children) if not c.skip)
+        chars, links = got[id(x)]
+        if not chars:
+            continue
+        article = x.name in ("article", "main")
+        rest, rest_links = x.chars - chars, x.links - links
+        whole = x is not body and chars >= (WHOLE_ARTICLE if article else WHOLE) * x.chars and (article or 2 * rest_links <= rest)
+        if id(x) in chosen or whole:
+            out.append(x)
+        else:
+            todo.extend(c for c in reversed(x.children) if not c.skip)
     return out
 
 

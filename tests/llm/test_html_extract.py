@@ -1,3 +1,6 @@
+import html
+import re
+
 import pytest
 
 from leadloom.llm.html_extract import extract, main_text
@@ -60,3 +63,43 @@ def test_hidden_is_an_attribute_name():
 def test_named_parts_beside_the_article_go():
     around = "<div class='nav-menu'>a b</div><div class='x share_social'>c d</div><div id=sidebar><p>Side text</p></div>"
     assert main_text(page(f"{around}<article><p>{LOREM}</p></article>{around}")) == LOREM
+
+
+PROSE = f"<p>{LOREM}</p><p>{LOREM} {LOREM}</p><h2>Between</h2><p>{LOREM}</p><p>Short.</p>"
+PROSE_TEXT = f"{LOREM}\n{LOREM} {LOREM}\nBetween\n{LOREM}\nShort."
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f"<div class='content has-sidebar'>{PROSE}</div>", f"<div class='hfeed site no-sidebar'>{PROSE}</div>", f"<div class='page with-nav'>{PROSE}</div>", f"<div title='the hidden city'>{PROSE}</div>",
+        f"<article>{PROSE.replace('<p>Short', '<p title=&quot;a hidden gem&quot;>Short')}</article>".replace("&quot;", '"'), f"<article>{PROSE.replace('<p>Short', '<p class=&quot;social history&quot;>Short')}</article>".replace("&quot;", '"'),
+        f"<article>{PROSE.replace('Short.', '<math><mi>Short</mi></math>.')}</article>", f"<div id=comments class='sidebar widget'>{PROSE}</div><div class=menu><a href=1>One</a></div>",
+    ],
+)
+def test_names_do_not_hide_prose(body):
+    assert main_text(page(f"<nav><a href=x>Menu</a></nav>{body}<footer>foot</footer>")) == PROSE_TEXT
+
+
+def test_an_advert_longer_than_the_article_goes():
+    advert = f"<div class=ad>{LOREM} {LOREM}</div>"
+    assert main_text(page(f"{advert}<article><h1>Head</h1><p>{LOREM}</p></article><footer>f</footer>")) == f"Head\n{LOREM}"
+    assert main_text(page(f"<article><h1>Head</h1><p>{LOREM}</p><p class=ad>{LOREM}</p></article>")) == f"Head\n{LOREM}"
+
+
+def test_sections_without_an_article_element():
+    section = f"<section><h2>Part</h2><p>{LOREM}</p><p>{LOREM}</p></section>"
+    assert main_text(page(f"<div><ul><li><a href=1>One</a><li><a href=2>Two</a></ul></div><div id=x><h1>Head</h1>{section * 3}</div>")) == "\n".join(["Head", *["Part", LOREM, LOREM] * 3])
+
+
+def test_all_pages_give_the_article_they_hold(spark):
+    """The given pages hold one article element, broken inside but closed: its text by a plain parser of its own."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    got = {r.page_id: r.text for r in extract(pages).collect()}
+    rows = pages.select("page_id", "html").collect()
+    assert len(got) == len(rows) == 2500
+    for page_id, raw in rows:
+        inner = raw.partition("<article>")[2].rpartition("</article>")[0]
+        assert inner
+        blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br\s*/?>", " ", x))).split()) for x in re.split(r"</?(?:p|h1|h2|ul|li|div|section|blockquote|table|tr|td)\b[^>]*>", inner)]
+        assert got[page_id] == "\n".join(x for x in blocks if x), page_id
