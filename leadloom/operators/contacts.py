@@ -105,6 +105,11 @@ def page_contacts(pages: DataFrame, d: Spark) -> DataFrame:
     return keep_first(rows, ["page_id", "type", "value"], [F.col("priority").desc()])
 
 
+def source_confidence(source: str) -> str:
+    """The confidence of a contact by where it was found."""
+    return f"cast({lookup(source, {s: str(c) for s, c in rules.SOURCE_CONFIDENCE.items()})} as double)"
+
+
 def ranked_contacts(rows: DataFrame, most: int = 8) -> DataFrame:
     """Per page and type up to eight values: own mail hosts before free ones, then by source."""
     free = F.expr(f"cast({in_list(f'substring_index(value, {lit(chr(64))}, -1)', rules.FREE_EMAIL_LAST)} as int)")

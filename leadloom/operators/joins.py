@@ -32,9 +32,16 @@ def incremental(mapping: DataFrame, parents: DataFrame, key: str = "company_id")
 
 
 def scoped_policies(jobs: DataFrame, policies: DataFrame) -> DataFrame:
-    """Policies of a job; a null country or category of a policy stands for any."""
-    hit = (policies["p_country"].isNull() | (policies["p_country"] == jobs["country"])) & (policies["p_category"].isNull() | (policies["p_category"] == jobs["category"]))
-    return jobs.join(F.broadcast(policies), hit)
+    """Policies of a job; a null country or category of a policy stands for any.
+
+    Every job is asked for in its four scopes, so both sides meet on equal keys,
+    whatever their sizes.
+    """
+    any_, own = F.lit(None).cast("string"), jobs.columns
+    scopes = F.array(*(F.struct(c.alias("country"), k.alias("category")) for c in (F.col("country"), any_) for k in (F.col("category"), any_)))
+    asked = jobs.withColumn("_scope", F.explode(F.array_distinct(scopes)))
+    hit = asked["_scope.country"].eqNullSafe(policies["p_country"]) & asked["_scope.category"].eqNullSafe(policies["p_category"])
+    return asked.join(policies, hit).select(*own, *policies.columns)
 
 
 def channel_weight(delta: Column, disabled: Column) -> Column:
@@ -51,7 +58,9 @@ def tier_stop(counts: DataFrame, job: str, tier: str, n: str, threshold: int) ->
 def waterfall(attempts: DataFrame, key: str, order: list[Column], budget: float) -> DataFrame:
     """Attempts of a key in order until the first hit; unavailable ones are skipped, and those that would overspend.
 
-    The cost counted is that of all affordable attempts before. Returns a row per key: hit, via, cost, tried.
+    The cost counted is that of all available attempts before, and none after the
+    one that reaches the budget is tried; ``seeds.adapter_search`` counts what was
+    tried alone. Returns a row per key: hit, via, cost, tried.
     """
     live = attempts.where("available")
     w = Window.partitionBy(key).orderBy(*order)

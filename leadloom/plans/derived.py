@@ -65,7 +65,9 @@ select k as lead_id, cast(k % 4 as int) as job_id, k as input_pos,
 from ({BASE}) b
 """
 
-_T, _S = "substr(text, 1, 60)", "substr(text, 61, 200)"
+#: The first line of a document is a signal's title, all of the rest its snippet.
+_T = "case when instr(text, chr(10)) > 0 then substr(text, 1, instr(text, chr(10)) - 1) else text end"
+_S = "case when instr(text, chr(10)) > 0 then substr(text, instr(text, chr(10)) + 1) else '' end"
 SIGNALS = f"""
 select doc_id as signal_id, cast(doc_id % 3 as int) as job_id, cast(doc_id % 5 as int) as page, doc_id as pos,
   {_pick("doc_id", "'mattress'", "'护肤'", "'汽车配件'", "null")} as category,

@@ -14,26 +14,6 @@ from .joins import attempts, leads, queue
 L, Q, A = view("leads"), view("queue"), view("attempts")
 
 
-def s05_pending(spark, d):
-    """Per job the first 50 pending rows as seeds; afterwards they count as consumed."""
-    rows = queue(spark, d)
-    taken = keep.keep_top(rows.where("status = 'pending'"), ["job_id"], [F.col("created_at"), F.col("row_id")], 50).select("row_id", F.lit("consumed").alias("status"))
-    return keep.merge_columns(rows.select("row_id", "job_id", "status"), taken, ["row_id"]).groupBy("job_id", "status").agg(F.count("*").alias("n"))
-
-
-S05 = f"with r as (select *, case when status = 'pending' then row_number() over (partition by job_id, status order by created_at, row_id) end as k from {Q}) select job_id, case when k <= 50 then 'consumed' else status end as status, count(*) as n from r group by all"
-
-
-def s06_seeds(spark, d):
-    """Inline seeds of a job's payload: non-blank entries of an array, at most two each."""
-    payload = F.to_json(F.struct(F.array(F.lit(" "), F.coalesce("p_name", F.lit("")), F.col("p_brand"), F.col("p_type")).alias("urls")))
-    urls = F.slice(F.filter(F.from_json(payload, "urls array<string>")["urls"], lambda u: F.trim(u) != ""), 1, 2)
-    return table(spark, d, "part").select("p_partkey", F.posexplode(urls).alias("pos", "url"))
-
-
-S06 = "select p_partkey, unnest([0, 1]) as pos, unnest([p_name, p_brand]) as url from part"
-
-
 def k03_enqueue(spark, d):
     """Leads with a site but not both contacts, at most 150 per job, the highest confidence first."""
     rows = leads(spark, d).where(f"domain like 'http%' and not ({texts.filled('primary_email')} and {texts.filled('primary_phone')})")
@@ -77,12 +57,13 @@ F39 = f"select lead_id, array_to_string(list_filter(es, lambda e: regexp_extract
 def j25_profiles(spark, d):
     """Companies without a site: contacts of up to three pages each, the first other host counts as their own."""
     pages = table(spark, d, "pages").select("page_id", "url")
-    own = leads(spark, d).where("coalesce(domain, '') = ''").select("lead_id", F.explode(F.array(*(F.col("lead_id") % 50 + i for i in range(3)))).alias("page_id"))
+    many = pages.agg(F.max("page_id") + 1).first()[0]
+    own = leads(spark, d).where("coalesce(domain, '') = ''").select("lead_id", F.explode(F.array(*((F.col("lead_id") * 3 + i) % many for i in range(3)))).alias("page_id"))
     rows = own.join(pages, "page_id").select("lead_id", "page_id", F.expr(texts.host(SPARK, "url")).alias("h"))
     return rows.groupBy("lead_id").agg(F.min_by("h", "page_id").alias("brand_host"), F.array_join(F.array_sort(F.collect_set("h")), ",").alias("hosts"))
 
 
-J25 = f"with o as (select lead_id, unnest([lead_id % 50, lead_id % 50 + 1, lead_id % 50 + 2]) as page_id from {L} where coalesce(domain, '') = ''), r as (select lead_id, o.page_id, {texts.host(DUCK, 'url')} as h from o join pages p on o.page_id = p.page_id) select lead_id, arg_min(h, page_id) as brand_host, string_agg(distinct h, ',' order by h) as hosts from r group by lead_id"
+J25 = f"with o as (select lead_id, unnest([(lead_id * 3) % m, (lead_id * 3 + 1) % m, (lead_id * 3 + 2) % m]) as page_id from {L}, (select max(page_id) + 1 as m from pages) where coalesce(domain, '') = ''), r as (select lead_id, o.page_id, {texts.host(DUCK, 'url')} as h from o join pages p on o.page_id = p.page_id) select lead_id, arg_min(h, page_id) as brand_host, string_agg(distinct h, ',' order by h) as hosts from r group by lead_id"
 
 
 def x25_structs(spark, d):
@@ -108,7 +89,7 @@ G02 = "select p_partkey, case when p_size % 10 <> 0 then cast(100 // (p_size % 1
 
 def register(r: Registry) -> None:
     for name, fn, sql in [
-        ("s05_pending_seeds", s05_pending, S05), ("s06_inline_seeds", s06_seeds, S06), ("k03_f38_enqueue", k03_enqueue, K03), ("k05_edge_merge", k05_edges, K05), ("k11_cache_write", k11_cache, K11), ("f39_same_domain_emails", f39_same_domain, F39),
+        ("k03_f38_enqueue", k03_enqueue, K03), ("k05_edge_merge", k05_edges, K05), ("k11_cache_write", k11_cache, K11), ("f39_same_domain_emails", f39_same_domain, F39),
         ("j25_a15_profiles", j25_profiles, J25), ("x25_f35_inference_struct", x25_structs, X25), ("g02_row_mapper", g02_mapper, G02),
     ]:
         r.add(name, fn, sql)

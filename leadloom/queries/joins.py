@@ -69,7 +69,7 @@ def w10_s11_j09_alias(spark, d):
     """The key of the first text segment that is an alias; of equal aliases the first entry counts."""
     alias = keep.keep_first(spark.sql(f"select * from values {ALIASES} as t(n, alias, key)"), ["alias"], [F.col("n")])
     words = table(spark, d, "part").select("p_partkey", F.posexplode(F.split(F.lower("p_name"), " ")).alias("pos", "alias"))
-    return words.join(F.broadcast(alias), "alias").groupBy("p_partkey").agg(F.min_by("key", "pos").alias("key"))
+    return words.join(alias, "alias").groupBy("p_partkey").agg(F.min_by("key", "pos").alias("key"))
 
 
 W10 = f"with a as (select alias, arg_min(key, n) as key from (values {ALIASES}) t(n, alias, key) group by alias), w as (select p_partkey, unnest(string_split(lower(p_name), ' ')) as alias, generate_subscripts(string_split(lower(p_name), ' '), 1) as pos from part) select p_partkey, arg_min(key, pos) as key from w join a using (alias) group by p_partkey"
@@ -78,7 +78,7 @@ W10 = f"with a as (select alias, arg_min(key, n) as key from (values {ALIASES})
 def j08_segments(spark, d):
     """Key to segment to keyword, with the key itself where the dictionary has none."""
     seg = spark.sql(f"select * from values {SEGMENTS} as t(key, segment, keyword)")
-    return w10_s11_j09_alias(spark, d).join(F.broadcast(seg), "key", "left").select("p_partkey", F.coalesce("segment", F.lit("seg_other")).alias("segment"), F.coalesce("keyword", "key").alias("keyword"))
+    return w10_s11_j09_alias(spark, d).join(seg, "key", "left").select("p_partkey", F.coalesce("segment", F.lit("seg_other")).alias("segment"), F.coalesce("keyword", "key").alias("keyword"))
 
 
 J08 = f"select p_partkey, coalesce(segment, 'seg_other') as segment, coalesce(keyword, a.key) as keyword from ({W10}) a left join (values {SEGMENTS}) t(key, segment, keyword) on a.key = t.key"
@@ -99,7 +99,7 @@ def j06_p34_x11_registry(spark, d):
     reg = spark.sql(f"select * from values {REGISTRY} as t(country, lookup_url, boost)")
     rows = leads(spark, d).selectExpr("lead_id", "country", "confidence_score", f"{texts.tax_id(SPARK)} as tax_id")
     url = F.replace("lookup_url", F.lit("${id}"), F.coalesce("tax_id", F.lit("")))
-    joined = rows.join(F.broadcast(reg), "country", "left")
+    joined = rows.join(reg, "country", "left")
     return joined.select("lead_id", F.when(F.col("tax_id").isNotNull(), url).alias("url"), (F.col("boost").isNotNull() & F.col("tax_id").isNotNull()).alias("verified"), F.when(F.col("boost").isNotNull(), F.least(F.lit(100), F.coalesce("confidence_score", F.lit(60)) + F.col("boost"))).alias("score"))
 
 
@@ -140,16 +140,6 @@ def j10_a09_policies(spark, d):
 J10 = f"select country, category, kind, cast(sum(samples) as bigint) as samples, round(case when kind = 'organic' then 0.0 else least(2.0, greatest(0.0, 1 + 3 * sum(cast(delta as double)))) end, 6) as weight from (select distinct country, category from {L}) j join (values {POLICIES}) p(p_country, p_category, kind, delta, samples) on (p_country is null or p_country = country) and (p_category is null or p_category = category) group by country, category, kind"
 
 
-def j11_s04_seeds(spark, d):
-    """Seed leads whose category holds the job's, in the same country (case apart)."""
-    seeds = leads(spark, d).where("lead_id % 3 = 0").select(F.col("lead_id").alias("seed_id"), F.lower("country").alias("cc"), F.lower("category").alias("seed_category"))
-    jobs = leads(spark, d).where("lead_id % 50 = 1").select("lead_id", F.lower("country").alias("cc"), F.lower(F.split("category", " ")[0]).alias("word"))
-    return jobs.join(seeds, "cc").where("contains(seed_category, word)").select("lead_id", "seed_id")
-
-
-J11 = f"select j.lead_id, s.lead_id as seed_id from {L} j join {L} s on lower(j.country) = lower(s.country) and contains(lower(s.category), lower(string_split(j.category, ' ')[1])) where j.lead_id % 50 = 1 and s.lead_id % 3 = 0"
-
-
 def j12_j13_t02_tasks(spark, d):
     """The grid of kinds and nations with its sweep state from the orders, and the task swept longest ago per nation."""
     grid = table(spark, d, "part").select("p_type").distinct().crossJoin(table(spark, d, "nation").select("n_nationkey"))
@@ -296,26 +286,6 @@ with s as (select *, coalesce(sum(cost) over w, 0) as spent, coalesce(bool_or(co
            window w as (partition by key order by ts, attempt_id rows between unbounded preceding and 1 preceding))
 select key, bool_or(contacts > 0) as hit, max(case when contacts > 0 then layer end) as via, cast(sum(cost) as bigint) as cost, count(*) as tried from s where not hb and spent + cost <= 12 group by key
 """
-LAYERS = ["home", "bfs", "llm", "vision", "serper"]
-
-
-def t12_contact_waterfall(spark, d):
-    """Per key the layers in order home, bfs (always), llm, vision (within a budget of 2), serper: later ones only run without contact so far."""
-    got = attempts(spark, d).groupBy("key").pivot("layer", LAYERS).agg(F.max("contacts")).na.fill(0)
-    a1 = got.withColumn("early", (F.col("home") > 0) | (F.col("bfs") > 0)).withColumn("llm_ran", ~F.col("early"))
-    a2 = a1.withColumn("after_llm", F.col("early") | (F.col("llm") > 0)).withColumn("vision_ran", ~F.col("after_llm") & (F.when(F.col("llm_ran"), 1).otherwise(0) + 5 <= F.lit(2)))
-    a3 = a2.withColumn("serper_ran", ~F.col("after_llm") & ~(F.col("vision_ran") & (F.col("vision") > 0)))
-    via = F.when(F.col("home") > 0, "home").when(F.col("bfs") > 0, "bfs").when(F.col("llm_ran") & (F.col("llm") > 0), "llm").when(F.col("serper_ran") & (F.col("serper") > 0), "serper")
-    cost = F.col("llm_ran").cast("int") + 5 * F.col("vision_ran").cast("int") + F.col("serper_ran").cast("int")
-    return a3.select("key", via.alias("via"), cost.alias("cost"), "llm_ran", "serper_ran")
-
-
-T12 = f"""
-with g as (select key, {', '.join(f"coalesce(max(contacts) filter (where layer = '{x}'), 0) as {x}" for x in LAYERS)} from {view('attempts')} group by key)
-select key, case when home > 0 then 'home' when bfs > 0 then 'bfs' when llm > 0 then 'llm' when serper > 0 then 'serper' end as via,
-  case when home > 0 or bfs > 0 then 0 when llm > 0 then 1 else 2 end as cost, not (home > 0 or bfs > 0) as llm_ran, not (home > 0 or bfs > 0 or llm > 0) as serper_ran
-from g
-"""
 
 
 # U: sets -----------------------------------------------------------------
@@ -352,24 +322,14 @@ def u08_f37_direction(spark, d):
 U08 = f"select direction, pillar, count(*) as n from (select pillar, case when regexp_matches(pillar, 'Seed|VerifiedSource') then 'shared' when pillar like 'Pillar S %' then 'supplier' else 'buyer' end as kind, case when job_id % 2 = 0 then 'find_suppliers' else 'find_buyers' end as direction from {L} where pillar is not null) where kind = 'shared' or (kind = 'supplier') = (direction = 'find_suppliers') group by all"
 
 
-def p39_grid(spark, d):
-    """Up to 3 personas by up to 3 cities of each job."""
-    personas = keep.keep_top(leads(spark, d).where("entity_role is not null and trim(entity_role) <> ''").select("job_id", F.lower("entity_role").alias("persona")).distinct(), ["job_id"], [F.col("persona")], 3).drop("rank")
-    cities = keep.keep_top(leads(spark, d).where("city is not null").select("job_id", "city").distinct(), ["job_id"], [F.col("city")], 3).drop("rank")
-    return personas.join(cities, "job_id", "left").withColumn("query", F.concat_ws(" ", "persona", "city"))
-
-
-P39 = f"with p as (select job_id, persona from (select job_id, persona, row_number() over (partition by job_id order by persona) as k from (select distinct job_id, lower(entity_role) as persona from {L} where trim(coalesce(entity_role, '')) <> '')) where k <= 3), c as (select job_id, city from (select job_id, city, row_number() over (partition by job_id order by city) as k from (select distinct job_id, city from {L} where city is not null)) where k <= 3) select p.job_id, persona, city, concat_ws(' ', persona, city) as query from p left join c on p.job_id = c.job_id"
-
-
 def register(r: Registry) -> None:
     for name, fn, sql in [
         ("w02_place_dedupe", w02_places, W02), ("w03_s02_link_dedupe", w03_links, W03), ("w07_p12_edges", w07_edges, W07), ("w09_latest_step", w09_latest, W09), ("w10_s11_j09_p13_alias", w10_s11_j09_alias, W10),
         ("j08_s12_segments", j08_segments, J08), ("j07_t05_s09_sources", j07_t05_sources, J07), ("j06_s10_p34_x11_registry", j06_p34_x11_registry, J06), ("j18_s13_knowledge", j18_s13_knowledge, J18), ("j19_category_groups", j19_category_groups, J19),
-        ("j10_a09_s14_policies", j10_a09_policies, J10), ("j11_s04_seeds", j11_s04_seeds, J11), ("j12_j13_t02_s08_tasks", j12_j13_t02_tasks, J12), ("j01_j02_s17_s18_positional", j01_j02_positional, J01), ("j03_queue_results", j03_k02_last_result, J03),
+        ("j10_a09_s14_policies", j10_a09_policies, J10), ("j12_j13_t02_s08_tasks", j12_j13_t02_tasks, J12), ("j01_j02_s17_s18_positional", j01_j02_positional, J01), ("j03_queue_results", j03_k02_last_result, J03),
         ("j04_company_ids", j04_ids, J04), ("j05_y04_incremental", j05_y04_incremental, J05), ("j15_j16_x27_cache", j15_j16_x27_cache, J15), ("j14_j23_details", j14_j23_merge, J14), ("j20_k08_seed_feedback", j20_k08_seeds, J20),
         ("j21_j22_u06_coefficients", j21_j22_x10_u06_coefficients, J21), ("t03_t04_t10_s15_batches", t03_t04_t10_batches, T03), ("t06_t08_places", t06_t08_places, T06), ("t09_tier_stop", t09_tiers, T09), ("t11_g01_waterfall", t11_waterfall, T11),
-        ("t12_contact_waterfall", t12_contact_waterfall, T12), ("u01_u02_p43_union", u01_u02_p43_union, U01), ("u04_u07_a12_keyword_sets", u04_u07_a12_sets, U04), ("u08_f37_direction", u08_f37_direction, U08), ("p39_job_grid", p39_grid, P39),
+        ("u01_u02_p43_union", u01_u02_p43_union, U01), ("u04_u07_a12_keyword_sets", u04_u07_a12_sets, U04), ("u08_f37_direction", u08_f37_direction, U08),
     ]:
         r.add(name, fn, sql)
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import contacts, extras, fields, gates, joins, reports, streams
+from . import contacts, dictionaries, extras, fields, gates, joins, reports, streams
 from .common import Registry
 
 REGISTRY = Registry()
-for _module in (fields, gates, joins, reports, contacts, streams, extras):
+for _module in (fields, gates, joins, reports, contacts, streams, extras, dictionaries):
     _module.register(REGISTRY)

@@ -192,4 +192,54 @@ RESERVED_SEGMENTS = "i home search explore intent share sharer sharer.php plugin
 TAX_ID_PATTERNS = {"br": (r"\b(\d{2}[.\s]?\d{3}[.\s]?\d{3}[/\s]?\d{4}[-\s]?\d{2})\b", True), "pe": (r"\bruc[:\s]+(\d{11})\b", False), "co": (r"\bnit[:\s]+([\d-]+)", True), "cl": (r"\brut[:\s]+([\d.\-k]+)", False), "ar": (r"\bcuit[:\s]+(\d{11})\b", False)}
 EMAIL_BLOCKED = "example yourdomain @domain. @email. noreply no-reply donotreply sentry.io wixpress.com".split()
 FREE_EMAIL_LAST = "gmail.com yahoo.com yahoo.co.uk hotmail.com outlook.com qq.com 163.com".split()
+
+# ---- fixed values: categories, places and languages by code --------------
+
+#: A country's name at the start of a category text.
+COUNTRY_PREFIX_PATTERN = r"(?i)^(?:印尼|印度尼西亚|印度|越南|泰国|马来西亚|新加坡|菲律宾|缅甸|柬埔寨|老挝|韩国|日本|中国|美国|英国|德国|法国|意大利|西班牙|葡萄牙|荷兰|比利时|波兰|俄罗斯|加拿大|墨西哥|巴西|阿根廷|智利|秘鲁|哥伦比亚|沙特|阿联酋|土耳其|埃及|肯尼亚|尼日利亚|南非|澳大利亚|新西兰|indonesia|india|vietnam|thailand|malaysia|singapore|philippines|myanmar|cambodia|laos|korea|japan|china|usa|us|uk|gb|germany|france|italy|spain|portugal|netherlands|belgium|poland|russia|canada|mexico|brazil|argentina|chile|peru|colombia|saudi|uae|turkey|egypt|kenya|nigeria|south africa|australia|new zealand)\s*[的,，]?\s*"
+#: Kinds of place that don't buy a category, and those for all others.
+_FOOD_PLACES = "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split()
+_PHARMA_PLACES = "bank insurance_agency lawyer accounting car_dealer travel_agency restaurant".split()
+_TECH_PLACES = "bank insurance_agency lawyer accounting real_estate_agency".split()
+_RAW_PLACES = "bank insurance_agency lawyer accounting".split()
+_ENERGY_PLACES = "bank insurance_agency lawyer accounting restaurant".split()
+PLACE_BLACKLISTS = {
+    "food": _FOOD_PLACES, "garlic": _FOOD_PLACES, "ginger": _FOOD_PLACES, "seafood": _FOOD_PLACES, "fruit": _FOOD_PLACES, "vegetable": _FOOD_PLACES, "spice": _FOOD_PLACES, "grain": _FOOD_PLACES, "rice": _FOOD_PLACES,
+    "beverage": _FOOD_PLACES, "dairy": _FOOD_PLACES, "pharma_medical": _PHARMA_PLACES, "pharma_health": _PHARMA_PLACES, "electronic_components": _TECH_PLACES, "semiconductor": _TECH_PLACES,
+    "machinery_equipment": _TECH_PLACES, "laser_photonics": _TECH_PLACES, "laser_equipment": _TECH_PLACES, "metal_steel_raw": _RAW_PLACES, "chemical_plastic_raw": _RAW_PLACES,
+    "auto_parts_tire": "bank lawyer accounting restaurant cafe".split(), "new_energy": _ENERGY_PLACES, "battery_energy_storage": _ENERGY_PLACES, "photovoltaic_solar": _ENERGY_PLACES,
+}
+PLACE_BLACKLIST_DEFAULT = "bank lawyer accounting insurance_agency real_estate_agency".split()
+COUNTRY_NAMES = {
+    "vn": "Vietnam", "th": "Thailand", "id": "Indonesia", "my": "Malaysia", "sg": "Singapore", "ph": "Philippines", "mm": "Myanmar", "kh": "Cambodia", "bd": "Bangladesh", "pk": "Pakistan",
+    "in": "India", "lk": "Sri Lanka", "np": "Nepal", "jp": "Japan", "kr": "South Korea", "tw": "Taiwan", "cn": "China", "hk": "Hong Kong", "mo": "Macau", "ru": "Russia",
+    "ae": "UAE", "sa": "Saudi Arabia", "qa": "Qatar", "kw": "Kuwait", "bh": "Bahrain", "om": "Oman", "tr": "Turkey", "il": "Israel", "jo": "Jordan", "eg": "Egypt",
+    "us": "United States", "mx": "Mexico", "br": "Brazil", "co": "Colombia", "cl": "Chile", "pe": "Peru", "ar": "Argentina", "ca": "Canada",
+    "de": "Germany", "gb": "United Kingdom", "fr": "France", "it": "Italy", "es": "Spain", "nl": "Netherlands", "pl": "Poland", "se": "Sweden", "no": "Norway", "dk": "Denmark",
+    "pt": "Portugal", "ie": "Ireland", "ch": "Switzerland", "at": "Austria", "be": "Belgium", "fi": "Finland", "cz": "Czech Republic", "hu": "Hungary", "ro": "Romania", "bg": "Bulgaria",
+    "sk": "Slovakia", "hr": "Croatia", "si": "Slovenia", "ee": "Estonia", "lv": "Latvia", "lt": "Lithuania", "lu": "Luxembourg", "is": "Iceland", "mt": "Malta", "cy": "Cyprus",
+    "ng": "Nigeria", "za": "South Africa", "ke": "Kenya", "gh": "Ghana", "et": "Ethiopia", "au": "Australia", "nz": "New Zealand",
+}
+#: English where a code has none.
+LANGUAGES = {
+    "vn": "Vietnamese", "th": "Thai", "id": "Indonesian", "my": "Malay", "ph": "Filipino", "mm": "Burmese", "kh": "Khmer", "bd": "Bengali", "pk": "Urdu", "in": "Hindi", "lk": "Sinhala",
+    "jp": "Japanese", "kr": "Korean", "tw": "Traditional Chinese", "cn": "Simplified Chinese", "hk": "Traditional Chinese", "mo": "Traditional Chinese", "ru": "Russian",
+    "ae": "Arabic", "sa": "Arabic", "qa": "Arabic", "kw": "Arabic", "bh": "Arabic", "om": "Arabic", "tr": "Turkish", "il": "Hebrew", "jo": "Arabic", "eg": "Arabic",
+    "mx": "Spanish", "co": "Spanish", "cl": "Spanish", "pe": "Spanish", "ar": "Spanish", "br": "Portuguese", "de": "German", "fr": "French", "it": "Italian", "es": "Spanish", "nl": "Dutch",
+    "pl": "Polish", "se": "Swedish", "no": "Norwegian", "dk": "Danish", "pt": "Portuguese", "ch": "German", "at": "German", "be": "Dutch", "fi": "Finnish", "cz": "Czech", "hu": "Hungarian",
+    "ro": "Romanian", "bg": "Bulgarian", "sk": "Slovak", "hr": "Croatian", "si": "Slovenian", "ee": "Estonian", "lv": "Latvian", "lt": "Lithuanian", "lu": "French", "is": "Icelandic",
+    "cy": "Greek", "et": "Amharic",
+}
+MAJOR_CITIES = {
+    "US": ["New York", "Los Angeles", "Chicago", "Houston", "Phoenix"], "GB": ["London", "Birmingham", "Manchester", "Leeds", "Bristol"], "DE": ["Berlin", "Hamburg", "Munich", "Frankfurt", "Cologne"],
+    "FR": ["Paris", "Lyon", "Marseille", "Toulouse", "Bordeaux"], "JP": ["Tokyo", "Osaka", "Nagoya", "Sapporo", "Fukuoka"], "KR": ["Seoul", "Busan", "Incheon", "Daegu", "Daejeon"],
+    "IN": ["Mumbai", "Delhi", "Bangalore", "Chennai", "Hyderabad"], "AU": ["Sydney", "Melbourne", "Brisbane", "Perth", "Adelaide"], "CA": ["Toronto", "Vancouver", "Montreal", "Calgary", "Ottawa"],
+    "BR": ["São Paulo", "Rio de Janeiro", "Belo Horizonte", "Curitiba", "Porto Alegre"], "MX": ["Mexico City", "Guadalajara", "Monterrey", "Puebla", "Tijuana"], "AE": ["Dubai", "Abu Dhabi", "Sharjah", "Ajman", "Ras Al Khaimah"],
+    "SA": ["Riyadh", "Jeddah", "Dammam", "Mecca", "Medina"], "TH": ["Bangkok", "Chiang Mai", "Phuket", "Pattaya", "Khon Kaen"], "MY": ["Kuala Lumpur", "Penang", "Johor Bahru", "Ipoh", "Kota Kinabalu"], "SG": ["Singapore"],
+    "ID": ["Jakarta", "Surabaya", "Bandung", "Medan", "Semarang"], "VN": ["Ho Chi Minh City", "Hanoi", "Da Nang", "Hai Phong", "Can Tho"], "PH": ["Manila", "Cebu", "Davao", "Quezon City", "Makati"],
+    "TR": ["Istanbul", "Ankara", "Izmir", "Bursa", "Adana"], "PL": ["Warsaw", "Krakow", "Lodz", "Wroclaw", "Poznan"], "ZA": ["Johannesburg", "Cape Town", "Durban", "Pretoria", "Port Elizabeth"],
+    "NG": ["Lagos", "Abuja", "Kano", "Ibadan", "Port Harcourt"], "EG": ["Cairo", "Alexandria", "Giza", "Shubra El-Kheima", "Port Said"], "AR": ["Buenos Aires", "Córdoba", "Rosario", "Mendoza", "La Plata"],
+    "CL": ["Santiago", "Valparaíso", "Concepción", "Antofagasta", "Viña del Mar"], "CO": ["Bogotá", "Medellín", "Cali", "Barranquilla", "Cartagena"], "PE": ["Lima", "Arequipa", "Trujillo", "Chiclayo", "Piura"],
+    "CN": ["Shanghai", "Guangzhou", "Shenzhen", "Beijing", "Chengdu"], "TW": ["Taipei", "Kaohsiung", "Taichung", "Tainan", "Hsinchu"], "HK": ["Hong Kong"], "MO": ["Macau"],
+}
 # ---- end of fixed values -------------------------------------------------
