@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates, scores, texts
 from ..functions.dialect import SPARK
+from ..sources.stages import stage
 from .keep import keep_first
 
 MATCH_ORDER = "case lower(coalesce(industry_match, '')) when 'high' then 3 when 'medium' then 2 when 'low' then 1 else 0 end"
@@ -37,18 +38,26 @@ def top_split(leads: DataFrame, n: int, job: str = "job_id", least_score: int =
     or more are in the pool, unless they are too few; weak leads come after the
     pool, so the split is disjoint. Adds part (top, overflow, kept), enrich_rank
     and, for overflow, confidence.
+
+    Ranks are found without bringing a job into one task: leads are dealt by range
+    of (job, order), ranked within their range, and the ranges before are added.
     """
-    clean = scored(leads).where("noise is null").selectExpr("*", f"{MATCH_ORDER} as _match")
-    whole = Window.partitionBy(job)
-    counted = clean.withColumn("_n", F.count("*").over(whole)).withColumn("_eligible", F.sum((F.col("score") >= least_score).cast("int")).over(whole))
-    pooled = counted.withColumn("_pool", (F.col("_eligible") < min(least_pool, n)) | (F.col("score") >= least_score))
-    order = Window.partitionBy(job).orderBy(F.col("_pool").desc(), F.col("score").desc(), F.col("_match").desc(), F.lower(F.coalesce("company_name", F.lit(""))), F.col("input_pos"))
-    ranked = pooled.withColumn("_rank", F.row_number().over(order)).withColumn("_size", F.sum(F.col("_pool").cast("int")).over(whole))
+    clean = stage(scored(leads).where("noise is null").selectExpr("*", f"{MATCH_ORDER} as _match"), "scored")
+    counted = clean.groupBy(F.col(job).alias("_job")).agg(F.count("*").alias("_n"), F.count_if(F.col("score") >= least_score).alias("_eligible"))
+    pooled = clean.join(counted, F.col(job).eqNullSafe(F.col("_job"))).withColumn("_pool", (F.col("_eligible") < min(least_pool, n)) | F.coalesce(F.col("score") >= least_score, F.lit(False)))
+    keys = [(~F.col("_pool")).cast("int").alias("_k0"), (-F.col("score")).alias("_k1"), (-F.col("_match")).alias("_k2"), F.lower(F.coalesce("company_name", F.lit(""))).alias("_k3")]
+    names = ["_k0", "_k1", "_k2", "_k3", "input_pos"]
+    dealt = stage(pooled.select("*", *keys).repartitionByRange(job, *names).withColumn("_range", F.spark_partition_id()), "ranked")
+    sizes = dealt.groupBy(F.col(job).alias("_job2"), F.col("_range").alias("_range2")).agg(F.count("*").alias("_in"))  # a row per range and job in it
+    before = sizes.withColumn("_before", F.coalesce(F.sum("_in").over(Window.partitionBy("_job2").orderBy("_range2").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    inside = F.row_number().over(Window.partitionBy(job, "_range").orderBy(*names))
+    ranked = dealt.withColumn("_inside", inside).join(before, F.col(job).eqNullSafe(F.col("_job2")) & (F.col("_range") == F.col("_range2"))).withColumn("_rank", F.col("_inside") + F.col("_before"))
+    size = F.when(F.col("_eligible") < min(least_pool, n), F.col("_n")).otherwise(F.col("_eligible"))
     top = F.col("_pool") & (F.col("_rank") <= n)
-    rank = F.when(top | (F.col("_size") >= n), F.col("_rank")).otherwise(F.col("_rank") - F.col("_size") + n)
+    rank = F.when(top | (size >= n), F.col("_rank")).otherwise(F.col("_rank") - size + n)
     small = F.col("_n") <= n
     out = ranked.withColumn("part", F.when(small, F.lit("kept")).when(top, F.lit("top")).otherwise(F.lit("overflow"))).withColumn("enrich_rank", F.when(~small, rank).cast("int"))
-    return out.withColumn("confidence", F.when(F.col("part") == "overflow", F.expr(scores.overflow_confidence("score")))).drop("_n", "_eligible", "_pool", "_match", "_rank", "_size")
+    return out.withColumn("confidence", F.when(F.col("part") == "overflow", F.expr(scores.overflow_confidence("score")))).select(*leads.columns, "noise", "score", "part", "enrich_rank", "confidence")
 
 
 def dedupe(leads: DataFrame, country: str, strict: bool = False) -> DataFrame:

@@ -104,8 +104,14 @@ from {events}
 TABLES = {"leads": LEADS, "signals": SIGNALS, "contact_pages": CONTACT_PAGES, "attempts": ATTEMPTS, "queue": QUEUE}
 
 
-#: Derived tables that this driver has written: (application, folder, name) -> staged frame.
-_STAGED: dict[tuple[str, str, str], DataFrame] = {}
+#: Derived tables that this driver has written: (application, files of the tables they derive from, name) -> staged frame.
+_STAGED: dict[tuple, DataFrame] = {}
+
+
+def _state_of(df: DataFrame) -> tuple:
+    """The files that a frame reads, with their sizes and times, so that a changed table isn't taken for the old one."""
+    files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
+    return tuple(sorted((r[0], r[1], str(r[2])) for r in files.collect()))
 
 
 def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -116,14 +122,15 @@ def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     made them.
     """
     text = TABLES[name]
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key in _STAGED:
-        return _STAGED[key]
-    used = set(re.findall(r"\{(\w+)\}", text))
-    df = spark.sql(text, **{t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in used})
-    if name == "leads":
-        df = _STAGED[key] = stage(df, name)
-    return df
+    used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in sorted(set(re.findall(r"\{(\w+)\}", text)))}
+    if name != "leads":
+        return spark.sql(text, **used)
+    key = (spark.sparkContext.applicationId, tuple(_state_of(df) for df in used.values()), name)
+    if key not in _STAGED:
+        for old in [k for k in _STAGED if k[0] != key[0]]:
+            del _STAGED[old]  # of sessions that have ended
+        _STAGED[key] = stage(spark.sql(text, **used), name)
+    return _STAGED[key]
 
 
 def sql(name: str) -> str:

@@ -56,7 +56,7 @@ def y07_stale(spark, d):
     return jobs.stale(_timed(spark, d), "user_id", "ts", "6 hours").select("user_id", text("start").alias("start"), text("end").alias("end"), "n")
 
 
-Y07 = "with g as (select *, case when ts - lag(ts) over (partition by user_id order by ts) < interval 6 hour then 0 else 1 end as brk from events), s as (select *, sum(brk) over (partition by user_id order by ts rows unbounded preceding) as sid from g) select user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as start, strftime(max(ts) + interval 6 hour, '%Y-%m-%d %H:%M:%S.%f') as end, count(*) as n from s group by user_id, sid"
+Y07 = "with g as (select *, case when ts - lag(ts) over (partition by user_id order by ts) <= interval 6 hour then 0 else 1 end as brk from events), s as (select *, sum(brk) over (partition by user_id order by ts rows unbounded preceding) as sid from g) select user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as start, strftime(max(ts) + interval 6 hour, '%Y-%m-%d %H:%M:%S.%f') as end, count(*) as n from s group by user_id, sid"
 
 
 def y08_counts(spark, d):

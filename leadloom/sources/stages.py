@@ -9,9 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir, which all executors share; in local tests, where it is unset, a folder of our own."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    return (base or "file://" + tempfile.mkdtemp(prefix="spark-")).rstrip("/")
+    """spark.checkpoint.dir, which all executors share; where it is unset, in local mode only, a folder of our own."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = "file://" + tempfile.mkdtemp(prefix="spark-")
+        spark.sparkContext.setCheckpointDir(base)
+    return base.rstrip("/")
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:

@@ -24,10 +24,12 @@ def source(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path + "*")
 
 
-def run(stream: DataFrame, mode: str, write: Callable[[DataFrame, str], None] | None = None) -> DataFrame:
+def run(stream: DataFrame, mode: str, write: Callable[[DataFrame, str, int], None] | None = None, key: list[str] | None = None) -> DataFrame:
     """Runs the stream over all input there is and returns the table it wrote.
 
-    In append mode each batch adds its rows; in complete mode it replaces them.
+    A batch's rows go below its id, so a batch that is repeated after a failure
+    replaces itself. ``write`` writes a batch's rows to a folder, given its id. With
+    ``key`` a batch's rows are updates, and the last per key counts.
     """
     spark = stream.sparkSession
     base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
@@ -35,41 +37,53 @@ def run(stream: DataFrame, mode: str, write: Callable[[DataFrame, str], None] |
 
     def put(batch: DataFrame, batch_id: int) -> None:
         if write is not None:
-            write(batch, out)
-        elif mode == "complete":
-            batch.write.mode("overwrite").parquet(out)
-        else:  # by batch id, so a batch that is repeated after a failure replaces itself
+            write(batch, out, batch_id)
+        else:
             batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
-    query = stream.writeStream.outputMode("append" if write is not None else mode).option("checkpointLocation", f"{base}/state").foreachBatch(put).trigger(availableNow=True).start()
+    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").foreachBatch(put).trigger(availableNow=True).start()
     query.awaitTermination()
-    return spark.read.schema(stream.schema).parquet(out).select(*stream.columns)
+    table = spark.read.schema(f"{_ddl(stream)}, batch long").parquet(out)
+    if key is not None:
+        table = keep_first(table, key, [F.col("batch").desc()])
+    return table.select(*stream.columns)
 
 
-def merge_new(key: list[str], order: Callable[[], list]) -> Callable[[DataFrame, str], None]:
-    """A batch's rows whose key the table lacks are added, the first per key; what is there stays."""
+#: Parts of a keyed table; a batch reads and writes the parts of its own keys alone.
+PARTS = 64
 
-    def write(batch: DataFrame, out: str) -> None:
+
+def merge_new(key: list[str], order: Callable[[], list]) -> Callable[[DataFrame, str, int], None]:
+    """A batch's rows whose key earlier batches lack are added, the first per key; what is there stays.
+
+    The table is parted by a hash of the key, so a batch looks into the parts that
+    its keys fall into, and by batch, so a repeated batch doesn't see its own rows.
+    """
+
+    def write(batch: DataFrame, out: str, batch_id: int) -> None:
         spark = batch.sparkSession
-        first = keep_first(batch, key, order())
-        try:
-            known = spark.read.parquet(out).select(*key)
-        except Exception as e:  # the first batch
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            known = first.select(*key).limit(0)
-        first.join(known, key, "left_anti").write.mode("append").parquet(out)
+        first = stage(keep_first(batch, key, order()).withColumn("part", F.pmod(F.xxhash64(*key), F.lit(PARTS)).cast("int")), "batch")
+        fresh = first
+        if batch_id > 0:
+            parts = [r[0] for r in first.select("part").distinct().collect()]  # PARTS at most
+            known = spark.read.schema(f"{_ddl(first)}, batch long").parquet(out).where((F.col("batch") < batch_id) & F.col("part").isin(parts))
+            fresh = first.join(known.select(*key), key, "left_anti")
+        fresh.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "part").parquet(out)
 
     return write
 
 
+def _ddl(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+
+
 def sweep(stream: DataFrame, key: list[str], order: Callable[[], list]) -> DataFrame:
     """One row per key over all batches, the first that came."""
     return run(stream, "append", merge_new(key, order))
 
 
-def run_keyed(stream: DataFrame, out_schema: str, state_schema: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]) -> DataFrame:
-    """Runs the stream with a state table of one row per ``key`` and returns the table of all batches' rows.
+def run_keyed(stream: DataFrame, out_schema: str, state_schema: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]], tail: bool = False) -> DataFrame:
+    """Runs the stream with a state table of one row per ``key`` and returns the table of all batches' rows, with ``tail`` the last states too.
 
     step takes a batch and its keys' last states and gives the batch's rows and the
     states that it changes. Both are written by batch id, so a batch that is
@@ -92,7 +106,11 @@ def run_keyed(stream: DataFrame, out_schema: str, state_schema: str, step: Calla
     query = stream.writeStream.option("checkpointLocation", f"{base}/state").foreachBatch(put).trigger(availableNow=True).start()
     query.awaitTermination()
     columns = spark.createDataFrame([], out_schema).columns
-    return spark.read.schema(out_schema).parquet(f"{base}/table").select(*columns)
+    out = spark.read.schema(out_schema).parquet(f"{base}/table").select(*columns)
+    if tail:
+        states = spark.read.schema(f"{state_schema}, batch long").parquet(f"{base}/keyed")
+        out = out.unionByName(keep_first(states, ["key"], [F.col("batch").desc()]).select(*columns))
+    return out
 
 
 RETRY_OUT = "key bigint, status string, retries int, attempts int"
@@ -153,27 +171,68 @@ def ttl_cache(stream: DataFrame, days: int) -> DataFrame:
     return run_keyed(stream, CACHE_OUT, f"key {kinds['key']}, last {kinds['ts']}", cache_step(days))
 
 
-def without_negatives(stream: DataFrame, words: Callable[[SparkSession], DataFrame]) -> DataFrame:
-    """Rows whose text holds none of the words, which are read anew for every batch; words: one column, word."""
+def without_negatives(stream: DataFrame, words: Callable[[SparkSession], DataFrame], most: int = 10_000) -> DataFrame:
+    """Rows whose text holds none of the words, which are read anew for every batch; words: one column, word.
+
+    Up to ``most`` words are one pattern for each row; of more words, those that
+    share a text's trigrams are looked up by join.
+    """
 
-    def write(batch: DataFrame, out: str) -> None:
-        bad = batch.join(F.broadcast(words(batch.sparkSession)), F.expr("contains(lower(text), word)"), "left_anti")
-        bad.write.mode("append").parquet(out)
+    def write(batch: DataFrame, out: str, batch_id: int) -> None:
+        bad = words(batch.sparkSession).where("word <> ''").distinct()
+        few = bad.limit(most + 1).count() <= most
+        (_without_few if few else _without_many)(batch, bad).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return run(stream, "append", write)
 
 
+def _without_few(batch: DataFrame, bad: DataFrame) -> DataFrame:
+    one = bad.agg(F.array_sort(F.collect_list("word")).alias("_words"))  # bounded by the caller
+    words = one.first()[0]
+    hit = F.exists(F.lit(words) if words else F.array().cast("array<string>"), lambda w: F.contains(F.lower("text"), w))
+    return batch.where(~F.coalesce(hit, F.lit(False)))
+
+
+def _without_many(batch: DataFrame, bad: DataFrame) -> DataFrame:
+    """A word occurs in a text only if its first three characters do: these meet by key."""
+    rows = batch.withColumn("_row", F.monotonically_increasing_id())
+    rows = stage(rows, "batch")
+    grams = rows.select("_row", F.lower("text").alias("_text")).where("_text is not null")
+    starts = grams.select("_row", "_text", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1))), lambda i: F.substring("_text", i, 3)))).alias("_gram"))
+    short = starts.select("_row", "_text", F.explode(F.array_distinct(F.array(F.col("_gram"), F.substring("_gram", 1, 2), F.substring("_gram", 1, 1)))).alias("_gram")).distinct()
+    hit = short.join(bad.select("word", F.substring("word", 1, 3).alias("_gram")), "_gram").where("contains(_text, word)").select("_row").distinct()
+    return rows.join(hit, "_row", "left_anti").drop("_row")
+
+
 def latest(stream: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
-    """The last value per key."""
-    return run(stream.groupBy(*key).agg(F.max_by(value, order).alias(value), F.count("*").alias("n")), "complete")
+    """The last value per key; every batch writes the keys that changed."""
+    updates = stream.groupBy(*key).agg(F.max_by(value, order).alias(value), F.count("*").alias("n"))
+    return run(updates, "update", key=key)
+
+
+def stale_step(gap: str) -> Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
+    def step(batch: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """A batch's spans, added up before they are shuffled, joined to each key's open one; all but the last are over."""
+        spans = batch.groupBy("key", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n")).select("key", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
+        along = Window.partitionBy("key").orderBy("start", "end")
+        reached = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+        marked = spans.unionByName(known.select(*spans.columns)).withColumn("new", F.coalesce(F.col("start") > reached, F.lit(True)).cast("int"))
+        merged = marked.withColumn("span", F.sum("new").over(along)).groupBy("key", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"))
+        placed = merged.withColumn("back", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("start")))).select(*spans.columns, "back")
+        return placed.where("back > 1").drop("back"), placed.where("back = 1").drop("back")
+
+    return step
 
 
 def stale(stream: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
-    """Spans of activity per key that ended because nothing came for the gap."""
-    marked = stream.withWatermark(ts, gap)
-    return run(marked.groupBy(key, F.session_window(ts, gap).alias("w")).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n"), "complete")
+    """Spans of activity per key that ended because nothing came for the gap; the state is the last span of each key."""
+    kind = stream.schema[key].dataType.simpleString()
+    columns = f"key {kind}, start timestamp, end timestamp, n bigint"
+    rows = stream.select(F.col(key).alias("key"), F.col(ts).alias("ts"))
+    return run_keyed(rows, columns, columns, stale_step(gap), tail=True).withColumnRenamed("key", key)
 
 
 def counts(stream: DataFrame, ts: str, width: str, *by: str) -> DataFrame:
-    """Y08 and tumbling counts: rows per window and key."""
-    return run(stream.withWatermark(ts, "1 hour").groupBy(F.window(ts, width).alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *by, "n"), "complete")
+    """Y08 and tumbling counts: rows per window and key; every batch writes the windows that changed, closed ones leave the state."""
+    updates = stream.withWatermark(ts, "1 hour").groupBy(F.window(ts, width).alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *by, "n")
+    return run(updates, "update", key=["start", *by])

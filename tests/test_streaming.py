@@ -55,3 +55,59 @@ def test_no_task_gathers_a_key(spark):
     out = jobs.cache_step(2)(rows.withColumnRenamed("ok", "fill"), known)[0]
     assert out.count() == 1000
     assert "Pandas" not in out._jdf.queryExecution().executedPlan().toString()
+
+
+def files(spark, tmp_path, schema, parts):
+    """A stream of one file a batch."""
+    folder = tmp_path / "in"
+    for rows in parts:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(folder))
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+def test_sweep_over_batches(spark, tmp_path):
+    parts = [[(k % 7, b * 100 + k) for k in range(b, b + 9)] for b in range(3)]
+    got = sorted(tuple(r) for r in jobs.sweep(files(spark, tmp_path, "key bigint, n bigint", parts), ["key"], lambda: [F.col("n")]).collect())
+    first = {}
+    for part in parts:
+        for key, n in sorted(part, key=lambda r: r[1]):
+            first.setdefault(key, n)
+    assert got == sorted(first.items())
+
+
+def test_a_repeated_batch_replaces_itself(spark, tmp_path):
+    out, write = str(tmp_path / "table"), jobs.merge_new(["key"], lambda: [F.col("n")])
+    frame = lambda rows: spark.createDataFrame(rows, "key bigint, n bigint")
+    write(frame([(1, 1), (2, 2)]), out, 0)
+    for _ in range(2):
+        write(frame([(2, 3), (4, 4), (5, 5)]), out, 1)
+    assert sorted((r.key, r.n) for r in spark.read.parquet(out).collect()) == [(1, 1), (2, 2), (4, 4), (5, 5)]
+
+
+def test_latest_stale_and_counts_over_batches(spark, tmp_path):
+    draw, hour = random.Random(4), dt.timedelta(hours=1)
+    rows = sorted((DAY + draw.randrange(900) * hour / 4, draw.randrange(4)) for _ in range(300))
+    parts = [[(k, ts, n * 100 + i) for i, (ts, k) in enumerate(rows[n * 100 : n * 100 + 100])] for n in range(3)]
+    every = [r for part in parts for r in part]
+    stream = files(spark, tmp_path, "key bigint, ts timestamp, n bigint", parts)
+    got = {r.key: (r.n_last, r.n) for r in jobs.latest(stream.withColumnRenamed("n", "n_last").withColumn("at", F.col("n_last")), ["key"], "at", "n_last").collect()}
+    assert got == {k: (max(n for key, _, n in every if key == k), sum(key == k for key, _, _ in every)) for k in range(4)}
+    spans = []
+    for k in range(4):
+        for ts in sorted(t for key, t, _ in every if key == k):
+            if spans and spans[-1][0] == k and ts - spans[-1][2] <= 6 * hour:
+                spans[-1][2:] = [ts, spans[-1][3] + 1]
+            else:
+                spans.append([k, ts, ts, 1])
+    want = sorted((k, a, b + 6 * hour, n) for k, a, b, n in spans)
+    assert sorted((r.key, r.start, r.end, r.n) for r in jobs.stale(stream, "key", "ts", "6 hours").collect()) == want
+    days = {r.start.date(): r.n for r in jobs.counts(stream, "ts", "1 day").collect()}
+    assert sum(days.values()) == 300 and len(days) == len({ts.date() for _, ts, _ in every})
+
+
+def test_negatives_over_batches(spark, tmp_path, monkeypatch):
+    parts = [[(1, "Red bolt"), (2, None), (3, "ab")], [(4, "gear"), (5, "BOLT"), (6, "")]]
+    words = lambda s: s.createDataFrame([("bolt",), ("ab",), ("",), ("zzz",)], "word string")
+    stream = files(spark, tmp_path, "id bigint, text string", parts)
+    for most in (10, 1):
+        assert sorted(r.id for r in jobs.without_negatives(stream, words, most).collect()) == [2, 4, 6]
