@@ -14,6 +14,8 @@ from ..functions import texts
 from ..functions.dialect import Spark, any_of, cascade, in_list, lit, lookup
 from .keep import keep_first
 
+#: A sign written out, as deobfuscate() reads it; inline tags may stand inside.
+OBFUSCATED = r"(?i)[\[({](\s|<[^>]*>)*a(<[^>]*>)*t(\s|<[^>]*>)*[\])}]|艾(<[^>]*>)*特"
 EMAIL = r"[a-zA-Z0-9._%+\-]+@[a-zA-Z0-9.\-]+\.[a-zA-Z]{2,}"
 
 
@@ -93,15 +95,20 @@ def page_contacts(pages: DataFrame, d: Spark) -> DataFrame:
     mail = d.extract_all("html", r"(?i)href\s*=\s*[\x22\x27]mailto:([^\x22\x27?]+)", 1)
     tel = d.extract_all("html", r"(?i)href\s*=\s*[\x22\x27]tel:([^\x22\x27]+)", 1)
     wa = d.extract_all("html", r"(?i)https?://(?:wa\.me|api\.whatsapp\.com/send)/?\?*(?:phone=)?(\+?\d[\d\s\-]{6,15})", 1)
-    plain = d.each(d.extract_all("html", EMAIL), "e", "lower(e)")
-    hidden = d.extract_all(deobfuscate(d, "html"), EMAIL)
+    # an address needs a sign, so a page without one isn't searched for it; texts that several patterns read are columns of their own
+    base = pages.selectExpr(
+        "page_id", "html", f"{visible_text(d, 'html')} as text", "case when contains(html, '@') then html else '' end as signed",
+        f"case when contains(html, '@') or {d.rx('html', OBFUSCATED)} then {deobfuscate(d, 'html')} else '' end as plain",
+    )
+    plain = d.each(d.extract_all("signed", EMAIL), "e", "lower(e)")
+    hidden = d.extract_all("plain", EMAIL)
     parts = [
         ("email", "mailto_link", d.each(mail, "e", "lower(trim(e))"), texts.valid_email(d, "v")), ("email", "deobfuscated", hidden, texts.valid_email(d, "v")), ("email", "plain_regex", plain, texts.valid_email(d, "v")),
-        ("phone", "tel_link", d.each(tel, "e", texts.clean_phone(d, "e")), texts.valid_phone(d, "v")), ("phone", "plain_regex", phones_plain(d, visible_text(d, "html")), texts.valid_phone(d, "v")),
+        ("phone", "tel_link", d.each(tel, "e", texts.clean_phone(d, "e")), texts.valid_phone(d, "v")), ("phone", "plain_regex", phones_plain(d, "text"), texts.valid_phone(d, "v")),
         ("whatsapp", "whatsapp_link", d.each(wa, "e", texts.clean_phone(d, "e")), texts.valid_phone(d, "v")),
     ]
     structs = [f"transform(filter({arr}, v -> {ok}), v -> named_struct('type', '{kind}', 'value', v, 'source', '{source}'))" for kind, source, arr, ok in parts]
-    rows = pages.selectExpr("page_id", f"inline(concat({', '.join(structs)}))").withColumn("priority", F.expr(lookup("source", {s: str(p) for s, p in rules.SOURCE_PRIORITY.items()})).cast("int"))
+    rows = base.selectExpr("page_id", f"inline(concat({', '.join(structs)}))").withColumn("priority", F.expr(lookup("source", {s: str(p) for s, p in rules.SOURCE_PRIORITY.items()})).cast("int"))
     return keep_first(rows, ["page_id", "type", "value"], [F.col("priority").desc()])
 
 

@@ -114,6 +114,12 @@ def _state_of(df: DataFrame) -> tuple:
     return tuple(sorted((r[0], r[1], str(r[2])) for r in files.collect()))
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A small table in few files, dealt to all cores before costly work on its rows; larger ones as they are."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A derived table over the Parquet tables in sf_dir.
 
@@ -124,12 +130,12 @@ def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = TABLES[name]
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in sorted(set(re.findall(r"\{(\w+)\}", text)))}
     if name != "leads":
-        return spark.sql(text, **used)
+        return spark.sql(text, **{t: spread(df) for t, df in used.items()} if name in ("signals", "contact_pages") else used)
     key = (spark.sparkContext.applicationId, tuple(_state_of(df) for df in used.values()), name)
     if key not in _STAGED:
         for old in [k for k in _STAGED if k[0] != key[0]]:
             del _STAGED[old]  # of sessions that have ended
-        _STAGED[key] = stage(spark.sql(text, **used), name)
+        _STAGED[key] = stage(spread(spark.sql(text, **used)), name)
     return _STAGED[key]
 
 
