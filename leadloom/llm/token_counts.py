@@ -9,8 +9,9 @@ the leaf's path are updated. The pattern never looks back, so from
 a common boundary on all cuts are the old ones, and the result equals a full
 recount.
 
-The vocabulary's path is a parameter; the file is read on the executors. The
-counts of common pre-tokens are remembered within a task, up to a bound.
+The vocabulary's path is a parameter; the driver reads the file and broadcasts it, so
+executors don't need it. The counts of common pre-tokens are remembered within a
+Python worker, up to a bound.
 
 Defined cases: a null text is empty and has no tokens. Edits (position, characters
 deleted, text inserted) are applied in order, each to the text that the ones
@@ -44,9 +45,9 @@ DDL = "n_tokens_before long, n_tokens long, n_chars long, n_reencoded long"
 class Counter(dict):
     """Tokens of a pre-token, remembered."""
 
-    def __init__(self, path: str):
+    def __init__(self, vocabulary: bytes):
         super().__init__()
-        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
+        ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, vocabulary.splitlines())}
         self.encoding = tiktoken.Encoding("counts", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.cut = regex.compile(PATTERN)
 
@@ -58,8 +59,13 @@ class Counter(dict):
 
 
 @lru_cache(2)
+def counter_of(vocabulary: bytes) -> Counter:
+    return Counter(vocabulary)
+
+
 def counter(path: str) -> Counter:
-    return Counter(path)
+    with open(path, "rb") as f:
+        return counter_of(f.read())
 
 
 class TokenTree:
@@ -164,7 +170,11 @@ def count_edited(text: str | None, edits: list[dict] | None, tokens: Counter) ->
 
 
 def with_edits(docs: DataFrame, edits: DataFrame, *, id_col: str = "doc_id", seq_col: str = "seq") -> DataFrame:
-    """The documents with the column edits, gathered in order of seq from a table (id, seq, at, remove, insert)."""
+    """The documents with the column edits, gathered in order of seq from a table (id, seq, at, remove, insert).
+
+    A document's edits come into one row with it, in which they are applied one
+    after the other; the edits of one id aren't split further.
+    """
     own = edits.groupBy(F.col(id_col).alias("_id")).agg(F.transform(F.sort_array(F.collect_list(F.struct(F.col(seq_col).alias("seq"), "at", "remove", "insert"))), lambda e: F.struct(e["at"].cast("int").alias("at"), e["remove"].cast("int").alias("remove"), e["insert"].alias("insert"))).alias("edits"))
     return docs.join(own, docs[id_col] == own["_id"], "left").drop(own["_id"])
 
@@ -172,9 +182,11 @@ def with_edits(docs: DataFrame, edits: DataFrame, *, id_col: str = "doc_id", seq
 def edited_counts(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", edits_col: str = "edits", vocabulary: str = VOCABULARY) -> DataFrame:
     """Per row: tokens before and after the edits, characters after them, and the characters encoded again."""
     src = docs.select(F.col(id_col), F.col(text_col), F.col(edits_col))
+    with open(vocabulary, "rb") as f:
+        shared = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = counter(vocabulary)
+        tokens = counter_of(shared.value)
         for b in pieces_of(batches):
             rows = [count_edited(t, e, tokens) for t, e in zip(b.column(1).to_pylist(), b.column(2).to_pylist(), strict=True)]
             cols = list(zip(*rows, strict=True)) or [[]] * len(FIELDS)
