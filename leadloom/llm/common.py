@@ -16,7 +16,9 @@ WORD_BYTES = bytes(c if c >= 0x80 or 48 <= c <= 57 or 97 <= c <= 122 else c + 32
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; a small one in few files is dealt to all cores, larger ones come as they are."""
+    df, cores = spark.read.parquet(f"{sf_dir}/{name}.parquet"), spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def words(raw: bytes) -> list[bytes]:
