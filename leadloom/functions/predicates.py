@@ -69,9 +69,9 @@ def intake_entity_type(d: Spark) -> str:
     """the coarser kind of a raw signal, over title, snippet and link."""
     return cascade(
         [
-            (d.rx(low("link"), r"(facebook|instagram|linkedin|twitter|x\.com|youtube|tiktok|pinterest)\."), lit("social")),
-            (d.rx(low("link"), r"(yellowpages|yelp|kompass|tradeindia|tradekey|ec21|ecplaza)\."), lit("aggregator")),
-            (d.rx(f"{low('title')} || ' ' || {low('snippet')}", r"\b(news|press|journal|报道|新闻|记者|通讯社)\b"), lit("media")),
+            (d.rx(low("link"), rules.INTAKE_SOCIAL_PATTERN), lit("social")),
+            (d.rx(low("link"), rules.INTAKE_AGGREGATOR_PATTERN), lit("aggregator")),
+            (d.rx(f"{low('title')} || ' ' || {low('snippet')}", rules.INTAKE_NEWS_PATTERN), lit("media")),
         ],
         lit("company"),
     )

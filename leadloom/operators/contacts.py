@@ -57,20 +57,17 @@ def classify_link(d: Spark, x: str) -> str:
     free = f"seg <> '' and not {in_list('seg', rules.RESERVED_SEGMENTS)}"
     https = d.rx(f"lower({x})", "^https?://")
     rule = [
-        (d.rx(f"lower({x})", "^skype:."), lit("skype|0.7")), (d.rx(f"lower({x})", "^viber:"), lit("viber|0.7")), (d.rx(f"lower({x})", "^weixin:"), lit("wechat|0.6")), (d.rx(f"lower({x})", "^line:"), lit("line|0.7")), (d.rx(f"lower({x})", "^tg:"), lit("telegram|0.7")),
+        *((d.rx(f"lower({x})", p), lit(c)) for p, c in rules.SCHEME_CHANNELS.items()),
         (f"not {https}", "null"),
         ("ho in ('t.me', 'telegram.me')", "case when seg in ('', 's', 'joinchat') or seg like '+%' then null else 'telegram|0.85' end"),
-        ("ho in ('line.me', 'lin.ee')", lit("line|0.8")),
         ("ho = 'instagram.com'", f"case when {free} then 'instagram|0.75' end"),
         ("ho = 'linkedin.com'", "case when seg in ('in', 'company', 'pub') then 'linkedin|0.85' end"),
         ("ho in ('twitter.com', 'x.com')", f"case when {free} and {d.rx('seg', '^[a-z0-9_]{1,15}' + chr(92) + 'z')} then 'twitter|0.7' end"),
         ("ho in ('facebook.com', 'fb.com', 'fb.me', 'm.facebook.com')", f"case when {free} then 'facebook|0.7' end"),
-        ("ho in ('messenger.com', 'm.me')", lit("messenger|0.7")),
         ("ho in ('youtube.com', 'youtu.be')", "case when seg like '@%' or seg in ('channel', 'c', 'user') then 'youtube|0.7' end"),
         ("ho = 'tiktok.com'", "case when seg like '@%' then 'tiktok|0.7' end"),
-        ("ho in ('join.skype.com', 'skype.com')", lit("skype|0.65")), ("ho = 'weixin.qq.com'", lit("wechat|0.55")), ("ho in ('kakao.com', 'open.kakao.com')", lit("kakao|0.7")), ("ho = 'zalo.me'", lit("zalo|0.7")), ("ho = 'signal.me'", lit("signal|0.7")),
     ]
-    return d.let(path, "seg", d.let(h, "ho", cascade(rule, "null")))
+    return d.let(path, "seg", d.let(h, "ho", cascade(rule, lookup("ho", rules.HOST_CHANNELS))))
 
 
 def clean_url(d: Spark, x: str) -> str:

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.dialect import SPARK
-from ..operators import contacts, keep, seeds, taxonomy
+from ..operators import companies, contacts, keep, seeds, taxonomy
 from ..plans import derived
 from ..sources import dictionaries, tables
 from ..sources.stages import shared_dir
@@ -204,8 +204,7 @@ def y09_loop(spark, d):
     first = rows.where("lead_id % 4 = 0 and coalesce(d, '') <> ''").groupBy("d").agg(F.min("lead_id").alias("seed_id"), F.min_by("country", "lead_id").alias("country"))
     first.withColumn("run", F.lit(1)).write.parquet(path)
     table_ = spark.read.parquet(path)
-    hot = rows.where("confidence_score >= 90 and coalesce(company_name, '') <> '' and coalesce(d, '') <> '' and (coalesce(primary_email, '') <> '' or coalesce(primary_phone, '') <> '')")
-    new = keep.keep_first(hot.join(table_.select("d"), "d", "left_anti"), ["d"], [F.col("lead_id")]).select("d", F.col("lead_id").alias("seed_id"), "country", F.lit(2).alias("run"))
+    new = companies.seed_feedback(leads(spark, d), table_.select("d")).select("d", F.col("lead_id").alias("seed_id"), "country", F.lit(2).alias("run"))
     new.write.mode("append").parquet(path)
     again = spark.read.schema(table_.schema).parquet(path)
     return again.groupBy(F.upper("country").alias("country")).agg(F.count_if(F.col("run") == 1).alias("before"), F.count_if(F.col("run") == 2).alias("fed_back"), F.sum("seed_id").alias("checksum"))

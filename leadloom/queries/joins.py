@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions import texts
 from ..functions.dialect import DUCK, SPARK
-from ..operators import joins, keep
+from ..operators import companies, joins, keep
 from ..plans import derived
 from .common import Registry, table, view
 
@@ -25,25 +25,22 @@ leads, signals, queue, attempts = _b("leads"), _b("signals"), _b("queue"), _b("a
 
 
 def w02_places(spark, d):
-    key = F.lower(F.coalesce(F.expr("nullif(place_id, '')"), F.expr("nullif(domain, '')"), F.concat(F.coalesce("title", F.lit("")), F.coalesce("city", F.lit("")))))
-    rows = leads(spark, d).where(f"{texts.filled('domain')} or {texts.filled('primary_phone')}").withColumn("place_key", key)
-    return keep.keep_first(rows, ["place_key"], [F.col("input_pos")]).select("place_key", "lead_id")
+    return companies.one_per_place(leads(spark, d)).select("place_key", "lead_id")
 
 
 W02 = f"select place_key, min_by(lead_id, input_pos) as lead_id from (select *, lower(coalesce(nullif(place_id, ''), nullif(domain, ''), coalesce(title, '') || coalesce(city, ''))) as place_key from {L} where coalesce(domain, '') <> '' or coalesce(primary_phone, '') <> '') group by place_key"
 
 
 def w03_links(spark, d):
-    return keep.keep_first(signals(spark, d).where("link is not null"), [F.lower("link").alias("k")], [F.col("page"), F.col("pos")]).select(F.lower("link").alias("link"), "signal_id")
+    return companies.one_per_link(signals(spark, d), [F.col("page"), F.col("pos")]).select(F.lower("link").alias("link"), "signal_id")
 
 
 W03 = f"select lower(link) as link, arg_min(signal_id, (page, pos)) as signal_id from {S} where link is not null group by lower(link)"
 
 
 def w07_edges(spark, d):
-    part = table(spark, d, "part").selectExpr("p_partkey", f"{texts.slug(SPARK, 'p_name')} as to_id")
-    bought = table(spark, d, "lineitem").join(part, F.col("l_partkey") == F.col("p_partkey"))
-    return bought.where("to_id is not null").select(F.col("l_suppkey").alias("from_id"), "to_id").distinct().withColumn("edge_type", F.lit("PURCHASES")).withColumn("weight", F.lit(1))
+    bought = table(spark, d, "lineitem").join(table(spark, d, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    return companies.purchase_edges(bought, "l_suppkey", "p_name")
 
 
 W07 = f"select distinct l_suppkey as from_id, {texts.slug(DUCK, 'p_name')} as to_id, 'PURCHASES' as edge_type, 1 as weight from lineitem join part on l_partkey = p_partkey"
@@ -68,8 +65,7 @@ INDUSTRIES = "(1, 'seed mills'), (2, 'customs brokers'), (3, 'pillar trade')"
 def w10_s11_j09_alias(spark, d):
     """The key of the first text segment that is an alias; of equal aliases the first entry counts."""
     alias = keep.keep_first(spark.sql(f"select * from values {ALIASES} as t(n, alias, key)"), ["alias"], [F.col("n")])
-    words = table(spark, d, "part").select("p_partkey", F.posexplode(F.split(F.lower("p_name"), " ")).alias("pos", "alias"))
-    return words.join(alias, "alias").groupBy("p_partkey").agg(F.min_by("key", "pos").alias("key"))
+    return companies.first_alias(table(spark, d, "part"), "p_partkey", "p_name", alias)
 
 
 W10 = f"with a as (select alias, arg_min(key, n) as key from (values {ALIASES}) t(n, alias, key) group by alias), w as (select p_partkey, unnest(string_split(lower(p_name), ' ')) as alias, generate_subscripts(string_split(lower(p_name), ' '), 1) as pos from part) select p_partkey, arg_min(key, pos) as key from w join a using (alias) group by p_partkey"
@@ -78,7 +74,7 @@ W10 = f"with a as (select alias, arg_min(key, n) as key from (values {ALIASES})
 def j08_segments(spark, d):
     """Key to segment to keyword, with the key itself where the dictionary has none."""
     seg = spark.sql(f"select * from values {SEGMENTS} as t(key, segment, keyword)")
-    return w10_s11_j09_alias(spark, d).join(seg, "key", "left").select("p_partkey", F.coalesce("segment", F.lit("seg_other")).alias("segment"), F.coalesce("keyword", "key").alias("keyword"))
+    return companies.with_segment(w10_s11_j09_alias(spark, d), seg)
 
 
 J08 = f"select p_partkey, coalesce(segment, 'seg_other') as segment, coalesce(keyword, a.key) as keyword from ({W10}) a left join (values {SEGMENTS}) t(key, segment, keyword) on a.key = t.key"
@@ -87,8 +83,7 @@ J08 = f"select p_partkey, coalesce(segment, 'seg_other') as segment, coalesce(ke
 def j07_t05_sources(spark, d):
     """The four best sources for the country of each lead."""
     src = spark.sql(f"select id, split(countries, ',') as countries, boost from values {SOURCES} as t(id, countries, boost)")
-    hit = leads(spark, d).select("lead_id", F.upper("country").alias("cc")).join(F.broadcast(src), F.array_contains("countries", F.col("cc")))
-    return keep.keep_top(hit, ["lead_id"], [F.col("boost").desc(), F.col("id")], 4).select("lead_id", "id", "boost", "rank")
+    return companies.best_sources(leads(spark, d), src, "lead_id").select("lead_id", "id", "boost", "rank")
 
 
 J07 = f"select lead_id, id, boost, rank from (select lead_id, id, boost, row_number() over (partition by lead_id order by boost desc, id) as rank from {L} l join (select id, string_split(countries, ',') as countries, boost from (values {SOURCES}) t(id, countries, boost)) s on list_contains(countries, upper(l.country))) where rank <= 4"
@@ -98,9 +93,7 @@ def j06_p34_x11_registry(spark, d):
     """Leads with their country's registry: the filled lookup URL, whether it could be looked up, and the boosted score."""
     reg = spark.sql(f"select * from values {REGISTRY} as t(country, lookup_url, boost)")
     rows = leads(spark, d).selectExpr("lead_id", "country", "confidence_score", f"{texts.tax_id(SPARK)} as tax_id")
-    url = F.replace("lookup_url", F.lit("${id}"), F.coalesce("tax_id", F.lit("")))
-    joined = rows.join(reg, "country", "left")
-    return joined.select("lead_id", F.when(F.col("tax_id").isNotNull(), url).alias("url"), (F.col("boost").isNotNull() & F.col("tax_id").isNotNull()).alias("verified"), F.when(F.col("boost").isNotNull(), F.least(F.lit(100), F.coalesce("confidence_score", F.lit(60)) + F.col("boost"))).alias("score"))
+    return companies.with_registry(rows, reg).select("lead_id", "url", "verified", "score")
 
 
 J06 = f"select lead_id, case when tax_id is not null then replace(lookup_url, '${{id}}', tax_id) end as url, boost is not null and tax_id is not null as verified, case when boost is not null then least(100, coalesce(confidence_score, 60) + boost) end as score from (select lead_id, country, confidence_score, {texts.tax_id(DUCK)} as tax_id from {L}) l left join (values {REGISTRY}) r(country, lookup_url, boost) on l.country = r.country"
@@ -174,8 +167,9 @@ J01 = "with m as (select l_orderkey, l_linenumber, min(l_partkey) as p from line
 
 def j03_k02_last_result(spark, d):
     """Queue rows with the last enrichment result of their key (by time); rows without one stay."""
-    last = keep.keep_first(attempts(spark, d), ["key"], [F.col("ts").desc(), F.col("attempt_id").desc()]).select("key", F.col("layer").alias("via"), "contacts")
-    return queue(spark, d).where("status = 'pending'").join(last, "key", "left").select("row_id", "key", "via", "contacts")
+    order = [F.col("ts").desc(), F.col("attempt_id").desc()]
+    rows = queue(spark, d).where("status = 'pending'").select("row_id", "key")
+    return companies.with_last_result(rows, attempts(spark, d), "key", order, [F.col("layer").alias("via"), "contacts"]).select("row_id", "key", "via", "contacts")
 
 
 J03 = f"select row_id, q.key, via, contacts from (select * from {view('queue')} where status = 'pending') q left join (select key, arg_max(layer, (ts, attempt_id)) as via, arg_max(contacts, (ts, attempt_id)) as contacts from {view('attempts')} group by key) a on q.key = a.key"
@@ -185,8 +179,7 @@ def j04_ids(spark, d):
     """Leads with the id of their company: the row inserted now, else the one there before."""
     rows = leads(spark, d).selectExpr("lead_id", f"{texts.name_key('company_name')} as name_key", f"{texts.country_code('country')} as cc").where("name_key <> ''")
     old = rows.where("lead_id % 3 = 0").groupBy("name_key", "cc").agg(F.min("lead_id").alias("old_id"))
-    new = keep.keep_first(rows.join(old, ["name_key", "cc"], "left_anti"), ["name_key", "cc"], [F.col("lead_id")]).select("name_key", "cc", F.col("lead_id").alias("new_id"))
-    return rows.join(new, ["name_key", "cc"], "left").join(old, ["name_key", "cc"], "left").select("lead_id", F.coalesce("new_id", "old_id").alias("company_id"))
+    return companies.company_ids(rows.where("cc is not null"), old, ["name_key", "cc"], "lead_id").select("lead_id", "company_id")
 
 
 J04 = f"with r as (select lead_id, {texts.name_key('company_name')} as nk, {texts.country_code('country')} as cc from {L} where {texts.name_key('company_name')} <> ''), g as (select nk, cc, min(lead_id) filter (where lead_id % 3 = 0) as old_id, min(lead_id) as first_id from r group by nk, cc) select lead_id, coalesce(old_id, first_id) as company_id from r join g on r.nk = g.nk and r.cc = g.cc"
@@ -227,10 +220,8 @@ J14 = f"select lead_id, place_id, case when lead_id % 3 = 1 and lead_id % 2 = 0
 
 def j20_k08_seeds(spark, d):
     """Hot leads fed back as seeds: 90 points or more, a contact, a name and a domain that isn't known yet; first of each domain."""
-    rows = leads(spark, d).selectExpr("*", "lower(domain) as d")
-    known = rows.where("lead_id % 4 = 0 and d is not null").select("d").distinct()
-    hot = rows.where(f"confidence_score >= 90 and {texts.filled('company_name')} and {texts.filled('domain')} and ({texts.filled('primary_email')} or {texts.filled('primary_phone')})")
-    return keep.keep_first(hot.join(known, "d", "left_anti"), ["d"], [F.col("lead_id")]).select(F.col("d").alias("domain"), "lead_id", "confidence_score")
+    known = leads(spark, d).where("lead_id % 4 = 0 and domain is not null").selectExpr("lower(domain) as d").distinct()
+    return companies.seed_feedback(leads(spark, d), known).select(F.col("d").alias("domain"), "lead_id", "confidence_score")
 
 
 J20 = f"select lower(domain) as domain, min(lead_id) as lead_id, 95 as confidence_score from {L} where confidence_score >= 90 and coalesce(company_name, '') <> '' and coalesce(domain, '') <> '' and (coalesce(primary_email, '') <> '' or coalesce(primary_phone, '') <> '') and lower(domain) not in (select lower(domain) from {L} where lead_id % 4 = 0 and domain is not null) group by lower(domain)"
@@ -238,11 +229,9 @@ J20 = f"select lower(domain) as domain, min(lead_id) as lead_id, 95 as confidenc
 
 def j21_j22_x10_u06_coefficients(spark, d):
     """Coefficients of (brand, type) that the dictionary lacks, with the type's and the global default behind them."""
-    part = table(spark, d, "part")
+    part, ratio = table(spark, d, "part"), F.count_if(F.col("p_size") > 25) / F.count("*")
     have = part.where("p_size < 10").select("p_brand", "p_type").distinct()
-    new = part.groupBy("p_brand", "p_type").agg((F.count_if(F.col("p_size") > 25) / F.count("*")).alias("ratio")).join(have, ["p_brand", "p_type"], "left_anti")
-    default = part.groupBy("p_type").agg((F.count_if(F.col("p_size") > 25) / F.count("*")).alias("type_ratio"))
-    return new.join(default, "p_type").select("p_brand", "p_type", F.round(F.least(F.lit(0.95), F.round("ratio", 2) + 0.1), 6).alias("exact"), F.round(F.coalesce("type_ratio", F.lit(0.3)), 2).alias("fallback"))
+    return companies.new_coefficients(part.groupBy("p_brand", "p_type").agg(ratio.alias("ratio")), have, part.groupBy("p_type").agg(ratio.alias("group_ratio")), ["p_brand", "p_type"], "p_type")
 
 
 J21 = "with n as (select p_brand, p_type, count(*) filter (where p_size > 25) / count(*) as ratio from part group by all), h as (select distinct p_brand, p_type from part where p_size < 10), t as (select p_type, count(*) filter (where p_size > 25) / count(*) as type_ratio from part group by all) select n.p_brand, n.p_type, round(least(0.95, round(ratio, 2) + 0.1), 6) as exact, round(type_ratio, 2) as fallback from n join t on n.p_type = t.p_type where not exists (select 1 from h where h.p_brand = n.p_brand and h.p_type = n.p_type)"
@@ -314,9 +303,8 @@ U04 = "with o as (select p_type, list_sort(list_distinct(list(lower(p_brand)) fi
 
 def u08_f37_direction(spark, d):
     """Pillars that run for the direction of a job: for suppliers the shared two and the supplier pillars."""
-    kind = F.when(F.col("pillar").rlike("Seed|VerifiedSource"), "shared").when(F.col("pillar").like("Pillar S %"), "supplier").otherwise("buyer")
-    rows = leads(spark, d).where("pillar is not null").withColumn("kind", kind).withColumn("direction", F.expr("case when job_id % 2 = 0 then 'find_suppliers' else 'find_buyers' end"))
-    return rows.where("kind = 'shared' or (kind = 'supplier') = (direction = 'find_suppliers')").groupBy("direction", "pillar").agg(F.count("*").alias("n"))
+    rows = leads(spark, d).withColumn("direction", F.expr("case when job_id % 2 = 0 then 'find_suppliers' else 'find_buyers' end"))
+    return companies.for_direction(rows, "pillar", "direction").groupBy("direction", "pillar").agg(F.count("*").alias("n"))
 
 
 U08 = f"select direction, pillar, count(*) as n from (select pillar, case when regexp_matches(pillar, 'Seed|VerifiedSource') then 'shared' when pillar like 'Pillar S %' then 'supplier' else 'buyer' end as kind, case when job_id % 2 = 0 then 'find_suppliers' else 'find_buyers' end as direction from {L} where pillar is not null) where kind = 'shared' or (kind = 'supplier') = (direction = 'find_suppliers') group by all"

@@ -193,6 +193,16 @@ TAX_ID_PATTERNS = {"br": (r"\b(\d{2}[.\s]?\d{3}[.\s]?\d{3}[/\s]?\d{4}[-\s]?\d{2}
 EMAIL_BLOCKED = "example yourdomain @domain. @email. noreply no-reply donotreply sentry.io wixpress.com".split()
 FREE_EMAIL_LAST = "gmail.com yahoo.com yahoo.co.uk hotmail.com outlook.com qq.com 163.com".split()
 
+# ---- fixed values: links and raw signals ---------------------------------
+
+INTAKE_SOCIAL_PATTERN = r"(facebook|instagram|linkedin|twitter|x\.com|youtube|tiktok|pinterest)\."
+INTAKE_AGGREGATOR_PATTERN = r"(yellowpages|yelp|kompass|tradeindia|tradekey|ec21|ecplaza)\."
+INTAKE_NEWS_PATTERN = r"\b(news|press|journal|报道|新闻|记者|通讯社)\b"
+#: Schemes of links, and channel|confidence.
+SCHEME_CHANNELS = {"^skype:.": "skype|0.7", "^viber:": "viber|0.7", "^weixin:": "wechat|0.6", "^line:": "line|0.7", "^tg:": "telegram|0.7"}
+#: Hosts whose every link is a channel.
+HOST_CHANNELS = {"line.me": "line|0.8", "lin.ee": "line|0.8", "messenger.com": "messenger|0.7", "m.me": "messenger|0.7", "join.skype.com": "skype|0.65", "skype.com": "skype|0.65", "weixin.qq.com": "wechat|0.55", "kakao.com": "kakao|0.7", "open.kakao.com": "kakao|0.7", "zalo.me": "zalo|0.7", "signal.me": "signal|0.7"}
+
 # ---- fixed values: categories, places and languages by code --------------
 
 #: A country's name at the start of a category text.
