@@ -19,6 +19,21 @@ ONE_ARGUMENT = {
 }
 
 
+def _table_functions() -> dict[str, tuple[str, str, str]]:
+    """name -> (arguments, columns, query): one row to many, inside the engine."""
+    from .. import rules
+    from ..operators import contacts
+
+    paths = ", ".join(f"'{p}'" for p in rules.CONTACT_PATHS)
+    channel = f"select {contacts.classify_link(SPARK, 'h')} as c, {contacts.clean_url(SPARK, 'h')} as v from (select explode({contacts.hrefs(SPARK, 'html')}) as h)"
+    return {
+        "page_channels": ("html string", "type string, confidence double, value string", f"select substring_index(c, '|', 1), cast(substring_index(c, '|', -1) as double), v from ({channel}) where c is not null"),
+        "candidate_urls": ("url string", "link string", f"select regexp_extract(url, '^(https?://[^/?#]+)', 1) || p from (select explode(array({paths})) as p) where url rlike '^https?://[^/?#]+'"),
+        "signal_rows": ("intent_signal string, tax_verified boolean, reason_codes string", "type string", "select t from (select explode(array(case when upper(intent_signal) in ('BOL_SIGNAL', 'CUSTOMS_SIGNAL', 'IMPORT_RECORD') then 'customs' end, case when upper(intent_signal) = 'PROCUREMENT_DECISION_MAKER' then 'decision_maker' end, case when tax_verified then 'tax_verified' end, case when upper(reason_codes) rlike 'IMPORT|BOL|CUSTOMS' then 'import_history' end)) as t) where t is not null"),
+        "category_edges": ("items string", "to_id string", f"select distinct {texts.slug(SPARK, 'x')} from (select explode(split(items, ',')) as x) where {texts.slug(SPARK, 'x')} is not null"),
+    }
+
+
 def column(name: str, x: str) -> Column:
     """A rule as a Column over the column or expression x."""
     import re
@@ -30,6 +45,8 @@ def register_sql(spark: SparkSession) -> None:
     """Every rule as a temporary SQL function of its name."""
     for name, (kind, text) in ONE_ARGUMENT.items():
         spark.sql(f"create or replace temporary function {name}(x string) returns {kind} return {text}")
+    for name, (arguments, columns, query) in _table_functions().items():
+        spark.sql(f"create or replace temporary function {name}({arguments}) returns table({columns}) return {query}")
 
 
 @udtf(returnType=T.StructType().add("kind", "string").add("value", "string"))

@@ -91,6 +91,34 @@ def g05_udtf(spark, d):
 G05 = f"select page_id, 'email' as kind, lower(trim(unnest(list_distinct(regexp_extract_all(html, '(?i)href\\s*=\\s*[\\x22\\x27]mailto:([^\\x22\\x27?]+)', 1))))) as value from {view('contact_pages')} union all select page_id, 'phone', lower(trim(unnest(list_distinct(regexp_extract_all(html, '(?i)href\\s*=\\s*[\\x22\\x27]tel:([^\\x22\\x27]+)', 1))))) from {view('contact_pages')}"
 
 
+def g05_rows(spark, d):
+    """Channels, candidate pages, signals and edges of pages and leads by SQL table functions: one row to many."""
+    functions.register_sql(spark)
+    derived.build(spark, d, "contact_pages").createOrReplaceTempView("leadloom_pages")
+    derived.build(spark, d, "leads").createOrReplaceTempView("leadloom_leads")
+    return spark.sql("""
+      select 'channel' as kind, page_id as id, c.type || ' ' || c.value as value from leadloom_pages, lateral page_channels(html) c
+      union all select 'page', page_id, c.link from leadloom_pages, lateral candidate_urls(url) c
+      union all select 'signal', lead_id, s.type from leadloom_leads l, lateral signal_rows(l.intent_signal, l.tax_verified, l.reason_codes) s
+      union all select 'edge', lead_id, e.to_id from leadloom_leads l, lateral category_edges(l.category || ',' || coalesce(l.snippet, '')) e""")
+
+
+def _g05_rows() -> str:
+    from ..functions import texts
+    from ..functions.dialect import DUCK
+    from ..operators import contacts
+
+    d = DUCK
+    leads_, pages_ = view("leads"), view("contact_pages")
+    links = f"select page_id, {contacts.classify_link(d, 'h')} as c, {contacts.clean_url(d, 'h')} as v from (select page_id, unnest({contacts.hrefs(d, 'html')}) as h from {pages_})"
+    paths = "['/contact', '/contact/', '/contact-us', '/contact-us/', '/contact.html', '/about', '/about-us', '/get-in-touch', '/reach-us', '/inquiry', '/zh/contact', '/en/contact']"
+    return f"""
+      select 'channel' as kind, page_id as id, string_split(c, '|')[1] || ' ' || v as value from ({links}) where c is not null
+      union all select 'page', page_id, regexp_extract(url, '^(https?://[^/?#]+)', 1) || p from (select page_id, url, unnest({paths}) as p from {pages_}) where regexp_matches(url, '^https?://[^/?#]+')
+      union all select 'signal', lead_id, t from (select lead_id, unnest([case when upper(intent_signal) in ('BOL_SIGNAL', 'CUSTOMS_SIGNAL', 'IMPORT_RECORD') then 'customs' end, case when upper(intent_signal) = 'PROCUREMENT_DECISION_MAKER' then 'decision_maker' end, case when tax_verified then 'tax_verified' end, case when regexp_matches(upper(reason_codes), 'IMPORT|BOL|CUSTOMS') then 'import_history' end]) as t from {leads_}) where t is not null
+      union all select distinct 'edge', lead_id, {texts.slug(d, 'x')} from (select lead_id, unnest(string_split(category || ',' || coalesce(snippet, ''), ',')) as x from {leads_}) where {texts.slug(d, 'x')} is not null"""
+
+
 def register(r: Registry) -> None:
     r.add("y01_y04_sweep", y01_sweep, "select user_id, event_type, min(event_id) as event_id from events group by user_id, event_type")
     r.add("y02_retry_state", y02_retries, Y02)
@@ -102,3 +130,4 @@ def register(r: Registry) -> None:
     r.add("x13_g06_loose_json", x13_json, "select event_id, cast(json_extract_string(props, '$.k') as int) as k from events")
     r.add("g03_sql_functions", g03_sql, _g03())
     r.add("g05_page_table_function", g05_udtf, G05)
+    r.add("g05_one_to_many", g05_rows, _g05_rows())
