@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -112,3 +113,41 @@ def test_components(spark):
         parent[max(a, b)] = min(a, b)
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(x) for e in edges if e[0] != e[1] for x in e}
+
+
+def test_recall_of_every_hundredth_document_against_all(spark):
+    """Links of the documents with an id divisible by 100 to all others at sf0.1, by full comparison: none is lost."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text")
+    hashes, texts = M.WordHashes(), {}
+    for r in docs.orderBy("doc_id").collect():
+        texts.setdefault(r.text, r.doc_id)
+    sets = {t: M.shingles(t.encode(), hashes) for t in texts if t is not None}
+    asked = [t for t, i in texts.items() if i % 100 == 0 and t is not None]
+    holders = {}
+    for k, t in enumerate(asked):
+        for h in sets[t].tolist():
+            holders.setdefault(h, []).append(k)
+    want = dict.fromkeys(range(len(asked)), 0)
+    for t, own in sets.items():
+        both = Counter(k for h in own.tolist() for k in holders.get(h, ()))
+        for k, n in both.items():
+            if asked[k] != t and n >= 0.8 * (len(own) + len(sets[asked[k]]) - n) - 1e-9:
+                want[k] += 1
+    got = {r.doc_id: r.n_links for r in M.similarity_classes(docs).where("doc_id % 100 = 0").collect()}
+    found, links = sum(got[texts[t]] for t in asked), sum(want.values())
+    assert links >= 1 and found >= 0.99 * links
+    assert all(got[texts[t]] <= want[k] for k, t in enumerate(asked))
+
+
+def test_buckets_of_large_components_equal_brute_force(spark, monkeypatch):
+    """A chain of texts, each alike to the next: a large component whose buckets are small, and a dense one beside it."""
+    monkeypatch.setattr(M, "BLOCK_TEXTS", 4)
+    draw = random.Random(8)
+    ws = [f"w{k}" for k in range(300)]
+    rows = []
+    for _ in range(40):
+        rows.append((len(rows), " ".join(ws)))
+        at = draw.randrange(280)
+        ws[at : at + 12] = [f"n{len(rows)}x{k}" for k in range(12)]
+    rows += [(100 + i, t) for i, t in corpus(5, 1, 25)]
+    assert joined(spark, rows) == brute(rows)
