@@ -103,7 +103,8 @@ def j18_s13_knowledge(spark, d):
     """The first industry whose first word occurs in the lead's pillar."""
     known = spark.sql(f"select n, name, substring_index(name, ' ', 1) as word from values {INDUSTRIES} as t(n, name)")
     rows = leads(spark, d).select("lead_id", F.lower(F.coalesce("pillar", F.lit(""))).alias("p"))
-    return joins.first_match(rows, F.broadcast(known), F.expr("contains(p, word)"), ["lead_id"], [F.col("n")]).select("lead_id", "name")
+    named = joins.first_match(rows.select("p").distinct(), known, F.expr("contains(p, word)"), ["p"], [F.col("n")])  # pillars are few, leads many
+    return rows.join(named, "p").select("lead_id", "name")
 
 
 J18 = f"select lead_id, arg_min(name, n) as name from (select lead_id, lower(coalesce(pillar, '')) as p from {L}) l left join (select n, name, string_split(name, ' ')[1] as word from (values {INDUSTRIES}) t(n, name)) k on contains(p, word) group by lead_id"
@@ -114,7 +115,7 @@ def j19_category_groups(spark, d):
     """The groups of buyers that each category lets through: one dictionary row per rule and group, matched by pattern."""
     rule = spark.createDataFrame([(SPARK.pattern(p)[2:-1], g) for p, gs in rules.CATEGORY_BUYERS for g in gs], "pattern string, grp string")
     cats = leads(spark, d).select(F.lower("category").alias("category")).distinct()
-    return cats.join(F.broadcast(rule), F.expr("category rlike pattern")).groupBy("category").agg(F.array_join(F.array_sort(F.collect_set("grp")), ",").alias("groups"))
+    return cats.join(rule, F.expr("category rlike pattern")).groupBy("category").agg(F.array_join(F.array_sort(F.collect_set("grp")), ",").alias("groups"))
 
 
 J19 = f"select category, string_agg(distinct grp, ',' order by grp) as groups from (select distinct lower(category) as category from {L}) c join (values {', '.join(f'({chr(39)}{p}{chr(39)}, {chr(39)}{g}{chr(39)})' for p, gs in rules.CATEGORY_BUYERS for g in gs)}) r(pattern, grp) on regexp_matches(category, pattern) group by category"
