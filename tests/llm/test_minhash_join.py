@@ -142,12 +142,15 @@ def test_recall_of_every_hundredth_document_against_all(spark):
 def test_buckets_of_large_components_equal_brute_force(spark, monkeypatch):
     """A chain of texts, each alike to the next: a large component whose buckets are small, and a dense one beside it."""
     monkeypatch.setattr(M, "BLOCK_TEXTS", 4)
+    parts, by_bucket = [], M._by_bucket
+    monkeypatch.setattr(M, "_by_bucket", lambda *a: parts.append(by_bucket(*a)) or parts[-1])
     draw = random.Random(8)
     ws = [f"w{k}" for k in range(300)]
     rows = []
-    for _ in range(40):
+    for _ in range(200):
         rows.append((len(rows), " ".join(ws)))
         at = draw.randrange(280)
         ws[at : at + 12] = [f"n{len(rows)}x{k}" for k in range(12)]
-    rows += [(100 + i, t) for i, t in corpus(5, 1, 25)]
+    rows += [(1000 + i, t) for i, t in corpus(5, 1, 25)]
     assert joined(spark, rows) == brute(rows)
+    assert len(parts) == 1 and parts[0] is not None
