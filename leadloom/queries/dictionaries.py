@@ -59,7 +59,7 @@ def s09_sources(spark, d):
     return dictionaries.verified_sources(docs, ["doc_id"]).select("doc_id", "region", "pos", "id", "domain", F.array_join("countries", ",").alias("countries"), F.col("source_confidence_boost").alias("boost"))
 
 
-S09 = "select p_partkey // 100 as doc_id, p_type as region, row_number() over (partition by p_partkey // 100, p_type order by p_partkey) - 1 as pos, 's' || p_partkey as id, lower(p_brand) as domain, lower(p_name) as countries, p_size as boost from part"
+S09 = "select p_partkey // 100 as doc_id, p_type as region, cast(row_number() over (partition by p_partkey // 100, p_type order by p_partkey) - 1 as int) as pos, 's' || p_partkey as id, lower(p_brand) as domain, lower(p_name) as countries, p_size as boost from part"
 
 
 def s10_registry(spark, d):
@@ -77,7 +77,7 @@ def s13_industries(spark, d):
     return dictionaries.industries(docs, ["doc_id"]).select("doc_id", "n", "name", "word", F.get_json_object("detail", "$.name").alias("detail"))
 
 
-S13 = "select p_partkey // 100 as doc_id, row_number() over (partition by p_partkey // 100 order by p_partkey) - 1 as n, p_name || ' ' || p_partkey as name, lower(string_split(p_name, ' ')[1]) as word, p_brand as detail from part"
+S13 = "select p_partkey // 100 as doc_id, cast(row_number() over (partition by p_partkey // 100 order by p_partkey) - 1 as int) as n, p_name || ' ' || p_partkey as name, lower(string_split(p_name, ' ')[1]) as word, p_brand as detail from part"
 
 
 # category and industry keys -------------------------------------------------
@@ -174,7 +174,7 @@ def s06_inline(spark, d):
 S06 = """
 with u as (select p_partkey // 200 as job_id, p_partkey, 'https://' || p_brand || '/' || p_partkey as url, p_type from part where p_partkey % 3 <> 0),
 k as (select job_id, 'social' as kind, row_number() over (partition by job_id order by p_partkey) - 1 as pos, url from u union all select job_id, 'company', row_number() over (partition by job_id order by p_partkey) - 1, url from u where p_type <> 'ECONOMY')
-select * from k where pos < 50"""
+select job_id, kind, cast(pos as int) as pos, url from k where pos < 50"""
 
 
 def p39_grid(spark, d):
@@ -242,7 +242,7 @@ def s19_persons(spark, d):
 
 S19 = """
 with r as (select l_orderkey as company_id, l_linenumber, min(l_partkey) as k, cast(min(l_quantity) as double) as q from lineitem group by all), n as (select *, row_number() over (partition by company_id order by l_linenumber) - 1 as pos from r)
-select company_id, pos, 'p' || k as name, case when k % 3 = 0 then 'p' || k || '@firm.com' end as email, case when l_linenumber = 2 then 0.5 else least(1.0, greatest(0.0, q / 32 - 0.25)) end as confidence from n where pos < 5 and (k % 3 = 0 or (k % 4 = 0 and k % 5 <> 0))"""
+select company_id, cast(pos as int) as pos, 'p' || k as name, case when k % 3 = 0 then 'p' || k || '@firm.com' end as email, case when l_linenumber = 2 then 0.5 else least(1.0, greatest(0.0, q / 32 - 0.25)) end as confidence from n where pos < 5 and (k % 3 = 0 or (k % 4 = 0 and k % 5 <> 0))"""
 
 
 def _adapters(spark, d):
