@@ -23,9 +23,9 @@ in the classes of longer texts have been passed on to it. Its expectation is the
 pi, and what a source takes differs from its target by little more than the spread
 of sizes inside a class.
 
-No group grows with a source: ranks are dealt into bins, bins are counted, only the
-documents of the one bin of a class in which the sample ends are ordered (one in
-``BINS`` of the class). Sums are of integers, so reruns agree.
+No group grows with a source: ranks are dealt into bins, coarse bins are counted, then
+the bins of the coarse one in which the sample ends, and only the documents of the one
+bin in which it ends are ordered (one in ``BINS`` of the class). Sums are of integers, so reruns agree.
 
 Defined cases: a null text has no words; such documents are never taken, and a
 source without words has the target 0. A null source is a source of its own, the
@@ -41,8 +41,8 @@ from pyspark.sql import functions as F
 
 from .common import cut, hot_join, live_cuts, table, tidy
 
-#: Bins of the ranking per source and size class.
-BINS = 16384
+#: Bins of the ranking per source and size class, and how many of them are a coarse one.
+BINS, FINE = 16384, 128
 #: Preferences are taken in steps of one in so many.
 STEPS = 1024
 #: Probabilities are added up in units of one in so many.
@@ -128,6 +128,12 @@ def _quotas(state: DataFrame, seed: str) -> DataFrame:
     return along.select("source", F.explode(F.aggregate("classes", start, step)["out"]).alias("q")).select("source", "q.class", "q.quota", "q.most")
 
 
+def _ends(bins: DataFrame) -> DataFrame:
+    """(source, class, last_bin, need, most) from rows of (source, class, bin, n, quota, most): the bin in which the first quota documents end, and how many of it they take."""
+    upto = bins.withColumn("upto", F.sum("n").over(Window.partitionBy("source", "class").orderBy("bin")))
+    return upto.where("upto - n < quota and upto >= quota").select("source", "class", F.col("bin").alias("last_bin"), (F.col("quota") - F.col("upto") + F.col("n")).cast("long").alias("need"), "most")
+
+
 def pareto_mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", preference: Column | None = None, cap: int = 3, seed: str = "mix", weights=cycling_weights) -> DataFrame:
     """Per document row: id, source, size, source_size, target, expected (copies), copies and taken (copies * size).
 
@@ -153,10 +159,12 @@ def pareto_mix(docs: DataFrame, *, id_col: str = "doc_id", source_col: str = "so
     state = cut(planned.select("id", "source", "size", "source_size", "target", "expected", "whole", "units", "class", "rank", F.floor(F.col("rank") * BINS).cast("int").alias("bin")))
 
     quotas = _quotas(state, seed).select(F.col("source").alias("_source"), F.col("class").alias("_class"), "quota", "most")
-    bins = state.where("units > 0").groupBy("source", "class", "bin").agg(F.count("*").alias("n"))
-    upto = bins.withColumn("upto", F.sum("n").over(Window.partitionBy("source", "class").orderBy("bin")))  # BINS rows a class at most
-    ends = upto.join(quotas, F.col("source").eqNullSafe(F.col("_source")) & (F.col("class") == F.col("_class"))).where("upto - n < quota and upto >= quota")
-    ends = ends.select("source", "class", F.col("bin").alias("last_bin"), (F.col("quota") - F.col("upto") + F.col("n")).alias("need"), "most")
+    drawable = state.where("units > 0")
+    coarse = drawable.groupBy("source", "class", F.expr(f"bin div {FINE}").alias("bin")).agg(F.count("*").alias("n"))
+    first = _ends(coarse.join(quotas, F.col("source").eqNullSafe(F.col("_source")) & (F.col("class") == F.col("_class")))).withColumnRenamed("need", "quota")
+    inside = hot_join(drawable.select("source", "class", "bin"), first.withColumnRenamed("last_bin", "_coarse"), ["source", "class"], "most", total).where(f"bin div {FINE} = _coarse")
+    fine = inside.groupBy("source", "class", "bin").agg(F.count("*").alias("n"), F.first("quota").alias("quota"), F.first("most").alias("most"))
+    ends = _ends(fine)
     at_end = hot_join(state, ends, ["source", "class"], "most", total, "left")
     tidy(docs.sparkSession, since, state, at_end)
     split = F.coalesce((F.col("units") > 0) & (F.col("bin") == F.col("last_bin")), F.lit(False))
