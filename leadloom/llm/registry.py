@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, decontaminate, html_extract, license_scan, line_rules, minhash_join, mixing, quality_fm, token_counts, warc
+from . import chat_format, decontaminate, filter_audit, html_extract, license_scan, line_rules, minhash_join, mixing, quality_fm, token_counts, warc
 
 QUERIES = {
     "op1_chat_rotation": chat_format.op1_chat_rotation,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_line_rules": line_rules.op8_line_rules,
     "op9_pareto_mix": mixing.op9_pareto_mix,
     "op10_decontaminate": decontaminate.op10_decontaminate,
+    "op11_filter_audit": filter_audit.op11_filter_audit,
 }
 SQL = {
     "op1_chat_rotation": chat_format.OP1_SQL,
@@ -22,4 +23,5 @@ SQL = {
     "op8_line_rules": line_rules.OP8_SQL,
     "op9_pareto_mix": mixing.OP9_SQL,
     "op10_decontaminate": decontaminate.OP10_SQL,
+    "op11_filter_audit": filter_audit.OP11_SQL,
 }
