@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import chat_format, chat_repair, decontaminate, filter_audit, html_extract, license_scan, line_rules, minhash_join, mixing, quality_fm, token_counts, warc
+from . import chat_format, chat_repair, decontaminate, filter_audit, html_extract, license_scan, line_rules, minhash_join, mixing, quality_fm, token_counts, toxicity, warc
 
 QUERIES = {
     "op1_chat_rotation": chat_format.op1_chat_rotation,
@@ -16,6 +16,7 @@ QUERIES = {
     "op9_pareto_mix": mixing.op9_pareto_mix,
     "op10_decontaminate": decontaminate.op10_decontaminate,
     "op11_filter_audit": filter_audit.op11_filter_audit,
+    "op12_toxicity": toxicity.op12_toxicity,
     "op13_chat_repair": chat_repair.op13_chat_repair,
 }
 SQL = {
