@@ -86,6 +86,27 @@ select page_id, url,
 from {{pages}}
 """
 
+#: Sites of four pages (home, contact, about, a page the home page names) and a profile each; a third of them without contacts, some without a home page.
+_N = "cast(floor(page_id / 5) as bigint)"
+_NS = f"cast({_N} as string)"
+SITE_PAGES = f"""
+select page_id,
+  case when page_id % 5 = 4 then 'https://www.instagram.com/firm' || {_NS} || '/' else 'https://' || case when page_id % 2 = 0 then 'www.Firm' else 'firm' end || {_NS} || '.com' || {_pick("page_id % 5", f"case when {_N} % 7 = 3 then '/index.html' else '/' end", "'/contact'", "'/about'", "'/team/kontakt?x=1'")} end as url,
+  html || case when page_id % 5 = 0 then '<a href="/team/kontakt?x=1#top">Kontakt</a><a href="https://firm' || {_NS} || '.com/contact">Us</a><a href="https://elsewhere.com/contact">They</a>' else '' end
+  || case when {_N} % 3 = 1 and page_id % 5 < 4 then '' else {_pick("page_id", f"'<a href=\"mailto:Info@firm' || {_NS} || '.com\">m</a><a href=\"tel:+65 6123-' || lpad({_P}, 4, '0') || '\">Call</a>'", f"'<a href=\"mailto:sales' || {_P} || '@firm' || {_NS} || '.com\">m</a><p>buy@firm' || {_NS} || '.com, noreply@example.com</p><a href=\"https://t.me/firm' || {_NS} || '\">t</a>'", "'<a href=\"https://wa.me/6591234567\">WA</a><p>me@gmail.com</p>'", f"'<p>info@firm' || {_NS} || '.com and x@bbb.org</p>'", "''", f"'<a href=\"mailto:a' || {_P} || '@firm' || {_NS} || '.com\">m</a><p>b' || {_P} || '@brand.com Phone +49 30 1234567</p>'", "''")} end
+  || case when page_id % 5 = 4 then '<a href="https://brand' || {_NS} || '.com/shop?a=1">shop</a><a href="https://www.facebook.com/firm">fb</a><a href="https://other.org/">o</a>' else '' end as html
+from {{pages}}
+"""
+
+#: Results of the dearer layers, a row with a null type for a call without any.
+RECORDED = """
+select 'firm' || cast(event_id % 2003 as string) || '.com' as site,
+  case event_id % 3 when 0 then 'llm_text' when 1 then 'vision' else 'serper' end as layer,
+  case when event_id % 7 = 0 then 'email' when event_id % 7 = 1 then 'phone' when event_id % 7 = 2 then 'whatsapp' when event_id % 7 = 3 then 'email' end as type,
+  case event_id % 7 when 0 then 'P' || cast(event_id % 5 as string) || '@Firm' || cast(event_id % 2003 as string) || '.com' when 1 then '+65 6123 ' || lpad(cast(event_id % 9999 as string), 4, '0') when 2 then '+6591234567' when 3 then 'not an address' end as value
+from {events}
+"""
+
 ATTEMPTS = """
 select event_id as attempt_id, user_id as key, ts, value,
   case event_type when 'view' then 'home' when 'click' then 'bfs' when 'signup' then 'llm' when 'purchase' then 'vision' else 'serper' end as layer,
@@ -101,7 +122,7 @@ select event_id as row_id, user_id as key, cast(user_id % 5 as int) as job_id, t
 from {events}
 """
 
-TABLES = {"leads": LEADS, "signals": SIGNALS, "contact_pages": CONTACT_PAGES, "attempts": ATTEMPTS, "queue": QUEUE}
+TABLES = {"leads": LEADS, "signals": SIGNALS, "contact_pages": CONTACT_PAGES, "site_pages": SITE_PAGES, "recorded": RECORDED, "attempts": ATTEMPTS, "queue": QUEUE}
 
 
 #: Derived tables that this driver has written: (application, files of the tables they derive from, name) -> staged frame.
@@ -130,7 +151,7 @@ def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     text = TABLES[name]
     used = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in sorted(set(re.findall(r"\{(\w+)\}", text)))}
     if name != "leads":
-        return spark.sql(text, **{t: spread(df) for t, df in used.items()} if name in ("signals", "contact_pages") else used)
+        return spark.sql(text, **{t: spread(df) for t, df in used.items()} if name in ("signals", "contact_pages", "site_pages") else used)
     key = (spark.sparkContext.applicationId, tuple(_state_of(df) for df in used.values()), name)
     if key not in _STAGED:
         for old in [k for k in _STAGED if k[0] != key[0]]:

@@ -18,7 +18,7 @@ def pages(spark, d):
     return derived.build(spark, d, "contact_pages")
 
 
-def _contacts_sql() -> str:
+def _contacts_sql(P: str = P) -> str:
     d = DUCK
     mail, tel = d.extract_all("html", r"(?i)href\s*=\s*[\x22\x27]mailto:([^\x22\x27?]+)", 1), d.extract_all("html", r"(?i)href\s*=\s*[\x22\x27]tel:([^\x22\x27]+)", 1)
     wa = d.extract_all("html", r"(?i)https?://(?:wa\.me|api\.whatsapp\.com/send)/?\?*(?:phone=)?(\+?\d[\d\s\-]{6,15})", 1)
@@ -35,7 +35,7 @@ _CONTACTS = _contacts_sql()
 _FREE = in_list("regexp_extract(value, '@?([^@]*)$', 1)", rules.FREE_EMAIL_LAST)
 
 
-def _channels_sql() -> str:
+def _channels_sql(P: str = P, more: str = "") -> str:
     d = DUCK
     links = f"select page_id, pos, {contacts.classify_link(d, 'href')} as c, {contacts.clean_url(d, 'href')} as value, 'href' as source from (select page_id, unnest({contacts.hrefs(d, 'html')}) as href, generate_subscripts({contacts.hrefs(d, 'html')}, 1) - 1 as pos from {P})"
     handles = " union all ".join(f"select page_id, generate_subscripts(hs, 1) + 99999 as pos, '{k}|{n}' as c, unnest(hs) as value, 'text' as source from (select page_id, {contacts.text_handles(d, d.sub('html', '<[^>]+>', ' '), k)} as hs from {P})" for k, n in (("wechat", 0.55), ("line", 0.5)))
@@ -43,7 +43,7 @@ def _channels_sql() -> str:
     with r as (select page_id, pos, string_split(c, '|')[1] as type, cast(string_split(c, '|')[2] as double) as confidence, value, source from ({links} union all {handles}) where c is not null),
     b as (select *, row_number() over (partition by page_id, type, lower(value) order by confidence desc, pos, source) as rn from r),
     k as (select *, row_number() over (partition by page_id, type order by confidence desc, pos, source, value) as rank from b where rn = 1)
-    select page_id, type, value, source, confidence, rank from k where rank <= 4"""
+    select page_id, type, value, source, confidence, rank{more} from k where rank <= 4"""
 
 
 def _links_sql() -> str:

@@ -201,6 +201,8 @@ INTAKE_NEWS_PATTERN = r"\b(news|press|journal|报道|新闻|记者|通讯社)\b"
 #: Schemes of links, and channel|confidence.
 SCHEME_CHANNELS = {"^skype:.": "skype|0.7", "^viber:": "viber|0.7", "^weixin:": "wechat|0.6", "^line:": "line|0.7", "^tg:": "telegram|0.7"}
 #: Hosts whose every link is a channel.
+CHANNEL_HOSTS = """wa.me api.whatsapp.com whatsapp.com t.me telegram.me telegram.org line.me lin.ee instagram.com linkedin.com twitter.com x.com facebook.com fb.com fb.me m.facebook.com messenger.com youtube.com
+youtu.be tiktok.com skype.com join.skype.com weixin.qq.com kakao.com open.kakao.com zalo.me viber.com signal.me""".split()
 HOST_CHANNELS = {"line.me": "line|0.8", "lin.ee": "line|0.8", "messenger.com": "messenger|0.7", "m.me": "messenger|0.7", "join.skype.com": "skype|0.65", "skype.com": "skype|0.65", "weixin.qq.com": "wechat|0.55", "kakao.com": "kakao|0.7", "open.kakao.com": "kakao|0.7", "zalo.me": "zalo|0.7", "signal.me": "signal|0.7"}
 
 # ---- fixed values: categories, places and languages by code --------------
