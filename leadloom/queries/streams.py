@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import loose_json, register as functions
+from ..operators import words
 from ..plans import derived
 from ..streaming import jobs
 from .common import Registry, table, view
@@ -51,18 +52,69 @@ def _timed(spark, d):
     return _events(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _text(c):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+
+
 def y07_stale(spark, d):
-    text = lambda c: F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
-    return jobs.stale(_timed(spark, d), "user_id", "ts", "6 hours").select("user_id", text("start").alias("start"), text("end").alias("end"), "n")
+    """Claims released because nothing came for six hours by the time of the last event."""
+    return jobs.stale_claims(_timed(spark, d), "user_id", "ts", "6 hours")[0].select("user_id", _text("start").alias("start"), _text("end").alias("end"), "n")
 
 
-Y07 = "with g as (select *, case when ts - lag(ts) over (partition by user_id order by ts) <= interval 6 hour then 0 else 1 end as brk from events), s as (select *, sum(brk) over (partition by user_id order by ts rows unbounded preceding) as sid from g) select user_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S.%f') as start, strftime(max(ts) + interval 6 hour, '%Y-%m-%d %H:%M:%S.%f') as end, count(*) as n from s group by user_id, sid"
+_SPANS = "with g as (select *, case when ts - lag(ts) over (partition by user_id order by ts) <= interval 6 hour then 0 else 1 end as brk from events), s as (select *, sum(brk) over (partition by user_id order by ts rows unbounded preceding) as sid from g), w as (select user_id, min(ts) as a, max(ts) + interval 6 hour as z, count(*) as n from s group by user_id, sid)"
+Y07 = f"{_SPANS} select user_id, strftime(a, '%Y-%m-%d %H:%M:%S.%f') as start, strftime(z, '%Y-%m-%d %H:%M:%S.%f') as end, n from w where z <= (select max(ts) from events)"
 
 
 def y08_counts(spark, d):
     return jobs.counts(_timed(spark, d), "ts", "1 day", "event_type").select(F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
 
 
+def y08_closed(spark, d):
+    """Days that are over, those still open, and late rows, which add up to all events."""
+    closed, late, open_ = jobs.closed_counts(_timed(spark, d), "ts", "1 day", "1 hour", "event_type")
+    rows = lambda df, kind: df.select(F.lit(kind).alias("kind"), F.date_format("start", "yyyy-MM-dd").alias("day"), "event_type", "n")
+    lost = late.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type").agg(F.count("*").alias("n")).select(F.lit("late").alias("kind"), "day", "event_type", "n")
+    return rows(closed, "closed").unionByName(rows(open_, "open")).unionByName(lost)
+
+
+Y08_CLOSED = "select case when day + interval 25 hour <= (select max(ts) from events) then 'closed' else 'open' end as kind, strftime(day, '%Y-%m-%d') as day, event_type, n from (select date_trunc('day', ts) as day, event_type, count(*) as n from events group by all)"
+
+
+def y02_tasks(spark, d):
+    """Attempts as tasks of a queue with their errors: the last status of each, with the reason of those that are dead."""
+    message = F.expr("case cast(event_id % 6 as int) when 0 then 'no_contact found' when 1 then 'timeout' when 2 then 'Garbage host x' when 3 then 'no usable domain' else 'error 500' end")
+    rows = _events(spark, d).select(F.col("user_id").alias("key"), "ts", F.col("event_id").alias("attempt"), (F.col("event_type") == "purchase").alias("ok"), message.alias("message"))
+    last, dead = jobs.task_queue(rows)
+    return last.select("key", "status", "retries", "error").join(dead.select(F.col("key").alias("_key"), "reason"), F.col("key") == F.col("_key"), "left").drop("_key")
+
+
+Y02_TASKS = """
+with recursive a as (
+  select user_id as key, row_number() over (partition by user_id order by ts, event_id) as i, event_type = 'purchase' as ok,
+    case event_id % 6 when 0 then 'no_contact found' when 1 then 'timeout' when 2 then 'Garbage host x' when 3 then 'no usable domain' else 'error 500' end as m from events),
+s as (
+  select key, cast(0 as bigint) as i, 'pending' as status, 0 as retries, cast(null as varchar) as error from (select distinct key from a)
+  union all
+  select s.key, a.i, case when ok then 'done' when m in ('no_contact found', 'Garbage host x', 'no usable domain') or retries = 2 then 'failed' else 'pending' end, retries + case when ok then 0 else 1 end, case when not ok then m end
+  from s join a on a.key = s.key and a.i = s.i + 1 where status = 'pending'),
+f as (select key, arg_max(status, i) as status, arg_max(retries, i) as retries, max(i) as n from s group by key)
+select f.key, f.status, cast(f.retries as int) as retries, s.error, case when f.status = 'failed' then case when s.error = 'no_contact found' then 'no_contact' when s.error in ('Garbage host x', 'no usable domain') then 'unusable_domain' else 'max_retries' end end as reason
+from f join s on f.key = s.key and f.n = s.i"""
+
+
+def f10_word_lists(spark, d):
+    """Whole signal texts against the longer words of the benchmark, as a suppression list of some thousand words."""
+    listed = table(spark, d, "benchmark").select(F.explode(F.split(F.lower("text"), "[^a-z]+")).alias("word")).where("length(word) >= 6")
+    rows = derived.build(spark, d, "signals").select("signal_id", F.concat_ws(" ", "title", "snippet").alias("text"))
+    return words.with_words(rows, "text", listed).select("signal_id", F.size("hits").cast("long").alias("n_hits"), F.array_join("hits", ",").alias("hits"))
+
+
+F10 = f"""
+with w as (select distinct unnest(regexp_split_to_array(lower(text), '[^a-z]+')) as word from benchmark), l as (select word from w where length(word) >= 6),
+s as (select signal_id, concat_ws(' ', title, snippet) as text, lower(concat_ws(' ', title, snippet)) as low from {view('signals')})
+select signal_id, count(word) as n_hits, coalesce(string_agg(word, ',' order by word), '') as hits from s left join l on contains(low, word) group by signal_id, text"""
+
+
 def x13_json(spark, d):
     """Event properties broken in several ways and read back."""
     broken = F.expr("case cast(event_id % 4 as int) when 0 then props when 1 then '```json' || chr(10) || props || chr(10) || '```' when 2 then 'Sure! ' || replace(props, '}', ',}') else replace(props, '}', '') end")
@@ -127,6 +179,9 @@ def register(r: Registry) -> None:
     r.add("y06_latest_progress", y06_latest, "select user_id, event_type, arg_max(value, event_id) as value, count(*) as n from events group by user_id, event_type")
     r.add("y07_stale_claims", y07_stale, Y07)
     r.add("y08_sweep_counts", y08_counts, "select strftime(ts, '%Y-%m-%d') as day, event_type, count(*) as n from events group by all")
+    r.add("y08_closed_windows", y08_closed, Y08_CLOSED)
+    r.add("y02_k09_task_queue", y02_tasks, Y02_TASKS)
+    r.add("f10_f13_j24_word_lists", f10_word_lists, F10)
     r.add("x13_g06_loose_json", x13_json, "select event_id, cast(json_extract_string(props, '$.k') as int) as k from events")
     r.add("g03_sql_functions", g03_sql, _g03())
     r.add("g05_page_table_function", g05_udtf, G05)

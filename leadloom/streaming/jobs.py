@@ -1,116 +1,80 @@
 """Streaming jobs of the pipeline.
 
 A job reads a table's folder as a stream, keeps its state per key, and writes to
-a table of the shared folder, so that a run that is taken up again goes on where
-it stopped. ``run`` drives a stream over all that is there now; in production
-the trigger is an interval.
+tables of the shared folder (``job.Job``). A job with a ``name`` that is taken up again goes
+on where it stopped, also in another session; without a name every call is a new job.
+It runs over all that is there now; in production the trigger is an interval.
 """
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.keep import keep_first, keep_top
-from ..sources.stages import shared_dir, stage
+from ..operators.words import without_words
+from ..sources.stages import stage
+from .job import Job, ddl, same_key
 
 
-def source(spark: SparkSession, path: str) -> DataFrame:
+def source(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """A stream over the Parquet files at a path (a file or a folder)."""
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).parquet(path + "*")
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.parquet(path + "*")
 
 
-def run(stream: DataFrame, mode: str, write: Callable[[DataFrame, str, int], None] | None = None, key: list[str] | None = None) -> DataFrame:
-    """Runs the stream over all input there is and returns the table it wrote.
-
-    A batch's rows go below its id, so a batch that is repeated after a failure
-    replaces itself. ``write`` writes a batch's rows to a folder, given its id. With
-    ``key`` a batch's rows are updates, and the last per key counts.
-    """
-    spark = stream.sparkSession
-    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
-    out = f"{base}/table"
+def run(stream: DataFrame, mode: str, write: Callable[[DataFrame], DataFrame] | None = None, key: list[str] | None = None, name: str | None = None) -> DataFrame:
+    """Runs the stream and returns the table it wrote; ``write`` changes a batch's rows before. With ``key`` a batch's rows are updates of the row per key."""
+    job, columns = Job(stream.sparkSession, name), ddl(stream)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        if write is not None:
-            write(batch, out, batch_id)
-        else:
-            batch.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
-
-    query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{base}/state").foreachBatch(put).trigger(availableNow=True).start()
-    query.awaitTermination()
-    table = spark.read.schema(f"{_ddl(stream)}, batch long").parquet(out)
-    if key is not None:
-        table = keep_first(table, key, [F.col("batch").desc()])
-    return table.select(*stream.columns)
+        if key is not None:
+            job.compact("table", columns, key, batch_id)
+        job.write(batch if write is None else write(batch), "table", batch_id)
 
+    job.drive(stream, put, mode)
+    return job.states("table", columns, key) if key is not None else job.read("table", columns).drop("batch")
 
-#: Parts of a keyed table; a batch reads and writes the parts of its own keys alone.
-PARTS = 64
 
+def sweep(stream: DataFrame, key: list[str], order: Callable[[], list], name: str | None = None) -> DataFrame:
+    """One row per key over all batches, the first that came; of a batch's the first in order. What is there stays."""
+    job, columns = Job(stream.sparkSession, name), ddl(stream)
+    keys = ddl(stream.select(*key))
 
-def merge_new(key: list[str], order: Callable[[], list]) -> Callable[[DataFrame, str, int], None]:
-    """A batch's rows whose key earlier batches lack are added, the first per key; what is there stays.
-
-    The table is parted by a hash of the key, so a batch looks into the parts that
-    its keys fall into, and by batch, so a repeated batch doesn't see its own rows.
-    """
-
-    def write(batch: DataFrame, out: str, batch_id: int) -> None:
-        spark = batch.sparkSession
-        first = stage(keep_first(batch, key, order()).withColumn("part", F.pmod(F.xxhash64(*key), F.lit(PARTS)).cast("int")), "batch")
-        fresh = first
+    def put(batch: DataFrame, batch_id: int) -> None:
+        job.compact("keyed", keys, key, batch_id)
+        first = keep_first(batch, key, order())
         if batch_id > 0:
-            parts = [r[0] for r in first.select("part").distinct().collect()]  # PARTS at most
-            known = spark.read.schema(f"{_ddl(first)}, batch long").parquet(out).where((F.col("batch") < batch_id) & F.col("part").isin(parts))
-            fresh = first.join(known.select(*key), key, "left_anti")
-        fresh.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch", "part").parquet(out)
-
-    return write
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
-
+            first = stage(first, "batch")
+            known = job.states_of(first, "keyed", keys, key, batch_id).select(*(F.col(k).alias("_" + k) for k in key))
+            first = first.join(known, same_key(first, known, key), "left_anti")
+        job.write(first, "table", batch_id)
+        job.write(job.read("table", columns, batch_id + 1, batch_id).select(*key), "keyed", batch_id)
 
-def sweep(stream: DataFrame, key: list[str], order: Callable[[], list]) -> DataFrame:
-    """One row per key over all batches, the first that came."""
-    return run(stream, "append", merge_new(key, order))
+    job.drive(stream, put)
+    return job.read("table", columns).drop("batch")
 
 
-def run_keyed(stream: DataFrame, out_schema: str, state_schema: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]], tail: bool = False) -> DataFrame:
-    """Runs the stream with a state table of one row per ``key`` and returns the table of all batches' rows, with ``tail`` the last states too.
+def run_keyed(stream: DataFrame, out_schema: str, state_schema: str, step: Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]], name: str | None = None) -> DataFrame:
+    """Runs the stream with one row of state per ``key`` and returns the table of all batches' rows.
 
     step takes a batch and its keys' last states and gives the batch's rows and the
-    states that it changes. Both are written by batch id, so a batch that is
-    repeated after a failure replaces itself.
+    states that it changes.
     """
-    spark = stream.sparkSession
-    base = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
+    job = Job(stream.sparkSession, name)
 
     def put(batch: DataFrame, batch_id: int) -> None:
-        own = batch.sparkSession
-        past = own.createDataFrame([], f"{state_schema}, batch long")
-        if batch_id > 0:
-            past = own.read.schema(f"{state_schema}, batch long").parquet(f"{base}/keyed").where(F.col("batch") < batch_id)
-        rows = batch.select("key").distinct().withColumnRenamed("key", "_key")
-        known = keep_first(past.join(rows, past["key"].eqNullSafe(rows["_key"]), "left_semi"), ["key"], [F.col("batch").desc()]).drop("batch")
-        out, changed = step(batch, known)
-        changed.write.mode("overwrite").parquet(f"{base}/keyed/batch={batch_id}")
-        out.write.mode("overwrite").parquet(f"{base}/table/batch={batch_id}")
-
-    query = stream.writeStream.option("checkpointLocation", f"{base}/state").foreachBatch(put).trigger(availableNow=True).start()
-    query.awaitTermination()
-    columns = spark.createDataFrame([], out_schema).columns
-    out = spark.read.schema(out_schema).parquet(f"{base}/table").select(*columns)
-    if tail:
-        states = spark.read.schema(f"{state_schema}, batch long").parquet(f"{base}/keyed")
-        out = out.unionByName(keep_first(states, ["key"], [F.col("batch").desc()]).select(*columns))
-    return out
+        job.compact("keyed", state_schema, ["key"], batch_id)
+        out, changed = step(batch, job.states_of(batch, "keyed", state_schema, ["key"], batch_id))
+        job.write(changed, "keyed", batch_id)
+        job.write(out, "table", batch_id)
+
+    job.drive(stream, put)
+    return job.read("table", out_schema).drop("batch")
 
 
 RETRY_OUT = "key bigint, status string, retries int, attempts int"
@@ -133,9 +97,61 @@ def retry_step(batch: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame
     return out, out
 
 
-def retries(stream: DataFrame) -> DataFrame:
+def retries(stream: DataFrame, name: str | None = None) -> DataFrame:
     """Status per key after all attempts; stream: key, ts, attempt, ok."""
-    return run_keyed(stream, RETRY_OUT, RETRY_OUT, retry_step)
+    return run_keyed(stream, RETRY_OUT, RETRY_OUT, retry_step, name)
+
+
+#: Messages for which a task is dead at once, by reason, and the most tries of others.
+DEAD_NOW = {"no_contact": "(?i)no_contact", "unusable_domain": "(?i)unusable_domain|garbage.?host|no.?usable.?domain"}
+MOST_TRIES = 3
+TASK = "key bigint, status string, retries int, error string, ts timestamp_ntz"
+
+
+def task_step(batch: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Y02, tasks of a queue: done ends one; a failure for which trying again is no use or the third one makes it failed for good, others leave it pending.
+
+    Three attempts at most count of a key, and only they are grouped.
+    """
+    first = keep_top(batch, ["key"], [F.col("ts").asc_nulls_last(), F.col("attempt").asc_nulls_last()], MOST_TRIES)
+    one = F.struct("rank", F.coalesce("ok", F.lit(False)).alias("ok"), F.substring("message", 1, 1000).alias("message"), "ts")
+    tries = first.groupBy("key").agg(F.sort_array(F.collect_list(one)).alias("tries"))
+    before = known.select(F.col("key").alias("_key"), "status", "retries", "error", "ts")
+    state = "struct<status:string,retries:int,error:string,ts:timestamp_ntz>"
+    start = F.struct(F.coalesce("status", F.lit("pending")).alias("status"), F.coalesce("retries", F.lit(0)).alias("retries"), "error", "ts").cast(state)
+
+    def step(acc, x):
+        hopeless = F.lit(False)
+        for pattern in DEAD_NOW.values():
+            hopeless = hopeless | F.coalesce(x["message"].rlike(pattern), F.lit(False))
+        failed = F.struct(F.when(hopeless | (acc["retries"] + 1 >= MOST_TRIES), "failed").otherwise("pending").alias("status"), (acc["retries"] + 1).alias("retries"), x["message"].alias("error"), x["ts"].alias("ts")).cast(state)
+        done = F.struct(F.lit("done").alias("status"), acc["retries"].alias("retries"), F.lit(None).cast("string").alias("error"), x["ts"].alias("ts")).cast(state)
+        return F.when(acc["status"] != "pending", acc).when(x["ok"], done).otherwise(failed)
+
+    out = tries.join(before, tries["key"].eqNullSafe(before["_key"]), "left").select("key", F.aggregate("tries", start, step).alias("s"), F.coalesce("status", F.lit("pending")).alias("was"))
+    changed = stage(out.where("was = 'pending'").select("key", "s.*"), "tasks")
+    return changed, changed
+
+
+def dead_reason(error) -> F.Column:
+    out = F.lit("max_retries")
+    for reason, pattern in reversed(DEAD_NOW.items()):
+        out = F.when(F.coalesce(error.rlike(pattern), F.lit(False)), reason).otherwise(out)
+    return out
+
+
+def task_queue(stream: DataFrame, name: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The last status of every task, and the dead letters: (key, reason, error, ts) of those that failed for good. stream: key, ts, attempt, ok, message."""
+    changes = run_keyed(stream, TASK, TASK, task_step, name).withColumn("order", F.struct(F.col("status") != "pending", "retries"))
+    last = keep_first(changes, ["key"], [F.col("order").desc()]).drop("order")
+    dead = changes.where("status = 'failed'").select("key", dead_reason(F.col("error")).alias("reason"), "error", "ts")
+    return last, dead
+
+
+def promotion_ok(lead_columns: str = "", least: int = 70) -> F.Column:
+    """An attempt that promotes a queued company: a contact, a score of at least ``least`` (its own, else the queue's, else 50) and a grade that isn't unqualified."""
+    score = F.coalesce(F.col(lead_columns + "confidence_score").cast("double"), F.col("score").cast("double"), F.lit(50.0))
+    return F.coalesce(F.col("has_contact") & (score >= least) & (F.col("grade") != "unqualified"), F.lit(False))
 
 
 CACHE_OUT = "attempt bigint, hit boolean"
@@ -165,74 +181,96 @@ def cache_step(days: int) -> Callable[[DataFrame, DataFrame], tuple[DataFrame, D
     return step
 
 
-def ttl_cache(stream: DataFrame, days: int) -> DataFrame:
+def ttl_cache(stream: DataFrame, days: int, name: str | None = None) -> DataFrame:
     """For each look-up whether the key's last fill was at most so many days old; stream: key, ts, attempt, fill."""
     kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
-    return run_keyed(stream, CACHE_OUT, f"key {kinds['key']}, last {kinds['ts']}", cache_step(days))
+    return run_keyed(stream, CACHE_OUT, f"key {kinds['key']}, last {kinds['ts']}", cache_step(days), name)
 
 
-def without_negatives(stream: DataFrame, words: Callable[[SparkSession], DataFrame], most: int = 10_000) -> DataFrame:
-    """Rows whose text holds none of the words, which are read anew for every batch; words: one column, word.
+def without_negatives(stream: DataFrame, words: Callable[[SparkSession], DataFrame], name: str | None = None, **limits: int) -> DataFrame:
+    """Rows whose text holds none of the words, which are read anew for every batch; words: one column, word; limits as of without_words."""
+    return run(stream, "append", lambda batch: without_words(batch, "text", words(batch.sparkSession), **limits), name=name)
 
-    Up to ``most`` words are one pattern for each row; of more words, those that
-    share a text's trigrams are looked up by join.
-    """
 
-    def write(batch: DataFrame, out: str, batch_id: int) -> None:
-        bad = words(batch.sparkSession).where("word <> ''").distinct()
-        few = bad.limit(most + 1).count() <= most
-        (_without_few if few else _without_many)(batch, bad).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+def latest(stream: DataFrame, key: list[str], order: str, value: str, name: str | None = None) -> DataFrame:
+    """The last value per key; every batch writes the keys that changed."""
+    updates = stream.groupBy(*key).agg(F.max_by(value, order).alias(value), F.count("*").alias("n"))
+    return run(updates, "update", key=key, name=name)
 
-    return run(stream, "append", write)
 
+def counts(stream: DataFrame, ts: str, width: str, *by: str, name: str | None = None) -> DataFrame:
+    """Rows per window and key, whenever they come; every batch writes the windows that changed."""
+    updates = stream.groupBy(F.window(ts, width).alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *by, "n")
+    return run(updates, "update", key=["start", *by], name=name)
 
-def _without_few(batch: DataFrame, bad: DataFrame) -> DataFrame:
-    one = bad.agg(F.array_sort(F.collect_list("word")).alias("_words"))  # bounded by the caller
-    words = one.first()[0]
-    hit = F.exists(F.lit(words) if words else F.array().cast("array<string>"), lambda w: F.contains(F.lower("text"), w))
-    return batch.where(~F.coalesce(hit, F.lit(False)))
 
+def _mark(job: Job, batch: DataFrame, ts: str, batch_id: int):
+    """The latest time seen before this batch and after it; the one before is read from the batch before, so a repeated batch sees the same."""
+    before = None if batch_id == 0 else job.read("mark", "seen timestamp", batch_id, batch_id - 1).first()["seen"]
+    own = batch.agg(F.max(ts).alias("seen")).first()["seen"]
+    after = max((x for x in (before, own) if x is not None), default=None)
+    job.write(job.spark.createDataFrame([(after,)], "seen timestamp").coalesce(1), "mark", batch_id)
+    return before, after
 
-def _without_many(batch: DataFrame, bad: DataFrame) -> DataFrame:
-    """A word occurs in a text only if its first three characters do: these meet by key."""
-    rows = batch.withColumn("_row", F.monotonically_increasing_id())
-    rows = stage(rows, "batch")
-    grams = rows.select("_row", F.lower("text").alias("_text")).where("_text is not null")
-    starts = grams.select("_row", "_text", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length("_text"), F.lit(1))), lambda i: F.substring("_text", i, 3)))).alias("_gram"))
-    short = starts.select("_row", "_text", F.explode(F.array_distinct(F.array(F.col("_gram"), F.substring("_gram", 1, 2), F.substring("_gram", 1, 1)))).alias("_gram")).distinct()
-    hit = short.join(bad.select("word", F.substring("word", 1, 3).alias("_gram")), "_gram").where("contains(_text, word)").select("_row").distinct()
-    return rows.join(hit, "_row", "left_anti").drop("_row")
 
+def _at(seen, delay: str) -> F.Column:
+    return F.lit(seen).cast("timestamp") - F.expr(f"interval {delay}")
 
-def latest(stream: DataFrame, key: list[str], order: str, value: str) -> DataFrame:
-    """The last value per key; every batch writes the keys that changed."""
-    updates = stream.groupBy(*key).agg(F.max_by(value, order).alias(value), F.count("*").alias("n"))
-    return run(updates, "update", key=key)
 
+def closed_counts(stream: DataFrame, ts: str, width: str, delay: str, *by: str, name: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Rows per window and key, given once, when the window is over: its end is at least ``delay`` before the latest time seen.
 
-def stale_step(gap: str) -> Callable[[DataFrame, DataFrame], tuple[DataFrame, DataFrame]]:
-    def step(batch: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """A batch's spans, added up before they are shuffled, joined to each key's open one; all but the last are over."""
-        spans = batch.groupBy("key", F.session_window("ts", gap).alias("w")).agg(F.count("*").alias("n")).select("key", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
-        along = Window.partitionBy("key").orderBy("start", "end")
-        reached = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
-        marked = spans.unionByName(known.select(*spans.columns)).withColumn("new", F.coalesce(F.col("start") > reached, F.lit(True)).cast("int"))
-        merged = marked.withColumn("span", F.sum("new").over(along)).groupBy("key", "span").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n"))
-        placed = merged.withColumn("back", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("start")))).select(*spans.columns, "back")
-        return placed.where("back > 1").drop("back"), placed.where("back = 1").drop("back")
-
-    return step
-
-
-def stale(stream: DataFrame, key: str, ts: str, gap: str) -> DataFrame:
-    """Spans of activity per key that ended because nothing came for the gap; the state is the last span of each key."""
-    kind = stream.schema[key].dataType.simpleString()
-    columns = f"key {kind}, start timestamp, end timestamp, n bigint"
-    rows = stream.select(F.col(key).alias("key"), F.col(ts).alias("ts"))
-    return run_keyed(rows, columns, columns, stale_step(gap), tail=True).withColumnRenamed("key", key)
+    Gives the closed windows, the late rows, whose window was over before their batch began and which
+    no count holds, and the windows still open. The three hold every row with a time once; rows without one are late.
+    Open windows, of ``delay`` and ``width`` at most, are the state.
+    """
+    job, columns = Job(stream.sparkSession, name), ddl(stream)
+    kinds = {f.name: f.dataType.simpleString() for f in stream.schema}
+    out = ", ".join(["start timestamp", "end timestamp", *(f"`{c}` {kinds[c]}" for c in by), "n bigint"])
 
+    def put(batch: DataFrame, batch_id: int) -> None:
+        before, after = _mark(job, batch, ts, batch_id)
+        rows = batch.withColumn("_w", F.window(F.col(ts).cast("timestamp"), width))  # drops rows without a time
+        late = F.col("_w.end") <= _at(before, delay) if before is not None else F.lit(False)
+        job.write(rows.where(late).select(*batch.columns).unionByName(batch.where(F.col(ts).isNull())), "late", batch_id)
+        own = rows.where(~late).groupBy(F.col("_w.start").alias("start"), F.col("_w.end").alias("end"), *by).agg(F.count("*").alias("n"))
+        known = job.read("open", out, batch_id, batch_id - 1).drop("batch")
+        summed = stage(own.unionByName(known).groupBy("start", "end", *by).agg(F.sum("n").alias("n")), "windows")
+        over = F.col("end") <= _at(after, delay) if after is not None else F.lit(False)
+        job.write(summed.where(over), "closed", batch_id)
+        job.write(summed.where(~over), "open", batch_id)
+
+    job.drive(stream, put)
+    last = job.committed()
+    return job.read("closed", out).drop("batch"), job.read("late", columns).drop("batch"), job.read("open", out, since=last).drop("batch")
+
+
+def stale_claims(stream: DataFrame, key: str, ts: str, gap: str, delay: str = "0 seconds", name: str | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Spans of activity per key that are over because nothing came for the gap.
+
+    Time is the latest seen in any key's rows, less ``delay``; a span is released once its end is no later, so also when
+    nothing more comes for its key. Gives the released spans, the spans still open (start, end, n) and the late rows: those
+    whose own span was over before their batch began. Every row with a time is in one of them, as are late those without. Open spans, of keys active within the gap, are the state.
+    """
+    job, columns = Job(stream.sparkSession, name), ddl(stream)
+    out = f"`{key}` {stream.schema[key].dataType.simpleString()}, start timestamp, end timestamp, n bigint"
 
-def counts(stream: DataFrame, ts: str, width: str, *by: str) -> DataFrame:
-    """Y08 and tumbling counts: rows per window and key; every batch writes the windows that changed, closed ones leave the state."""
-    updates = stream.withWatermark(ts, "1 hour").groupBy(F.window(ts, width).alias("w"), *by).agg(F.count("*").alias("n")).select(F.col("w.start").alias("start"), *by, "n")
-    return run(updates, "update", key=["start", *by])
+    def put(batch: DataFrame, batch_id: int) -> None:
+        before, after = _mark(job, batch, ts, batch_id)
+        time = F.col(ts).cast("timestamp")
+        late = F.col(ts).isNull() | (F.coalesce(time + F.expr(f"interval {gap}") <= _at(before, delay), F.lit(False)) if before is not None else F.lit(False))
+        job.write(batch.where(late), "late", batch_id)
+        # a batch's rows are added up to spans before they are shuffled, and these joined to the open ones
+        own = batch.where(~late).groupBy(key, F.session_window(time, gap).alias("w")).agg(F.count("*").alias("n")).select(key, F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
+        spans = own.unionByName(job.read("open", out, batch_id, batch_id - 1).drop("batch"))
+        along = Window.partitionBy(key).orderBy("start", "end")
+        reached = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+        marked = spans.withColumn("_new", F.coalesce(F.col("start") > reached, F.lit(True)).cast("int")).withColumn("_span", F.sum("_new").over(along))
+        merged = stage(marked.groupBy(key, "_span").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n").alias("n")).drop("_span"), "spans")
+        over = F.col("end") <= _at(after, delay) if after is not None else F.lit(False)
+        job.write(merged.where(over), "released", batch_id)
+        job.write(merged.where(~over), "open", batch_id)
+
+    job.drive(stream, put)
+    last = job.committed()
+    return job.read("released", out).drop("batch"), job.read("open", out, since=last).drop("batch"), job.read("late", columns).drop("batch")

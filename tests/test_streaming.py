@@ -1,11 +1,16 @@
 """Keyed streaming jobs over several batches, one key with most of the events."""
 
 import datetime as dt
+import os
 import random
+import subprocess
+import sys
+
+import pytest
 
 from pyspark.sql import functions as F
 
-from leadloom.streaming import jobs
+from leadloom.streaming import job, jobs
 
 DAY = dt.datetime(2024, 1, 1)
 
@@ -75,13 +80,109 @@ def test_sweep_over_batches(spark, tmp_path):
     assert got == sorted(first.items())
 
 
-def test_a_repeated_batch_replaces_itself(spark, tmp_path):
-    out, write = str(tmp_path / "table"), jobs.merge_new(["key"], lambda: [F.col("n")])
-    frame = lambda rows: spark.createDataFrame(rows, "key bigint, n bigint")
-    write(frame([(1, 1), (2, 2)]), out, 0)
-    for _ in range(2):
-        write(frame([(2, 3), (4, 4), (5, 5)]), out, 1)
-    assert sorted((r.key, r.n) for r in spark.read.parquet(out).collect()) == [(1, 1), (2, 2), (4, 4), (5, 5)]
+RUN = """
+import os, sys
+from pyspark.sql import SparkSession, functions as F
+from leadloom.streaming import job, jobs
+base, data, after = sys.argv[1:4]
+job.shared_dir = lambda spark: base
+job.EVERY = 2
+write = job.Job.write
+def die(self, df, table, batch_id):
+    write(self, df, table, batch_id)
+    if batch_id == int(after) and table == "keyed":
+        os._exit(9)  # the batch has written some of its tables and isn't committed
+job.Job.write = die
+spark = SparkSession.builder.master("local[2]").config("spark.sql.shuffle.partitions", "2").config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").getOrCreate()
+stream = spark.readStream.schema("key bigint, ts timestamp, n bigint").option("maxFilesPerTrigger", 1).parquet(data)
+jobs.sweep(stream, ["key"], lambda: [F.col("n")], name="sweep")
+"""
+
+
+def test_a_killed_job_goes_on_in_another_session(spark, tmp_path, monkeypatch):
+    """A process dies in the middle of batch 5; this one ends the job."""
+    draw = random.Random(8)
+    parts = [[(draw.randrange(60), DAY, 1000 * b + i) for i in range(12)] for b in range(9)]
+    stream = files(spark, tmp_path, "key bigint, ts timestamp, n bigint", parts)
+    script = tmp_path / "run.py"
+    script.write_text(RUN)
+    done = subprocess.run([sys.executable, str(script), f"file://{tmp_path}/shared", f"{tmp_path}/in", "5"], env={**os.environ, "PYTHONPATH": os.pathsep.join(sys.path)}, capture_output=True)
+    assert done.returncode == 9, done.stderr[-2000:]
+    monkeypatch.setattr(job, "shared_dir", lambda spark: f"file://{tmp_path}/shared")
+    monkeypatch.setattr(job, "EVERY", 2)
+    halfway = job.Job(spark, "sweep")
+    assert halfway.committed() == 4
+    seen = {r.n for r in halfway.read("table", "key bigint, ts timestamp, n bigint").collect()}
+    assert max(seen) < 5000  # what batch 5 has written isn't shown
+    got = sorted((r.key, r.n) for r in jobs.sweep(stream, ["key"], lambda: [F.col("n")], name="sweep").collect())
+    first = {}
+    for part in parts:
+        for key, _, n in sorted(part, key=lambda r: r[2]):
+            first.setdefault(key, n)
+    assert got == sorted(first.items())
+    # states are compacted: the last two snapshots stay, and the batches that they don't hold
+    assert [s[0] for s in halfway._snapshots("keyed")] == [6, 8] and min(int(n[6:]) for n in halfway._names("keyed") if n.startswith("batch=")) == 6
+    again = jobs.sweep(stream, ["key"], lambda: [F.col("n")], name="sweep")
+    assert sorted((r.key, r.n) for r in again.collect()) == got
+
+
+def test_snapshots_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(job, "PART_ROWS", 5)
+    monkeypatch.setattr(job, "EVERY", 1)
+    parts = [[(k, b * 100 + k) for k in range(b * 7, b * 7 + 10)] for b in range(4)]
+    rows = jobs.sweep(files(spark, tmp_path, "key bigint, n bigint", parts), ["key"], lambda: [F.col("n")]).collect()
+    assert sorted(r.key for r in rows) == list(range(31)) and {r.n for r in rows if r.key in (7, 8, 9)} == {7, 8, 9}
+
+
+def test_null_keys_are_one_key(spark, tmp_path):
+    parts = [[(None, 1), (1, 2)], [(None, 3), (2, 4)]]
+    got = {(r.key, r.n) for r in jobs.sweep(files(spark, tmp_path, "key bigint, n bigint", parts), ["key"], lambda: [F.col("n")]).collect()}
+    assert got == {(None, 1), (1, 2), (2, 4)}
+
+
+@pytest.mark.parametrize("order", [(5, 1, 2), (1, 2, 5), (2, 5, 1)])
+def test_counts_lose_no_late_rows(spark, tmp_path, order):
+    parts = [[(d, dt.datetime(2024, 1, d, h), h) for h in range(4)] for d in order]
+    stream = files(spark, tmp_path, "key bigint, ts timestamp, n bigint", parts)
+    assert {r.start.day: r.n for r in jobs.counts(stream, "ts", "1 day").collect()} == {1: 4, 2: 4, 5: 4}
+    closed, late, open_ = jobs.closed_counts(stream, "ts", "1 day", "1 hour")
+    over, missed, still = {r.start.day: r.n for r in closed.collect()}, [r.key for r in late.collect()], {r.start.day: r.n for r in open_.collect()}
+    assert still == {5: 4} and sum(over.values()) + len(missed) == 8
+    assert (over, missed) == {(5, 1, 2): ({}, [1] * 4 + [2] * 4), (1, 2, 5): ({1: 4, 2: 4}, []), (2, 5, 1): ({2: 4}, [1] * 4)}[order]
+
+
+def test_closed_counts_and_null_times(spark, tmp_path):
+    parts = [[(1, DAY, 1), (1, None, 2)], [(2, DAY + dt.timedelta(days=3), 3), (1, DAY, 4)], [(1, DAY, 5)]]
+    closed, late, open_ = jobs.closed_counts(files(spark, tmp_path, "key bigint, ts timestamp, n bigint", parts), "ts", "1 day", "0 hours", "key")
+    assert [(r.key, r.n) for r in closed.collect()] == [(1, 2)] and sorted(r.n for r in late.collect()) == [2, 5] and [(r.key, r.n) for r in open_.collect()] == [(2, 1)]
+
+
+def test_claims_are_released_by_others_time(spark, tmp_path):
+    """Key 1 is released by key 2's rows, without another row of its own; what is open is not stale; a late row is kept apart."""
+    hour = dt.timedelta(hours=1)
+    parts = [[(1, DAY, 1), (1, DAY + hour / 4, 2)], [(2, DAY + 3 * hour, 3)], [(1, DAY + hour / 2, 4), (2, DAY + 3.2 * hour, 5)], [(1, None, 6)]]
+    released, open_, late = jobs.stale_claims(files(spark, tmp_path, "key bigint, ts timestamp, n bigint", parts), "key", "ts", "15 minutes")
+    assert [(r.key, r.start, r.end, r.n) for r in released.collect()] == [(1, DAY, DAY + hour / 2, 2)]
+    assert [(r.key, r.n) for r in open_.collect()] == [(2, 2)] and sorted(r.n for r in late.collect()) == [4, 6]
+
+
+def test_task_queue(spark, tmp_path):
+    at = lambda h: DAY + dt.timedelta(hours=h)
+    bad = [(1, "timeout"), (1, "NO_CONTACT here"), (2, "garbage-host"), (3, "500"), (3, "500"), (3, "x" * 2000), (4, "no usable domain"), (5, None), (5, "")]
+    rows = [(k, at(i), i, False, m) for i, (k, m) in enumerate(bad)] + [(5, at(20), 20, True, None), (1, at(21), 21, True, None), (6, at(1), 1, True, None), (7, at(2), 2, False, "retry")]
+    for parts in ([rows], [rows[:4], rows[4:9], rows[9:]]):
+        folder = tmp_path / str(len(parts))
+        folder.mkdir()
+        last, dead = jobs.task_queue(files(spark, folder, "key bigint, ts timestamp_ntz, attempt bigint, ok boolean, message string", parts))
+        got = {r.key: (r.status, r.retries) for r in last.collect()}
+        assert got == {1: ("failed", 2), 2: ("failed", 1), 3: ("failed", 3), 4: ("failed", 1), 5: ("done", 2), 6: ("done", 0), 7: ("pending", 1)}
+        letters = {r.key: (r.reason, len(r.error), r.ts) for r in dead.collect()}
+        assert letters == {1: ("no_contact", 15, at(1)), 2: ("unusable_domain", 12, at(2)), 3: ("max_retries", 1000, at(5)), 4: ("unusable_domain", 16, at(6))}
+
+
+def test_promotion(spark):
+    rows = spark.createDataFrame([(1, True, 80, None, "qualified"), (2, True, None, 69.0, "qualified"), (3, True, None, None, "premium"), (4, True, 90, 10.0, "unqualified"), (5, False, 90, 10.0, "premium"), (6, True, None, 70.0, "premium"), (7, None, 90, 1.0, "premium")], "k int, has_contact boolean, confidence_score int, score double, grade string")
+    assert [r.k for r in rows.where(jobs.promotion_ok()).orderBy("k").collect()] == [1, 6]
 
 
 def test_latest_stale_and_counts_over_batches(spark, tmp_path):
@@ -100,14 +201,18 @@ def test_latest_stale_and_counts_over_batches(spark, tmp_path):
             else:
                 spans.append([k, ts, ts, 1])
     want = sorted((k, a, b + 6 * hour, n) for k, a, b, n in spans)
-    assert sorted((r.key, r.start, r.end, r.n) for r in jobs.stale(stream, "key", "ts", "6 hours").collect()) == want
+    released, open_, late = jobs.stale_claims(stream, "key", "ts", "6 hours")
+    now = max(ts for _, ts, _ in every)
+    row = lambda r: (r.key, r.start, r.end, r.n)
+    assert sorted(map(row, released.collect())) == [w for w in want if w[2] <= now]
+    assert sorted(map(row, open_.collect())) == [w for w in want if w[2] > now] and late.count() == 0
     days = {r.start.date(): r.n for r in jobs.counts(stream, "ts", "1 day").collect()}
     assert sum(days.values()) == 300 and len(days) == len({ts.date() for _, ts, _ in every})
 
 
-def test_negatives_over_batches(spark, tmp_path, monkeypatch):
+def test_negatives_over_batches(spark, tmp_path):
     parts = [[(1, "Red bolt"), (2, None), (3, "ab")], [(4, "gear"), (5, "BOLT"), (6, "")]]
     words = lambda s: s.createDataFrame([("bolt",), ("ab",), ("",), ("zzz",)], "word string")
     stream = files(spark, tmp_path, "id bigint, text string", parts)
-    for most in (10, 1):
-        assert sorted(r.id for r in jobs.without_negatives(stream, words, most).collect()) == [2, 4, 6]
+    for limits in ({}, {"few": 0}, {"few": 0, "most_chars": 3}):
+        assert sorted(r.id for r in jobs.without_negatives(stream, words, **limits).collect()) == [2, 4, 6]
