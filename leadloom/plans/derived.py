@@ -122,7 +122,27 @@ select event_id as row_id, user_id as key, cast(user_id % 5 as int) as job_id, t
 from {events}
 """
 
-TABLES = {"leads": LEADS, "signals": SIGNALS, "contact_pages": CONTACT_PAGES, "site_pages": SITE_PAGES, "recorded": RECORDED, "attempts": ATTEMPTS, "queue": QUEUE}
+
+def _json(name: str, key: str, *values: str) -> str:
+    """SQL for one member of a JSON object, its value (JSON text, or '' for no member) by key arithmetic."""
+    return _pick(key, *("''" if v == "" else "', \"" + name + "\": " + v + "'" for v in values))
+
+
+_LETTERS = "abcdefghijklmnopqrstuvwxyz0123"
+_MATRIX = '{"cities": [" Berlin ", "", 5, null, "Köln"], "platforms": ["MAPS", "nowhere", 1688, "x_public"], "deep_search_all_cities": false, "max_pages_per_pillar": 9}', '{"cities": "Berlin", "platforms": {"maps": 1}, "deep_search_all_cities": 0, "max_pages_per_pillar": "4 pages", "include_social_profiles": false}'
+_PAGES = '{"max_pages_per_pillar": 0}', '{"max_pages_per_pillar": -2}', '{"max_pages_per_pillar": true}', '{"max_pages_per_pillar": 3.7, "include_social_profiles": "false"}', '{"cities": ["a", "b", "c", "d", "e", "f", "g", "h", "i", "j", "k"], "platforms": ["youtube_about", "1688"]}'
+_HINTS = '{"category_key": "flour", "name_zh": "面粉", "place_type_blacklist": ["bank", "", 3, " y "], "hit": true}', '{"category_key": 5, "industry_key": "food", "hit": "no"}', '{"hit": 0}', '{"hit": []}', '{"hit": ""}', '{"hit": 2.5}'
+_MEMBERS = [
+    _json("matrix", "event_id % 11", "", "[]", "{}", *_MATRIX, *_PAGES), _json("industry_hint", "event_id % 9", "", '"x"', "{}", *_HINTS),
+    _json("negative_keywords", "event_id % 5", "", f'[" a ", "", 7, null, "{_LETTERS}"]', "{}"), _json("icp_overrides", "event_id % 4", "", '"q"', '["o1", "o2", "o3", "o4", "o5", "o6", "o7"]'),
+    _json("incremental_mode", "event_id % 6", "", "true", '"true"'), _json("incremental_parent_job_id", "event_id % 3", '" j1 "', "5"), _json("incremental_blacklist_company_ids", "event_id % 4", '["a", " a ", 12, 0, null, "", false, true]', '"a"'),
+    _json("icp_context", "event_id % 7", "", '{"direction": "find_suppliers", "negative_keywords": [" Bad ", 5], "persona": " p "}', "3", '{"direction": "x", "agent_run_id": "r"}'),
+]
+#: Job payloads as JSON, with fields missing and of wrong types.
+_PAYLOADS = ("select event_id as job_id, case when event_id % 23 = 1 then null when event_id % 23 = 2 then 'not json' when event_id % 23 = 3 then '[1, 2]' else '<\"k\": ' || cast(event_id as string) || " + " || ".join(f"coalesce({m}, '')" for m in _MEMBERS) + " || '>' end as payload from <events>")
+PAYLOADS = _PAYLOADS.replace("{", "{{").replace("}", "}}").replace("<events>", "{events}").replace("<", "{{").replace(">", "}}")
+
+TABLES = {"leads": LEADS, "signals": SIGNALS, "contact_pages": CONTACT_PAGES, "site_pages": SITE_PAGES, "recorded": RECORDED, "payloads": PAYLOADS, "attempts": ATTEMPTS, "queue": QUEUE}
 
 
 #: Derived tables that this driver has written: (application, files of the tables they derive from, name) -> staged frame.
@@ -162,4 +182,4 @@ def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def sql(name: str) -> str:
     """The same table as SQL over views named like the given tables."""
-    return re.sub(r"\{(\w+)\}", r"\1", TABLES[name])
+    return re.sub(r"\{(\w+)\}", r"\1", TABLES[name]).replace("{{", "{").replace("}}", "}")

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from . import contacts, dictionaries, extras, fields, gates, joins, reports, sites, streams
+from . import contacts, controls, dictionaries, extras, fields, gates, joins, reports, sites, streams
 from .common import Registry
 
 REGISTRY = Registry()
-for _module in (fields, gates, joins, reports, contacts, streams, extras, dictionaries, sites):
+for _module in (fields, gates, joins, reports, contacts, streams, extras, dictionaries, sites, controls):
     _module.register(REGISTRY)

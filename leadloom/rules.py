@@ -205,6 +205,26 @@ CHANNEL_HOSTS = """wa.me api.whatsapp.com whatsapp.com t.me telegram.me telegram
 youtu.be tiktok.com skype.com join.skype.com weixin.qq.com kakao.com open.kakao.com zalo.me viber.com signal.me""".split()
 HOST_CHANNELS = {"line.me": "line|0.8", "lin.ee": "line|0.8", "messenger.com": "messenger|0.7", "m.me": "messenger|0.7", "join.skype.com": "skype|0.65", "skype.com": "skype|0.65", "weixin.qq.com": "wechat|0.55", "kakao.com": "kakao|0.7", "open.kakao.com": "kakao|0.7", "zalo.me": "zalo|0.7", "signal.me": "signal|0.7"}
 
+# ---- fixed values: platforms and pillars ---------------------------------
+
+PLATFORMS = "maps yellowpages facebook_public linkedin_snippet youtube_about x_public telegram_public".split()
+SUPPLIER_PLATFORMS = "made_in_china global_sources thomasnet kompass alibaba_intl 1688 tmall gov_registry industry_association jd_b2b serper customs".split()
+BUYER_PILLARS = """p0_seed p_pillar0_boolean p_procurement p1_maps_dist p1_maps_trading p1_maps_personas p2_direct_importer p2_sourcing_intent p3_jobs_procurement p3_jobs_buyer p4_rfq p4_sourcing_post p5_tenders p6_buyer_assoc p6_trade_show_buyer
+p7_customs_direct p7_customs_signal_source p7_bol_signal p8_b2b_buyer p8_ecommerce_import p10_verified_sources p11_linkedin_decision p_yellowpages p_facebook_public p_youtube_about p_x_public p_telegram_public p9_lookalike""".split()
+SUPPLIER_PILLARS = "s_made_in_china s_global_sources s_thomasnet s_alibaba s_factory_direct s_exporter".split()
+SHARED_PILLARS = ["p0_seed", "p_pillar0_boolean"]
+LOW_WEIGHT = 0.35
+PILLARS_BY_WEIGHT = {
+    "generic": """p2_direct_importer p2_sourcing_intent p3_jobs_procurement p3_jobs_buyer p4_rfq p4_sourcing_post p5_tenders p6_buyer_assoc p6_trade_show_buyer p7_customs_direct p7_customs_signal_source p7_bol_signal
+    p8_b2b_buyer p8_ecommerce_import p10_verified_sources p9_lookalike""".split(),
+    "geo": ["p1_maps_dist", "p1_maps_trading", "p1_maps_personas"],
+    "contact": ["p_yellowpages"],
+}
+PILLARS_BY_PLATFORM = {
+    "maps": ["p1_maps_dist", "p1_maps_trading", "p1_maps_personas"], "yellowpages": ["p_yellowpages"], "facebook_public": ["p_facebook_public"], "linkedin_snippet": ["p11_linkedin_decision"], "youtube_about": ["p_youtube_about"], "x_public": ["p_x_public"],
+    "telegram_public": ["p_telegram_public"],
+}
+
 # ---- fixed values: categories, places and languages by code --------------
 
 #: A country's name at the start of a category text.
