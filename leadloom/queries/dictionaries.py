@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.dialect import SPARK
-from ..operators import companies, contacts, keep, seeds, taxonomy
+from ..operators import companies, contacts, keep, outputs, seeds, taxonomy
 from ..plans import derived
 from ..sources import dictionaries, tables
 from ..sources.stages import shared_dir
@@ -286,6 +286,22 @@ def x28_confidence(spark, d):
     return rows.selectExpr("source", "priority", f"{contacts.source_confidence('source')} as confidence").groupBy("source", "priority", "confidence").agg(F.count("*").alias("n"))
 
 
+def s08_taxonomy(spark, d):
+    """A taxonomy document per brand: kinds of part with their sizes as an array, as a text or left out."""
+    rows = table(spark, d, "part").groupBy("p_brand", "p_type").agg(F.array_sort(F.collect_set("p_size")).alias("sizes"))
+    sizes = F.transform("sizes", lambda x: F.concat(F.lit("s"), x.cast("string")))
+    n = F.size("sizes")
+    value = F.when(n % 4 == 0, F.to_json(F.struct(sizes.alias("subcategories")))).when(n % 4 == 1, F.to_json(F.struct(F.array_join(sizes, "  ").alias("subcategories")))).when(n % 4 == 2, F.lit('{"subcategories": []}')).otherwise(F.lit('{"other": 1}'))
+    docs = rows.groupBy("p_brand").agg(F.concat(F.lit('{"industries": {'), F.array_join(F.array_sort(F.collect_list(F.concat(F.lit('"'), "p_brand", F.lit("/"), "p_type", F.lit('": '), value))), ", "), F.lit("}}")).alias("value"))
+    return outputs.subcategories(docs).select("industry", "pos", "category")
+
+
+S08 = """
+with r as (select p_brand || '/' || p_type as industry, list_sort(list_distinct(list(p_size))) as sizes from part group by p_brand, p_type),
+t as (select industry, case when len(sizes) % 4 < 2 then list_transform(sizes, lambda x: 's' || x) else [industry] end as targets from r)
+select industry, cast(generate_subscripts(targets, 1) - 1 as int) as pos, unnest(targets) as category from t"""
+
+
 def register(r: Registry) -> None:
     from .contacts import _CONTACTS
 
@@ -293,6 +309,6 @@ def register(r: Registry) -> None:
     for name, fn, sql in [
         ("s09_source_flatten", s09_sources, S09), ("s10_tax_registry", s10_registry, S10), ("s11_alias_entries", s11_aliases, S11), ("s11_industry_names", s11_names, S11_NAMES), ("s12_segment_dictionary", s12_segments, S12), ("s13_industry_dictionary", s13_industries, S13),
         ("p14_industry_key", p14_industry, P14), ("p15_p13_industry_hint", p15_hints, P15), ("p46_place_names", p46_places, P46), ("j11_s04_seeds", j11_seeds, J11), ("s05_pending_seeds", s05_seeds, S05), ("s06_inline_seeds", s06_inline, S06), ("p39_job_grid", p39_grid, P39),
-        ("y09_seed_loop", y09_loop, Y09), ("s03_p29_places", s03_places, S03), ("s19_persons", s19_persons, S19), ("g01_adapter_search", g01_search, G01), ("t12_contact_waterfall", t12_waterfall, T12), ("x28_confidence", x28_confidence, x28),
+        ("s08_taxonomy_flatten", s08_taxonomy, S08), ("y09_seed_loop", y09_loop, Y09), ("s03_p29_places", s03_places, S03), ("s19_persons", s19_persons, S19), ("g01_adapter_search", g01_search, G01), ("t12_contact_waterfall", t12_waterfall, T12), ("x28_confidence", x28_confidence, x28),
     ]:
         r.add(name, fn, sql)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..functions.dialect import DUCK, SPARK
-from ..operators import contacts, keep
+from ..operators import contacts, keep, outputs
 from ..operators.mapper import map_rows
 from .common import Registry, table, view
 from .joins import attempts, leads, queue
@@ -94,10 +94,10 @@ def register(r: Registry) -> None:
     ]:
         r.add(name, fn, sql)
     r.projection("p28_p44_f34_f36_guards", "leads", ["lead_id"], lambda d: {
-        "supplier_source": "link",
-        "reason": "case when coalesce(trim(snippet), '') <> '' then substr(trim(snippet), 1, 200) end",
-        "looks_found": f"(contains({texts.low('snippet')}, 'import') and not {d.rx(texts.low('snippet'), 'not found|no results')})",
-        "profile": f"case when {d.rx('social_url', '^https?://')} then social_url end",
+        "supplier_link": "cast(null as string)", "supplier_source": "link",
+        **outputs.evidence_fields(d, reason="snippet", extracted_industry="title", source_text="' ' || snippet || ' ' || company_name"),
+        "looks_found": outputs.looks_found(d, "snippet", "case when lead_id % 3 = 0 then substr(upper(snippet), 5, 12) else cast(lead_id as string) end"),
+        "profiles": d.join(outputs.profile_list(d, ["' ' || social_url || ' '", "link", "upper(social_url)", "source_url", "maps_url"]), " "),
     })
     r.projection("s01_a01_signal_source", "signals", ["signal_id"], lambda d: {"title": "nullif(trim(title), '')", "link_key": "lower(link)", "has_link": "link is not null"}, lambda d: "link is not null")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from .. import rules
 from ..functions import texts
 from ..functions.dialect import DUCK, SPARK
-from ..operators import companies, joins, keep
+from ..operators import companies, joins, keep, outputs
 from ..plans import derived
 from .common import Registry, table, view
 
@@ -155,15 +155,17 @@ select n_nationkey, p_type, strftime(last_swept, '%Y-%m-%d') as last_swept, swee
 
 
 def j01_j02_positional(spark, d):
-    """Each batch's rows with the results of its array by position; a null result leaves its row without."""
+    """Each batch's rows with the results of its array by position: a null result leaves its row without, another name is only counted."""
     rows = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("batch_id"), (F.col("l_linenumber") - 1).alias("pos"), "l_partkey")
-    result = F.when(F.col("l_partkey") % 7 != 0, F.struct(F.concat(F.lit("name"), F.col("l_partkey").cast("string")).alias("name"), (F.col("l_partkey") % 3 == 0).alias("company")))
+    name = F.concat(F.lit("Name  "), F.col("l_partkey").cast("string"))
+    got = F.when(F.col("l_partkey") % 11 == 0, "other").when(F.col("l_partkey") % 13 == 0, "").otherwise(F.concat(F.lit(" name "), F.col("l_partkey").cast("string")))
+    result = F.when(F.col("l_partkey") % 7 != 0, F.struct(got.alias("name"), (F.col("l_partkey") % 3 == 0).alias("company")))
     arrays = rows.groupBy("batch_id", "pos").agg(F.min("l_partkey").alias("l_partkey")).withColumn("r", result).groupBy("batch_id").agg(F.max("pos").alias("top"), F.map_from_entries(F.collect_list(F.struct("pos", "r"))).alias("m"))
     arrays = arrays.select("batch_id", F.transform(F.sequence(F.lit(0), "top"), lambda i: F.try_element_at("m", i)).alias("results"))
-    return joins.positional(rows, arrays, "left").groupBy("batch_id").agg(F.count("*").alias("n"), F.count("r").alias("with_result"), F.count_if(F.col("r.company")).alias("companies"))
+    return joins.positional(rows.withColumn("name", name), arrays, "left").groupBy("batch_id").agg(F.count("*").alias("n"), F.count("r").alias("with_result"), F.count_if(F.col("r.company")).alias("companies"), F.count_if(outputs.name_drift(F.col("name"), F.col("r.name"))).alias("drift"))
 
 
-J01 = "with m as (select l_orderkey, l_linenumber, min(l_partkey) as p from lineitem group by all) select l_orderkey as batch_id, count(*) as n, count(*) filter (where p % 7 <> 0) as with_result, count(*) filter (where p % 7 <> 0 and p % 3 = 0) as companies from lineitem join m using (l_orderkey, l_linenumber) group by l_orderkey"
+J01 = "with m as (select l_orderkey, l_linenumber, min(l_partkey) as p from lineitem group by all) select l_orderkey as batch_id, count(*) as n, count(*) filter (where p % 7 <> 0) as with_result, count(*) filter (where p % 7 <> 0 and p % 3 = 0) as companies, count(*) filter (where p % 7 <> 0 and (p % 11 = 0 or (p % 13 <> 0 and p <> l_partkey))) as drift from lineitem join m using (l_orderkey, l_linenumber) group by l_orderkey"
 
 
 def j03_k02_last_result(spark, d):
@@ -187,15 +189,13 @@ J04 = f"with r as (select lead_id, {texts.name_key('company_name')} as nk, {text
 
 
 def j05_y04_incremental(spark, d):
-    """Suppliers of the second half of the orders that the first half hadn't, and the number skipped."""
-    item = table(spark, d, "lineitem")
-    fresh, skipped = joins.incremental(item.where("l_orderkey % 2 = 1 and l_quantity > 45").select(F.col("l_partkey").alias("company_id")).distinct(), item.where("l_orderkey % 2 = 0 and l_quantity > 45").select(F.col("l_partkey").alias("company_id")))
+    """Companies of the second half of the orders that the first half hadn't, and the number skipped."""
+    item = table(spark, d, "lineitem").select((F.col("l_partkey") * 100 + F.col("l_quantity").cast("long")).alias("company_id"), (F.col("l_orderkey") % 2 == 1).alias("fresh"))
+    fresh, skipped = joins.incremental(item.where("fresh").select("company_id").distinct(), item.where("not fresh").select("company_id"))
     return fresh.agg(F.count("*").alias("written"), F.sum("company_id").alias("checksum")).crossJoin(skipped)
 
 
-J05 = "with n as (select distinct l_partkey as c from lineitem where l_orderkey % 2 = 1 and l_quantity > 45), o as (select distinct l_partkey as c from lineitem where l_orderkey % 2 = 0 and l_quantity > 45) select count(*) filter (where o.c is null) as written, cast(sum(n.c) filter (where o.c is null) as bigint) as checksum, count(o.c) as incremental_skipped from n left join o on n.c = o.c"
-
-NOW = "timestamp_ntz '2024-02-05 00:00:00'"
+J05 = "with i as (select l_partkey * 100 + cast(l_quantity as bigint) as c, l_orderkey % 2 = 1 as fresh from lineitem), n as (select distinct c from i where fresh), o as (select distinct c from i where not fresh) select count(*) filter (where o.c is null) as written, cast(sum(n.c) filter (where o.c is null) as bigint) as checksum, count(o.c) as incremental_skipped from n left join o on n.c = o.c"
 
 
 def j15_j16_x27_cache(spark, d):
@@ -209,6 +209,25 @@ def j15_j16_x27_cache(spark, d):
 J15 = f"with c as (select key, max(ts) - to_days(cast(key % 40 as int)) as cached_at, arg_max(contacts, (ts, attempt_id)) as contacts from {view('attempts')} group by key) select row_id, cached_at is not null as hit, contacts from (select * from {view('queue')} where status = 'pending') q left join (select * from c where cached_at >= timestamp '2024-02-05' - interval 30 day) c on q.key = c.key"
 
 
+def _inference_rows(spark, d):
+    return leads(spark, d).selectExpr("lead_id", f"{outputs.inference_key(SPARK, 'company_name', 'category', 'job_id % 2 = 0')} as key", "entity_role", "bal")
+
+
+def j16_inference(spark, d):
+    """Leads with the inference cached under their name, category and direction in the last 30 days, and the misses."""
+    rows = _inference_rows(spark, d)
+    cache = rows.where("lead_id % 3 = 0").selectExpr("key", "case when lead_id % 5 > 0 then coalesce(entity_role, 'Service') || lead_id end as value", f"{NOW} - make_interval(0, 0, 0, cast(lead_id % 45 as int)) - make_interval(0, 0, 0, 0, 0, 0, lead_id / 10000000) as cached_at")
+    hits, misses = outputs.with_inference(rows, cache, F.expr(NOW))
+    return hits.select("lead_id", "key", "value").unionByName(misses.select("lead_id", "key", F.lit(None).cast("string").alias("value")))
+
+
+_J16_KEY = outputs.inference_key(DUCK, "company_name", "category", "job_id % 2 = 0")
+J16 = f"""
+with r as (select lead_id, {_J16_KEY} as key, entity_role from {L}),
+c as (select key, arg_max(coalesce(entity_role, 'Service') || lead_id, (-(lead_id % 45), -lead_id)) as value, min(lead_id % 45) as age, arg_max(lead_id, (-(lead_id % 45), -lead_id)) as newest from r where lead_id % 3 = 0 and lead_id % 5 > 0 group by key)
+select r.lead_id, r.key, case when age < 30 or (age = 30 and newest < 0) then value end as value from r left join c on r.key = c.key"""
+
+
 def j14_j23_merge(spark, d):
     """Details over rows: a value of the details wins, else the row's own stays."""
     rows = leads(spark, d).select("lead_id", "place_id", "domain", "primary_phone")
@@ -316,7 +335,7 @@ def register(r: Registry) -> None:
         ("w02_place_dedupe", w02_places, W02), ("w03_s02_link_dedupe", w03_links, W03), ("w07_p12_edges", w07_edges, W07), ("w09_latest_step", w09_latest, W09), ("w10_s11_j09_p13_alias", w10_s11_j09_alias, W10),
         ("j08_s12_segments", j08_segments, J08), ("j07_t05_s09_sources", j07_t05_sources, J07), ("j06_s10_p34_x11_registry", j06_p34_x11_registry, J06), ("j18_s13_knowledge", j18_s13_knowledge, J18), ("j19_category_groups", j19_category_groups, J19),
         ("j10_a09_s14_policies", j10_a09_policies, J10), ("j12_j13_t02_s08_tasks", j12_j13_t02_tasks, J12), ("j01_j02_s17_s18_positional", j01_j02_positional, J01), ("j03_queue_results", j03_k02_last_result, J03),
-        ("j04_company_ids", j04_ids, J04), ("j05_y04_incremental", j05_y04_incremental, J05), ("j15_j16_x27_cache", j15_j16_x27_cache, J15), ("j14_j23_details", j14_j23_merge, J14), ("j20_k08_seed_feedback", j20_k08_seeds, J20),
+        ("j04_company_ids", j04_ids, J04), ("j05_y04_incremental", j05_y04_incremental, J05), ("j15_j16_x27_cache", j15_j16_x27_cache, J15), ("j16_inference_cache", j16_inference, J16), ("j14_j23_details", j14_j23_merge, J14), ("j20_k08_seed_feedback", j20_k08_seeds, J20),
         ("j21_j22_u06_coefficients", j21_j22_x10_u06_coefficients, J21), ("t03_t04_t10_s15_batches", t03_t04_t10_batches, T03), ("t06_t08_places", t06_t08_places, T06), ("t09_tier_stop", t09_tiers, T09), ("t11_g01_waterfall", t11_waterfall, T11),
         ("u01_u02_p43_union", u01_u02_p43_union, U01), ("u04_u07_a12_keyword_sets", u04_u07_a12_sets, U04), ("u08_f37_direction", u08_f37_direction, U08),
     ]:

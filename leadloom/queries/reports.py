@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..functions.dialect import DUCK, SPARK
-from ..operators import company, gate, joins, keep, select
+from ..operators import company, gate, joins, keep, outputs, select
 from ..plans import derived
 from ..sources.stages import stage
 from .common import Registry, table, view
@@ -51,14 +51,22 @@ select cast(key % 5 as int) as job_id, count(*) as n, count(*) filter (where hit
 """.replace("{A}", A)
 
 
+_ADAPTERS = "('home', 0), ('bfs', 0), ('llm', 1), ('vision', 5), ('serper', 1), ('untried', 2), ('spare', 9)"
+
+
 def a08_t07_adapters(spark, d):
-    """Adapters in order of their expected cost of a hit: cost over the hit rate, which counts as 0.05 at least."""
-    stat = attempts(spark, d).groupBy("layer").agg(F.count("*").alias("attempts"), F.count_if(F.col("contacts") > 0).alias("hits"), F.max("cost").alias("cost"))
-    rated = stat.withColumn("rate", F.round(F.col("hits") / F.col("attempts"), 4)).withColumn("expected", F.round(F.col("cost") / F.greatest(F.col("hits") / F.col("attempts"), F.lit(0.05)), 4))
-    return rated.withColumn("rank", F.expr("cast(row_number() over (order by expected, layer) as bigint)"))
+    """Adapters in order of their expected cost of a hit for every key, its cached one first."""
+    known = spark.sql(f"select a as adapter, cast(c as double) as cost from values {_ADAPTERS} as t(a, c)")
+    tries = attempts(spark, d).where("contacts > 0 or layer <> 'serper'").select(F.col("layer").alias("adapter"), (F.col("contacts") > 1).alias("hit"))
+    cached = attempts(spark, d).groupBy("key").agg(F.max_by(F.expr("case when attempt_id % 3 > 0 then layer end"), F.struct("ts", "attempt_id")).alias("adapter"))
+    return outputs.ordered_adapters(known, tries, cached).select("key", "adapter", F.round("expected", 6).alias("expected"), "rank")
 
 
-A08 = f"select *, row_number() over (order by expected, layer) as rank from (select layer, attempts, hits, cost, round(hits / attempts, 4) as rate, round(cost / greatest(hits / attempts, 0.05), 4) as expected from (select layer, count(*) as attempts, count(*) filter (where contacts > 0) as hits, max(cost) as cost from {A} group by layer))"
+A08 = f"""
+with k as (select * from (values {_ADAPTERS}) t(adapter, cost)), s as (select layer, count(*) as n, count(*) filter (where contacts > 1) as h from {A} where contacts > 0 or layer <> 'serper' group by layer),
+e as (select adapter, case when cost = 0 then 0.0 when n is null then cost / 0.5 else cost / greatest(h / n, 0.05) end::double as expected from k left join s on adapter = layer),
+c as (select key, arg_max(case when attempt_id % 3 > 0 then layer end, (ts, attempt_id)) as x0, max_by(struct_pack(x := case when attempt_id % 3 > 0 then layer end), (ts, attempt_id)).x as x from {A} group by key)
+select key, adapter, round(expected, 6) as expected, row_number() over (partition by key order by coalesce(adapter = x, false) desc, expected, adapter) as rank from c, e"""
 
 
 def a01_a10_a14_funnel(spark, d):
@@ -131,12 +139,15 @@ K06 = f"select job_id, company, grade from (select *, row_number() over (partiti
 
 
 def k07_persons(spark, d):
-    """Person rows: those with a mail, phone or profile; confidence from points, the tier by the profile."""
-    rows = leads(spark, d).where(f"{texts.filled('primary_email')} or {texts.filled('primary_phone')} or {texts.filled('social_url')}")
-    return rows.selectExpr("lead_id", "primary_email", "round(least(1, greatest(0, cast(coalesce(confidence_score, 0) as double) / 100)), 4) as confidence", f"case when {texts.filled('social_url')} then 'primary_api' else 'fallback_search' end as tier")
+    """Person rows of leads with a mail, phone or profile."""
+    rows = outputs.persons(leads(spark, d).withColumnRenamed("social_url", "linkedin_url"))
+    return rows.select("lead_id", "email", "phone", "linkedin", F.round("confidence", 4).alias("confidence"), "tier")
 
 
-K07 = f"select lead_id, primary_email, round(least(1, greatest(0, cast(coalesce(confidence_score, 0) as double) / 100)), 4) as confidence, case when coalesce(social_url, '') <> '' then 'primary_api' else 'fallback_search' end as tier from {L} where coalesce(primary_email, '') <> '' or coalesce(primary_phone, '') <> '' or coalesce(social_url, '') <> ''"
+K07 = f"""
+with p as (select lead_id, nullif(primary_email, '') as email, nullif(primary_phone, '') as phone, coalesce(nullif(social_url, ''), nullif(source_url, '')) as linkedin, confidence_score as c from {L})
+select lead_id, email, phone, linkedin, round(case when c is null then 0.6 when c > 100 then 1.0 when c < 0 then 0.0 else c / 100.0 end, 4)::double as confidence, case when linkedin like '%linkedin%' then 'primary_api' else 'fallback_search' end as tier
+from p where coalesce(email, phone, linkedin) is not null"""
 
 
 def k09_dead_letters(spark, d):
@@ -148,24 +159,37 @@ def k09_dead_letters(spark, d):
 K09 = f"select reason, job_id, lead_id, case when company_name is null then '{{\"lead_id\":' || cast(lead_id as string) || '}}' else '{{\"lead_id\":' || cast(lead_id as string) || ',\"company_name\":\"' || company_name || '\"}}' end as lead from ({_DUCK_GATE}) where reason is not null"
 
 
+#: Of some keys few rows are of a step, so that they lack steps.
+_STEP = "case when row_id % 50 >= key then 'other' else case event_type when 'view' then 'step1' when 'click' then 'step2' when 'signup' then 'step3' when 'purchase' then 'step5' else 'other' end end"
+
+
 def k10_p41_funnel(spark, d):
-    """Funnel tables as step maps: the last value of each step, as sorted entries, and the furthest step."""
-    last = keep.keep_first(queue(spark, d), ["key", "event_type"], [F.col("created_at").desc(), F.col("row_id").desc()])
-    steps = F.map_from_entries(F.collect_list(F.struct("event_type", "retry_count")))
-    m = last.groupBy("key").agg(steps.alias("m"), F.max_by("event_type", F.struct("created_at", "row_id")).alias("latest"))
-    return m.select("key", F.array_join(F.transform(F.array_sort(F.map_entries("m")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",").alias("steps"), "latest")
+    """The last value of each step of a key, steps in their order, and the stage of the furthest one."""
+    rows = queue(spark, d).withColumn("step", F.expr(_STEP))
+    last = keep.keep_first(rows, ["key", "step"], [F.col("created_at").desc(), F.col("row_id").desc()])
+    return outputs.funnel(last, "key", "step", "retry_count").select("key", F.array_join(F.transform("steps", lambda x: F.concat_ws("=", x["step"], x["value"].cast("string"))), ",").alias("steps"), "stage")
+
+
+K10 = f"""
+with r as (select *, {_STEP} as step from {Q}),
+l as (select * from (select *, row_number() over (partition by key, step order by created_at desc, row_id desc) as rn from r) where rn = 1)
+select key, string_agg(step || '=' || cast(retry_count as string), ',' order by step = 'other', step) as steps,
+  case when bool_or(step = 'step5') then 'persisting' when bool_or(step in ('step2', 'step3')) then 'parsing' when bool_or(step = 'step1') then 'fetching' end as stage from l group by key"""
 
 
-K10 = f"with l as (select * from (select *, row_number() over (partition by key, event_type order by created_at desc, row_id desc) as rn from {Q}) where rn = 1) select key, string_agg(event_type || '=' || cast(retry_count as string), ',' order by event_type) as steps, arg_max(event_type, (created_at, row_id)) as latest from l group by key"
+_JOB = "key * 40 + row_id % 40"
 
 
 def k12_notifications(spark, d):
-    """One row for each job that is done."""
-    jobs = queue(spark, d).groupBy("job_id").agg(F.count_if(F.col("status") == "pending").alias("open"), F.count("*").alias("n"))
-    return jobs.select("job_id", F.concat(F.lit("job "), F.col("job_id").cast("string"), F.lit(": "), F.col("n").cast("string"), F.lit(" rows, "), F.col("open").cast("string"), F.lit(" open")).alias("message"))
+    """A notice for each job that is done and that somebody asked for."""
+    jobs = queue(spark, d).withColumn("job", F.expr(_JOB)).groupBy("job").agg(F.count_if(F.col("status") == "pending").alias("n_open"))
+    named = jobs.selectExpr("job as job_id", "n_open", "case when job % 3 > 0 then concat('user', job % 7) end as requested_by", "concat('cat', job % 5) as category", "case when job % 4 > 0 then 'SG' end as country")
+    return outputs.notifications(named)
 
 
-K12 = f"select job_id, 'job ' || cast(job_id as string) || ': ' || cast(count(*) as string) || ' rows, ' || cast(count(*) filter (where status = 'pending') as string) || ' open' as message from {Q} group by job_id"
+K12 = f"""
+select 'user' || job % 7 as recipient, 'discovery_complete' as type, 'AI找客任务已完成' as title, '「cat' || job % 5 || ' / ' || case when job % 4 > 0 then 'SG' else '' end || '」' as body, 'discovery_job' as biz_type, job as biz_id, 'unread' as status, 'in_app' as sent_via
+from (select {_JOB} as job, count(*) filter (where status = 'pending') as n_open from {Q} group by all) where n_open = 0 and job % 3 > 0"""
 
 
 def s06_s07_control(spark, d):
