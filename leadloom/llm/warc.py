@@ -11,34 +11,40 @@ is found on digests alone, so no payload is shuffled.
 Archives go below a folder that all executors share. A task writes under a name
 of its own attempt and its files count only once Spark has committed the rows
 that name them, so lost executors and repeated attempts leave no half files in
-the result. A task holds one record at a time.
+the result. A task holds one record at a time, beside an Arrow batch of its input, and the id and digest of the
+records that its file's revisits name.
 
 Defined cases: a null page is an empty payload; equal payloads, empty ones too,
 are stored once, with the smallest id, and others are revisit records; how many
 records share a payload doesn't matter, only digests meet. Rows repeated with the
 smallest id are all responses; one id may have several payloads. A null id is a revisit unless
-its payload has no other id. Control characters in a URL are percent-encoded. An
-empty table writes no file. A file that ends inside a record is an error.
+its payload has no other id. Ids of any type are percent-encoded in a record's fields and decoded on
+reading, so texts keep blanks and line ends; text ids are ordered by code point. Control characters in a URL are percent-encoded. An
+empty table writes no file. A file that ends inside a record is an error. Other columns play no part.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import itertools
 import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import cut, fresh_path, hot_join, table
+from .common import cut, fresh_path, hot_join, remove, table
 
 #: Bytes before compression after which a task starts another file.
 FILE_BYTES = 256_000_000
 LEVEL = 6
+#: Rows of an index that a task holds.
+INDEX_ROWS = 4096
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 INDEX = "path string, offset long, length long, record_type string, record_id string, payload_digest string, target_uri string"
 
@@ -57,7 +63,16 @@ def base32_sha1(payload: bytes) -> str:
 
 
 def record_id(page_id: str | None) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, f'page:{page_id}')}>"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_OID, 'no page' if page_id is None else f'page:{page_id}')}>"
+
+
+def id_field(page_id: str) -> str:
+    """An id as the value of a header field: nothing that a field could lose or be ended by."""
+    return quote(page_id, safe="")
+
+
+def id_of(field: str | None) -> str | None:
+    return None if field is None else unquote(field)
 
 
 def make_record(page_id: str | None, url: str | None, payload: bytes) -> bytes:
@@ -69,7 +84,7 @@ def make_record(page_id: str | None, url: str | None, payload: bytes) -> bytes:
         f"WARC-Payload-Digest: sha1:{base32_sha1(payload)}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(http) + len(payload)}",
     ]
     if page_id is not None:
-        lines.append(f"X-Page-ID: {page_id}")
+        lines.append(f"X-Page-ID: {id_field(page_id)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + http + payload + b"\r\n\r\n"
 
 
@@ -81,7 +96,7 @@ def as_revisit(record: bytes, refers_to: str) -> bytes:
     for line in head.decode().split("\r\n"):
         name = line.partition(":")[0].lower()
         out.append("WARC-Type: revisit" if name == "warc-type" else f"Content-Length: {len(http)}" if name == "content-length" else line)
-    out += [f"WARC-Refers-To: {record_id(refers_to)}", f"X-Refers-To-Page-ID: {refers_to}", f"WARC-Profile: {PROFILE}"]
+    out += [f"WARC-Refers-To: {record_id(refers_to)}", f"X-Refers-To-Page-ID: {id_field(refers_to)}", f"WARC-Profile: {PROFILE}"]
     return "\r\n".join(out).encode() + b"\r\n\r\n" + http + b"\r\n\r\n"
 
 
@@ -137,7 +152,7 @@ def write_monolithic(pages: DataFrame, out_dir: str, *, id_col: str = "page_id",
         out, path = None, ""
         for b in batches:
             done = []
-            for page, url, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).cast(pa.binary()).to_pylist(), strict=True):
+            for page, url, raw in ((c.as_py() for c in row) for row in zip(b.column(0), b.column(1), b.column(2).cast(pa.binary()), strict=True)):
                 if out is None:
                     path = f"{out_dir}/{uuid.uuid4().hex}.warc.gz"
                     system, inner = open_fs(path)
@@ -179,7 +194,7 @@ def normalise_file(path: str, out_dir: str, revisits: dict[tuple[str | None, str
         at = 0
         for head, record in split_records(inflate(iter(lambda: src.read(1 << 20), b""))):
             digest = head.get("warc-payload-digest", "").removeprefix("sha1:")
-            refers_to = revisits.get((head.get("x-page-id"), digest))
+            refers_to = revisits.get((id_of(head.get("x-page-id")), digest))
             kind = "revisit" if refers_to is not None else head.get("warc-type")
             record = record if refers_to is None else as_revisit(record, refers_to)
             z = zlib.compressobj(LEVEL, zlib.DEFLATED, 31)
@@ -204,9 +219,10 @@ def normalise(written: DataFrame, out_dir: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for path, revisits in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                rows = list(zip(*normalise_file(path, out_dir, {(x["page_id"], base64.b32encode(x["sha1"]).decode()): x["refers_to"] for x in revisits or []}), strict=True))
-                if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(rows, [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 4], strict=True)], names=["path", "offset", "length", "record_type", "record_id", "payload_digest", "target_uri"])
+                known = {(x["page_id"], base64.b32encode(x["sha1"]).decode()): x["refers_to"] for x in revisits or []}
+                found = normalise_file(path, out_dir, known)
+                while rows := list(itertools.islice(found, INDEX_ROWS)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), [pa.string(), pa.int64(), pa.int64(), *[pa.string()] * 4], strict=True)], names=["path", "offset", "length", "record_type", "record_id", "payload_digest", "target_uri"])
 
     return cut(files.repartition(max(1, many)).mapInArrow(run, INDEX))
 
@@ -221,7 +237,7 @@ def read_record(member: bytes) -> tuple:
     digest, size = head["warc-payload-digest"].removeprefix("sha1:"), int(headers_of(http)["content-length"])
     if head["warc-type"] == "response" and (base32_sha1(payload) != digest or len(payload) != size):
         raise ValueError(f"payload and digest differ: {head['warc-record-id']}")
-    return head.get("x-page-id"), size, digest, head["warc-type"], head.get("x-refers-to-page-id")
+    return id_of(head.get("x-page-id")), size, digest, head["warc-type"], id_of(head.get("x-refers-to-page-id"))
 
 
 def read_archives(index: DataFrame) -> DataFrame:
@@ -250,7 +266,9 @@ def read_archives(index: DataFrame) -> DataFrame:
 def op5_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pages written to whole-file archives, normalised, and read back record by record."""
     pages, out = table(spark, sf_dir, "pages"), fresh_path(spark, "warc")
-    records = read_archives(normalise(write_monolithic(pages, f"{out}/whole"), f"{out}/members"))
+    index = normalise(write_monolithic(pages, f"{out}/whole"), f"{out}/members")
+    remove(spark, [f"{out}/whole"])
+    records = read_archives(index)
     kind = pages.schema["page_id"].dataType
     return records.withColumn("page_id", F.col("page_id").cast(kind)).withColumn("refers_to", F.col("refers_to").cast(kind))
 

@@ -87,3 +87,21 @@ def test_hot_payloads(spark, tmp_path, monkeypatch):
     _, _, got = through(spark, rows, tmp_path)
     assert sum(k[1] == "response" for k in got) == 1 + len({h for _, _, h in rows if h != "hot"})
     assert {r.refers_to for k, r in got.items() if k[1] == "revisit" and int(k[0]) % 2} == {"1"}
+
+
+def test_text_ids(spark, tmp_path):
+    """Ids with blanks, line ends, forged fields and other scripts come back as they are; the smallest by code point is the response."""
+    rows = [(" a", "u", "same"), ("b ", "u", "same"), ("a", "u", "same"), ("x\r\nX-Page-ID: y\r\nWARC-Type: evil", "u", "same"), (None, "u", "same"), ("", "u", "own"), ("None", "u", None), (None, "u", ""), ("漢 %20", "u", "own"), ("\r\n", "u", "lone")]
+    spark.createDataFrame(rows, "page_id string, url string, html string").repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.sql(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    got = W.op5_warc_normalise(spark, str(tmp_path))
+    oracle.assert_same(got, con, W.OP5_SQL)
+    assert {(r.page_id, r.refers_to) for r in got.collect() if r.record_type == "response"} == {(" a", None), ("", None), ("None", None), ("\r\n", None)}
+
+
+def test_whole_archives_are_deleted(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(W, "fresh_path", lambda spark, label: f"file://{tmp_path}/{label}")
+    spark.createDataFrame([(1, "u", "x")], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert W.op5_warc_normalise(spark, str(tmp_path)).count() == 1
+    assert not (tmp_path / "warc" / "whole").exists() and (tmp_path / "warc" / "members").exists()
