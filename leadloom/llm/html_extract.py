@@ -14,8 +14,8 @@ result (Sun, Song and Liao, 2011).
 
 Scripts, styles, navigation, page headers and footers and asides aren't part of the
 tree, unless they hold the page's only ``article`` or ``main``. A class, id or role
-that names a menu, sidebar, notice, advert or comments as a whole ("has-sidebar"
-names none), ``hidden`` and being a form are evidence, not a verdict: they lower an
+that names a menu, sidebar, notice, advert or comments, alone or as a box of them ("comment-list",
+"cookie-bar"; "has-sidebar" names none), ``hidden`` and being a form are evidence, not a verdict: they lower an
 element's sums and those below it to a fifth. What the core lies in is the article,
 whatever its name; the other named parts are then left out, of the densities too. A
 paragraph or heading is named only if all of its class is ("social history" isn't).
@@ -26,9 +26,11 @@ headings and short blocks of an article stay.
 
 Tags need not be balanced: a paragraph, list item or table cell ends where the
 next one starts, an end tag closes what is open inside, stray end tags are
-ignored. Text inside a block is white-space collapsed and trimmed; blocks are
+ignored. A tag whose quotes don't close ends at its first ">". What an end or a start closes is kept
+at hand on every node, so that a page takes time in proportion to its length, however deep. Text inside a block is white-space collapsed and trimmed; blocks are
 joined in page order by one newline; nothing else is dropped. A page without any
-text, an empty page and null give an empty text.
+text, an empty page and null give an empty text. Repeated rows give a row each, an empty table none; other
+columns play no part.
 """
 
 from __future__ import annotations
@@ -36,6 +38,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -44,7 +47,7 @@ from pyspark.sql import functions as F
 
 from .common import pieces_of, table
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([A-Za-z][^\s/>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*)>|<(/?)([A-Za-z][^\s/<>]*)([^<>]*)>", re.S)
 _ATTR = re.compile(r"""([^\s=/"'>]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.S)
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -59,9 +62,10 @@ CLOSES = {
     "option": ({"option"}, {"select"}), "thead": ({"tr", "td", "th", "thead", "tbody"}, {"table"}), "tbody": ({"tr", "td", "th", "thead", "tbody"}, {"table"}), "tfoot": ({"tr", "td", "th", "thead", "tbody"}, {"table"}),
 }
 _LEAST_BASE = 2.0
-#: Classes, ids and roles, whole, that name a part outside the article: one listed word or several.
+#: Classes, ids and roles that name a part outside the article: a listed word, alone or with other listed words and such as only say what kind of box it is.
 _WORDS = r"(?:ads?|advert[a-z]*|adsense|sponsor[a-z]*|promo[a-z]*|cookies?|consent|gdpr|notices?|notifications?|alerts?|disclaimer|privacy|popup|modal|overlay|newsletter|subscri[a-z]*|signup|sidebar|aside|menu[a-z]*|nav[a-z]*|breadcrumbs?|toolbar|footer|foot|comments?|commentlist|disqus|replies|reply|respond|related|recommend[a-z]*|share|sharing|social|widget|pagination|pager|skip|login|search|complementary|contentinfo|navigation)"
-_NAMED = re.compile(rf"(?:^|\s){_WORDS}(?:[_-]+{_WORDS})*(?=\s|$)", re.I)
+_BOXES = r"(?:lists?|areas?|banners?|bars?|slots?|box(?:es)?|containers?|wrap(?:per)?s?|blocks?|sections?|links?|posts?|articles|stories|buttons?|btns?|icons?|panels?|inner|outer|threads?|items?|units?|groups?|rows?|cols?|column|zones?|tray|strip|top|bottom|left|right|main|site|page|global|primary|secondary|header|heading|title|form|count|messages?|wall|prompt|dialog|ul|nav|[0-9]+)"
+_NAMED = re.compile(rf"(?:^|\s)(?:{_BOXES}[_-]+)*{_WORDS}(?:[_-]+(?:{_WORDS}|{_BOXES}))*(?=\s|$)", re.I)
 #: Elements of running text: named only if all their tokens are.
 RUNNING = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre code q cite em strong b i u sub sup mark dfn abbr span".split())
 #: The same, but only outside ``article`` and ``main``: inside, they hold the article's heading.
@@ -74,8 +78,13 @@ NAMED = 0.2
 WHOLE, WHOLE_ARTICLE = 0.8, 0.5
 
 
+#: Up to one of these a block's start looks for an open paragraph.
+_PARENTS = frozenset("p div article section td li body blockquote main html".split())
+_CLOSING = frozenset(n for own, limits in CLOSES.values() for n in own | limits)
+
+
 class Node:
-    __slots__ = ("children", "chars", "density", "links", "link_tags", "name", "own", "parent", "parts", "skip", "tags", "total")
+    __slots__ = ("article", "children", "chars", "density", "ends", "links", "link_tags", "name", "own", "parent", "parts", "skip", "tags", "total", "within")
 
     def __init__(self, name: str, parent: Node | None, skip: int = 0):
         self.name, self.parent, self.skip = name, parent, skip
@@ -84,6 +93,12 @@ class Node:
         self.own: int | None = None
         self.chars = self.tags = self.links = self.link_tags = 0
         self.density = self.total = 0.0
+        #: Of this node and those around it: whether one is an article, the nearest of _PARENTS, and per kind of CLOSES the outermost that its start ends.
+        self.article: bool = name in ("article", "main") or parent is not None and parent.article
+        self.within: Node | None = self if name in _PARENTS or parent is None else parent.within
+        self.ends: dict[str, Node | None] = parent.ends if parent is not None else {}
+        if name in _CLOSING:
+            self.ends = {k: None if name in limits else self.ends.get(k) or (self if name in own else None) for k, (own, limits) in CLOSES.items()}
 
 
 def _skipped(name: str, attrs: str, inside_article: bool) -> int:
@@ -117,56 +132,53 @@ def _keep_wrappers(root: Node) -> None:
             x.skip = 0
 
 
+def _leave(at: Node, to: Node, opened: Counter) -> Node:
+    """Closes what is open below ``to``."""
+    while at is not to:
+        opened[at.name] -= 1
+        at = at.parent
+    return to
+
+
 def parse(page: str) -> Node:
     """The tree of elements, skipped ones marked."""
     root = at = Node("html", None)
-    pos = 0
+    pos, has_body, opened = 0, False, Counter()
     for m in iter(lambda: _TOKEN.search(page, pos), None):
         if m.start() > pos:
             at.parts.append(page[pos : m.start()])
         pos = m.end()
-        name = (m[2] or "").lower()
+        end_mark, name, attrs = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
+        name = (name or "").lower()
         if not name:
             if m[0].startswith("<![CDATA["):
                 at.parts.append(m[0][9:].removesuffix("]]>"))
             continue
-        if m[1]:
-            hit = at
-            while hit and hit.name != name:
-                hit = hit.parent
-            if hit and hit.parent:
-                at = hit.parent
+        if end_mark:
+            if opened[name] and name != "html":
+                hit = at
+                while hit.name != name:
+                    hit = hit.parent
+                at = _leave(at, hit.parent, opened)
             continue
-        if name in ("html", "body") and (name == "html" or any(x.name == "body" for x in root.children)):
+        if name in ("html", "body") and (name == "html" or has_body):
             continue
-        if name in BLOCK:  # a paragraph and a heading end where a block starts
-            hit = at
-            while hit and hit.name not in ("p", "div", "article", "section", "td", "li", "body", "blockquote", "main", "html"):
-                hit = hit.parent
-            if hit and hit.name == "p":
-                at = hit.parent
-        if name in CLOSES:
-            own, limits = CLOSES[name]
-            hit, last = at, None
-            while hit and hit.name not in limits:
-                if hit.name in own:
-                    last = hit
-                hit = hit.parent
-            if last is not None:
-                at = last.parent
-        inside, hit = False, at if name == "header" or m[3] else None
-        while hit and not inside:
-            inside, hit = hit.name in ("article", "main"), hit.parent
-        node = Node(name, at, _skipped(name, m[3], inside))
+        if name in BLOCK and at.within.name == "p":  # a paragraph and a heading end where a block starts
+            at = _leave(at, at.within.parent, opened)
+        if name in CLOSES and at.ends.get(name) is not None:
+            at = _leave(at, at.ends[name].parent, opened)
+        node = Node(name, at, _skipped(name, attrs, at.article))
+        has_body |= name == "body" and at is root
         at.children.append(node)
         at.parts.append(node)
-        if name in VOID or m[3].endswith("/") and name not in BLOCK and name != "a":
+        if name in VOID or attrs.endswith("/") and name not in BLOCK and name != "a":
             continue
         if name in RAW:
             end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, pos)
             pos = end.end() if end else len(page)
             continue
         at = node
+        opened[name] += 1
     at.parts.append(page[pos:])
     _keep_wrappers(root)
     return root

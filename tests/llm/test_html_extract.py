@@ -103,3 +103,41 @@ def test_all_pages_give_the_article_they_hold(spark):
         assert inner
         blocks = [" ".join(html.unescape(re.sub(r"<[^>]*>", "", re.sub(r"<br\s*/?>", " ", x))).split()) for x in re.split(r"</?(?:p|h1|h2|ul|li|div|section|blockquote|table|tr|td)\b[^>]*>", inner)]
         assert got[page_id] == "\n".join(x for x in blocks if x), page_id
+
+
+PROSE = " ".join(f"word{i}" for i in range(40)) + ". "
+ARTICLE = "".join(f"<p>{PROSE}{k}</p>" for k in range(4))
+READERS = "".join(f"<{{0}}><p>reader {k} says something about all this and more</p></{{0}}>" for k in range(6))
+BANNER = "<p>We use cookies for many things on this site, please accept them all.</p>"
+
+
+@pytest.mark.parametrize(
+    "body",
+    [
+        f'<article>{ARTICLE}<ol class="comment-list">{READERS.format("li")}</ol></article>', f'<article>{ARTICLE}<section id="comments-area">{READERS.format("div")}</section></article>', f'<div class="cookie-banner">{BANNER}</div><article>{ARTICLE}</article>',
+        f'<article><div class="cookie-bar">{BANNER}</div>{ARTICLE}</article>', f'<article>{ARTICLE}<div class="ad-slot"><p>Buy this thing now, it is cheap.</p></div></article>', f'<article>{ARTICLE}<div class="related-posts"><ul><li><a href="/a">Story one</a></li><li><a href="/b">Story two</a></li></ul></div></article>',
+        f'<div class="layout has-sidebar"><article>{ARTICLE}</article></div>', f'<div class="layout--no-comments right-sidebar"><div class="content">{ARTICLE}</div></div>', f'<main>{ARTICLE}</main><div id="site_footer_links"><p>Imprint and more words here</p></div>',
+    ],
+)
+def test_boxes_around_the_article(body):
+    assert main_text(f"<body>{body}</body>") == "\n".join(f"{PROSE}{k}" for k in range(4))
+
+
+def test_a_section_whose_name_only_begins_so_stays():
+    got = main_text(f'<body><article>{ARTICLE}<div class="social-history"><p>{PROSE}h</p></div></article></body>')
+    assert got.endswith(f"{PROSE}h")
+
+
+def test_broken_quotes_leave_no_markup():
+    got = main_text(f"<body><article>{ARTICLE}<p title=\"it's>Lost text</p></article></body>")
+    assert got.endswith("3\nLost text") and "<" not in got
+
+
+@pytest.mark.parametrize("page", ["<span>{n}<p>x</p>", "<span>{n}<td>x</td>", "<span>{n}</b>", "<span>{n}<header>x</header>", "<div>{n}</html>", "<p>a</p>{n}<body>", "<a {n}<p title=\"it's>a", "<table><tr><td><span>{n}<td>x</td>"])
+def test_time_is_linear(page):
+    import time
+
+    first, second = page.split("{n}")
+    began = time.process_time()
+    main_text(first * 8000 + second * 8000)
+    assert time.process_time() - began < 2.5
