@@ -62,9 +62,9 @@ def test_long_conversations_are_whole(spark):
 def test_parts_make_up_the_whole(spark):
     rows = [(1, 0, "system", "be kind")] + [(1, 1, "ab"[i % 2], f"{i:04}") for i in range(60)] + [(1, None, "c", "first"), (1, 900, "system", "be brief"), (1, 901, "a", "end"), (2, 700, "x", "alone")]
     rows += [(None, None, "ab"[i % 2], "same") for i in range(35)]
-    want, got = rendered(spark, rows), rendered(spark, rows, part_turns=10)
+    want, got = rendered(spark, rows), rendered(spark, rows, part_bytes=680)
     assert {k for k in got if k[0] == 1} == {(1, s, p) for s in range(7) for p in "abc"}
-    assert all(r.n_turns <= 10 for r in got.values())
+    assert all(r.n_turns <= 11 for r in got.values())
     for (conv, _, who), r in want.items():
         parts = [got[k] for k in sorted((k for k in got if (k[0], k[2]) == (conv, who)), key=lambda k: k[1])]
         assert "\n".join(p.text for p in parts) == r.text
@@ -72,6 +72,18 @@ def test_parts_make_up_the_whole(spark):
         assert all(r.text[p.start : p.start + len(p.text)] == p.text for p in parts)
 
 
+def test_parts_end_by_bytes_whatever_the_turns(spark):
+    """Turns larger than a part have a row each, numbered without gaps; many own turns have as many masks."""
+    rows = [(1, i, "ab"[i % 2], "é" * (900 if i % 5 == 0 else 2)) for i in range(40)] + [(2, i, "x", "y") for i in range(2500)]
+    want, got = rendered(spark, rows), rendered(spark, rows, part_bytes=500)
+    for (conv, _, who), r in want.items():
+        parts = [got[k] for k in sorted((k for k in got if (k[0], k[2]) == (conv, who)), key=lambda k: k[1])]
+        assert [p.part for p in parts] == list(range(len(parts))) and len(parts) > 7
+        assert "\n".join(p.text for p in parts) == r.text and [tuple(m) for p in parts for m in p.mask] == [tuple(m) for m in r.mask]
+        assert all(len(p.text.encode()) <= 500 + 1900 for p in parts)
+    assert len(want[2, 0, "x"].mask) == 2500
+
+
 def test_awkward_rows_against_sql(spark, tmp_path):
     rows = [(1, i, r, t) for i, (r, t) in enumerate([("a b", "x"), ("a_b", "<|y"), (None, None), ("system", "s"), ("unknown", "z")])] + [(None, None, "u", "n"), (None, None, "u", "n"), (3, 1, "system", "only"), (4, None, "ü", "漢字")]
     df = spark.createDataFrame([(*r, "clash") for r in rows], TURNS)
