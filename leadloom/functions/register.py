@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.functions import udtf
 
 from . import emails, predicates, texts
 from .dialect import SPARK
@@ -19,14 +17,20 @@ ONE_ARGUMENT = {
 }
 
 
+#: Contacts that a page links, by kind.
+LINKED = {"email": r"(?i)href\s*=\s*[\x22\x27]mailto:([^\x22\x27?]+)", "phone": r"(?i)href\s*=\s*[\x22\x27]tel:([^\x22\x27]+)"}
+
+
 def _table_functions() -> dict[str, tuple[str, str, str]]:
     """name -> (arguments, columns, query): one row to many, inside the engine."""
     from .. import rules
     from ..operators import contacts
 
     paths = ", ".join(f"'{p}'" for p in rules.CONTACT_PATHS)
+    linked = " union all ".join(f"select '{kind}' as kind, explode(transform(array_distinct({SPARK.extract_all('html', pattern, 1)}), v -> lower(trim(v)))) as value" for kind, pattern in LINKED.items())
     channel = f"select {contacts.classify_link(SPARK, 'h')} as c, {contacts.clean_url(SPARK, 'h')} as v from (select explode({contacts.hrefs(SPARK, 'html')}) as h)"
     return {
+        "page_contacts": ("html string", "kind string, value string", f"select kind, value from ({linked})"),
         "page_channels": ("html string", "type string, confidence double, value string", f"select substring_index(c, '|', 1), cast(substring_index(c, '|', -1) as double), v from ({channel}) where c is not null"),
         "candidate_urls": ("url string", "link string", f"select regexp_extract(url, '^(https?://[^/?#]+)', 1) || p from (select explode(array({paths})) as p) where url rlike '^https?://[^/?#]+'"),
         "signal_rows": ("intent_signal string, tax_verified boolean, reason_codes string", "type string", "select t from (select explode(array(case when upper(intent_signal) in ('BOL_SIGNAL', 'CUSTOMS_SIGNAL', 'IMPORT_RECORD') then 'customs' end, case when upper(intent_signal) = 'PROCUREMENT_DECISION_MAKER' then 'decision_maker' end, case when tax_verified then 'tax_verified' end, case when upper(reason_codes) rlike 'IMPORT|BOL|CUSTOMS' then 'import_history' end)) as t) where t is not null"),
@@ -47,15 +51,3 @@ def register_sql(spark: SparkSession) -> None:
         spark.sql(f"create or replace temporary function {name}(x string) returns {kind} return {text}")
     for name, (arguments, columns, query) in _table_functions().items():
         spark.sql(f"create or replace temporary function {name}({arguments}) returns table({columns}) return {query}")
-
-
-@udtf(returnType=T.StructType().add("kind", "string").add("value", "string"))
-class PageContacts:
-    """select * from page_contacts(html): addresses and numbers linked on one page."""
-
-    def eval(self, html: str):
-        import re
-
-        for kind, pattern in (("email", r"(?i)href\s*=\s*[\"']mailto:([^\"'?]+)"), ("phone", r"(?i)href\s*=\s*[\"']tel:([^\"']+)")):
-            for value in dict.fromkeys(re.findall(pattern, html or "")):
-                yield kind, value.strip().lower()

@@ -150,9 +150,14 @@ _STAGED: dict[tuple, DataFrame] = {}
 
 
 def _state_of(df: DataFrame) -> tuple:
-    """The files that a frame reads, with their sizes and times, so that a changed table isn't taken for the old one."""
-    files = df.select("_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time").distinct()
-    return tuple(sorted((r[0], r[1], str(r[2])) for r in files.collect()))
+    """The files that a frame reads, with their sizes and times, by listing alone, so that a changed table isn't taken for the old one."""
+    jvm, conf = df.sparkSession.sparkContext._jvm, df.sparkSession.sparkContext._jsc.hadoopConfiguration()
+    out = []
+    for name in sorted(df.inputFiles()):
+        path = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(name))
+        status = path.getFileSystem(conf).getFileStatus(path)
+        out.append((name, status.getLen(), status.getModificationTime()))
+    return tuple(out)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -176,7 +181,7 @@ def build(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if key not in _STAGED:
         for old in [k for k in _STAGED if k[0] != key[0]]:
             del _STAGED[old]  # of sessions that have ended
-        _STAGED[key] = stage(spread(spark.sql(text, **used)), name)
+        _STAGED[key] = stage(spread(spark.sql(text, **used)), name, keep=True)
     return _STAGED[key]
 
 

@@ -7,10 +7,10 @@ import uuid
 from pyspark.sql import functions as F
 
 from ..functions.dialect import SPARK
-from ..operators import companies, contacts, keep, outputs, seeds, taxonomy
+from ..operators import adapters, companies, contacts, keep, outputs, seeds, taxonomy
 from ..plans import derived
 from ..sources import dictionaries, tables
-from ..sources.stages import shared_dir
+from ..sources.stages import shared_dir, stage
 from .common import Registry, table, view
 from .joins import attempts, leads
 
@@ -266,6 +266,36 @@ e as (select key, arg_max(cost, i) as cost, arg_max(tried, i) as tried, max(adap
 select key, adapter_id is not null or zero as ok, adapter_id, cast(hits as bigint) as hits, cost, tried, case when adapter_id is not null then null when zero then 'zero_results' when tried = '' then 'no_available_adapter' else 'all_adapters_failed:' || tried end as reason from e"""
 
 
+_LAYERS = {"home": 0, "bfs": 0, "llm": 1, "vision": 5, "serper": 1}
+
+
+def g01_rounds(spark, d):
+    """Every key asked of five adapters over recorded answers, in the order of what a hit of each has cost so far, within a budget of six."""
+    rows = attempts(spark, d).selectExpr("key", "layer", "ts", "attempt_id", "case when attempt_id % 5 > 0 then case when attempt_id % 3 = 0 then contacts else 0 end end as n")
+    first = stage(keep.keep_first(rows, ["key", "layer"], [F.col("ts"), F.col("attempt_id")]).where("n is not null"), "answers")
+    hits = F.transform(F.expr("sequence(1, n)"), lambda i: F.struct(i.cast("string").alias("title"), F.lit("l").alias("link")))
+    answers = first.select("key", "layer", F.when(F.col("n") > 0, hits).otherwise(F.array().cast(adapters.HITS)).alias("hits"), F.col("ts").alias("asked_at"))
+    known = [adapters.Adapter(x, adapters.recorded(answers.where(F.col("layer") == x)), float(cost)) for x, cost in _LAYERS.items()]
+    stats = adapters.stats_of(rows.select(F.col("layer").alias("adapter"), F.col("n").alias("n_hits")))
+    queries = rows.select("key", F.lit("q").alias("query")).distinct()
+    found, _ = adapters.search(queries, known, stats, budget=6)
+    return found.select("key", "ok", "adapter", F.size("hits").cast("long").alias("n_hits"), "cost", F.array_join("tried", ",").alias("tried"), "zero_results", "reason")
+
+
+_N = "case when attempt_id % 5 > 0 then case when attempt_id % 3 = 0 then contacts else 0 end end"
+G01_ROUNDS = f"""
+with recursive f as (select key, layer, arg_min({_N}, (ts, attempt_id)) as n0, min_by(struct_pack(n := {_N}), (ts, attempt_id)).n as hits from {A} group by key, layer),
+e as (select layer, c as cost, i as place, case when c = 0 then 0.0 else c / greatest(coalesce(h, 0) / n, 0.05) end as expected from (values {', '.join(f"('{x}', {c}, {i})" for i, (x, c) in enumerate(_LAYERS.items()))}) t(layer, c, i) join (select layer, count(*) as n, count(*) filter (where {_N} > 0) as h from {A} group by layer) using (layer)),
+o as (select k.key, e.layer, cost, hits, row_number() over (partition by k.key order by expected, place) as i from (select distinct key from {A}) k cross join e left join f on f.key = k.key and f.layer = e.layer),
+s as (
+  select key, cast(0 as bigint) as i, 0.0::double as cost, '' as tried, cast(null as varchar) as adapter, 0 as hits, false as zero from (select distinct key from {A})
+  union all
+  select s.key, o.i, case when go then s.cost + o.cost else s.cost end, case when not go then s.tried when s.tried = '' then o.layer else s.tried || ',' || o.layer end, case when go and o.hits > 0 then o.layer else s.adapter end, case when go then coalesce(o.hits, 0) else s.hits end, s.zero or (go and coalesce(o.hits = 0, false))
+  from s join o on s.key = o.key and o.i = s.i + 1, lateral (select s.adapter is null and s.cost + o.cost <= 6 as go))
+select key, adapter is not null or zero as ok, adapter, cast(case when adapter is not null then hits else 0 end as bigint) as n_hits, cost, tried, adapter is null and zero as zero_results,
+  case when adapter is not null then null when zero then 'zero_results' when tried = '' then 'no_available_adapter' else 'all_adapters_failed:' || tried end as reason from s where i = 5"""
+
+
 def t12_waterfall(spark, d):
     """The budget differs by key: two, the usual one, under which vision never runs, or ten."""
     got = attempts(spark, d).groupBy("key").pivot("layer", list(seeds.LAYERS)).agg(F.max(F.expr("case when attempt_id % 7 = 0 then contacts else 0 end"))).na.fill(0)
@@ -309,6 +339,6 @@ def register(r: Registry) -> None:
     for name, fn, sql in [
         ("s09_source_flatten", s09_sources, S09), ("s10_tax_registry", s10_registry, S10), ("s11_alias_entries", s11_aliases, S11), ("s11_industry_names", s11_names, S11_NAMES), ("s12_segment_dictionary", s12_segments, S12), ("s13_industry_dictionary", s13_industries, S13),
         ("p14_industry_key", p14_industry, P14), ("p15_p13_industry_hint", p15_hints, P15), ("p46_place_names", p46_places, P46), ("j11_s04_seeds", j11_seeds, J11), ("s05_pending_seeds", s05_seeds, S05), ("s06_inline_seeds", s06_inline, S06), ("p39_job_grid", p39_grid, P39),
-        ("s08_taxonomy_flatten", s08_taxonomy, S08), ("y09_seed_loop", y09_loop, Y09), ("s03_p29_places", s03_places, S03), ("s19_persons", s19_persons, S19), ("g01_adapter_search", g01_search, G01), ("t12_contact_waterfall", t12_waterfall, T12), ("x28_confidence", x28_confidence, x28),
+        ("s08_taxonomy_flatten", s08_taxonomy, S08), ("y09_seed_loop", y09_loop, Y09), ("s03_p29_places", s03_places, S03), ("s19_persons", s19_persons, S19), ("g01_adapter_search", g01_search, G01), ("g01_s16_adapter_rounds", g01_rounds, G01_ROUNDS), ("t12_contact_waterfall", t12_waterfall, T12), ("x28_confidence", x28_confidence, x28),
     ]:
         r.add(name, fn, sql)

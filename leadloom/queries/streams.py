@@ -135,7 +135,8 @@ def _g03() -> str:
 
 
 def g05_udtf(spark, d):
-    spark.udtf.register("page_contacts", functions.PageContacts)
+    """Addresses and numbers linked on each page, by a SQL table function."""
+    functions.register_sql(spark)
     derived.build(spark, d, "contact_pages").createOrReplaceTempView("leadloom_pages")
     return spark.sql("select page_id, kind, value from leadloom_pages, lateral page_contacts(html)")
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.keep import keep_first
-from ..sources.stages import shared_dir
+from ..sources.stages import scope, shared_dir
 
 EVERY = 8
 PART_ROWS = 1 << 20
@@ -136,5 +136,9 @@ class Job:
     def drive(self, stream: DataFrame, put: Callable[[DataFrame, int], None], mode: str = "append", every: str | None = None) -> None:
         """Runs the stream over all that is there now; with ``every`` (an interval) for as long as it isn't stopped."""
         trigger = {"processingTime": every} if every else {"availableNow": True}
-        query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{self.base}/progress").foreachBatch(put).trigger(**trigger).start()
+        def one(batch: DataFrame, batch_id: int) -> None:
+            with scope(self.spark):  # what a batch stages goes when its tables are written
+                put(batch, batch_id)
+
+        query = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{self.base}/progress").foreachBatch(one).trigger(**trigger).start()
         query.awaitTermination()

@@ -10,6 +10,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
+from leadloom.sources import stages
 from leadloom.streaming import job, jobs
 
 DAY = dt.datetime(2024, 1, 1)
@@ -83,6 +84,7 @@ def test_sweep_over_batches(spark, tmp_path):
 RUN = """
 import os, sys
 from pyspark.sql import SparkSession, functions as F
+from leadloom.sources import stages
 from leadloom.streaming import job, jobs
 base, data, after = sys.argv[1:4]
 job.shared_dir = lambda spark: base
@@ -216,3 +218,13 @@ def test_negatives_over_batches(spark, tmp_path):
     stream = files(spark, tmp_path, "id bigint, text string", parts)
     for limits in ({}, {"few": 0}, {"few": 0, "most_chars": 3}):
         assert sorted(r.id for r in jobs.without_negatives(stream, words, **limits).collect()) == [2, 4, 6]
+
+
+def test_stages_of_a_scope_are_deleted(spark):
+    df = spark.range(5)
+    with stages.scope(spark):
+        kept, gone = stages.stage(df, "kept", keep=True), stages.stage(df, "gone")
+        assert kept.count() == gone.count() == 5
+    assert kept.count() == 5
+    with pytest.raises(Exception, match="(?i)not exist|not found|FILE"):
+        spark.read.parquet(gone.inputFiles()[0])
