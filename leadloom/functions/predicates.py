@@ -11,8 +11,7 @@ from .texts import blank, filled, host, low, phone_country, phone_digits, tld_co
 def junk_domain(d: Spark, x: str) -> str:
     """F01."""
     h = d.sub(d.sub(d.sub(f"lower(trim({x}))", r"^https?://"), r"/.*\z"), r":\d+\z")
-    hosts = [*rules.JUNK_HOSTS_WITH_WWW, *("www." + h for h in rules.JUNK_HOSTS_WITH_WWW), *rules.JUNK_HOSTS_PLAIN]
-    by_host = any_of([in_list("jh", hosts), d.rx("jh", rules.JUNK_HOST_PATTERN), d.rx("jh", r"(^|\.)xn--[^.]{27,}"), "not contains(jh, '.')"])
+    by_host = any_of([in_list("jh", rules.JUNK_HOSTS), d.rx("jh", rules.JUNK_HOST_PATTERN), d.rx("jh", r"(^|\.)xn--[^.]{27,}"), "not contains(jh, '.')"])
     return f"(not {blank(x)} and ({d.rx(x, '[一-鿿぀-ゟ゠-ヿ가-힯]')} or coalesce({d.let(h, 'jh', by_host)}, false)))"
 
 
@@ -147,7 +146,7 @@ def relevance(d: Spark, text: str, category: str) -> str:
 def news_domain(d: Spark, x: str) -> str:
     """F12."""
     h = d.sub(d.sub(low(x), r"^https?://"), r"[/?#:].*\z")
-    return any_of([in_list(h, [*rules.NEWS_HOSTS_WITH_WWW, *("www." + n for n in rules.NEWS_HOSTS_WITH_WWW), *rules.NEWS_HOSTS_PLAIN]), d.rx(h, rules.NEWS_HOST_PATTERN)])
+    return any_of([in_list(h, rules.NEWS_HOSTS), d.rx(h, rules.NEWS_HOST_PATTERN)])
 
 
 def drop_reason(d: Spark, blocked_hosts: list[str] = (), supplier: bool = False) -> str:

@@ -8,19 +8,23 @@ from __future__ import annotations
 
 # ---- fixed values: hosts -------------------------------------------------
 
-#: Hosts of platforms, portals and media that are never a company's own site; those marked here also with www.
-JUNK_HOSTS_WITH_WWW = """
-scribd.com reddit.com quora.com alibaba.com aliexpress.com 1688.com taobao.com jd.com linkedin.com facebook.com twitter.com instagram.com
-youtube.com tiktok.com pinterest.com made-in-china.com globalsources.com tradeindia.com tradekey.com exportersindia.com ec21.com ecplaza.net
-kompass.com yellowpages.com yelp.com amazon.com ebay.com etsy.com shopify.com bing.com google.com zaobao.com.sg straitstimes.com
-channelnewsasia.com todayonline.com businesstimes.com.sg mothership.sg 8world.com beritaharian.sg thestar.com.my nst.com.my malaymail.com
-sinchew.com.my bbc.com cnn.com reuters.com bloomberg.com ft.com wsj.com theguardian.com techcrunch.com forbes.com businessinsider.com
-nytimes.com washingtonpost.com
-""".split()
-#: The same, as they stand.
-JUNK_HOSTS_PLAIN = """
-old.reddit.com m.alibaba.com pinduoduo.com m.facebook.com x.com amazon.co.uk amazon.de tradesparq.com dungedon.com yahoo.com answers.yahoo.com
-wikipedia.org en.wikipedia.org wikidata.org zaobao.sg stomp.straitstimes.com stomp.com.sg tamilmurasu.com.sg tnp.sg bbc.co.uk
+#: Hosts of platforms, portals and media that are never a company's own site, as they stand.
+JUNK_HOSTS = """
+scribd.com www.scribd.com reddit.com www.reddit.com old.reddit.com quora.com www.quora.com alibaba.com www.alibaba.com m.alibaba.com
+aliexpress.com www.aliexpress.com 1688.com www.1688.com taobao.com www.taobao.com jd.com www.jd.com pinduoduo.com linkedin.com www.linkedin.com
+facebook.com www.facebook.com m.facebook.com twitter.com www.twitter.com x.com instagram.com www.instagram.com youtube.com www.youtube.com
+tiktok.com www.tiktok.com pinterest.com www.pinterest.com made-in-china.com www.made-in-china.com globalsources.com www.globalsources.com
+tradeindia.com www.tradeindia.com tradekey.com www.tradekey.com exportersindia.com www.exportersindia.com ec21.com www.ec21.com
+ecplaza.net www.ecplaza.net kompass.com www.kompass.com yellowpages.com www.yellowpages.com yelp.com www.yelp.com
+amazon.com www.amazon.com amazon.co.uk amazon.de ebay.com www.ebay.com etsy.com www.etsy.com shopify.com www.shopify.com
+tradesparq.com dungedon.com bing.com www.bing.com google.com www.google.com yahoo.com answers.yahoo.com wikipedia.org en.wikipedia.org wikidata.org
+zaobao.com.sg www.zaobao.com.sg zaobao.sg straitstimes.com www.straitstimes.com channelnewsasia.com www.channelnewsasia.com
+todayonline.com www.todayonline.com businesstimes.com.sg www.businesstimes.com.sg mothership.sg www.mothership.sg stomp.straitstimes.com stomp.com.sg
+8world.com www.8world.com beritaharian.sg www.beritaharian.sg tamilmurasu.com.sg tnp.sg
+thestar.com.my www.thestar.com.my nst.com.my www.nst.com.my malaymail.com www.malaymail.com sinchew.com.my www.sinchew.com.my
+bbc.com www.bbc.com bbc.co.uk cnn.com www.cnn.com reuters.com www.reuters.com bloomberg.com www.bloomberg.com ft.com www.ft.com wsj.com www.wsj.com
+theguardian.com www.theguardian.com techcrunch.com www.techcrunch.com forbes.com www.forbes.com businessinsider.com www.businessinsider.com
+nytimes.com www.nytimes.com washingtonpost.com www.washingtonpost.com
 """.split()
 JUNK_HOST_PATTERN = r"scribd\.|1688\.com|wikip(e|é)dia|fandom\.com|blogspot\.|wordpress\.com|medium\.com|substack\.com"
 SOCIAL_HOSTS = "facebook.com instagram.com linkedin.com x.com twitter.com youtube.com tiktok.com pinterest.com m.facebook.com".split()
@@ -28,12 +32,15 @@ AGGREGATOR_HOSTS = """
 yellowpages.com yelp.com kompass.com tradeindia.com tradekey.com globalsources.com made-in-china.com ec21.com ecplaza.net bbb.org
 globalimporter.net thomasnet.com manta.com dnb.com crunchbase.com
 """.split()
-NEWS_HOSTS_WITH_WWW = """
-zaobao.com.sg straitstimes.com channelnewsasia.com todayonline.com businesstimes.com.sg mothership.sg 8world.com beritaharian.sg
-thestar.com.my nst.com.my malaymail.com sinchew.com.my bbc.com cnn.com reuters.com bloomberg.com ft.com wsj.com theguardian.com
-techcrunch.com forbes.com businessinsider.com nytimes.com washingtonpost.com
+NEWS_HOSTS = """
+zaobao.com.sg www.zaobao.com.sg zaobao.sg zbschools.sg straitstimes.com www.straitstimes.com channelnewsasia.com www.channelnewsasia.com
+todayonline.com www.todayonline.com businesstimes.com.sg www.businesstimes.com.sg mothership.sg www.mothership.sg stomp.straitstimes.com stomp.com.sg
+8world.com www.8world.com beritaharian.sg www.beritaharian.sg tamilmurasu.com.sg tnp.sg
+thestar.com.my www.thestar.com.my nst.com.my www.nst.com.my malaymail.com www.malaymail.com sinchew.com.my www.sinchew.com.my
+bbc.com www.bbc.com bbc.co.uk cnn.com www.cnn.com reuters.com www.reuters.com bloomberg.com www.bloomberg.com ft.com www.ft.com wsj.com www.wsj.com
+theguardian.com www.theguardian.com techcrunch.com www.techcrunch.com forbes.com www.forbes.com businessinsider.com www.businessinsider.com
+nytimes.com www.nytimes.com washingtonpost.com www.washingtonpost.com
 """.split()
-NEWS_HOSTS_PLAIN = "zaobao.sg zbschools.sg stomp.straitstimes.com stomp.com.sg tamilmurasu.com.sg tnp.sg bbc.co.uk".split()
 NEWS_HOST_PATTERN = r"\.(news|press|media|journalist|tribune|gazette|herald|chronicle|times\.com\.sg|daily|weekly|post\.com)\z"
 PLATFORM_HOSTS = """
 alibaba.com aliexpress.com amazon.com thomasnet.com globalsources.com made-in-china.com tradeindia.com indiamart.com tradewheel.com ec21.com
@@ -83,8 +90,11 @@ COUNTRY_HINTS = {
     "ES": ["spain", "西班牙"], "CA": ["canada", "加拿大"], "AU": ["australia", "澳大利亚", "澳洲"], "CH": ["switzerland", "swiss", "瑞士"], "BR": ["brazil", "巴西"],
     "IN": ["india", "印度"], "TR": ["turkey", "土耳其"], "AE": ["uae", "united arab emirates", "阿联酋"], "SA": ["saudi arabia", "沙特"],
 }
-#: Country codes of top-level domains; all but uk are the code itself.
-CCTLDS = {x.lower(): x for x in COUNTRY_HINTS} | {"uk": "GB"}
+CCTLDS = {
+    "us": "US", "cn": "CN", "sg": "SG", "my": "MY", "th": "TH", "vn": "VN", "id": "ID", "ph": "PH",
+    "jp": "JP", "kr": "KR", "uk": "GB", "gb": "GB", "de": "DE", "fr": "FR", "it": "IT", "es": "ES",
+    "ca": "CA", "au": "AU", "ch": "CH", "br": "BR", "in": "IN", "tr": "TR", "ae": "AE", "sa": "SA",
+}
 CALLING_CODES = {
     "1": "US", "86": "CN", "65": "SG", "60": "MY", "66": "TH", "84": "VN", "62": "ID", "63": "PH", "81": "JP", "82": "KR", "44": "GB", "49": "DE", "33": "FR", "39": "IT",
     "34": "ES", "61": "AU", "41": "CH", "55": "BR", "91": "IN", "90": "TR", "971": "AE", "966": "SA",
@@ -230,17 +240,32 @@ PILLARS_BY_PLATFORM = {
 #: A country's name at the start of a category text.
 COUNTRY_PREFIX_PATTERN = r"(?i)^(?:印尼|印度尼西亚|印度|越南|泰国|马来西亚|新加坡|菲律宾|缅甸|柬埔寨|老挝|韩国|日本|中国|美国|英国|德国|法国|意大利|西班牙|葡萄牙|荷兰|比利时|波兰|俄罗斯|加拿大|墨西哥|巴西|阿根廷|智利|秘鲁|哥伦比亚|沙特|阿联酋|土耳其|埃及|肯尼亚|尼日利亚|南非|澳大利亚|新西兰|indonesia|india|vietnam|thailand|malaysia|singapore|philippines|myanmar|cambodia|laos|korea|japan|china|usa|us|uk|gb|germany|france|italy|spain|portugal|netherlands|belgium|poland|russia|canada|mexico|brazil|argentina|chile|peru|colombia|saudi|uae|turkey|egypt|kenya|nigeria|south africa|australia|new zealand)\s*[的,，]?\s*"
 #: Kinds of place that don't buy a category, and those for all others.
-_FOOD_PLACES = "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split()
-_PHARMA_PLACES = "bank insurance_agency lawyer accounting car_dealer travel_agency restaurant".split()
-_TECH_PLACES = "bank insurance_agency lawyer accounting real_estate_agency".split()
-_RAW_PLACES = "bank insurance_agency lawyer accounting".split()
-_ENERGY_PLACES = "bank insurance_agency lawyer accounting restaurant".split()
 PLACE_BLACKLISTS = {
-    "food": _FOOD_PLACES, "garlic": _FOOD_PLACES, "ginger": _FOOD_PLACES, "seafood": _FOOD_PLACES, "fruit": _FOOD_PLACES, "vegetable": _FOOD_PLACES, "spice": _FOOD_PLACES, "grain": _FOOD_PLACES, "rice": _FOOD_PLACES,
-    "beverage": _FOOD_PLACES, "dairy": _FOOD_PLACES, "pharma_medical": _PHARMA_PLACES, "pharma_health": _PHARMA_PLACES, "electronic_components": _TECH_PLACES, "semiconductor": _TECH_PLACES,
-    "machinery_equipment": _TECH_PLACES, "laser_photonics": _TECH_PLACES, "laser_equipment": _TECH_PLACES, "metal_steel_raw": _RAW_PLACES, "chemical_plastic_raw": _RAW_PLACES,
-    "auto_parts_tire": "bank lawyer accounting restaurant cafe".split(), "new_energy": _ENERGY_PLACES, "battery_energy_storage": _ENERGY_PLACES, "photovoltaic_solar": _ENERGY_PLACES,
-}
+    "food": "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split(),
+    "garlic": "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split(),
+    "ginger": "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split(),
+    "seafood": "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split(),
+    "fruit": "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split(),
+    "vegetable": "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split(),
+    "spice": "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split(),
+    "grain": "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split(),
+    "rice": "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split(),
+    "beverage": "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split(),
+    "dairy": "bank insurance_agency lawyer accounting real_estate_agency car_dealer".split(),
+    "pharma_medical": "bank insurance_agency lawyer accounting car_dealer travel_agency restaurant".split(),
+    "pharma_health": "bank insurance_agency lawyer accounting car_dealer travel_agency restaurant".split(),
+    "electronic_components": "bank insurance_agency lawyer accounting real_estate_agency".split(),
+    "semiconductor": "bank insurance_agency lawyer accounting real_estate_agency".split(),
+    "machinery_equipment": "bank insurance_agency lawyer accounting real_estate_agency".split(),
+    "laser_photonics": "bank insurance_agency lawyer accounting real_estate_agency".split(),
+    "laser_equipment": "bank insurance_agency lawyer accounting real_estate_agency".split(),
+    "metal_steel_raw": "bank insurance_agency lawyer accounting".split(),
+    "chemical_plastic_raw": "bank insurance_agency lawyer accounting".split(),
+    "auto_parts_tire": "bank lawyer accounting restaurant cafe".split(),
+    "new_energy": "bank insurance_agency lawyer accounting restaurant".split(),
+    "battery_energy_storage": "bank insurance_agency lawyer accounting restaurant".split(),
+    "photovoltaic_solar": "bank insurance_agency lawyer accounting restaurant".split(),
+}
 PLACE_BLACKLIST_DEFAULT = "bank lawyer accounting insurance_agency real_estate_agency".split()
 COUNTRY_NAMES = {
     "vn": "Vietnam", "th": "Thailand", "id": "Indonesia", "my": "Malaysia", "sg": "Singapore", "ph": "Philippines", "mm": "Myanmar", "kh": "Cambodia", "bd": "Bangladesh", "pk": "Pakistan",
