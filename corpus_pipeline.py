@@ -4,6 +4,11 @@ Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written
 as Parquet and reread as the next one's docs. All but the last return the
 columns of documents; the last returns a row per document with its words taken.
 
+Defined cases, of every stage: a null or wordless text fails the base rules, so no such document comes past the
+second stage (the first judges it like any other text); rows of one id are documents of their own until the third stage, which keeps one of
+equal rows; null ids and sources are ids and sources like others; extra columns of any name go through the first four
+stages as they are; an empty table gives an empty one.
+
 A stage's working tables are deleted when the next stage of the thread begins: its
 rows have been written by then.
 """
