@@ -15,7 +15,7 @@ combination of sets, not per hit. Both ways give the same rows.
 Defined cases: a null or wordless text has no words and no hits. Benchmark rows
 with a null item_id still mark words as hit but are no item. A repeated item_id
 is one item with the windows of all its rows. Every document row gives one
-result row, repeated rows included.
+result row, repeated rows included, an empty table none; an empty benchmark hits nothing. Other columns play no part.
 """
 
 from __future__ import annotations

@@ -15,7 +15,7 @@ again.
 Besides, plain phrases are counted exactly, word by word (``PHRASES``).
 
 Defined cases: a null text is an empty one; texts without hits have empty labels
-and score 0. Every row gives one row. Matches of one notice don't overlap.
+and score 0. Every row gives one row, repeated rows included, an empty table none. Matches of one notice don't overlap. Other columns play no part.
 """
 
 from __future__ import annotations

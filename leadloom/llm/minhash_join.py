@@ -14,7 +14,7 @@
 Defined cases: a null text is a class of its own per row, without links. Texts
 without words have no shingles; equal ones are one class, without links. Repeated
 rows are copies. Ties don't arise: classes are named by their smallest id. No
-candidate is dropped and no bucket is capped.
+candidate is dropped and no bucket is capped. An empty table gives an empty result; other columns play no part.
 """
 
 from __future__ import annotations

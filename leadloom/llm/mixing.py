@@ -31,7 +31,7 @@ Defined cases: a null text has no words; such documents are never taken, and a
 source without words has the target 0. A null source is a source of its own, the
 last. Every row is a document of its own, repeated rows included. U is a digest of
 the id (without one, of the text) and ``seed``; ties are ordered by id and size. A
-null preference counts as the least one. An empty table gives an empty result.
+null preference counts as the least one. An empty table gives an empty result. Other columns play no part.
 """
 
 from __future__ import annotations

@@ -15,7 +15,8 @@ over every whole text.
 
 Defined cases: a null text counts as an empty one and gets a score like any
 other; a null id is not held out and never learned from; several labels of one
-id: the lowest counts; without labelled rows every score is 0.5.
+id: the lowest counts; without labelled rows every score is 0.5. Every row gives one row, repeated
+rows included, an empty table none; other columns play no part.
 """
 
 from __future__ import annotations

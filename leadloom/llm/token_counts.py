@@ -16,7 +16,7 @@ Python worker, up to a bound.
 Defined cases: a null text is empty and has no tokens. Edits (position, characters
 deleted, text inserted) are applied in order, each to the text that the ones
 before left; positions and lengths beyond the text are cut down to it; a null
-edit or null field counts as nothing. Every row gives one row.
+edit or null field counts as nothing. Every row gives one row, an empty table none. Other columns play no part.
 """
 
 from __future__ import annotations

@@ -2,12 +2,13 @@
 
 import duckdb
 import numpy as np
+import pytest
 
 import corpus_pipeline as P
 from leadloom.llm import decontaminate, mixing, quality_fm
 
 from .. import oracle
-from . import test_decontaminate, test_line_rules, test_minhash_join
+from . import frames, test_decontaminate, test_line_rules, test_minhash_join
 
 SF = "/root/testdata/sf0.001"
 
@@ -84,3 +85,40 @@ def test_working_tables_go(spark, tmp_path):
         docs = spark.read.parquet(f"{tmp_path}/{k}")
         since = P.live_cuts() if k == 0 else since
         assert len(P.live_cuts()) <= len(since)
+
+
+def awkward(spark):
+    """Awkward rows, with good texts among them: two equal rows, a copy under another id, a null source and no length."""
+    good = [test_line_rules.own(i, 90) for i in range(6)]
+    rows = [(20, good[0], "en", "s", len(good[0])), (20, good[0], "en", "s", len(good[0])), (21, good[0], "en", "s", len(good[0])), (None, good[1], "en", "s", None), (None, good[2], None, None, len(good[2])), (22, good[3], "en", None, len(good[3])), (22, good[4], "en", "t", len(good[4]))]
+    return frames.awkward(spark).unionByName(frames.with_clashes(spark.createDataFrame(rows, frames.DOCS)))
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_awkward_rows_of_a_stage(spark, tmp_path, k):
+    """Nulls in any column, long and empty texts, repeated rows and clashing columns; results as the docstring defines them."""
+    docs = awkward(spark)
+    rows = docs.collect()
+    P.STAGES[k][1](spark, docs, SF).write.parquet(f"{tmp_path}/out")
+    out = spark.read.parquet(f"{tmp_path}/out")
+    got = out.collect()
+    if k == 4:
+        assert len(got) == len(rows) and all(0 <= r.taken <= 3 * r.size for r in got)
+        return
+    assert out.columns == docs.columns and all(r.kept == "clash" and r._id == "clash" for r in got)
+    key = lambda r: (r.doc_id is None, r.doc_id or 0, r.text is not None, (r.text or "")[:60])
+    ids = sorted(map(key, got))
+    if k == 1:
+        assert ids == sorted(key(r) for r in rows if r.text and len(r.text.split()) >= 50 and len(set(r.text.split())) > 1)
+    if k == 2:  # one of the equal rows and their copy; other rows without links stay, null texts each
+        assert ids == sorted(map(key, [r for i, r in enumerate(rows) if r.doc_id != 21 and r not in rows[:i]]))
+    if k == 3:
+        assert ids == sorted(map(key, rows))
+
+
+@pytest.mark.parametrize("k", range(5))
+def test_empty_table_of_a_stage(spark, tmp_path, k):
+    docs = frames.empty(spark)
+    P.STAGES[k][1](spark, docs, SF).write.parquet(f"{tmp_path}/out")
+    out = spark.read.parquet(f"{tmp_path}/out")
+    assert out.count() == 0 and (k == 4 or out.columns == docs.columns)
