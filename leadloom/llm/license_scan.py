@@ -5,7 +5,8 @@ may differ by up to k = length // ``chars_per_error`` edits (inserted, deleted o
 changed characters). Cut into k + 1 pieces, a notice that occurs with at most k
 edits holds one of its pieces unchanged (pigeonhole principle), so an
 Aho-Corasick automaton over all pieces finds every candidate in one pass over the
-text. Around candidates only, the regex library's bounded-error matching
+text. An edit changes at most q of a notice's grams of q characters, so a window that holds fewer of them than
+that leaves can't be a match and is passed over. Around the other candidates only, the regex library's bounded-error matching
 verifies the edits and gives the span. Each candidate is searched in a window of
 its own, no longer than the notice and a few times k, so the time is linear in the
 text whatever repeats in it. Of one notice's matches that overlap the best stays,
@@ -37,27 +38,75 @@ from .common import pieces_of, table, words
 #: Phrases that are counted exactly, and their labels.
 PHRASES = (("mit license", "mit"), ("apache license", "apache"), ("general public license", "gpl"))
 
-#: Notices that are searched with errors, as lower-case words, and their labels.
+#: Notices that are searched with errors, as lower-case words of the licenses' own texts, and their labels.
 NOTICES = (
     ("released under the mit license", "mit"),
+    ("licensed under the mit license", "mit"),
     ("permission is hereby granted free of charge to any person obtaining a copy", "mit"),
+    ("the above copyright notice and this permission notice shall be included in all copies", "mit"),
     ("licensed under the apache license version 2 0", "apache"),
     ("you may not use this file except in compliance with the license", "apache"),
+    ("unless required by applicable law or agreed to in writing software distributed under the license", "apache"),
     ("licensed under the gnu general public license", "gpl"),
     ("under the terms of the gnu general public license", "gpl"),
+    ("you should have received a copy of the gnu general public license", "gpl"),
+    ("this program is free software you can redistribute it and or modify", "gpl"),
     ("gnu lesser general public license", "lgpl"),
     ("gnu affero general public license", "agpl"),
+    ("gnu free documentation license", "gfdl"),
     ("subject to the terms of the mozilla public license", "mpl"),
+    ("this source code form is subject to the terms of the mozilla public license", "mpl"),
+    ("under the terms of the eclipse public license", "epl"),
+    ("common development and distribution license", "cddl"),
     ("redistribution and use in source and binary forms with or without modification", "bsd"),
+    ("redistributions of source code must retain the above copyright notice", "bsd"),
+    ("redistributions in binary form must reproduce the above copyright notice", "bsd"),
+    ("may be used to endorse or promote products derived from this software without specific prior written permission", "bsd"),
     ("released under the bsd license", "bsd"),
+    ("licensed under the bsd license", "bsd"),
+    ("bsd 3 clause license", "bsd"),
+    ("bsd 2 clause license", "bsd"),
     ("permission to use copy modify and or distribute this software for any purpose", "isc"),
+    ("released under the isc license", "isc"),
+    ("altered source versions must be plainly marked as such", "zlib"),
+    ("the origin of this software must not be misrepresented", "zlib"),
+    ("distributed under the boost software license", "bsl-1.0"),
+    ("boost software license version 1 0", "bsl-1.0"),
     ("licensed under cc by nc 4 0", "cc-by-nc"),
+    ("creative commons attribution noncommercial", "cc-by-nc"),
     ("licensed under cc by sa 4 0", "cc-by-sa"),
+    ("creative commons attribution sharealike", "cc-by-sa"),
+    ("creative commons attribution noderivatives", "cc-by-nd"),
+    ("licensed under cc by 4 0", "cc-by"),
     ("licensed under a creative commons attribution", "cc-by"),
+    ("creative commons attribution 4 0 international license", "cc-by"),
+    ("cc0 1 0 universal public domain dedication", "cc0"),
+    ("has waived all copyright and related or neighboring rights", "cc0"),
     ("free and unencumbered software released into the public domain", "unlicense"),
+    ("do what the fuck you want to public license", "wtfpl"),
+    ("licensed under the sil open font license", "ofl"),
+    ("sil open font license version 1 1", "ofl"),
+    ("under the terms of the artistic license", "artistic"),
+    ("the artistic license 2 0", "artistic"),
+    ("european union public licence", "eupl"),
+    ("microsoft public license", "ms-pl"),
+    ("microsoft reciprocal license", "ms-rl"),
+    ("licensed under the academic free license", "afl"),
+    ("licensed under the open software license", "osl"),
+    ("python software foundation license", "psf"),
+    ("released under the postgresql license", "postgresql"),
+    ("licensed under the educational community license", "ecl"),
+    ("open data commons open database license", "odbl"),
+    ("open data commons attribution license", "odc-by"),
+    ("server side public license", "sspl"),
+    ("business source license 1 1", "busl"),
+    ("licensed under the elastic license", "elastic"),
+    ("licensed under the university of illinois ncsa open source license", "ncsa"),
 )
 CHARS_PER_ERROR = 12
 CELL = 128
+#: Characters of the grams that a window must share with its notice.
+GRAM = 5
 
 _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 HITS = pa.list_(pa.struct([("label", pa.string()), ("notice", pa.string()), ("start_word", pa.int64()), ("end_word", pa.int64()), ("start", pa.int64()), ("end", pa.int64()), ("edits", pa.int32())]))
@@ -75,10 +124,12 @@ class Finder:
     """The automaton over all pieces, and the bounded-error pattern of each notice."""
 
     def __init__(self, notices: tuple[tuple[str, str], ...], chars_per_error: int):
-        self.notices, self.known, seeds = [], {}, {}
+        self.notices, self.grams, self.known, seeds = [], [], {}, {}
         for at, (notice, label) in enumerate(notices):
             errors = len(notice) // chars_per_error
             self.notices.append((notice, label, errors, regex.compile(f"(?b)(?:{regex.escape(notice, literal_spaces=True)}){{e<={errors}}}")))
+            grams = [notice[i : i + GRAM] for i in range(len(notice) - GRAM + 1)]
+            self.grams.append((grams, len(grams) - GRAM * errors))
             for offset, piece in pieces(notice, errors):
                 seeds.setdefault(piece, []).append((at, offset))
         self.automaton = ahocorasick.Automaton()
@@ -109,7 +160,9 @@ class Finder:
         """(start, end, edits) of a notice's best match in a short text; remembered, because windows repeat."""
         if (at, part) in self.known:
             return self.known[at, part]
-        m = self.notices[at][3].search(part)
+        grams, least = self.grams[at]
+        held = {part[i : i + GRAM] for i in range(len(part) - GRAM + 1)}
+        m = self.notices[at][3].search(part) if sum(g in held for g in grams) >= least else None
         if len(self.known) > 20_000:
             self.known.clear()
         self.known[at, part] = found = (m.start(), m.end(), sum(m.fuzzy_counts)) if m else None
