@@ -50,8 +50,8 @@ def ordered_adapters(adapters: DataFrame, attempts: DataFrame, cached: DataFrame
     """Adapters (adapter, cost) with attempts, hits, rate (null before any), expected cost of a hit, and their order.
 
     An untried adapter counts with a rate of 0.5, others with 0.05 at least; a free one expects 0. With
-    ``cached`` (key, adapter) every key has its own order, its cached adapter first. Adapters are a dictionary, attempts
-    are added up before they meet it.
+    ``cached`` (key, adapter) every key has its own order, its cached adapter first. Adapters are a dictionary, which the driver
+    holds; attempts are added up before they meet it.
     """
     stats = attempts.groupBy(F.col("adapter").alias("_a")).agg(F.count("*").alias("attempts"), F.count_if("hit").alias("hits"))
     known = adapters.join(stats, F.col("adapter") == F.col("_a"), "left").drop("_a").na.fill(0, ["attempts", "hits"])
@@ -61,8 +61,9 @@ def ordered_adapters(adapters: DataFrame, attempts: DataFrame, cached: DataFrame
     order = ["expected", "adapter"]
     if cached is None:
         return known.withColumn("rank", F.row_number().over(Window.orderBy(*order)).cast("long"))
-    lists = known.agg(F.array_sort(F.collect_list(F.struct("expected", "adapter", "cost"))).alias("_all"))  # one row, the dictionary
-    per_key = cached.select("key", F.col("adapter").alias("_first")).crossJoin(F.broadcast(lists))
+    rows = known.select("adapter", "cost", "expected").collect()  # the dictionary
+    each = [F.struct(F.lit(float(r["expected"])).alias("expected"), F.lit(r["adapter"]).alias("adapter"), F.lit(float(r["cost"])).alias("cost")) for r in sorted(rows, key=lambda r: (r["expected"], r["adapter"]))]
+    per_key = cached.select("key", F.col("adapter").alias("_first"), F.array(*each).alias("_all"))
     mine = F.filter("_all", lambda a: a["adapter"].eqNullSafe(F.col("_first")))
     rest = F.filter("_all", lambda a: ~a["adapter"].eqNullSafe(F.col("_first")))
     return per_key.select("key", F.posexplode(F.concat(mine, rest)).alias("_i", "a")).select("key", F.col("a.adapter").alias("adapter"), F.col("a.expected").alias("expected"), (F.col("_i") + 1).cast("long").alias("rank"))
