@@ -57,12 +57,15 @@ def _text(c):
 
 
 def y07_stale(spark, d):
-    """Claims released because nothing came for six hours by the time of the last event."""
-    return jobs.stale_claims(_timed(spark, d), "user_id", "ts", "6 hours")[0].select("user_id", _text("start").alias("start"), _text("end").alias("end"), "n")
+    """All spans of activity of all users: claims released because nothing came for six hours by the time of the last event, those still open, and late rows, which add up to all events."""
+    released, open_, late = jobs.stale_claims(_timed(spark, d), "user_id", "ts", "6 hours")
+    rows = lambda df, kind: df.select(F.lit(kind).alias("kind"), "user_id", _text("start").alias("start"), _text("end").alias("end"), "n")
+    lost = late.select("user_id", F.col("ts").alias("start"), F.expr("ts + interval 6 hours").alias("end"), F.lit(1).cast("long").alias("n"))
+    return rows(released, "released").unionByName(rows(open_, "open")).unionByName(rows(lost, "late"))
 
 
 _SPANS = "with g as (select *, case when ts - lag(ts) over (partition by user_id order by ts) <= interval 6 hour then 0 else 1 end as brk from events), s as (select *, sum(brk) over (partition by user_id order by ts rows unbounded preceding) as sid from g), w as (select user_id, min(ts) as a, max(ts) + interval 6 hour as z, count(*) as n from s group by user_id, sid)"
-Y07 = f"{_SPANS} select user_id, strftime(a, '%Y-%m-%d %H:%M:%S.%f') as start, strftime(z, '%Y-%m-%d %H:%M:%S.%f') as end, n from w where z <= (select max(ts) from events)"
+Y07 = f"{_SPANS} select case when z is null then 'late' when z <= (select max(ts) from events) then 'released' else 'open' end as kind, user_id, strftime(a, '%Y-%m-%d %H:%M:%S.%f') as start, strftime(z, '%Y-%m-%d %H:%M:%S.%f') as end, n from w"
 
 
 def y08_counts(spark, d):

@@ -6,13 +6,17 @@ import random
 import subprocess
 import sys
 
+import duckdb
 import pytest
 
 from pyspark.sql import functions as F
 
+from leadloom.queries.registry import REGISTRY
 from leadloom.sources import stages
 from leadloom.streaming import job, jobs
 
+from . import oracle
+
 DAY = dt.datetime(2024, 1, 1)
 
 
@@ -168,6 +172,32 @@ def test_claims_are_released_by_others_time(spark, tmp_path):
     assert [(r.key, r.n) for r in open_.collect()] == [(2, 2)] and sorted(r.n for r in late.collect()) == [4, 6]
 
 
+def test_the_claims_query_gives_every_span(spark, tmp_path):
+    """Released and open spans and rows without a time, none left out: cases by hand, and the query's SQL; null is a key, a gap of exactly six hours is none."""
+    us, hour = dt.timedelta(microseconds=1), dt.timedelta(hours=1)
+    times = {1: [DAY, DAY, DAY + 6 * hour, DAY + 12 * hour + us], 2: [DAY + 24 * hour], 3: [DAY + 18 * hour], 4: [DAY + 18 * hour + us, None, None], None: [DAY + 3 * hour, DAY + 23 * hour, None], 5: [dt.datetime(1969, 12, 31, 23)]}
+    rows = [(i, ts, key) for i, (key, ts) in enumerate((key, ts) for key, all_ in times.items() for ts in all_)]
+    spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, user_id bigint").write.parquet(f"{tmp_path}/events.parquet")
+    text = lambda ts: ts and ts.strftime("%Y-%m-%d %H:%M:%S.%f")
+    span = lambda kind, key, a, b, n: (kind, key, text(a), text(b and b + 6 * hour), n)
+    late = [span("late", key, None, None, 1) for key in (4, 4, None)]
+    released = [span("released", 1, DAY, DAY + 6 * hour, 3), span("released", 1, times[1][3], times[1][3], 1), span("released", 3, times[3][0], times[3][0], 1), span("released", None, times[None][0], times[None][0], 1), span("released", 5, times[5][0], times[5][0], 1)]
+    still = [span("open", 2, times[2][0], times[2][0], 1), span("open", 4, times[4][0], times[4][0], 1), span("open", None, times[None][1], times[None][1], 1)]
+    df = REGISTRY.queries["y07_stale_claims"](spark, str(tmp_path))
+    assert sorted(map(tuple, df.select("kind", "user_id", "start", "end", "n").collect()), key=repr) == sorted(late + released + still, key=repr)
+    con = duckdb.connect()
+    con.execute(f"create view events as select * from '{tmp_path}/events.parquet/*.parquet'")
+    oracle.assert_same(df, con, REGISTRY.sql["y07_stale_claims"])
+
+
+def test_the_claims_of_a_table_hold_all_its_events(spark):
+    df = REGISTRY.queries["y07_stale_claims"](spark, "/root/testdata/sf0.001")
+    by = {r.user_id: (r.n, r.last) for r in df.groupBy("user_id").agg(F.sum("n").alias("n"), F.max("end").alias("last")).collect()}
+    every = spark.read.parquet("/root/testdata/sf0.001/events.parquet").groupBy("user_id").agg(F.count("*").alias("n"), F.date_format(F.max("ts") + F.expr("interval 6 hours"), "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last"))
+    assert by == {r.user_id: (r.n, r.last) for r in every.collect()}
+    assert {r.kind for r in df.select("kind").distinct().collect()} == {"released", "open"}
+
+
 def test_task_queue(spark, tmp_path):
     at = lambda h: DAY + dt.timedelta(hours=h)
     bad = [(1, "timeout"), (1, "NO_CONTACT here"), (2, "garbage-host"), (3, "500"), (3, "500"), (3, "x" * 2000), (4, "no usable domain"), (5, None), (5, "")]
